@@ -71,24 +71,56 @@ def _match_starts(gaps: Column, matches: Column) -> Column:
         lambda acc: acc["starts"])
 
 
-def pattern_matches(text: Column, pattern: str, pii_type: str, confidence: str) -> Column:
-    """All matches of one pattern as detections, in text order."""
-    p = JAVA_FLAGS + pattern
-    matches = F.regexp_extract_all(text, F.lit(p), F.lit(0))
-    gaps = F.split(text, p, -1)
-    starts = _match_starts(gaps, matches)
-    return F.zip_with(matches, starts, lambda m, s: F.struct(
-        F.lit(pii_type).alias("type"), m.alias("text"),
-        s.alias("start_pos"), (s + F.length(m)).alias("end_pos"),
-        F.lit(confidence).alias("confidence")))
-
-
-def is_likely_personal_name(name: Column, text: Column) -> Column:
+# Cheap necessary conditions: a pattern can only match when its guard holds,
+# so the regex passes are skipped on texts that cannot match.
+_DIGIT = "(?U)\\d"
+
+
+def _guard(name: str, text: Column, has_digit: Column) -> Column | None:
+    if name == "ssn":
+        return (F.instr(text, "-") > 0) & has_digit
+    if name == "email":
+        return F.instr(text, "@") > 0
+    if name in ("account_number", "phone", "address", "zip_code"):
+        return has_digit
+    if name in ("name_1", "name_2"):  # both label forms end in a colon
+        return F.instr(text, ":") > 0
+    return None
+
+
+def _guarded(expr: Column, guard: Column | None, ddl: str) -> Column:
+    if guard is None:
+        return expr
+    return F.when(guard, expr).otherwise(F.array().cast(ddl))
+
+
+def match_arrays(text: Column) -> list[tuple[str, Column]]:
+    """The regex passes, one column each: matches, gaps (and names for the
+    name contexts). Selecting them as columns before ``assemble_detections``
+    lets every pass run once per text."""
+    has_digit = text.rlike(_DIGIT)
+    cols = []
+    for k, (ty, pat, _) in enumerate(PII_PATTERNS):
+        p = JAVA_FLAGS + pat
+        g = _guard(ty, text, has_digit)
+        cols.append((f"_m{k}", _guarded(F.regexp_extract_all(text, F.lit(p), F.lit(0)), g, "array<string>")))
+        cols.append((f"_g{k}", _guarded(F.split(text, p, -1), g, "array<string>")))
+    for j, pat in enumerate(NAME_PATTERNS):
+        p = JAVA_FLAGS + pat
+        g = _guard(f"name_{j}", text, has_digit)
+        cols.append((f"_w{j}", _guarded(F.regexp_extract_all(text, F.lit(p), F.lit(0)), g, "array<string>")))
+        cols.append((f"_h{j}", _guarded(F.split(text, p, -1), g, "array<string>")))
+    cols.append(("_lt", F.lower(text)))
+    return cols
+
+
+def is_likely_personal_name(name: Column, text: Column, lower_text: Column | None = None) -> Column:
     """The business-name heuristic, as a boolean Column."""
     lname = F.lower(name)
+    lt = F.lower(text) if lower_text is None else lower_text
     has_indicator = F.exists(F.array(*[F.lit(w.lower()) for w in BUSINESS_INDICATORS]),
                              lambda w: F.instr(lname, w) > 0)
-    pos = F.instr(F.lower(text), lname) - 1  # 0-based, -1 when absent
+    pos = F.instr(lt, lname) - 1  # 0-based, -1 when absent
     ctx_start = F.greatest(pos - CONTEXT_RADIUS, F.lit(0))
     ctx_end = F.least(F.length(text), pos + F.length(name) + CONTEXT_RADIUS)
     ctx = F.lower(F.substring(text, ctx_start + 1, ctx_end - ctx_start))
@@ -98,12 +130,16 @@ def is_likely_personal_name(name: Column, text: Column) -> Column:
     return ~has_indicator & ~has_context
 
 
-def name_matches(text: Column, pattern: str) -> Column:
-    """Names captured by one context pattern that pass the name check."""
-    p = JAVA_FLAGS + pattern
-    whole = F.regexp_extract_all(text, F.lit(p), F.lit(0))
-    names = F.regexp_extract_all(text, F.lit(p), F.lit(1))
-    gaps = F.split(text, p, -1)
+def _pattern_detections(matches: Column, gaps: Column, pii_type: str, confidence: str) -> Column:
+    starts = _match_starts(gaps, matches)
+    return F.zip_with(matches, starts, lambda m, s: F.struct(
+        F.lit(pii_type).alias("type"), m.alias("text"),
+        s.alias("start_pos"), (s + F.length(m)).alias("end_pos"),
+        F.lit(confidence).alias("confidence")))
+
+
+def _name_detections(whole: Column, names: Column, gaps: Column, text: Column,
+                     lower_text: Column) -> Column:
     starts = _match_starts(gaps, whole)
     # every pattern ends with the captured group, so the group ends where the
     # match ends
@@ -114,14 +150,50 @@ def name_matches(text: Column, pattern: str) -> Column:
             (s + F.length(wn["w"]) - F.length(wn["n"])).alias("start_pos"),
             (s + F.length(wn["w"])).alias("end_pos"),
             F.lit(NAME_CONFIDENCE).alias("confidence")))
-    return F.filter(cands, lambda d: is_likely_personal_name(d["text"], text))
+    return F.filter(cands, lambda d: is_likely_personal_name(d["text"], text, lower_text))
+
+
+def names_from_matches(whole: Column, pattern: str) -> Column:
+    """Group 1 of every match, taken from the match strings themselves.
+
+    The name patterns look neither behind nor ahead, so matching the pattern
+    anchored at the start of a (short) match string takes the same path as in
+    the full text and captures the same group; this saves a pass over the text.
+    """
+    p = JAVA_FLAGS + "^" + pattern
+    return F.transform(whole, lambda w: F.regexp_extract(w, p, 1))
+
+
+def assemble_detections(text: Column) -> Column:
+    """Detections from the columns produced by ``match_arrays``."""
+    parts = [_pattern_detections(F.col(f"_m{k}"), F.col(f"_g{k}"), ty, c)
+             for k, (ty, _, c) in enumerate(PII_PATTERNS)]
+    parts += [_name_detections(F.col(f"_w{j}"), names_from_matches(F.col(f"_w{j}"), NAME_PATTERNS[j]),
+                               F.col(f"_h{j}"), text, F.col("_lt"))
+              for j in range(len(NAME_PATTERNS))]
+    return F.concat(*parts).cast(f"array<{DETECTION_DDL}>")
+
+
+TEMP_COLUMNS = ([f"_m{k}" for k in range(len(PII_PATTERNS))] + [f"_g{k}" for k in range(len(PII_PATTERNS))]
+                + [f"_{x}{j}" for x in "wh" for j in range(len(NAME_PATTERNS))] + ["_lt"])
 
 
 def detect_pii(text: Column) -> Column:
-    """``array<detection>`` for a text column; null text gives an empty array."""
+    """``array<detection>`` for a text column, as one expression (small inputs,
+    tests). Large tables use ``operators.pii.with_detections``, which runs each
+    regex pass once per text."""
     t = F.coalesce(text, F.lit(""))
-    parts = [pattern_matches(t, p, ty, c) for ty, p, c in PII_PATTERNS]
-    parts += [name_matches(t, p) for p in NAME_PATTERNS]
+    lt = F.lower(t)
+    parts = []
+    for ty, pat, c in PII_PATTERNS:
+        p = JAVA_FLAGS + pat
+        parts.append(_pattern_detections(F.regexp_extract_all(t, F.lit(p), F.lit(0)),
+                                         F.split(t, p, -1), ty, c))
+    for pat in NAME_PATTERNS:
+        p = JAVA_FLAGS + pat
+        parts.append(_name_detections(F.regexp_extract_all(t, F.lit(p), F.lit(0)),
+                                      F.regexp_extract_all(t, F.lit(p), F.lit(1)),
+                                      F.split(t, p, -1), t, lt))
     return F.concat(*parts).cast(f"array<{DETECTION_DDL}>")
 
 

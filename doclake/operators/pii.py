@@ -10,23 +10,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from doclake.functions.pii import confidence_at_least, detect_pii
+from doclake.plans.parallel import spread
+from doclake.functions.pii import (TEMP_COLUMNS, assemble_detections, confidence_at_least,
+                                   match_arrays)
 
 PII_STATUS = "PII_PROCESSED"
 
 
 def with_detections(df: DataFrame, text_col: str = "text", out: str = "detections",
                     min_confidence: str | None = None) -> DataFrame:
-    """Add ``out`` = array of detections found in ``text_col`` (narrow)."""
-    det = detect_pii(F.col(text_col))
+    """Add ``out`` = array of detections found in ``text_col`` (narrow).
+
+    The regex passes are selected as columns first so each runs once per text;
+    the planner keeps that projection because its outputs are used more than
+    once below.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    staged = spread(df).select("*", *[c.alias(n) for n, c in match_arrays(text)])
+    det = assemble_detections(text)
     if min_confidence:
         det = F.filter(det, lambda d: confidence_at_least(d["confidence"], min_confidence))
-    return df.withColumn(out, det)
+    return staged.withColumn(out, det).drop(*TEMP_COLUMNS)
 
 
 def explode_detections(df: DataFrame, keys: list[str], col: str = "detections") -> DataFrame:
-    """One row per detection: keys, det_idx (reference order), type, text, offsets."""
-    return (df.select(*keys, F.posexplode(col).alias("det_idx", "d"))
+    """One row per detection: keys, det_idx (reference order), type, text, offsets.
+
+    ``posexplode_outer`` + a null filter instead of ``posexplode``: the planner
+    infers ``size(col) > 0`` for a plain explode and pushes it below the
+    projection, which would run the whole detection twice.
+    """
+    return (df.select(*keys, F.posexplode_outer(col).alias("det_idx", "d"))
+              .where(F.col("d").isNotNull())
               .select(*keys, F.col("det_idx").cast("bigint").alias("det_idx"),
                       F.col("d.type").alias("pii_type"), F.col("d.text").alias("pii_text"),
                       F.col("d.start_pos").cast("bigint").alias("start_pos"),

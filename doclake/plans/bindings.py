@@ -28,3 +28,97 @@ CONVERSATION_PAGES_SQL = """
     SELECT CAST(conv_id AS VARCHAR) AS document_id, CAST(turn + 1 AS BIGINT) AS page_no,
            CAST(conv_id AS VARCHAR) || ':' || CAST(turn + 1 AS VARCHAR) AS page_key, text
     FROM conversations"""
+
+
+# ------------------------------------------------------------------ KEYS
+# lineitem row -> one stored object 'incoming/ORD<orderkey><-|_><linenumber><suffix>'
+BUCKET = "lake-bucket"
+
+
+def _suffix() -> F.Column:
+    c = F.col
+    return (F.when(c("l_partkey") % 10 == 0, F.lit(".tiff"))
+             .when(c("l_partkey") % 10 == 1, F.lit(".JPG"))
+             .when(c("l_returnflag") == "N", F.lit(".jpg"))
+             .when(c("l_returnflag") == "R", F.lit(".png"))
+             .when(c("l_linestatus") == "O", F.lit(".zip"))
+             .otherwise(F.lit(".pdf")))
+
+
+def object_key_col() -> F.Column:
+    c = F.col
+    sep = F.when(c("l_linenumber") % 2 == 0, F.lit("-")).otherwise(F.lit("_"))
+    return F.concat(F.lit("incoming/ORD"), c("l_orderkey").cast("string"), sep,
+                    c("l_linenumber").cast("string"), _suffix())
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from doclake.functions import keys as K
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
+               "l_returnflag", "l_linestatus", "l_shipdate")
+    key = object_key_col()
+    ext = K.extension(K.basename(key))
+    ctype = F.when(F.lower(ext).isin(".tif", ".tiff"), F.lit("image/tiff")).otherwise(K.content_type_for(ext))
+    return li.select(key.alias("object_key"), ctype.alias("content_type"),
+                     F.col("l_shipdate").alias("event_time"), F.lit(BUCKET).alias("bucket"),
+                     "l_orderkey", "l_linenumber")
+
+
+_KEY_SQL = """'incoming/ORD' || CAST(l_orderkey AS STRING) || CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '_' END
+        || CAST(l_linenumber AS STRING)
+        || CASE WHEN l_partkey % 10 = 0 THEN '.tiff' WHEN l_partkey % 10 = 1 THEN '.JPG'
+                WHEN l_returnflag = 'N' THEN '.jpg' WHEN l_returnflag = 'R' THEN '.png'
+                WHEN l_linestatus = 'O' THEN '.zip' ELSE '.pdf' END"""
+
+
+def _ctype_sql(ext: str) -> str:
+    from doclake.functions.keys import CONTENT_TYPES, DEFAULT_CONTENT_TYPE
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CONTENT_TYPES.items())
+    return f"CASE lower({ext}) {whens} ELSE '{DEFAULT_CONTENT_TYPE}' END"
+
+
+MANIFEST_SQL = f"""
+    SELECT object_key,
+           CASE WHEN lower(ext) IN ('.tif', '.tiff') THEN 'image/tiff' ELSE {_ctype_sql('ext')} END AS content_type,
+           event_time, '{BUCKET}' AS bucket, l_orderkey, l_linenumber
+    FROM (SELECT object_key, regexp_extract(string_split(object_key, '/')[-1], '^(\\.*[^.].*)(\\.[^.]*)$', 2) AS ext,
+                 l_shipdate AS event_time, l_orderkey, l_linenumber
+          FROM (SELECT {_KEY_SQL} AS object_key, * FROM lineitem))"""
+
+
+def existing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents already recorded: finished orders, named like the objects."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
+    return (o.where(F.col("o_orderstatus") == "F")
+            .select(F.concat(F.lit("ORD"), F.col("o_orderkey").cast("string")).alias("original_filename")))
+
+
+EXISTING_SQL = "SELECT 'ORD' || CAST(o_orderkey AS VARCHAR) AS original_filename FROM orders WHERE o_orderstatus = 'F'"
+
+# ------------------------------------------------------------------ ENV
+# one queue record per lineitem row; some malformed, some test events, some
+# with two storage records, some keys URL-encoded
+
+
+def _record_sql(key: str) -> str:
+    return ("'{\"eventSource\":\"aws:s3\",\"s3\":{\"bucket\":{\"name\":\"" + BUCKET
+            + "\"},\"object\":{\"key\":\"' || " + key + " || '\"}}}'")
+
+
+def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
+               "l_returnflag", "l_linestatus")
+    # the same SQL expression text builds the body in both engines
+    return li.selectExpr("l_orderkey * 10 + l_linenumber AS message_id", f"{QUEUE_BODY_SQL} AS body")
+
+
+_ENC_KEY_SQL = f"""CASE WHEN l_linenumber = 3 THEN replace({_KEY_SQL}, 'ORD', 'ORD+')
+        WHEN l_linenumber = 5 THEN replace({_KEY_SQL}, '_', '%5F') ELSE {_KEY_SQL} END"""
+
+QUEUE_BODY_SQL = f"""CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 0 THEN '{{"Records": ['
+        WHEN (l_orderkey * 10 + l_linenumber) % 47 = 0 THEN '{{"Event":"s3:TestEvent"}}'
+        WHEN l_linenumber = 7 THEN '{{"Records":[' || {_record_sql(_ENC_KEY_SQL)} || ',' ||
+             {_record_sql("replace(" + _ENC_KEY_SQL + ", 'incoming/', 'other/')")} || ']}}'
+        ELSE '{{"Records":[' || {_record_sql(_ENC_KEY_SQL)} || ']}}' END"""
+
+QUEUE_MESSAGES_SQL = f"SELECT l_orderkey * 10 + l_linenumber AS message_id, {QUEUE_BODY_SQL} AS body FROM lineitem"

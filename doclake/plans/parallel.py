@@ -1,0 +1,21 @@
+"""Parallelism helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row work (regex passes) over all cores.
+
+    A scan yields one task per file split; a table written as one row group
+    gives a single task however large the cluster. When the input has fewer
+    partitions than the cluster's default parallelism, rows are dealt
+    round-robin into that many partitions (one shuffle of the projected
+    columns); otherwise the scan's own splits are kept and nothing is added.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from doclake.plans import queries_ingest as G
 from doclake.plans import queries_pii as P
 
 QUERIES = {
     "pii_summary": (P.pii_summary, P.pii_summary_sql),
     "pii_detections": (P.pii_detections, P.pii_detections_sql),
     "pii_pages_html": (P.pii_pages_html, P.pii_pages_html_sql),
+    "keys_parse": (G.keys_parse, G.keys_parse_sql),
+    "ingest_documents": (G.ingest_documents, G.ingest_documents_sql),
+    "ingest_pages": (G.ingest_pages, G.ingest_pages_sql),
+    "ingest_rejects": (G.ingest_rejects, G.ingest_rejects_sql),
+    "envelope_decode": (G.envelope_decode, G.envelope_decode_sql),
+    "file_moves": (G.file_moves, G.file_moves_sql),
+    "folder_counts": (G.folder_counts, G.folder_counts_sql),
 }
