@@ -122,3 +122,175 @@ QUEUE_BODY_SQL = f"""CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 0 THEN '{
         ELSE '{{"Records":[' || {_record_sql(_ENC_KEY_SQL)} || ']}}' END"""
 
 QUEUE_MESSAGES_SQL = f"SELECT l_orderkey * 10 + l_linenumber AS message_id, {QUEUE_BODY_SQL} AS body FROM lineitem"
+
+
+# ------------------------------------------------------------------ STATE
+# orders row -> one document record; lineitem rows -> its page -> job-status map
+# ---------------------------------------------------------------------------
+# Fixed test messages for the error rules (cycled by order key).
+ERROR_MESSAGES = [
+    "Textract error: INVALID_IMAGE_TYPE for page",
+    "An error occurred (InvalidS3ObjectException) when calling the operation",
+    "OpenAI API call failed: HTTP error: 429 - rate limited",
+    "No pages provided for OCR processing",
+    "Task timed out: timeout after 300 seconds",
+    "Lambda TIMEOUT reached",
+    "No pages provided; OpenAI API call failed",
+    "",
+]
+# ---------------------------------------------------------------------------
+TYPE_BY_PRIORITY = {"1-URGENT": "invoice", "2-HIGH": "promotion", "3-MEDIUM": "receipt",
+                    "4-NOT SPECIFIED": "letter"}
+
+
+def _status_sql() -> str:
+    return ("CASE o_orderstatus WHEN 'F' THEN 'COMPLETE' WHEN 'P' THEN 'FAILED' ELSE "
+            "CASE o_orderkey % 4 WHEN 0 THEN 'OCR_RUNNING' WHEN 1 THEN 'AGGREGATING' "
+            "WHEN 2 THEN 'LLM_RUNNING' ELSE 'AWAITING_PAGES' END END")
+
+
+def _errmsg_sql() -> str:
+    whens = " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(ERROR_MESSAGES))
+    return f"CASE o_orderkey % {len(ERROR_MESSAGES)} {whens} END"
+
+
+def _doctype_sql() -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPE_BY_PRIORITY.items())
+    return f"CASE o_orderpriority {whens} ELSE 'other' END"
+
+
+# shared SQL (same text in Spark SQL and DuckDB); status is computed first
+_STATE_COLS = [
+    "document_id", "status",
+    "CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 'ORD' || CAST(o_orderkey AS STRING) END AS original_filename",
+    f"'{BUCKET}' AS bucket_name",
+    "CASE WHEN o_orderkey % 7 <> 0 THEN 'exec-' || CAST(o_orderkey % 150 AS STRING) END AS step_function_execution_arn",
+    """CASE WHEN status IN ('COMPLETE', 'LLM_RUNNING') OR (status = 'FAILED' AND o_orderkey % 3 = 0)
+         THEN 'staging/' || document_id || '/combined.txt' END AS combined_key""",
+    """CASE WHEN status = 'COMPLETE' THEN 'results/' || document_id || '_response.json'
+         WHEN status = 'FAILED' AND o_orderkey % 3 = 1 THEN '' END AS result_key""",
+    f"""CASE WHEN status = 'COMPLETE' OR (status = 'FAILED' AND o_orderkey % 5 = 0)
+         THEN {_doctype_sql()} END AS document_type""",
+    f"CASE WHEN status = 'FAILED' THEN {_errmsg_sql()} END AS last_error",
+    "o_orderkey % 10 = 3 AS has_zip_extraction",
+    "CASE WHEN o_orderkey % 10 = 3 AND o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 9 AS INT) END AS zip_extracted_count",
+    "CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS pii_processing_complete",
+    "CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 THEN 'PII timeout reading page' END AS pii_error",
+    "(o_orderkey % 5 <> 0 OR o_orderkey % 2 = 0) AS has_textract_jobs",
+    "o_orderkey", "o_custkey", "o_orderdate",
+]
+_STATE_COLS_SQL = ",\n    ".join(_STATE_COLS)
+
+STATE_BASE_SQL = f"""
+    SELECT {_STATE_COLS_SQL} FROM (
+      SELECT CAST(o_orderkey AS STRING) AS document_id, {_status_sql()} AS status, *
+      FROM orders)"""
+
+JOB_STATUS_SQL = """CASE WHEN l_partkey % 97 = 0 THEN 'FAILED' WHEN l_linestatus = 'F' THEN 'SYNC_COMPLETE'
+        WHEN l_returnflag = 'A' THEN 'ASYNC_COMPLETE'
+        WHEN l_returnflag = 'R' THEN 'job-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)
+        ELSE 'ASYNC_STARTED' END"""
+
+# a page -> status map holds one status per page key: duplicate keys keep the
+# greatest status and the smallest line number as their position
+JOBS_SQL = f"""
+    SELECT document_id, page_key, min(page_ordinal) AS page_ordinal, max(job_status) AS job_status FROM (
+      SELECT CAST(l_orderkey AS STRING) AS document_id, {_KEY_SQL} AS page_key,
+             CAST(l_linenumber AS BIGINT) AS page_ordinal, {JOB_STATUS_SQL} AS job_status
+      FROM lineitem WHERE l_orderkey % 5 <> 0)
+    GROUP BY document_id, page_key"""
+
+
+def state_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document state table (one row per order) with timestamps and counts."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+              "o_orderpriority")
+    base = o.selectExpr("CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status", "*") \
+            .selectExpr(*_STATE_COLS)
+    moved = (table(spark, sf_dir, "lineitem", "l_orderkey").groupBy("l_orderkey")
+             .agg(F.count(F.lit(1)).cast("int").alias("n_lines")))
+    upd = F.timestamp_add("SECOND", F.col("o_custkey"), F.col("o_orderdate"))
+    return (base.join(moved, base.o_orderkey == moved.l_orderkey, "left")
+            .withColumn("n_moved_files", F.when(F.col("status") == "COMPLETE",
+                                                F.coalesce(F.col("n_lines"), F.lit(0))).otherwise(F.lit(0)))
+            .withColumn("created_at", F.col("o_orderdate"))
+            .withColumn("updated_at", F.when(F.col("o_custkey") % 11 != 0, upd))
+            .withColumn("ttl", (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + F.lit(90 * 86400)))
+            .drop("l_orderkey", "n_lines"))
+
+
+STATE_DOCS_SQL = f"""
+    SELECT s.* EXCLUDE (o_orderdate),
+           CASE WHEN s.status = 'COMPLETE' THEN CAST(coalesce(m.n_lines, 0) AS INT) ELSE 0 END AS n_moved_files,
+           s.o_orderdate AS created_at,
+           CASE WHEN s.o_custkey % 11 <> 0 THEN s.o_orderdate + to_seconds(s.o_custkey) END AS updated_at,
+           CAST(epoch(s.o_orderdate) AS BIGINT) + {90 * 86400} AS ttl
+    FROM ({STATE_BASE_SQL}) s
+    LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1) m ON s.o_orderkey = m.l_orderkey"""
+
+
+def state_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
+               "l_linestatus")
+    rows = li.where(F.col("l_orderkey") % 5 != 0).select(
+        F.col("l_orderkey").cast("string").alias("document_id"), object_key_col().alias("page_key"),
+        F.col("l_linenumber").cast("bigint").alias("page_ordinal"),
+        F.expr(JOB_STATUS_SQL).alias("job_status"))
+    return rows.groupBy("document_id", "page_key").agg(F.min("page_ordinal").alias("page_ordinal"),
+                                                       F.max("job_status").alias("job_status"))
+
+
+# ------------------------------------------------------------------ HIST / CHG
+# events: user_id = execution / document; event_type picks the history type
+# or the changed attribute
+HISTORY_TYPE = {"view": "TaskStateEntered", "purchase": "TaskSucceeded", "error": "TaskFailed"}
+HISTORY_STATES = ["OCR", "AggregateText", "LLM"]
+
+
+def _history_type_sql() -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in HISTORY_TYPE.items())
+    return f"CASE event_type {whens} ELSE 'Other' END"
+
+
+def _state_sql() -> str:
+    whens = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(HISTORY_STATES))
+    return f"CASE event_id % {len(HISTORY_STATES)} {whens} END"
+
+
+HISTORY_SQL = f"""
+    SELECT 'exec-' || CAST(user_id AS STRING) AS execution_id, event_id, ts,
+           {_history_type_sql()} AS type, {_state_sql()} AS state
+    FROM events WHERE event_type IN ({", ".join(f"'{k}'" for k in HISTORY_TYPE)})"""
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Execution history rows of the kept event types (A10)."""
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    return ev.where(F.col("event_type").isin(*HISTORY_TYPE)).selectExpr(
+        "'exec-' || CAST(user_id AS STRING) AS execution_id", "event_id", "ts",
+        f"{_history_type_sql()} AS type", f"{_state_sql()} AS state")
+
+
+CHANGE_ATTR = {"view": "status", "click": "document_type", "purchase": "result_key",
+               "error": "last_error", "signup": "combined_key"}
+
+
+def _attr_sql() -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CHANGE_ATTR.items())
+    return f"CASE event_type {whens} END"
+
+
+# value: a string for most rows; every 13th change writes an explicit null
+_CHANGE_COLS = [
+    "CAST(user_id AS STRING) AS document_id", "event_id AS seq", "ts", f"{_attr_sql()} AS attr",
+    """CASE WHEN event_id % 13 = 0 THEN NULL
+         ELSE event_type || '-' || CAST(CAST(floor(value) AS BIGINT) AS STRING) END AS value""",
+    "event_id % 13 = 0 AS set_null",
+]
+CHANGES_SQL = "SELECT " + ", ".join(_CHANGE_COLS) + " FROM events"
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribute change log rows (document_id, seq, ts, attr, value, set_null)."""
+    ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return ev.selectExpr(*_CHANGE_COLS)

@@ -32,3 +32,30 @@ def bucketed_row_number(df: DataFrame, keys: list[str], order_num: Column,
             .join(offsets, [*keys, "_bucket"], "inner")
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_bucket", "_onum", "_local", "_off"))
+
+
+def bucketed_lag(df: DataFrame, keys: list[str], time_col: Column, seq_col: Column, value_col: str,
+                 out: str, bucket_seconds: int = 86400) -> DataFrame:
+    """Add ``out`` = ``value_col`` of the previous row within ``keys`` ordered by
+    (time, seq), and ``_first`` = no previous row.
+
+    Rows are numbered within (keys, time bucket); the first row of a bucket
+    takes the last value of the key's previous non-empty bucket, found in a
+    window over one summary row per bucket.
+    """
+    t = F.unix_micros(time_col.cast("timestamp"))
+    tagged = (df.withColumn("_t", t)
+                .withColumn("_sq", seq_col)
+                .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t", "_sq")
+    local = (tagged.withColumn("_lprev", F.lag(value_col).over(w))
+                   .withColumn("_lfirst", F.row_number().over(w) == 1))
+    last = tagged.groupBy(*keys, "_b").agg(F.max_by(F.col(value_col), F.struct("_t", "_sq")).alias("_last"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    prevb = (last.withColumn("_pblast", F.lag("_last").over(wb))
+                 .withColumn("_hasprev", F.lag("_b").over(wb).isNotNull())
+                 .drop("_last"))
+    return (local.join(prevb, [*keys, "_b"], "inner")
+            .withColumn(out, F.when(F.col("_lfirst"), F.col("_pblast")).otherwise(F.col("_lprev")))
+            .withColumn("_first", F.col("_lfirst") & ~F.col("_hasprev"))
+            .drop("_t", "_sq", "_b", "_lprev", "_lfirst", "_pblast", "_hasprev"))

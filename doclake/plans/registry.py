@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from doclake.plans import queries_ingest as G
 from doclake.plans import queries_pii as P
+from doclake.plans import queries_state as Q
 
 QUERIES = {
     "pii_summary": (P.pii_summary, P.pii_summary_sql),
@@ -16,4 +17,23 @@ QUERIES = {
     "envelope_decode": (G.envelope_decode, G.envelope_decode_sql),
     "file_moves": (G.file_moves, G.file_moves_sql),
     "folder_counts": (G.folder_counts, G.folder_counts_sql),
+    "doc_status_view": (Q.doc_status_view, Q.doc_status_view_sql),
+    "doc_list_page": (Q.doc_list_page, Q.doc_list_page_sql),
+    "doc_list_next": (Q.doc_list_next, Q.doc_list_next_sql),
+    "newest_per_status": (Q.newest_per_status, Q.newest_per_status_sql),
+    "doc_files_view": (Q.doc_files_view, Q.doc_files_view_sql),
+    "doc_timeline": (Q.doc_timeline, Q.doc_timeline_sql),
+    "timeline_guide": (Q.timeline_guide, Q.timeline_guide_sql),
+    "timeline_summary": (Q.timeline_summary, Q.timeline_summary_sql),
+    "timeline_text": (Q.timeline_text, Q.timeline_text_sql),
+    "status_counts": (Q.status_counts, Q.status_counts_sql),
+    "failure_rates": (Q.failure_rates, Q.failure_rates_sql),
+    "ocr_rollup": (Q.ocr_rollup, Q.ocr_rollup_sql),
+    "retention": (Q.retention, Q.retention_sql),
+    "error_categories": (Q.error_categories, Q.error_categories_sql),
+    "doc_lookup": (Q.doc_lookup, Q.doc_lookup_sql),
+    "workflow_steps": (Q.workflow_steps, Q.workflow_steps_sql),
+    "document_workflow": (Q.document_workflow, Q.document_workflow_sql),
+    "timeline_history": (Q.timeline_history, Q.timeline_history_sql),
+    "timeline_history_contains": (Q.timeline_history_contains, Q.timeline_history_contains_sql),
 }
