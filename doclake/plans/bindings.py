@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from doclake.sources.tables import table
 
@@ -294,3 +295,37 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attribute change log rows (document_id, seq, ts, attr, value, set_null)."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
     return ev.selectExpr(*_CHANGE_COLS)
+
+
+# ------------------------------------------------------------------ LINES
+# documents.text split on newlines = the LINE blocks of a one-page OCR
+# response (a PAGE block first); boxes from the line position and length
+IMG_W = IMG_H = 1024
+
+
+def ocr_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from doclake.operators.pages import BLOCK
+    d = table(spark, sf_dir, "documents", "doc_id", "text")
+    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
+
+    def box(i, ln):
+        return F.struct(F.lit(0.0625).alias("Left"), ((i % 64) / F.lit(64.0)).alias("Top"),
+                        (F.least(F.length(ln), F.lit(60)) / F.lit(64.0)).alias("Width"),
+                        F.lit(1 / 64).alias("Height"))
+
+    page = F.struct(F.lit("PAGE").alias("BlockType"), F.lit(None).cast("string").alias("Text"),
+                    F.struct(F.struct(F.lit(0.0).alias("Left"), F.lit(0.0).alias("Top"), F.lit(1.0).alias("Width"),
+                                      F.lit(1.0).alias("Height")).alias("BoundingBox")).alias("Geometry"))
+    line_blocks = F.transform(lines, lambda ln, i: F.struct(
+        F.lit("LINE").alias("BlockType"), ln.alias("Text"), F.struct(box(i, ln).alias("BoundingBox")).alias("Geometry")))
+    blocks = F.concat(F.array(page), line_blocks).cast(T.ArrayType(BLOCK))
+    return d.select("doc_id", F.lit(1).cast("bigint").alias("page_no"), F.lit(IMG_W).alias("img_width"),
+                    F.lit(IMG_H).alias("img_height"), blocks.alias("Blocks"))
+
+
+# 1-based block index i of each line (the PAGE block is index 0)
+LINES_SQL = """
+    SELECT doc_id, i AS line_ord, t AS text FROM (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t,
+             unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS i
+      FROM documents)"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from doclake.plans import queries_changes as C
 from doclake.plans import queries_ingest as G
+from doclake.plans import queries_pages as PG
 from doclake.plans import queries_pii as P
 from doclake.plans import queries_state as Q
 
@@ -36,4 +38,14 @@ QUERIES = {
     "document_workflow": (Q.document_workflow, Q.document_workflow_sql),
     "timeline_history": (Q.timeline_history, Q.timeline_history_sql),
     "timeline_history_contains": (Q.timeline_history_contains, Q.timeline_history_contains_sql),
+    "page_text_lines": (PG.page_text_lines, PG.page_text_lines_sql),
+    "page_text_grouped": (PG.page_text_grouped, PG.page_text_grouped_sql),
+    "page_text_sink": (PG.page_text_sink, PG.page_text_sink_sql),
+    "combined_text": (PG.combined_text, PG.combined_text_sql),
+    "pii_boxes": (PG.pii_boxes, PG.pii_boxes_sql),
+    "masked_text": (PG.masked_text, PG.masked_text_sql),
+    "state_fold": (C.state_fold, C.state_fold_sql),
+    "change_detect": (C.change_detect, C.change_detect_sql),
+    "page_batches": (C.page_batches, C.page_batches_sql),
+    "page_batches_6h": (C.page_batches_6h, C.page_batches_6h_sql),
 }
