@@ -329,3 +329,50 @@ LINES_SQL = """
       SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t,
              unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS i
       FROM documents)"""
+
+
+# ------------------------------------------------------------------ LLM
+# documents -> recorded model responses of the classification pass, by doc_id
+LLM_TYPE_BY_LANG = {"en": "invoice", "fr": "promotion", "de": "credit_card", "es": "insurance"}
+
+
+def _llm_type_sql() -> str:
+    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LLM_TYPE_BY_LANG.items())
+    return f"CASE WHEN source = 'src7' THEN 'letter' ELSE CASE lang {whens} ELSE 'memo' END END"
+
+
+LLM_CONTENT_SQL = f"""CASE WHEN doc_id % 11 = 0 THEN '{{"confidence": 0.7}}'
+        WHEN doc_id % 13 = 0 THEN '42'
+        WHEN doc_id % 17 = 0 THEN '"just a string"'
+        WHEN doc_id % 7 = 0 THEN '{{"document_type": "receipt"}} trailing'
+        WHEN doc_id % 5 = 0 THEN '{{"document_type": "' || {_llm_type_sql()} || '", "confidence": 0.9, "industry": "Banking"}}'
+        WHEN doc_id % 5 = 1 THEN '{{"document_type": null, "confidence": 1.5}}'
+        WHEN doc_id % 5 = 2 THEN '["invoice", "receipt"]'
+        WHEN doc_id % 5 = 3 THEN 'This looks like an invoice.'
+        ELSE NULL END"""
+LLM_STATUS_SQL = ("CASE WHEN doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 7 = 0 "
+                  "OR doc_id % 5 <> 4 THEN 200 ELSE 429 END")
+
+
+def llm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    return d.select(F.col("doc_id").cast("string").alias("document_id"), "doc_id", "text", "lang", "source")
+
+
+def llm_recorded(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
+    """Recorded responses for the classification requests of documents with
+    doc_id % 4 <> 0 (the rest are pending)."""
+    d = llm_documents(spark, sf_dir).selectExpr("document_id", "doc_id", f"{LLM_CONTENT_SQL} AS content",
+                                                f"{LLM_STATUS_SQL} AS http_status")
+    env = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("content").alias("content")).alias("message")))
+                             .alias("choices")))
+    body = F.when(F.col("http_status") == 200, env).otherwise(F.lit("rate limited"))
+    r = requests.select("document_id", "request_id").join(d, "document_id")
+    return (r.where(F.col("doc_id") % 4 != 0)
+            .select("request_id", F.col("http_status").cast("int").alias("http_status"), body.alias("body"))
+            .dropDuplicates(["request_id"]))
+
+
+# ------------------------------------------------------------------ CFG
+PII_FLAG = {"config_key": "pii_processing", "config_type": "feature_flag", "enabled": True,
+            "s3_buckets": ["src1", "src3", "src5"]}

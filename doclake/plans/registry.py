@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from doclake.plans import queries_changes as C
+from doclake.plans import queries_extract as X
 from doclake.plans import queries_ingest as G
 from doclake.plans import queries_pages as PG
 from doclake.plans import queries_pii as P
@@ -48,4 +49,9 @@ QUERIES = {
     "change_detect": (C.change_detect, C.change_detect_sql),
     "page_batches": (C.page_batches, C.page_batches_sql),
     "page_batches_6h": (C.page_batches_6h, C.page_batches_6h_sql),
+    "llm_requests": (X.llm_requests, X.llm_requests_sql),
+    "llm_pending": (X.llm_pending, X.llm_pending_sql),
+    "llm_outcomes": (X.llm_outcomes, X.llm_outcomes_sql),
+    "extraction_check": (X.extraction_check, X.extraction_check_sql),
+    "pii_gate": (X.pii_gate, X.pii_gate_sql),
 }
