@@ -17,7 +17,11 @@ def page_batches(arrivals: DataFrame, gap: str = DEFAULT_GAP, base_col: str = "b
                  time_col: str = "event_time", id_col: str = "object_id") -> DataFrame:
     """One row per batch: base, batch_start (first arrival), batch_end (last
     arrival + gap), n_pages. Works for batch and streaming inputs."""
-    t = F.col(time_col).cast("timestamp")
+    from pyspark.sql import types as T
+    # a zone-less column is read as session-zone time; a timestamp column is
+    # used as is so a watermark defined on it stays attached
+    is_ts = isinstance(arrivals.schema[time_col].dataType, T.TimestampType)
+    t = F.col(time_col) if is_ts else F.col(time_col).cast("timestamp")
     g = arrivals.groupBy(F.col(base_col), F.session_window(t, gap).alias("w")).agg(
         F.count(F.col(id_col)).cast("bigint").alias("n_pages"))
     return g.select(base_col, F.col("w.start").cast("timestamp_ntz").alias("batch_start"),

@@ -91,15 +91,19 @@ EAGER_OUT = "base_name string, pages array<string>, n_pages long, kind string, b
 EAGER_STATE = "pages array<string>, emitted boolean, max_time timestamp"
 
 
-def _eager(gap_ms: int):
+def _eager(gap_ms: int, horizon_ms: int):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         base = key[0]
         if state.hasTimedOut:
             pages, emitted, tmax = state.get
-            state.remove()
-            if not emitted and pages:
-                yield pd.DataFrame({"base_name": [base], "pages": [sorted(pages)], "n_pages": [len(pages)],
-                                    "kind": ["batch"], "batch_end": [tmax]})
+            if emitted or not pages:
+                state.remove()
+                return
+            yield pd.DataFrame({"base_name": [base], "pages": [sorted(pages)], "n_pages": [len(pages)],
+                                "kind": ["batch"], "batch_end": [tmax]})
+            # keep only a marker, so later pages are reported as late pages
+            state.update(([], True, tmax))
+            state.setTimeoutTimestamp(_ms(tmax) + horizon_ms)
             return
         rows = pd.concat(list(batches))
         keys = sorted(set(rows["object_key"]))
@@ -109,8 +113,8 @@ def _eager(gap_ms: int):
             if emitted:  # the document exists: later pages are late pages
                 yield pd.DataFrame({"base_name": [base], "pages": [keys], "n_pages": [len(keys)],
                                     "kind": ["late"], "batch_end": [tmax]})
-                state.update((pages, True, max(old_max, tmax)))
-                state.setTimeoutTimestamp(_ms(max(old_max, tmax)) + gap_ms)
+                state.update(([], True, max(old_max, tmax)))
+                state.setTimeoutTimestamp(_ms(max(old_max, tmax)) + horizon_ms)
                 return
             merged = sorted(set(pages) | set(keys))
             tmax = max(old_max, tmax)
@@ -119,23 +123,26 @@ def _eager(gap_ms: int):
             if len(keys) == 1:  # a single page passes at once
                 yield pd.DataFrame({"base_name": [base], "pages": [keys], "n_pages": [1],
                                     "kind": ["single"], "batch_end": [tmax]})
-                state.update((keys, True, tmax))
-                state.setTimeoutTimestamp(_ms(tmax) + gap_ms)
+                state.update(([], True, tmax))
+                state.setTimeoutTimestamp(_ms(tmax) + horizon_ms)
                 return
         state.update((merged, False, tmax))
         state.setTimeoutTimestamp(_ms(tmax) + gap_ms)
     return fn
 
 
-def eager_batches(arrivals: DataFrame, gap_ms: int = 3000, watermark: str = "0 seconds") -> DataFrame:
+def eager_batches(arrivals: DataFrame, gap_ms: int = 3000, watermark: str = "10 seconds",
+                  horizon_ms: int = 3_600_000) -> DataFrame:
     """Reference-style batching: a base name seen alone is processed at once;
     several pages wait until ``gap_ms`` passes without a new page (event-time
     timeout); pages arriving after a document was emitted come out as 'late'.
-    State per base name is dropped by the timeout."""
+    An emitted base keeps a marker for ``horizon_ms``; after that its state is
+    dropped and later pages are caught by ``split_late_pages`` against the
+    document table."""
     parsed = I.accepted_pages(I.parse_keys(arrivals)).select(
         "base_name", "object_key", F.col("event_time").cast("timestamp").alias("event_time"))
     return (parsed.withWatermark("event_time", watermark).groupBy("base_name")
-            .applyInPandasWithState(_eager(gap_ms), EAGER_OUT, EAGER_STATE, "append",
+            .applyInPandasWithState(_eager(gap_ms, horizon_ms), EAGER_OUT, EAGER_STATE, "append",
                                     GroupStateTimeout.EventTimeTimeout))
 
 
