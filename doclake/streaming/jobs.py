@@ -161,26 +161,28 @@ def _gate(timeout_ms: int):
         done, expected, emitted = state.get if state.exists else ([], 0, False)
         done = sorted(set(done) | set(int(x) for x in rows["page_ordinal"]))
         expected = int(max(expected, rows["n_pages"].max()))
+        tmax = rows["ts"].max()
         if not emitted and len(done) >= expected:
             emitted = True
-            yield pd.DataFrame({"document_id": [key[0]], "n_pages": [expected],
-                                "completed_at": [rows["ts"].max()]})
-        state.update((done, expected, emitted))
-        state.setTimeoutDuration(timeout_ms)
+            yield pd.DataFrame({"document_id": [key[0]], "n_pages": [expected], "completed_at": [tmax]})
+        # once emitted only the marker is kept (a repeated page must not re-emit)
+        state.update(([] if emitted else done, expected, emitted))
+        state.setTimeoutTimestamp(_ms(tmax) + timeout_ms)
     return fn
 
 
-def completion_gate(page_texts: DataFrame, timeout_ms: int = 3_600_000) -> DataFrame:
+def completion_gate(page_texts: DataFrame, timeout_ms: int = 3_600_000, watermark: str = "10 minutes") -> DataFrame:
     """Emit each document once when text rows exist for all its pages.
 
     Input: (document_id, page_ordinal, n_pages, ts) per finished page text.
     Gating on text rows (not on job status) means a document never moves on
-    with a page missing. State: the done ordinals of one document, dropped
-    after ``timeout_ms`` without new rows.
+    with a page missing. State: the done ordinals of one open document; it is
+    dropped ``timeout_ms`` of event time after the document's last page text.
     """
-    return (page_texts.groupBy("document_id")
+    src = page_texts.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    return (src.groupBy("document_id")
             .applyInPandasWithState(_gate(timeout_ms), GATE_OUT, GATE_STATE, "append",
-                                    GroupStateTimeout.ProcessingTimeTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))
 
 
 # ------------------------------------------------------------ state fold

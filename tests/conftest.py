@@ -12,6 +12,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from doclake.session import get_session
-    s = get_session(master="local[4]", shuffle_partitions=4)
+    s = get_session(master="local[4]", shuffle_partitions=2)
     yield s
     s.stop()
