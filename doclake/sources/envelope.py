@@ -63,8 +63,12 @@ def decode_storage_events(messages: DataFrame, id_cols: list[str], body_col: str
     ``prefix`` keeps only keys under it.
     """
     body = F.col(body_col)
-    valid = F.try_parse_json(body).isNotNull()
-    ev = F.when(valid, F.from_json(body, STORAGE_EVENT))
+    # strict: exactly one JSON value, no trailing text (the one-element array
+    # and the object wrapper each reject a different kind of trailing text);
+    # the records are read from the already parsed value
+    as_list = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    valid = as_list.isNotNull() & F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull()
+    ev = F.when(valid, F.try_variant_get(as_list, "$[0]", STORAGE_EVENT.simpleString()))
     base = messages.select(*id_cols, body, valid.alias("_valid"), ev.alias("_ev"),
                            *([F.col(source_col).alias("_src")] if source_col else []))
     reason = (F.when(~F.col("_valid"), F.lit("malformed_json"))
