@@ -60,14 +60,24 @@ def siblings(listing: DataFrame, triggers: DataFrame, base_col: str = "base_name
     return listing.join(triggers.select(base_col).distinct(), base_col, "left_semi")
 
 
+def distinct_pages(pages: DataFrame, bucket_col: str = "bucket") -> DataFrame:
+    """One row per distinct page object with its document id (no ordering)."""
+    return (pages.select(bucket_col, "base_name", "object_key", "page_no").distinct()
+            .withColumn("document_id", K.document_id_for(F.col(bucket_col), F.col("base_name"))))
+
+
+def with_lexical_ordinal(page_tbl: DataFrame, out: str = "lexical_ordinal") -> DataFrame:
+    w = Window.partitionBy("document_id").orderBy("object_key")
+    return page_tbl.withColumn(out, F.row_number().over(w).cast("bigint"))
+
+
 def page_table(pages: DataFrame, bucket_col: str = "bucket", order: str = "numeric") -> DataFrame:
     """One row per distinct page object with its document id and ordinal.
 
     ``order='numeric'`` sorts by the page number in the name (then the key);
     ``'lexical'`` sorts by key text, as a plain string sort does.
     """
-    base = (pages.select(bucket_col, "base_name", "object_key", "page_no").distinct()
-            .withColumn("document_id", K.document_id_for(F.col(bucket_col), F.col("base_name"))))
+    base = distinct_pages(pages, bucket_col)
     if order == "numeric":
         return bucketed_row_number(base, ["document_id"], F.col("page_no"), [F.col("object_key")],
                                    "page_ordinal")
@@ -115,6 +125,24 @@ def file_moves(page_tbl: DataFrame) -> DataFrame:
                            K.complete_key(F.col("object_key"), F.col("document_id")).alias("new_key"))
 
 
+def folder_counts_after_run(parsed: DataFrame, accepted_flag: str = "accepted") -> DataFrame:
+    """Objects per top folder after a run, from the parsed manifest in one pass:
+    accepted pages move to complete/ and get a page text in staging/, each new
+    document one result in results/, archives go to archive/, the rest stays
+    in incoming/."""
+    acc = F.col(accepted_flag)
+    arch = F.coalesce(F.col("route") == "archive", F.lit(False))
+    doc = F.when(acc, F.concat_ws("|", F.col("bucket"), F.col("base_name")))
+    c = parsed.agg(
+        F.count_distinct(F.when(acc, F.col("object_key"))).alias("complete"),
+        F.count_distinct(doc).alias("results"),
+        F.count_if(arch & ~acc).alias("archive"),
+        F.count_if(~arch & ~acc).alias("incoming"))
+    return c.select(F.expr("stack(5, 'complete', complete, 'staging', complete, 'results', results, "
+                           "'archive', archive, 'incoming', incoming) AS (folder, n_objects)")) \
+            .where(F.col("n_objects") > 0)
+
+
 def folder_counts(keys: DataFrame, key_col: str = "object_key") -> DataFrame:
     """Objects per top-level folder."""
     return (keys.groupBy(K.top_folder(F.col(key_col)).alias("folder"))

@@ -18,18 +18,24 @@ from pyspark.sql import Window
 def bucketed_row_number(df: DataFrame, keys: list[str], order_num: Column,
                         tiebreak: list[Column], out: str, bucket_width: int = 4096) -> DataFrame:
     """Add ``out`` = 1-based position of each row within ``keys`` ordered by
-    (order_num nulls last, *tiebreak)."""
+    (order_num nulls last, *tiebreak).
+
+    One exchange of the rows on (keys, bucket) serves both the local numbering
+    and the bucket sizes; only one (keys, bucket, size) row per bucket takes
+    part in the per-key running sum, which is joined back on (keys, bucket).
+    """
     nulls_last = F.coalesce(order_num, F.lit((1 << 62)))
     b = F.floor(nulls_last / F.lit(bucket_width)).cast("bigint")
     tagged = df.withColumn("_bucket", b).withColumn("_onum", nulls_last)
-    counts = tagged.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
+    wb = Window.partitionBy(*keys, "_bucket")
+    local = (tagged.withColumn("_local", F.row_number().over(wb.orderBy("_onum", *tiebreak)))
+                   .withColumn("_n", F.count(F.lit(1)).over(wb)))
+    sizes = local.where(F.col("_local") == 1).select(*keys, "_bucket", "_n")
+    offsets = sizes.withColumn(
         "_off", F.coalesce(F.sum("_n").over(
             Window.partitionBy(*keys).orderBy("_bucket")
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    local = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_onum", *tiebreak))
-    return (tagged.withColumn("_local", local)
-            .join(offsets, [*keys, "_bucket"], "inner")
+    return (local.drop("_n").join(offsets, [*keys, "_bucket"], "inner")
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop("_bucket", "_onum", "_local", "_off"))
 

@@ -78,10 +78,8 @@ def ingest_documents_sql() -> str:
 
 def ingest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page table with numeric page order (E1, F1) and the lexical order for comparison."""
-    acc = _accepted(spark, sf_dir)
-    num = I.page_table(acc, order="numeric")
-    lex = I.page_table(acc, order="lexical").select("object_key", F.col("page_ordinal").alias("lexical_ordinal"))
-    return num.join(lex, "object_key").select("document_id", "object_key", "page_no", "page_ordinal",
+    num = I.page_table(_accepted(spark, sf_dir), order="numeric")
+    return I.with_lexical_ordinal(num).select("document_id", "object_key", "page_no", "page_ordinal",
                                               "lexical_ordinal")
 
 
@@ -134,7 +132,7 @@ def envelope_decode_sql() -> str:
 
 def file_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(old_key, new_key) moves of every ingested page to complete/."""
-    return I.file_moves(I.page_table(_accepted(spark, sf_dir))).select("document_id", "old_key", "new_key")
+    return I.file_moves(I.distinct_pages(_accepted(spark, sf_dir))).select("document_id", "old_key", "new_key")
 
 
 def file_moves_sql() -> str:
@@ -145,21 +143,16 @@ def file_moves_sql() -> str:
 
 
 def folder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objects per top folder after a run (D14): ingested pages moved to complete/,
-    their page texts in staging/, one result per document in results/,
-    archives in archive/, everything else still in incoming/."""
+    """Objects per top folder after a run (D14, B21), one pass over the manifest:
+    ingested pages moved to complete/, their page texts in staging/, one result
+    per document in results/, archives in archive/, everything else still in incoming/."""
     parsed = _parsed(spark, sf_dir)
-    acc = _accepted(spark, sf_dir)
-    pages = I.page_table(acc)
-    moved = I.file_moves(pages).select(F.col("new_key").alias("object_key"))
-    staged = pages.select(K.text_page_key(F.col("document_id"), F.col("page_ordinal")).alias("object_key"))
-    results = pages.select("document_id").distinct().select(K.result_key(F.col("document_id")).alias("object_key"))
-    archived = (parsed.where(F.col("route") == "archive")
-                .select(K.archive_key(F.col("file_name")).alias("object_key")))
-    left = (parsed.join(acc.select("object_key"), "object_key", "left_anti")
-            .where(~F.coalesce(F.col("route") == "archive", F.lit(False))).select("object_key"))
-    allkeys = moved.unionByName(staged).unionByName(results).unionByName(archived).unionByName(left)
-    return I.folder_counts(allkeys).select("folder", F.col("n_objects").cast("bigint").alias("n_objects"))
+    existing = B.existing_documents(spark, sf_dir).select(
+        F.col("original_filename").alias("base_name"), F.lit(True).alias("_exists")).distinct()
+    flagged = parsed.join(existing, "base_name", "left").withColumn(
+        "accepted", F.coalesce((F.col("route") == "document") & F.col("mime_ok") & F.col("_exists").isNull(),
+                               F.lit(False)))
+    return I.folder_counts_after_run(flagged).select("folder", F.col("n_objects").cast("bigint").alias("n_objects"))
 
 
 def folder_counts_sql() -> str:

@@ -64,12 +64,11 @@ def decode_storage_events(messages: DataFrame, id_cols: list[str], body_col: str
     """
     body = F.col(body_col)
     # strict: exactly one JSON value, no trailing text (the one-element array
-    # and the object wrapper each reject a different kind of trailing text);
-    # the records are read from the already parsed value
-    as_list = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
-    valid = as_list.isNotNull() & F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull()
-    ev = F.when(valid, F.try_variant_get(as_list, "$[0]", STORAGE_EVENT.simpleString()))
-    base = messages.select(*id_cols, body, valid.alias("_valid"), ev.alias("_ev"),
+    # and the object wrapper each reject a different kind of trailing text)
+    valid = (F.coalesce(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, F.lit(False))
+             & F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull())
+    ev = F.when(valid, F.from_json(body, STORAGE_EVENT))
+    base = messages.select(*id_cols, valid.alias("_valid"), ev.alias("_ev"),
                            *([F.col(source_col).alias("_src")] if source_col else []))
     reason = (F.when(~F.col("_valid"), F.lit("malformed_json"))
                .when(F.col("_ev.Event") == TEST_EVENT, F.lit("test_event"))
@@ -77,22 +76,23 @@ def decode_storage_events(messages: DataFrame, id_cols: list[str], body_col: str
     if require_sources and source_col:
         reason = F.when(~F.coalesce(F.col("_src") == QUEUE_SOURCE, F.lit(False)),
                         F.lit("not_a_queue_record")).otherwise(reason)
-    tagged = base.withColumn("_reason", reason)
-    bad = tagged.where(F.col("_reason").isNotNull()).select(
-        *id_cols, F.lit(None).cast("int").alias("record_idx"), F.lit(None).cast("string").alias("bucket"),
-        F.lit(None).cast("string").alias("object_key"), F.lit(None).cast("string").alias("event_time"),
-        F.col("_reason").alias("error_reason"))
-    good = (tagged.where(F.col("_reason").isNull())
-            .select(*id_cols, F.posexplode("_ev.Records").alias("record_idx", "rec")))
-    if require_sources:
-        good = good.where(F.col("rec.eventSource") == STORAGE_SOURCE)
-    good = good.select(*id_cols, "record_idx", F.col("rec.s3.bucket.name").alias("bucket"),
-                       K.decode_key(F.col("rec.s3.object.key")).alias("object_key"),
-                       F.col("rec.eventTime").alias("event_time"),
-                       F.lit(None).cast("string").alias("error_reason"))
+    row_ddl = "struct<record_idx:int,bucket:string,object_key:string,event_time:string,error_reason:string>"
+    bad = F.array(F.struct(F.lit(None).cast("int"), F.lit(None).cast("string"), F.lit(None).cast("string"),
+                           F.lit(None).cast("string"), reason).cast(row_ddl))
+    recs = F.transform("_ev.Records", lambda r, i: F.struct(
+        i.alias("record_idx"), r["s3"]["bucket"]["name"].alias("bucket"),
+        K.decode_key(r["s3"]["object"]["key"]).alias("object_key"), r["eventTime"].alias("event_time"),
+        F.lit(None).cast("string").alias("error_reason"), r["eventSource"].alias("src")))
+    keep = (lambda x: F.coalesce(x["src"] == STORAGE_SOURCE, F.lit(False))) if require_sources else None
+    if keep is not None:
+        recs = F.filter(recs, keep)
     if prefix:
-        good = good.where(F.col("object_key").startswith(prefix))
-    return good.unionByName(bad)
+        recs = F.filter(recs, lambda x: F.coalesce(x["object_key"].startswith(prefix), F.lit(False)))
+    good = F.transform(recs, lambda x: F.struct(x["record_idx"], x["bucket"], x["object_key"], x["event_time"],
+                                                 x["error_reason"]).cast(row_ddl))
+    # one pass: each message becomes its output rows, exploded once
+    out = base.select(*id_cols, F.explode(F.when(reason.isNotNull(), bad).otherwise(good)).alias("o"))
+    return out.select(*id_cols, "o.*")
 
 
 def quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
