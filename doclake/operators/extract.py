@@ -65,7 +65,7 @@ BUNDLED_SCHEMAS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "reso
 def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """Schema files of a folder as (schema_name, schema_json); unparsable files
     are dropped. The name is the file name with '.json' removed."""
-    raw = (spark.read.option("wholetext", True).text(folder)
+    raw = (spark.read.text(folder, wholetext=True)
            .select(F.col("value").alias("schema_json"), F.col("_metadata.file_name").alias("file_name")))
     return (raw.where(F.col("file_name").endswith(".json") & F.try_parse_json("schema_json").isNotNull())
             .select(F.replace(F.col("file_name"), F.lit(".json"), F.lit("")).alias("schema_name"), "schema_json"))

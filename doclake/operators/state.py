@@ -132,3 +132,14 @@ def change_flags(polls: DataFrame, value_col: str, key: str = "document_id",
     lagged = bucketed_lag(polls, [key], F.col(time_col), F.col(seq_col), value_col, "_prev")
     return lagged.withColumn("changed", ~F.col(value_col).eqNullSafe(F.col("_prev"))
                              | F.col("_first")).drop("_prev", "_first")
+
+
+def by_filename_prefix(docs: DataFrame, prefix: str, col: str = "original_filename") -> DataFrame:
+    """Documents whose file name starts with ``prefix`` (a range-friendly filter
+    the scan can prune with row-group statistics)."""
+    return docs.where(F.col(col).startswith(prefix))
+
+
+def append_if_absent(arr, value):
+    """List append that keeps a single copy (re-running a page is idempotent)."""
+    return F.array_union(F.coalesce(arr, F.array().cast("array<string>")), F.array(value))

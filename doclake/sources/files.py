@@ -12,8 +12,8 @@ from doclake.operators.pages import OCR_RESPONSE
 
 def read_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
     """Whole text objects as (text_key, text): one row per file."""
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob).text(folder))
+    df = (spark.read.option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", glob).text(folder, wholetext=True))
     return df.select(F.col("_metadata.file_path").alias("text_key"), F.col("value").alias("text"))
 
 
