@@ -183,27 +183,42 @@ def timeline_text(docs: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------- execution history
 
-def workflow_steps(history: DataFrame, exec_col: str = "execution_id") -> DataFrame:
+def workflow_steps(history: DataFrame, exec_col: str = "execution_id",
+                   bucket_seconds: int = 3600) -> DataFrame:
     """Each state entry with the first later terminal event of the same
     execution (any state, strictly later time, ties by event id): status
     completed / failed / in_progress and the step duration.
 
-    The frame is the reversed-order running minimum, so each row reads a
-    growing frame incrementally (linear, no self-join of entries and events).
+    Balanced for a hot execution: the running minimum over later events runs
+    per (execution, time bucket) in reversed time order (a growing frame,
+    linear); an entry with no terminal later in its own bucket takes the
+    earliest terminal of the execution's later buckets, found over one
+    summary row per bucket.
     """
     term = F.col("type").isin(SUCCEEDED, FAILED)
     t_us = F.unix_micros(F.col("ts").cast("timestamp"))
-    w = (Window.partitionBy(exec_col).orderBy((-t_us).alias("_neg"))
+    ev = (history.select(exec_col, "event_id", "ts", "type", "state")
+          .withColumn("_t", t_us)
+          .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")))
+    tstruct = F.struct(F.col("_t").alias("t"), F.col("event_id").alias("id"), F.col("type").alias("type"))
+    w = (Window.partitionBy(exec_col, "_b").orderBy(F.col("_t").desc())
          .rangeBetween(Window.unboundedPreceding, -1))
-    nxt = F.min(F.when(term, F.struct(t_us.alias("t"), F.col("event_id").alias("id"),
-                                      F.col("type").alias("type")))).over(w)
-    marked = history.withColumn("_next", nxt).where(F.col("type") == ENTERED)
+    local = (ev.withColumn("_in", F.min(F.when(term, tstruct)).over(w))
+               .where(F.col("type") == ENTERED))
+    per_bucket = ev.where(term).groupBy(exec_col, "_b").agg(F.min(tstruct).alias("_m"))
+    entry_buckets = local.select(exec_col, "_b").distinct()
+    buckets = entry_buckets.join(per_bucket, [exec_col, "_b"], "full")
+    wb = (Window.partitionBy(exec_col).orderBy(F.col("_b").desc())
+          .rowsBetween(Window.unboundedPreceding, -1))
+    later = buckets.withColumn("_later", F.min("_m").over(wb)).select(exec_col, "_b", "_later")
+    marked = (local.join(later, [exec_col, "_b"], "left")
+              .withColumn("_next", F.coalesce(F.col("_in"), F.col("_later"))))
     return marked.select(
         exec_col, "event_id", F.col("state").alias("state"), "ts",
         F.when(F.col("_next").isNull(), F.lit("in_progress"))
          .when(F.col("_next.type") == SUCCEEDED, F.lit("completed")).otherwise(F.lit("failed")).alias("status"),
         F.col("_next.id").alias("terminal_event_id"),
-        ((F.col("_next.t") - t_us) / F.lit(1e6)).alias("duration_s"))
+        ((F.col("_next.t") - F.col("_t")) / F.lit(1e6)).alias("duration_s"))
 
 
 def document_workflow(docs: DataFrame, steps: DataFrame, exec_col: str = "execution_id") -> DataFrame:
