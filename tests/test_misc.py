@@ -1,4 +1,5 @@
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def test_stream_dedupe_late_split_and_pii_branch(spark, tmp_path):
     s = J.object_arrivals(spark, str(folder))
     from doclake.session import checkpoint_path
     q = (J.dedupe_bases(s).writeStream.format("memory").queryName("dd").outputMode("append")
-         .option("checkpointLocation", checkpoint_path(spark, "test-dd")).trigger(availableNow=True).start())
+         .option("checkpointLocation", checkpoint_path(spark, f"test-dd-{uuid.uuid4().hex}")).trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert sorted(r.base_name for r in spark.table("dd").collect()) == ["x", "y"]
     batch = spark.createDataFrame([("x", "k1"), ("z", "k2")], "base_name string, object_key string")

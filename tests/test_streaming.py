@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def _write_stream_files(folder, rows):
 def _run(df, name, mode="append"):
     spark = df.sparkSession
     q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint_path(spark, f"test-{name}-{os.getpid()}"))
+         .option("checkpointLocation", checkpoint_path(spark, f"test-{name}-{uuid.uuid4().hex}"))
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
     return spark.table(name)
