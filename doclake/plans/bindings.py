@@ -368,9 +368,13 @@ def llm_recorded(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataF
                              .alias("choices")))
     body = F.when(F.col("http_status") == 200, env).otherwise(F.lit("rate limited"))
     r = requests.select("document_id", "request_id").join(d, "document_id")
-    return (r.where(F.col("doc_id") % 4 != 0)
-            .select("request_id", F.col("http_status").cast("int").alias("http_status"), body.alias("body"))
-            .dropDuplicates(["request_id"]))
+    # documents with identical text share a request: the recorded response is
+    # the one of the smallest doc_id (explicit, not whichever row comes first)
+    rec = (r.where(F.col("doc_id") % 4 != 0)
+           .select("request_id", "doc_id", F.col("http_status").cast("int").alias("http_status"), body.alias("body")))
+    return (rec.groupBy("request_id")
+            .agg(F.min_by(F.struct("http_status", "body"), F.col("doc_id")).alias("r"))
+            .select("request_id", "r.http_status", "r.body"))
 
 
 # ------------------------------------------------------------------ CFG
