@@ -55,7 +55,7 @@ def page_number(key: Column) -> Column:
     """Page number written in the file name, null when the name has none."""
     b = basename(key)
     num = F.regexp_extract(b, "(?U)" + PAGE_NAME_PATTERN, 2)
-    return F.when(num != "", num.cast("bigint"))
+    return F.when(num != "", num.try_cast("bigint"))
 
 
 def content_type_for(ext: Column) -> Column:

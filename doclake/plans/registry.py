@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from doclake.plans import queries_changes as C
 from doclake.plans import queries_extract as X
 from doclake.plans import queries_ingest as G
@@ -55,3 +57,16 @@ QUERIES = {
     "extraction_check": (X.extraction_check, X.extraction_check_sql),
     "pii_gate": (X.pii_gate, X.pii_gate_sql),
 }
+
+
+def _utc(fn):
+    """Zone-less timestamps are read as UTC throughout (durations, epochs and
+    time buckets must not depend on the caller's session zone)."""
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    return run
+
+
+QUERIES = {name: (_utc(q[0]), q[1]) for name, q in QUERIES.items()}
