@@ -110,4 +110,31 @@ def ocr_rollup_from_map(jobs: Column) -> Column:
         F.forall(vals, lambda v: v.isin(*OCR_DONE)).alias("all_complete"),
         F.size(F.filter(vals, lambda v: v == OCR_SYNC)).alias("n_sync"),
         F.size(F.filter(vals, lambda v: v.isin(*OCR_ASYNC))).alias("n_async"),
-        F.element_at(vals, 1).alias("first_status"))
+        F.try_element_at(vals, F.lit(1)).alias("first_status"))
+
+
+# ---------------------------------------------------------------------------
+# Messages of the required-input guards, by stage.
+INPUT_GUARD_MESSAGES = {
+    "ocr": "No pages provided for OCR processing",
+    "aggregate": "No OCR text keys provided for aggregation",
+    "llm": "No combined text key provided for LLM processing",
+    "pii": "No OCR text keys provided for PII processing",
+}
+# ---------------------------------------------------------------------------
+
+
+def input_guard(stage: str, missing: Column) -> Column:
+    """The stage's error message when its required input is missing, else null."""
+    return F.when(missing, F.lit(INPUT_GUARD_MESSAGES[stage]))
+
+
+def pages_complete_in_map(pages: Column, jobs: Column) -> Column:
+    """Map form of the completion gate: every listed page has a finished job."""
+    return F.forall(pages, lambda p: F.coalesce(
+        F.map_contains_key(jobs, p) & F.try_element_at(jobs, p).isin(*OCR_DONE), F.lit(False)))
+
+
+def map_job_entries(jobs: Column) -> Column:
+    """(page, status) pairs of a job map, for exploding into the job table."""
+    return F.map_entries(jobs)

@@ -207,7 +207,7 @@ def decode_responses(responses: DataFrame) -> DataFrame:
     status: success false with the error text.
     """
     env = F.from_json(F.col("body"), _ENVELOPE)
-    content = F.element_at(env["choices"], 1)["message"]["content"]
+    content = F.try_element_at(env["choices"], F.lit(1))["message"]["content"]
     ok = F.col("http_status") == 200
     out = responses.withColumn("content", F.when(ok, content))
     is_json = strict_json(F.col("content"))
@@ -215,14 +215,17 @@ def decode_responses(responses: DataFrame) -> DataFrame:
     has_key = F.when(kind == "OBJECT", F.array_contains(F.json_object_keys(F.col("content")), "document_type"))
     dtype = (F.when(kind == "OBJECT", F.when(has_key, F.get_json_object(F.col("content"), "$.document_type"))
                     .otherwise(F.lit(UNKNOWN_TYPE)))
-              .when(ok & ~F.coalesce(is_json, F.lit(False)), F.lit(UNKNOWN_TYPE)))
-    return (out.withColumn("success", ok)
+              .when(ok & F.col("content").isNotNull() & ~F.coalesce(is_json, F.lit(False)), F.lit(UNKNOWN_TYPE)))
+    # a 200 whose body has no first choice is a failed call, like any request error
+    no_choice = ok & F.col("content").isNull()
+    return (out.withColumn("success", ok & ~no_choice)
                .withColumn("json_kind", kind)
                .withColumn("document_type", dtype)
                .withColumn("read_error", F.when(ok & is_json & (kind != "OBJECT"), F.format_string(
                    "'%s' object has no attribute 'get'", _py_type_name(kind))))
                .withColumn("error", F.when(~ok, F.format_string("HTTP error: %d - %s", F.col("http_status"),
-                                                                 F.coalesce(F.col("body"), F.lit(""))))))
+                                                                 F.coalesce(F.col("body"), F.lit(""))))
+                                     .when(no_choice, F.lit("Request error: no message content in the response"))))
 
 
 def classification_outcome(decoded: DataFrame, catalog_names: list[str]) -> DataFrame:

@@ -461,3 +461,45 @@ def timeline_history_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timeline_history_contains_sql() -> str:
     return _timeline_history_sql("contains(lower(t.step), lower(h.state))")
+
+
+def input_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required-input guard errors per document and stage (B15): no pages for OCR,
+    no finished page texts for aggregation, no combined key for the LLM stage."""
+    from doclake.sources.tables import table
+    d = B.state_documents(spark, sf_dir)
+    pages = (table(spark, sf_dir, "lineitem", "l_orderkey").groupBy("l_orderkey")
+             .agg(F.count(F.lit(1)).alias("n_pages"))
+             .select(F.col("l_orderkey").cast("string").alias("document_id"), "n_pages"))
+    done = (B.state_jobs(spark, sf_dir).where(F.col("job_status").isin(*S.OCR_DONE))
+            .groupBy("document_id").agg(F.count(F.lit(1)).alias("n_texts")))
+    j = d.join(pages, "document_id", "left").join(done, "document_id", "left")
+    st = F.col("status")
+    guards = F.array(
+        F.struct(F.lit("ocr").alias("stage"),
+                 S.input_guard("ocr", F.coalesce(F.col("n_pages"), F.lit(0)) == 0).alias("error")),
+        F.struct(F.lit("aggregate").alias("stage"),
+                 S.input_guard("aggregate", st.isin("AGGREGATING", "LLM_RUNNING", "COMPLETE")
+                               & (F.coalesce(F.col("n_texts"), F.lit(0)) == 0)).alias("error")),
+        F.struct(F.lit("llm").alias("stage"),
+                 S.input_guard("llm", st.isin("LLM_RUNNING", "COMPLETE") & ~S.truthy(F.col("combined_key")))
+                 .alias("error")))
+    return (j.select("document_id", F.explode(guards).alias("g"))
+            .where(F.col("g.error").isNotNull()).select("document_id", "g.stage", "g.error"))
+
+
+def input_guards_sql() -> str:
+    m = S.INPUT_GUARD_MESSAGES
+    return f"""
+    WITH d AS ({B.STATE_DOCS_SQL}),
+    p AS (SELECT CAST(l_orderkey AS VARCHAR) AS document_id, count(*) AS n_pages FROM lineitem GROUP BY 1),
+    t AS (SELECT document_id, count(*) AS n_texts FROM ({B.JOBS_SQL})
+          WHERE job_status IN ('SYNC_COMPLETE', 'ASYNC_COMPLETE') GROUP BY 1),
+    j AS (SELECT d.document_id, d.status, d.combined_key, coalesce(p.n_pages, 0) AS n_pages,
+                 coalesce(t.n_texts, 0) AS n_texts
+          FROM d LEFT JOIN p USING (document_id) LEFT JOIN t USING (document_id))
+    SELECT document_id, 'ocr' AS stage, '{m["ocr"]}' AS error FROM j WHERE n_pages = 0
+    UNION ALL SELECT document_id, 'aggregate', '{m["aggregate"]}' FROM j
+      WHERE status IN ('AGGREGATING', 'LLM_RUNNING', 'COMPLETE') AND n_texts = 0
+    UNION ALL SELECT document_id, 'llm', '{m["llm"]}' FROM j
+      WHERE status IN ('LLM_RUNNING', 'COMPLETE') AND NOT {_truthy('combined_key')}"""

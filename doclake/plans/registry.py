@@ -37,6 +37,7 @@ QUERIES = {
     "retention": (Q.retention, Q.retention_sql),
     "error_categories": (Q.error_categories, Q.error_categories_sql),
     "doc_lookup": (Q.doc_lookup, Q.doc_lookup_sql),
+    "input_guards": (Q.input_guards, Q.input_guards_sql),
     "workflow_steps": (Q.workflow_steps, Q.workflow_steps_sql),
     "document_workflow": (Q.document_workflow, Q.document_workflow_sql),
     "timeline_history": (Q.timeline_history, Q.timeline_history_sql),

@@ -266,6 +266,7 @@ def write_batches(outputs: dict[str, Callable[[DataFrame], DataFrame]], base: st
     A failing side output is recorded and does not fail the main output.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = with_batch_metrics(batch, f"batch_{batch_id}")
         batch.persist()
         try:
             for name, make in outputs.items():
@@ -282,6 +283,15 @@ def write_batches(outputs: dict[str, Callable[[DataFrame], DataFrame]], base: st
     return run
 
 
+def with_batch_metrics(df: DataFrame, name: str) -> DataFrame:
+    """Row and quarantine counts of a (micro-)batch as observed metrics: they
+    are computed by the job that consumes ``df``, not by an extra pass."""
+    cols = [F.count(F.lit(1)).alias("rows")]
+    if "error_reason" in df.columns:
+        cols.append(F.count("error_reason").alias("quarantined"))
+    return df.observe(name, *cols)
+
+
 def quarantine_outputs(good: Callable[[DataFrame], DataFrame]) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """Outputs for rows with an ``error_reason``: good rows to main, the rest to quarantine."""
     return {"main": lambda b: good(b.where(F.col("error_reason").isNull())),

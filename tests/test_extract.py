@@ -37,6 +37,10 @@ def test_decode_three_way_and_routing(spark):
     assert out["6"].status == "FAILED" and out["6"].last_error.startswith("OpenAI API call failed: HTTP error: 429")
     assert out["7"].schema_name == "insurance"
     assert out["8"].schema_name is None and out["8"].schema_passes == ["classification"]
+    empty = X.decode_responses(spark.createDataFrame([("x", "rx", 200, '{"choices": []}')],
+                                                     "document_id string, request_id string, http_status int, body string"))
+    e = X.classification_outcome(empty, ["classification"]).first()
+    assert e.status == "FAILED" and e.last_error.startswith("OpenAI API call failed: Request error")
     none = {r.document_id: r for r in X.classification_outcome(dec, ["invoice"]).collect()}
     assert none["0"].status == "FAILED"
 

@@ -121,3 +121,22 @@ def test_list_paging(spark):
                docs.orderBy("original_filename", "document_id").collect()]
     assert [(r.original_filename, r.document_id) for r in p1.collect()] == allrows[:10]
     assert [(r.original_filename, r.document_id) for r in p2.collect()] == allrows[10:20]
+
+
+def test_map_forms(spark):
+    df = spark.createDataFrame([
+        ("a", ["p1", "p2"], {"p1": "SYNC_COMPLETE", "p2": "job-9"}),
+        ("b", ["p1"], {"p1": "ASYNC_COMPLETE"}),
+        ("c", ["p1", "p2"], {"p1": "ASYNC_COMPLETE"}),
+        ("d", ["p1"], {}),
+        ("e", ["p1"], {"p1": "FAILED"}),
+    ], "document_id string, pages array<string>, jobs map<string,string>")
+    rows = {r.document_id: r for r in df.select(
+        "document_id", S.ocr_rollup_from_map(F.col("jobs")).alias("r"),
+        S.pages_complete_in_map(F.col("pages"), F.col("jobs")).alias("gate"),
+        F.size(S.map_job_entries(F.col("jobs"))).alias("n")).collect()}
+    assert rows["a"].r.all_complete is False and rows["a"].r.n_sync == 1 and rows["a"].gate is False
+    assert rows["b"].gate is True and rows["b"].r.n_async == 1
+    assert rows["c"].gate is False                      # a page without a job entry
+    assert rows["d"].r.all_complete is True and rows["d"].n == 0   # every() on an empty map is true
+    assert rows["e"].r.has_failures is True
