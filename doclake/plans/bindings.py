@@ -54,13 +54,13 @@ def object_key_col() -> F.Column:
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored objects; the uploader sets the content type from the suffix."""
     from doclake.functions import keys as K
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
                "l_returnflag", "l_linestatus", "l_shipdate")
-    key = object_key_col()
-    ext = K.extension(K.basename(key))
-    ctype = F.when(F.lower(ext).isin(".tif", ".tiff"), F.lit("image/tiff")).otherwise(K.content_type_for(ext))
-    return li.select(key.alias("object_key"), ctype.alias("content_type"),
+    suffix = _suffix()
+    ctype = F.when(F.lower(suffix).isin(".tif", ".tiff"), F.lit("image/tiff")).otherwise(K.content_type_for(suffix))
+    return li.select(object_key_col().alias("object_key"), ctype.alias("content_type"),
                      F.col("l_shipdate").alias("event_time"), F.lit(BUCKET).alias("bucket"),
                      "l_orderkey", "l_linenumber")
 
