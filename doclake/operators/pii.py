@@ -210,3 +210,33 @@ def mask_spans(texts: DataFrame, detections: DataFrame, keys: list[str],
     return (texts.join(spans, keys, "left")
             .select(*keys, masked.alias("masked_text"),
                     F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans")))
+
+
+def boxes_in_page(df: DataFrame, lines_col: str = "lines", det_col: str = "detections",
+                  out: str = "boxes") -> DataFrame:
+    """Box mapping inside each page row, when the page's LINE blocks and its
+    detections sit in the same row (one OCR response): narrow, no join, no
+    shuffle. Same rule as ``map_to_boxes``: a line equal to the detected text
+    (the last such line's box), else the first line containing it
+    case-insensitively (the box of that text's last line); otherwise dropped.
+
+    ``lines_col`` is ``array<struct<text, bbox>>`` in block order.
+    """
+    texts = F.transform(lines_col, lambda ln: ln["text"])
+    n = F.size(texts)
+
+    def last_index(t):  # 1-based position of the last line equal to t, 0 when none
+        p = F.array_position(F.reverse(texts), t)
+        return F.when(p > 0, n - p + 1).otherwise(F.lit(0))
+
+    def mapped(d):
+        exact = last_index(d["text"])
+        first_hit = F.array_position(F.transform(texts, lambda t: F.instr(F.lower(t), F.lower(d["text"])) > 0),
+                                     F.lit(True))
+        via = F.when(first_hit > 0, last_index(F.element_at(texts, first_hit.cast("int"))))
+        pos = F.when(exact > 0, exact).otherwise(F.coalesce(via, F.lit(0)))
+        return F.struct(d["type"].alias("type"), d["text"].alias("text"), d["confidence"].alias("confidence"),
+                        F.when(pos > 0, F.try_element_at(F.col(lines_col), pos.cast("int"))["bbox"]).alias("bbox"))
+
+    idx = F.transform(F.col(det_col), lambda d, i: F.struct(i.alias("det_idx"), mapped(d).alias("m")))
+    return df.withColumn(out, F.filter(idx, lambda x: x["m"]["bbox"].isNotNull()))

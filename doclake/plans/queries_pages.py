@@ -85,14 +85,23 @@ def combined_text_sql() -> str:
 
 
 def pii_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detections mapped to line boxes and padded pixel rectangles."""
+    """Detections mapped to line boxes and padded pixel rectangles.
+
+    Lines, page text and detections all come from the same response row, so
+    the mapping runs inside the row (``boxes_in_page``): no join, no shuffle."""
     resp = B.ocr_responses(spark, sf_dir)
-    lines = PG.lines_from_blocks(resp, ["doc_id"])
-    ptext = PG.page_text_from_blocks(resp, ["doc_id"]).select("doc_id", "text")
-    det = pii.explode_detections(pii.with_detections(ptext), ["doc_id"])
-    boxes = pii.map_to_boxes(det, lines, ptext, ["doc_id"])
-    r = pii.redaction_rect(F.col("bbox"), F.lit(B.IMG_W), F.lit(B.IMG_H))
-    return boxes.select("doc_id", "det_idx", "pii_type", "pii_text",
+    line_blocks = F.filter("Blocks", lambda b: b["BlockType"] == PG.LINE_BLOCK)
+    pages = resp.select("doc_id", F.transform(line_blocks, lambda b: F.struct(
+        b["Text"].alias("text"), b["Geometry"]["BoundingBox"].alias("bbox"))).alias("lines"),
+        F.array_join(F.transform(line_blocks, lambda b: b["Text"]), "\n").alias("text"))
+    det = pii.with_detections(pages)
+    # explode_outer + null filter: a plain explode's inferred size() filter
+    # would be pushed below and run the detection twice
+    boxed = (pii.boxes_in_page(det).select("doc_id", F.explode_outer("boxes").alias("b"))
+             .where(F.col("b").isNotNull()))
+    r = pii.redaction_rect(F.col("b.m.bbox"), F.lit(B.IMG_W), F.lit(B.IMG_H))
+    return boxed.select("doc_id", F.col("b.det_idx").cast("bigint").alias("det_idx"),
+                        F.col("b.m.type").alias("pii_type"), F.col("b.m.text").alias("pii_text"),
                         r["left"].alias("left"), r["top"].alias("top"),
                         r["right"].alias("right"), r["bottom"].alias("bottom"))
 

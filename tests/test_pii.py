@@ -100,3 +100,17 @@ def test_boxes_exact_then_first_containing_line(spark):
     rect = spark.createDataFrame([((0.99, 0.0, 0.5, 0.01),)], "b struct<Left:double,Top:double,Width:double,Height:double>") \
         .select(pii.redaction_rect(F.col("b"), F.lit(1000), F.lit(800)).alias("r")).collect()[0].r
     assert tuple(rect) == (982, 0, 1000, 16)
+
+
+def test_boxes_in_page_matches_join_form(spark):
+    row = spark.createDataFrame([(
+        "p",
+        [("Call 555.123.4567 now", (0.1, 0.1, 0.5, 0.1)), ("SSN 123-45-6789", (0.1, 0.3, 0.5, 0.1)),
+         ("call 555.123.4567", (0.1, 0.5, 0.5, 0.1)), ("Call 555.123.4567 now", (0.2, 0.7, 0.5, 0.1)),
+         ("Dear Ann Lee", (0.1, 0.9, 0.5, 0.1))],
+    )], "page string, lines array<struct<text:string,bbox:struct<Left:double,Top:double,Width:double,Height:double>>>")
+    row = row.withColumn("text", F.array_join(F.transform("lines", lambda l: l["text"]), "\n"))
+    got = {b.m.text: tuple(b.m.bbox) for b in pii.boxes_in_page(pii.with_detections(row)).first().boxes}
+    assert got["555.123.4567"] == (0.2, 0.7, 0.5, 0.1)
+    assert got["123-45-6789"] == (0.1, 0.3, 0.5, 0.1)
+    assert got["Ann Lee"] == (0.1, 0.9, 0.5, 0.1)
