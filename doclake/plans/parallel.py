@@ -14,8 +14,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     round-robin into that many partitions (one shuffle of the projected
     columns); otherwise the scan's own splits are kept and nothing is added.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        spark = df.sparkSession
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): keep the scan's splits
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

@@ -14,11 +14,15 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE merges small shuffle partitions towards the advisory size and splits
+    # skewed ones, so shuffle.partitions can be set high for the largest stage
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Broadcast joins are requested explicitly (behind a size check), the
-    # planner's own threshold stays at its default.
+    # No join is broadcast by hand: the planner's threshold and AQE's runtime
+    # conversion (on measured sizes) decide.
 }
 
 

@@ -29,6 +29,12 @@ from doclake.operators import ingest as I
 from doclake.operators import pii
 from doclake.streaming.batching import DEFAULT_GAP, page_batches
 
+def _rows(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """All rows of a group's batches (empty frames skipped)."""
+    frames = [b for b in batches if len(b)]
+    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
+
+
 def _ms(t) -> int:
     """Epoch milliseconds of a (session-zone, here UTC) naive timestamp."""
     return int(pd.Timestamp(t).value // 1_000_000)
@@ -105,7 +111,7 @@ def _eager(gap_ms: int, horizon_ms: int):
             state.update(([], True, tmax))
             state.setTimeoutTimestamp(_ms(tmax) + horizon_ms)
             return
-        rows = pd.concat(list(batches))
+        rows = _rows(batches)
         keys = sorted(set(rows["object_key"]))
         tmax = rows["event_time"].max()
         if state.exists:
@@ -157,7 +163,7 @@ def _gate(timeout_ms: int):
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(batches))
+        rows = _rows(batches)
         done, expected, emitted = state.get if state.exists else ([], 0, False)
         done = sorted(set(done) | set(int(x) for x in rows["page_ordinal"]))
         expected = int(max(expected, rows["n_pages"].max()))
@@ -190,7 +196,7 @@ def completion_gate(page_texts: DataFrame, timeout_ms: int = 3_600_000, watermar
 def _fold(attrs: list[str]):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         cur = dict(zip(["ts", "seq"] + attrs + [f"{a}__at" for a in attrs], state.get)) if state.exists else {}
-        rows = pd.concat(list(batches)).sort_values(["ts", "seq"])
+        rows = _rows(batches).sort_values(["ts", "seq"])
         for r in rows.itertuples(index=False):
             if r.value is None and not r.set_null:
                 continue
@@ -227,7 +233,7 @@ FEED_OUT = "document_id string, seq long, polled string, changed boolean"
 def _feed(key, batches, state: GroupState):
     last = state.get[0] if state.exists else None
     seen = state.exists
-    rows = pd.concat(list(batches)).sort_values(["ts", "seq"])
+    rows = _rows(batches).sort_values(["ts", "seq"])
     out = []
     for r in rows.itertuples(index=False):
         changed = (not seen) or (r.polled != last)
