@@ -14,6 +14,8 @@ of the lengths of everything before it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,6 +51,9 @@ CONTEXT_RADIUS = 50
 CONFIDENCE_RANK = {"low": 0, "medium": 1, "high": 2}
 # ---------------------------------------------------------------------------
 
+_INDICATORS_RE = "|".join(re.escape(w.lower()) for w in BUSINESS_INDICATORS)
+_CONTEXTS_RE = "|".join(re.escape(w) for w in BUSINESS_CONTEXTS)
+
 # Java regex flags: case-insensitive + Unicode character classes, which is
 # what Python's re gives a str pattern with IGNORECASE.
 JAVA_FLAGS = "(?iU)"
@@ -118,15 +123,13 @@ def is_likely_personal_name(name: Column, text: Column, lower_text: Column | Non
     """The business-name heuristic, as a boolean Column."""
     lname = F.lower(name)
     lt = F.lower(text) if lower_text is None else lower_text
-    has_indicator = F.exists(F.array(*[F.lit(w.lower()) for w in BUSINESS_INDICATORS]),
-                             lambda w: F.instr(lname, w) > 0)
+    # substring tests against word lists, each as one alternation of literals
+    has_indicator = lname.rlike(_INDICATORS_RE)
     pos = F.instr(lt, lname) - 1  # 0-based, -1 when absent
     ctx_start = F.greatest(pos - CONTEXT_RADIUS, F.lit(0))
     ctx_end = F.least(F.length(text), pos + F.length(name) + CONTEXT_RADIUS)
     ctx = F.lower(F.substring(text, ctx_start + 1, ctx_end - ctx_start))
-    has_context = F.when(pos >= 0, F.exists(
-        F.array(*[F.lit(w) for w in BUSINESS_CONTEXTS]),
-        lambda w: F.instr(ctx, w) > 0)).otherwise(F.lit(False))
+    has_context = F.when(pos >= 0, ctx.rlike(_CONTEXTS_RE)).otherwise(F.lit(False))
     return ~has_indicator & ~has_context
 
 
