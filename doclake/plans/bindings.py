@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from doclake.plans.parallel import spread
 from doclake.sources.tables import table
 
 # ------------------------------------------------------------------ CONV
@@ -57,12 +58,14 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored objects; the uploader sets the content type from the suffix."""
     from doclake.functions import keys as K
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-               "l_returnflag", "l_linestatus", "l_shipdate")
+               "l_returnflag", "l_linestatus", "l_shipdate", spread_rows=False)
     suffix = _suffix()
     ctype = F.when(F.lower(suffix).isin(".tif", ".tiff"), F.lit("image/tiff")).otherwise(K.content_type_for(suffix))
-    return li.select(object_key_col().alias("object_key"), ctype.alias("content_type"),
-                     F.col("l_shipdate").alias("event_time"), F.lit(BUCKET).alias("bucket"),
-                     "l_orderkey", "l_linenumber")
+    # the derived columns are computed before the rows are spread, so filters
+    # pushed towards the scan read them instead of re-deriving them
+    return spread(li.select(object_key_col().alias("object_key"), ctype.alias("content_type"),
+                            F.col("l_shipdate").alias("event_time"), F.lit(BUCKET).alias("bucket"),
+                            "l_orderkey", "l_linenumber"))
 
 
 _KEY_SQL = """'incoming/ORD' || CAST(l_orderkey AS STRING) || CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '_' END
@@ -108,9 +111,9 @@ def _record_sql(key: str) -> str:
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-               "l_returnflag", "l_linestatus")
+               "l_returnflag", "l_linestatus", spread_rows=False)
     # the same SQL expression text builds the body in both engines
-    return li.selectExpr("l_orderkey * 10 + l_linenumber AS message_id", f"{QUEUE_BODY_SQL} AS body")
+    return spread(li.selectExpr("l_orderkey * 10 + l_linenumber AS message_id", f"{QUEUE_BODY_SQL} AS body"))
 
 
 _ENC_KEY_SQL = f"""CASE WHEN l_linenumber = 3 THEN replace({_KEY_SQL}, 'ORD', 'ORD+')
@@ -205,9 +208,9 @@ JOBS_SQL = f"""
 def state_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document state table (one row per order) with timestamps and counts."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-              "o_orderpriority")
-    base = o.selectExpr("CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status", "*") \
-            .selectExpr(*_STATE_COLS)
+              "o_orderpriority", spread_rows=False)
+    base = spread(o.selectExpr("CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status", "*")
+                  .selectExpr(*_STATE_COLS))
     moved = (table(spark, sf_dir, "lineitem", "l_orderkey").groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).cast("int").alias("n_lines")))
     upd = F.timestamp_add("SECOND", F.col("o_custkey"), F.col("o_orderdate"))
@@ -232,7 +235,7 @@ STATE_DOCS_SQL = f"""
 
 def state_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
-               "l_linestatus")
+               "l_linestatus", spread_rows=False)
     rows = li.where(F.col("l_orderkey") % 5 != 0).select(
         F.col("l_orderkey").cast("string").alias("document_id"), object_key_col().alias("page_key"),
         F.col("l_linenumber").cast("bigint").alias("page_ordinal"),
