@@ -234,7 +234,7 @@ def document_workflow(docs: DataFrame, steps: DataFrame, exec_col: str = "execut
         "event_id", "ts")
 
 
-def history_for_steps(timeline_rows: DataFrame, docs: DataFrame, history: DataFrame,
+def history_for_steps(timeline_rows: DataFrame, docs: DataFrame | None, history: DataFrame,
                       exec_col: str = "execution_id", mode: str = "map") -> DataFrame:
     """Attach to each timeline step the first history event (by time, then id)
     of the document's execution that maps to it.
@@ -242,10 +242,13 @@ def history_for_steps(timeline_rows: DataFrame, docs: DataFrame, history: DataFr
     ``mode='map'`` uses the fixed state -> step map; ``'contains'`` matches when
     the lower-case step name contains the lower-case state name.
     """
-    d = docs.select("document_id", F.col("step_function_execution_arn").alias(exec_col))
     h = history.where(F.col("type").isin(ENTERED, SUCCEEDED, FAILED)).select(
         exec_col, F.col("state").alias("sf_state"), F.col("ts").alias("sf_ts"), F.col("event_id").alias("sf_id"))
-    rows = timeline_rows.join(d, "document_id", "left")
+    if docs is None:  # the rows already carry their execution id
+        rows = timeline_rows
+    else:
+        d = docs.select("document_id", F.col("step_function_execution_arn").alias(exec_col))
+        rows = timeline_rows.join(d, "document_id", "left")
     if mode == "map":
         m = F.create_map(*[x for k, v in STATE_TO_STEP.items() for x in (F.lit(k), F.lit(v))])
         h = h.withColumn("step", m[F.col("sf_state")]).where(F.col("step").isNotNull())
@@ -262,5 +265,5 @@ def history_for_steps(timeline_rows: DataFrame, docs: DataFrame, history: DataFr
         firsts = (h.join(pairs, [exec_col, "sf_state"])
                   .groupBy(exec_col, "step").agg(F.min(F.struct("sf_ts", "sf_id", "sf_state")).alias("m")))
         out = rows.join(firsts, [exec_col, "step"], "left")
-    return out.select(*timeline_rows.columns, F.col("m.sf_state").alias("sf_state"),
-                      F.col("m.sf_ts").alias("sf_ts"))
+    return out.select(*[c for c in timeline_rows.columns if c != exec_col],
+                      F.col("m.sf_state").alias("sf_state"), F.col("m.sf_ts").alias("sf_ts"))

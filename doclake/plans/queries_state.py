@@ -422,9 +422,11 @@ def document_workflow_sql() -> str:
 
 
 def _history_steps(spark, sf_dir, mode):
-    d = _docs(spark, sf_dir)
-    rows = TL.explode_timeline(TL.with_timeline(d)).select("document_id", "step_idx", "step")
-    out = TL.history_for_steps(rows, d, B.history(spark, sf_dir), mode=mode)
+    tl = TL.with_timeline(_docs(spark, sf_dir))
+    rows = (tl.select("document_id", F.col("step_function_execution_arn").alias("execution_id"),
+                      F.posexplode("timeline").alias("step_idx", "s"))
+            .select("document_id", "execution_id", F.col("step_idx").cast("bigint").alias("step_idx"), "s.step"))
+    out = TL.history_for_steps(rows, None, B.history(spark, sf_dir), mode=mode)
     return out.select("document_id", "step_idx", "step", "sf_state",
                       F.date_format("sf_ts", TS_FMT).alias("sf_ts"))
 
