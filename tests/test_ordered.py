@@ -1,0 +1,32 @@
+import datetime as dt
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from doclake.plans.ordered import bucketed_lag, bucketed_row_number
+
+
+def test_bucketed_row_number_equals_window(spark):
+    rnd = random.Random(3)
+    rows = [(f"d{rnd.randint(0, 3)}", rnd.choice([None] + list(range(40))), f"k{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc string, page long, key string")
+    got = {r.key: r.ord for r in bucketed_row_number(df, ["doc"], F.col("page"), [F.col("key")], "ord",
+                                                       bucket_width=3).collect()}
+    w = Window.partitionBy("doc").orderBy(F.col("page").asc_nulls_last(), "key")
+    want = {r.key: r.ord for r in df.withColumn("ord", F.row_number().over(w)).collect()}
+    assert got == want
+
+
+def test_bucketed_lag_equals_window(spark):
+    rnd = random.Random(5)
+    t0 = dt.datetime(2026, 1, 1)
+    rows = [(f"d{rnd.randint(0, 2)}", i, t0 + dt.timedelta(seconds=rnd.randint(0, 500)), rnd.choice(["a", "b", None]))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "doc string, seq long, ts timestamp_ntz, v string")
+    got = {r.seq: (r.prev, r._first) for r in
+           bucketed_lag(df, ["doc"], F.col("ts"), F.col("seq"), "v", "prev", bucket_seconds=7).collect()}
+    w = Window.partitionBy("doc").orderBy("ts", "seq")
+    want = {r.seq: (r.prev, r.first) for r in
+            df.select("seq", F.lag("v").over(w).alias("prev"), (F.row_number().over(w) == 1).alias("first")).collect()}
+    assert got == want
