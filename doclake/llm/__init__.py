@@ -1,0 +1,11 @@
+"""Operators of a training-data pipeline; nothing else in the library imports this package.
+
+Functions of this package that run inside tasks travel to the executors by
+value, so a cluster needs no copy of the library on its workers.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

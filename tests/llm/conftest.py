@@ -1,0 +1,17 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def docs(spark):
+    """Make a documents table of (doc_id, text[, source]) rows."""
+    def make(rows, parts=3):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        return spark.createDataFrame(full, DOCS).repartition(parts)
+    return make
