@@ -4,10 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repetition, shards, simhash
+from . import chat, repetition, shards, simhash, warc
 from .common import table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+                 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes >= 1000) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to, true AS intact
+FROM o
+"""
+
+# said by a user and an assistant who quote a template's control strings
+QUOTING = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.formatted_conversations(rows.unionByName(spark.createDataFrame(QUOTING, rows.schema)))
+
+
+OP3_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(CONTROLS)', '\1\\\2\3', 'g') AS et,
+         regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'),
+                        '([<\[])(\\*)(CONTROLS)', '\1\\\2\3', 'g') AS er
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(3 + length(er) + 1 + length(et) + 4)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""".replace("CONTROLS", r"s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>")
+
+
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdicts(repetition.repetition_stats(table(spark, sf_dir, "documents")))
 
@@ -21,6 +65,8 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc": (op2_warc, OP2_SQL),
+    "op3_chat": (op3_chat, OP3_SQL),
     "op5_repetition": (op5_repetition, None),
     "op6_simhash": (op6_simhash, None),
     "op8_shards": (op8_shards, None),
