@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, repetition, shards, simhash, warc
+from . import chat, mixing, packing, repetition, shards, simhash, warc
 from .common import table
 
 
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# fixed values: the vocabulary's split pattern and its free id
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+END_ID = 50256
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, PATTERN, END_ID)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
@@ -52,6 +62,50 @@ FROM e GROUP BY conv_id
 """.replace("CONTROLS", r"s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.schedule(rows)
+
+
+OP4_SQL = f"""
+WITH RECURSIVE tot AS (
+  SELECT CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS src, count(*) AS n_rows
+  FROM documents GROUP BY 1),
+sz AS (SELECT greatest({mixing.CYCLE}, 4 * count(*)) AS q, count(*) AS k, sum(pow(n_rows::DOUBLE, {mixing.TEMPERATURE})) AS w FROM tot),
+ex AS (SELECT src, n_rows, q, k, pow(n_rows::DOUBLE, {mixing.TEMPERATURE}) / w * (q - k) AS e FROM tot, sz),
+parts AS (
+  SELECT src, n_rows, q,
+         (1 + floor(e) + CASE WHEN row_number() OVER (ORDER BY e - floor(e) DESC, src)
+                                   <= q - k - sum(floor(e)) OVER () THEN 1 ELSE 0 END)::BIGINT AS p
+  FROM ex),
+num AS (SELECT *, row_number() OVER (ORDER BY src) - 1 AS i FROM parts),
+one AS (SELECT q, list(p ORDER BY src) AS ps FROM parts GROUP BY q),
+edf AS (
+  SELECT -1::BIGINT AS t, -1::BIGINT AS i, list_transform(ps, lambda x: 0::BIGINT) AS done FROM one
+  UNION ALL
+  SELECT t, pick, list_transform(done, lambda d, j: d + CASE WHEN j = pick + 1 THEN 1 ELSE 0 END) FROM (
+    SELECT edf.t + 1 AS t, done, list_min(list_transform(
+      list_filter(range(len(ps)), lambda x: done[x + 1] < ps[x + 1] AND done[x + 1] * q // ps[x + 1] <= edf.t + 1),
+      lambda x: ((done[x + 1] + 1) * q + ps[x + 1] - 1) // ps[x + 1] * 1000000 + x)) % 1000000 AS pick
+    FROM edf, one WHERE edf.t + 1 < q)),
+cyc AS (
+  SELECT num.src, num.p, num.q, edf.t AS place, row_number() OVER (PARTITION BY num.src ORDER BY edf.t) - 1 AS turn
+  FROM edf JOIN num USING (i) WHERE edf.t >= 0),
+ends AS (
+  SELECT min(ceil(n_rows / {mixing.BLOCK_ROWS}.0)::BIGINT // cyc.p * cyc.q + place) AS stop
+  FROM cyc JOIN tot USING (src) WHERE turn = ceil(n_rows / {mixing.BLOCK_ROWS}.0)::BIGINT % cyc.p),
+d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END AS src,
+         (row_number() OVER (PARTITION BY source ORDER BY coalesce(doc_id, 0) % {mixing.BUCKETS}, doc_id) - 1)
+         // {mixing.BLOCK_ROWS} AS block
+  FROM documents)
+SELECT doc_id, source, block, block * q // p AS release, ((block + 1) * q + p - 1) // p AS due,
+       block // p * q + place AS slot, block // p * q + place < stop AS in_mix
+FROM d JOIN (SELECT DISTINCT src AS s2, p AS p2 FROM cyc) ON src = s2
+JOIN cyc ON cyc.src = d.src AND turn = block % p2, ends
+"""
+
+
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.verdicts(repetition.repetition_stats(table(spark, sf_dir, "documents")))
 
@@ -65,8 +119,10 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": (op1_packing, None),
     "op2_warc": (op2_warc, OP2_SQL),
     "op3_chat": (op3_chat, OP3_SQL),
+    "op4_mixing": (op4_mixing, OP4_SQL),
     "op5_repetition": (op5_repetition, None),
     "op6_simhash": (op6_simhash, None),
     "op8_shards": (op8_shards, None),
