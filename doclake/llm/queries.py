@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, packing, repetition, shards, simhash, warc
+from . import chat, mixing, packing, repetition, shards, simhash, suffixes, warc
 from .common import table
 
 
@@ -118,6 +118,10 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_warc": (op2_warc, OP2_SQL),
@@ -126,4 +130,5 @@ QUERIES = {
     "op5_repetition": (op5_repetition, None),
     "op6_simhash": (op6_simhash, None),
     "op8_shards": (op8_shards, None),
+    "op10_suffixes": (op10_suffixes, None),
 }
