@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, packing, repetition, shards, simhash, suffixes, warc
+from . import chat, decontaminate, mixing, packing, repetition, shards, simhash, suffixes, warc
 from .common import table
 
 
@@ -114,6 +114,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copy_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+
+
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(table(spark, sf_dir, "documents"))
 
@@ -129,6 +133,7 @@ QUERIES = {
     "op4_mixing": (op4_mixing, OP4_SQL),
     "op5_repetition": (op5_repetition, None),
     "op6_simhash": (op6_simhash, None),
+    "op7_decontamination": (op7_decontamination, None),
     "op8_shards": (op8_shards, None),
     "op10_suffixes": (op10_suffixes, None),
 }

@@ -259,9 +259,9 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, anchor: int = AN
 def drop_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` whose texts lack the words of their later copies (blanks after a removed word go with it)."""
     bounded_batches(docs.sparkSession)
-    cuts, = fresh(docs, "__cuts")
+    cuts, other = fresh(docs, "cuts", "other")
     gone = spans.where("later_copy").groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias(cuts))
-    joined = docs.join(gone.withColumnRenamed("doc_id", "__doc"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    joined = docs.join(gone.withColumnRenamed("doc_id", other), F.col("doc_id").eqNullSafe(F.col(other)), "left").drop(other)
     names = docs.columns
 
     def run(batches):
