@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, packing, repetition, shards, simhash, suffixes, warc
+from . import chat, decontaminate, mixing, packing, quality, repetition, shards, simhash, suffixes, warc
 from .common import table
 
 
@@ -122,6 +123,12 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' source is the host, and their language in it the path."""
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                    F.col("source"), F.col("lang"))
+
+
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
 
@@ -135,5 +142,6 @@ QUERIES = {
     "op6_simhash": (op6_simhash, None),
     "op7_decontamination": (op7_decontamination, None),
     "op8_shards": (op8_shards, None),
+    "op9_quality": (op9_quality, None),
     "op10_suffixes": (op10_suffixes, None),
 }
