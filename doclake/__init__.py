@@ -1,0 +1,11 @@
+"""Analytics over scanned documents as Spark jobs.
+
+Functions that run inside tasks travel to the executors by value, so a
+cluster needs no copy of the library on its workers.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,21 +1,22 @@
-"""Personal-data detection as Column expressions (JVM side, no Python UDF).
+"""Personal-data detection, masking and box mapping as vectorized Arrow functions.
 
 A detection is ``struct<type, text, start_pos, end_pos, confidence>`` with
-0-based, half-open code-point offsets. ``detect_pii(text)`` returns the array
-of detections in the order the rules are listed below: every match of the
-first pattern, then every match of the second, ... then the three name
-contexts. Overlapping detections are all kept.
-
-Offsets are computed without a UDF: for a pattern ``p`` the matches
-``m = regexp_extract_all(text, p, 0)`` and the gaps ``g = split(text, p, -1)``
-interleave as ``g0 m0 g1 m1 ... gn``, so the start of match ``i`` is the sum
-of the lengths of everything before it.
+0-based, half-open code-point offsets, in the order the rules are listed
+below: every match of the first rule, then every match of the second, ...
+then the three name contexts. Overlapping detections are all kept.
+
+Each text is scanned once per rule that it can match at all (a cheap guard
+decides), and every match costs constant work, so the time is linear in text
+and matches. The functions run on Arrow batches next to the other columns of
+a row: the text is never exploded, grouped or joined back.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,153 +52,117 @@ CONTEXT_RADIUS = 50
 CONFIDENCE_RANK = {"low": 0, "medium": 1, "high": 2}
 # ---------------------------------------------------------------------------
 
-_INDICATORS_RE = "|".join(re.escape(w.lower()) for w in BUSINESS_INDICATORS)
-_CONTEXTS_RE = "|".join(re.escape(w) for w in BUSINESS_CONTEXTS)
-
-# Java regex flags: case-insensitive + Unicode character classes, which is
-# what Python's re gives a str pattern with IGNORECASE.
-JAVA_FLAGS = "(?iU)"
+_INDICATORS_RE = re.compile("|".join(re.escape(w.lower()) for w in BUSINESS_INDICATORS))
+_CONTEXTS_RE = re.compile("|".join(re.escape(w) for w in BUSINESS_CONTEXTS))
+_DIGIT = re.compile(r"\d")
 
 DETECTION_DDL = "struct<type:string,text:string,start_pos:int,end_pos:int,confidence:string>"
-
-
-def _match_starts(gaps: Column, matches: Column) -> Column:
-    """Start offset of every match from the interleaved gap/match lengths."""
-    pairs = F.arrays_zip(
-        F.transform(F.slice(gaps, 1, F.size(matches)), lambda g: F.length(g)).alias("gl"),
-        F.transform(matches, lambda m: F.length(m)).alias("ml"),
-    )
-    init = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("starts"))
-    return F.aggregate(
-        pairs, init,
-        lambda acc, x: F.struct(
-            (acc["pos"] + x["gl"] + x["ml"]).alias("pos"),
-            F.concat(acc["starts"], F.array(acc["pos"] + x["gl"])).alias("starts")),
-        lambda acc: acc["starts"])
-
-
-# Cheap necessary conditions: a pattern can only match when its guard holds,
-# so the regex passes are skipped on texts that cannot match.
-_DIGIT = "(?U)\\d"
-
-
-def _guard(name: str, text: Column, has_digit: Column) -> Column | None:
-    if name == "ssn":
-        return (F.instr(text, "-") > 0) & has_digit
-    if name == "email":
-        return F.instr(text, "@") > 0
-    if name in ("account_number", "phone", "address", "zip_code"):
-        return has_digit
-    if name in ("name_1", "name_2"):  # both label forms end in a colon
-        return F.instr(text, ":") > 0
-    return None
-
-
-def _guarded(expr: Column, guard: Column | None, ddl: str) -> Column:
-    if guard is None:
-        return expr
-    return F.when(guard, expr).otherwise(F.array().cast(ddl))
-
-
-def match_arrays(text: Column) -> list[tuple[str, Column]]:
-    """The regex passes, one column each: matches, gaps (and names for the
-    name contexts). Selecting them as columns before ``assemble_detections``
-    lets every pass run once per text."""
-    has_digit = text.rlike(_DIGIT)
-    cols = []
-    for k, (ty, pat, _) in enumerate(PII_PATTERNS):
-        p = JAVA_FLAGS + pat
-        g = _guard(ty, text, has_digit)
-        cols.append((f"_m{k}", _guarded(F.regexp_extract_all(text, F.lit(p), F.lit(0)), g, "array<string>")))
-        cols.append((f"_g{k}", _guarded(F.split(text, p, -1), g, "array<string>")))
-    for j, pat in enumerate(NAME_PATTERNS):
-        p = JAVA_FLAGS + pat
-        g = _guard(f"name_{j}", text, has_digit)
-        cols.append((f"_w{j}", _guarded(F.regexp_extract_all(text, F.lit(p), F.lit(0)), g, "array<string>")))
-        cols.append((f"_h{j}", _guarded(F.split(text, p, -1), g, "array<string>")))
-    cols.append(("_lt", F.lower(text)))
-    return cols
-
-
-def is_likely_personal_name(name: Column, text: Column, lower_text: Column | None = None) -> Column:
-    """The business-name heuristic, as a boolean Column."""
-    lname = F.lower(name)
-    lt = F.lower(text) if lower_text is None else lower_text
-    # substring tests against word lists, each as one alternation of literals
-    has_indicator = lname.rlike(_INDICATORS_RE)
-    pos = F.instr(lt, lname) - 1  # 0-based, -1 when absent
-    ctx_start = F.greatest(pos - CONTEXT_RADIUS, F.lit(0))
-    ctx_end = F.least(F.length(text), pos + F.length(name) + CONTEXT_RADIUS)
-    ctx = F.lower(F.substring(text, ctx_start + 1, ctx_end - ctx_start))
-    has_context = F.when(pos >= 0, ctx.rlike(_CONTEXTS_RE)).otherwise(F.lit(False))
-    return ~has_indicator & ~has_context
-
-
-def _pattern_detections(matches: Column, gaps: Column, pii_type: str, confidence: str) -> Column:
-    starts = _match_starts(gaps, matches)
-    return F.zip_with(matches, starts, lambda m, s: F.struct(
-        F.lit(pii_type).alias("type"), m.alias("text"),
-        s.alias("start_pos"), (s + F.length(m)).alias("end_pos"),
-        F.lit(confidence).alias("confidence")))
-
-
-def _name_detections(whole: Column, names: Column, gaps: Column, text: Column,
-                     lower_text: Column) -> Column:
-    starts = _match_starts(gaps, whole)
-    # every pattern ends with the captured group, so the group ends where the
-    # match ends
-    cands = F.zip_with(
-        F.arrays_zip(whole.alias("w"), names.alias("n")), starts,
-        lambda wn, s: F.struct(
-            F.lit(NAME_TYPE).alias("type"), wn["n"].alias("text"),
-            (s + F.length(wn["w"]) - F.length(wn["n"])).alias("start_pos"),
-            (s + F.length(wn["w"])).alias("end_pos"),
-            F.lit(NAME_CONFIDENCE).alias("confidence")))
-    return F.filter(cands, lambda d: is_likely_personal_name(d["text"], text, lower_text))
-
-
-def names_from_matches(whole: Column, pattern: str) -> Column:
-    """Group 1 of every match, taken from the match strings themselves.
-
-    The name patterns look neither behind nor ahead, so matching the pattern
-    anchored at the start of a (short) match string takes the same path as in
-    the full text and captures the same group; this saves a pass over the text.
-    """
-    p = JAVA_FLAGS + "^" + pattern
-    return F.transform(whole, lambda w: F.regexp_extract(w, p, 1))
-
-
-def assemble_detections(text: Column) -> Column:
-    """Detections from the columns produced by ``match_arrays``."""
-    parts = [_pattern_detections(F.col(f"_m{k}"), F.col(f"_g{k}"), ty, c)
-             for k, (ty, _, c) in enumerate(PII_PATTERNS)]
-    parts += [_name_detections(F.col(f"_w{j}"), names_from_matches(F.col(f"_w{j}"), NAME_PATTERNS[j]),
-                               F.col(f"_h{j}"), text, F.col("_lt"))
-              for j in range(len(NAME_PATTERNS))]
-    return F.concat(*parts).cast(f"array<{DETECTION_DDL}>")
-
-
-TEMP_COLUMNS = ([f"_m{k}" for k in range(len(PII_PATTERNS))] + [f"_g{k}" for k in range(len(PII_PATTERNS))]
-                + [f"_{x}{j}" for x in "wh" for j in range(len(NAME_PATTERNS))] + ["_lt"])
-
-
-def detect_pii(text: Column) -> Column:
-    """``array<detection>`` for a text column, as one expression (small inputs,
-    tests). Large tables use ``operators.pii.with_detections``, which runs each
-    regex pass once per text."""
-    t = F.coalesce(text, F.lit(""))
-    lt = F.lower(t)
-    parts = []
-    for ty, pat, c in PII_PATTERNS:
-        p = JAVA_FLAGS + pat
-        parts.append(_pattern_detections(F.regexp_extract_all(t, F.lit(p), F.lit(0)),
-                                         F.split(t, p, -1), ty, c))
-    for pat in NAME_PATTERNS:
-        p = JAVA_FLAGS + pat
-        parts.append(_name_detections(F.regexp_extract_all(t, F.lit(p), F.lit(0)),
-                                      F.regexp_extract_all(t, F.lit(p), F.lit(1)),
-                                      F.split(t, p, -1), t, lt))
-    return F.concat(*parts).cast(f"array<{DETECTION_DDL}>")
+_DETECTION = pa.struct([("type", pa.string()), ("text", pa.string()), ("start_pos", pa.int32()),
+                        ("end_pos", pa.int32()), ("confidence", pa.string())])
+
+# (type, compiled pattern, reported group, confidence, what the text must hold for a match)
+_RULES = [(kind, re.compile(pattern, re.IGNORECASE), 0, confidence,
+           {"ssn": ("-", True), "email": ("@", False)}.get(kind, ("", True)))
+          for kind, pattern, confidence in PII_PATTERNS]
+_RULES += [(NAME_TYPE, re.compile(pattern, re.IGNORECASE), 1, NAME_CONFIDENCE, (mark, False))
+           for pattern, mark in zip(NAME_PATTERNS, ("", ":", ":"))]
+
+
+class _Names:
+    """The business-name test for the candidate names of one text, each distinct name decided once."""
+
+    def __init__(self, text: str):
+        self.text, self.lower, self.known = text, text.lower(), {}
+
+    def personal(self, name: str) -> bool:
+        low = name.lower()
+        if low not in self.known:
+            self.known[low] = not (_INDICATORS_RE.search(low) or self._in_business_context(low, len(name)))
+        return self.known[low]
+
+    def _in_business_context(self, low: str, length: int) -> bool:
+        at = self.lower.find(low)
+        if at < 0:
+            return False
+        around = self.text[max(0, at - CONTEXT_RADIUS):at + length + CONTEXT_RADIUS].lower()
+        return _CONTEXTS_RE.search(around) is not None
+
+
+def _detections(texts: pa.Array) -> pa.Array:
+    ends, rule_of, pieces, starts, stops = [0], [], [], [], []
+    for value in texts.to_pylist():
+        text = value or ""
+        digits = _DIGIT.search(text) is not None
+        names = None
+        for number, (kind, pattern, group, _, (mark, needs_digit)) in enumerate(_RULES):
+            if (needs_digit and not digits) or mark not in text:
+                continue
+            hits = [(m[group], *m.span(group)) for m in pattern.finditer(text)]
+            if hits and kind == NAME_TYPE:
+                names = names or _Names(text)
+                hits = [h for h in hits if names.personal(h[0])]
+            rule_of += [number] * len(hits)
+            pieces += [h[0] for h in hits]
+            starts += [h[1] for h in hits]
+            stops += [h[2] for h in hits]
+        ends.append(len(pieces))
+    rules = pa.array(rule_of, pa.int32())
+    found = pa.StructArray.from_arrays(
+        [pa.array([r[0] for r in _RULES]).take(rules), pa.array(pieces, pa.string()), pa.array(starts, pa.int32()),
+         pa.array(stops, pa.int32()), pa.array([r[3] for r in _RULES]).take(rules)], fields=list(_DETECTION))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
+
+
+def detections(text: Column) -> Column:
+    """``array<detection>`` of a text column (null: no detection)."""
+    return F.arrow_udf(_detections, f"array<{DETECTION_DDL}>")(text)
+
+
+def masked(text: Column, found: Column, mask: str) -> Column:
+    """The text with every detected span replaced by ``mask``: overlapping spans share one mask, adjacent ones
+    get one each."""
+    def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        out = []
+        for value, spans in zip(texts.to_pylist(), lists.to_pylist()):
+            value, parts, at = value or "", [], 0
+            for a, b in sorted((d["start_pos"], d["end_pos"]) for d in spans or ()):
+                if a >= at:
+                    parts += [value[at:a], mask]
+                at = max(at, b)
+            out.append("".join([*parts, value[at:]]))
+        return pa.array(out, pa.string())
+
+    return F.arrow_udf(run, "string")(text, found)
+
+
+def line_numbers(lines: Column, found: Column) -> Column:
+    """Per detection, the number (from 0) of the page line whose box it takes, or null: the last line equal to the
+    detected text, else the last copy of the first line that contains it in any case."""
+    def run(pages: pa.Array, lists: pa.Array) -> pa.Array:
+        out = []
+        for texts, spans in zip(pages.to_pylist(), lists.to_pylist()):
+            texts = [t or "" for t in texts or ()]
+            last = {t: k for k, t in enumerate(texts)}
+            lower = [t.lower() for t in texts]
+            starts, at = [], 0
+            for t in lower:
+                starts.append(at)
+                at += len(t) + 1
+            page, seen = "\n".join(lower), {}
+            row = []
+            for d in spans or ():
+                low = d["text"].lower()
+                if d["text"] in last:
+                    row.append(last[d["text"]])
+                    continue
+                if low not in seen:  # without a line break, a hit in the page lies in one line
+                    hit = -1 if "\n" in low else page.find(low)
+                    seen[low] = None if hit < 0 else last[texts[bisect_right(starts, hit) - 1]]
+                row.append(seen[low])
+            out.append(row)
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return F.arrow_udf(run, "array<int>")(lines, found)
 
 
 def confidence_at_least(confidence: Column, minimum: str) -> Column:

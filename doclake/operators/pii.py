@@ -10,27 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from doclake.plans.parallel import spread
-from doclake.functions.pii import (TEMP_COLUMNS, assemble_detections, confidence_at_least,
-                                   match_arrays)
+from doclake.functions.pii import confidence_at_least, detections, line_numbers, masked
 
 PII_STATUS = "PII_PROCESSED"
 
 
 def with_detections(df: DataFrame, text_col: str = "text", out: str = "detections",
                     min_confidence: str | None = None) -> DataFrame:
-    """Add ``out`` = array of detections found in ``text_col`` (narrow).
-
-    The regex passes are selected as columns first so each runs once per text;
-    the planner keeps that projection because its outputs are used more than
-    once below.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    staged = spread(df).select("*", *[c.alias(n) for n, c in match_arrays(text)])
-    det = assemble_detections(text)
+    """Add ``out`` = array of detections found in ``text_col`` (narrow: one Arrow pass over the text)."""
+    found = df.withColumn(out, detections(F.col(text_col)))
     if min_confidence:
-        det = F.filter(det, lambda d: confidence_at_least(d["confidence"], min_confidence))
-    return staged.withColumn(out, det).drop(*TEMP_COLUMNS)
+        found = found.withColumn(out, F.filter(out, lambda d: confidence_at_least(d["confidence"], min_confidence)))
+    return found
 
 
 def explode_detections(df: DataFrame, keys: list[str], col: str = "detections") -> DataFrame:
@@ -183,33 +174,10 @@ def redacted_image_key(doc: Column, page_no: Column) -> Column:
 
 # ------------------------------------------------------------------ masking
 
-def mask_spans(texts: DataFrame, detections: DataFrame, keys: list[str],
-               text_col: str = "text", mask: str = "[REDACTED]") -> DataFrame:
-    """Replace every detected span of the text by ``mask``.
-
-    Spans are sorted by (start, end); a span starting inside the previous
-    masked region only extends it, so overlaps give one mask.
-    """
-    spans = (detections.groupBy(*keys)
-             .agg(F.array_sort(F.collect_list(F.struct(
-                 F.col("start_pos").cast("int").alias("a"),
-                 F.col("end_pos").cast("int").alias("b")))).alias("spans")))
-    t = F.col(text_col)
-    init = F.struct(F.lit("").alias("o"), F.lit(0).alias("p"))
-
-    def step(acc, s):
-        take = s["a"] >= acc["p"]
-        piece = F.concat(F.substring(t, acc["p"] + 1, s["a"] - acc["p"]), F.lit(mask))
-        return F.struct(
-            F.when(take, F.concat(acc["o"], piece)).otherwise(acc["o"]).alias("o"),
-            F.greatest(acc["p"], s["b"]).alias("p"))
-
-    masked = F.aggregate(F.coalesce(F.col("spans"), F.array().cast("array<struct<a:int,b:int>>")),
-                         init, step,
-                         lambda acc: F.concat(acc["o"], F.substring(t, acc["p"] + 1, F.length(t))))
-    return (texts.join(spans, keys, "left")
-            .select(*keys, masked.alias("masked_text"),
-                    F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans")))
+def with_masked_text(df: DataFrame, text_col: str = "text", det_col: str = "detections",
+                     out: str = "masked_text", mask: str = "[REDACTED]") -> DataFrame:
+    """Add ``out`` = the text with every detected span replaced by ``mask`` (narrow; spans and text share the row)."""
+    return df.withColumn(out, masked(F.col(text_col), F.col(det_col), mask))
 
 
 def boxes_in_page(df: DataFrame, lines_col: str = "lines", det_col: str = "detections",
@@ -220,23 +188,13 @@ def boxes_in_page(df: DataFrame, lines_col: str = "lines", det_col: str = "detec
     (the last such line's box), else the first line containing it
     case-insensitively (the box of that text's last line); otherwise dropped.
 
-    ``lines_col`` is ``array<struct<text, bbox>>`` in block order.
+    ``lines_col`` is ``array<struct<text, bbox>>`` in block order; lines are
+    looked up by hash and position, not compared one by one.
     """
-    texts = F.transform(lines_col, lambda ln: ln["text"])
-    n = F.size(texts)
-
-    def last_index(t):  # 1-based position of the last line equal to t, 0 when none
-        p = F.array_position(F.reverse(texts), t)
-        return F.when(p > 0, n - p + 1).otherwise(F.lit(0))
-
-    def mapped(d):
-        exact = last_index(d["text"])
-        first_hit = F.array_position(F.transform(texts, lambda t: F.instr(F.lower(t), F.lower(d["text"])) > 0),
-                                     F.lit(True))
-        via = F.when(first_hit > 0, last_index(F.element_at(texts, first_hit.cast("int"))))
-        pos = F.when(exact > 0, exact).otherwise(F.coalesce(via, F.lit(0)))
-        return F.struct(d["type"].alias("type"), d["text"].alias("text"), d["confidence"].alias("confidence"),
-                        F.when(pos > 0, F.try_element_at(F.col(lines_col), pos.cast("int"))["bbox"]).alias("bbox"))
-
-    idx = F.transform(F.col(det_col), lambda d, i: F.struct(i.alias("det_idx"), mapped(d).alias("m")))
-    return df.withColumn(out, F.filter(idx, lambda x: x["m"]["bbox"].isNotNull()))
+    numbers = line_numbers(F.transform(lines_col, lambda ln: ln["text"]), F.col(det_col))
+    idx = F.transform(F.arrays_zip(F.col(det_col).alias("d"), F.col("_line").alias("k")), lambda x, i: F.struct(
+        i.alias("det_idx"), F.struct(
+            x["d"]["type"].alias("type"), x["d"]["text"].alias("text"), x["d"]["confidence"].alias("confidence"),
+            F.get(F.col(lines_col), x["k"])["bbox"].alias("bbox")).alias("m")))
+    return (df.withColumn("_line", numbers).withColumn(out, F.filter(idx, lambda x: x["m"]["bbox"].isNotNull()))
+            .drop("_line"))

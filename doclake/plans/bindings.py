@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from doclake.plans.parallel import spread
 from doclake.sources.tables import table
 
 # ------------------------------------------------------------------ CONV
@@ -58,14 +57,12 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored objects; the uploader sets the content type from the suffix."""
     from doclake.functions import keys as K
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-               "l_returnflag", "l_linestatus", "l_shipdate", spread_rows=False)
+               "l_returnflag", "l_linestatus", "l_shipdate")
     suffix = _suffix()
     ctype = F.when(F.lower(suffix).isin(".tif", ".tiff"), F.lit("image/tiff")).otherwise(K.content_type_for(suffix))
-    # the derived columns are computed before the rows are spread, so filters
-    # pushed towards the scan read them instead of re-deriving them
-    return spread(li.select(object_key_col().alias("object_key"), ctype.alias("content_type"),
-                            F.col("l_shipdate").alias("event_time"), F.lit(BUCKET).alias("bucket"),
-                            "l_orderkey", "l_linenumber"))
+    return li.select(object_key_col().alias("object_key"), ctype.alias("content_type"),
+                     F.col("l_shipdate").alias("event_time"), F.lit(BUCKET).alias("bucket"),
+                     "l_orderkey", "l_linenumber")
 
 
 _KEY_SQL = """'incoming/ORD' || CAST(l_orderkey AS STRING) || CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '_' END
@@ -111,9 +108,9 @@ def _record_sql(key: str) -> str:
 
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey",
-               "l_returnflag", "l_linestatus", spread_rows=False)
+               "l_returnflag", "l_linestatus")
     # the same SQL expression text builds the body in both engines
-    return spread(li.selectExpr("l_orderkey * 10 + l_linenumber AS message_id", f"{QUEUE_BODY_SQL} AS body"))
+    return li.selectExpr("l_orderkey * 10 + l_linenumber AS message_id", f"{QUEUE_BODY_SQL} AS body")
 
 
 _ENC_KEY_SQL = f"""CASE WHEN l_linenumber = 3 THEN replace({_KEY_SQL}, 'ORD', 'ORD+')
@@ -168,7 +165,10 @@ _STATE_COLS = [
     "document_id", "status",
     "CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 'ORD' || CAST(o_orderkey AS STRING) END AS original_filename",
     f"'{BUCKET}' AS bucket_name",
-    "CASE WHEN o_orderkey % 7 <> 0 THEN 'exec-' || CAST(o_orderkey % 150 AS STRING) END AS step_function_execution_arn",
+    # an order's execution is that of the user of the event of the same number;
+    # some have none, and some one without any history
+    """CASE WHEN o_orderkey % 19 = 0 THEN 'exec-without-history-' || CAST(o_orderkey AS STRING)
+         WHEN o_orderkey % 7 <> 0 THEN 'exec-' || CAST(user_id AS STRING) END AS step_function_execution_arn""",
     """CASE WHEN status IN ('COMPLETE', 'LLM_RUNNING') OR (status = 'FAILED' AND o_orderkey % 3 = 0)
          THEN 'staging/' || document_id || '/combined.txt' END AS combined_key""",
     """CASE WHEN status = 'COMPLETE' THEN 'results/' || document_id || '_response.json'
@@ -180,15 +180,15 @@ _STATE_COLS = [
     "CASE WHEN o_orderkey % 10 = 3 AND o_orderkey % 9 <> 0 THEN CAST(o_orderkey % 9 AS INT) END AS zip_extracted_count",
     "CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS pii_processing_complete",
     "CASE WHEN o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 THEN 'PII timeout reading page' END AS pii_error",
-    "(o_orderkey % 5 <> 0 OR o_orderkey % 2 = 0) AS has_textract_jobs",
+    "o_orderkey % 2 = 0 AS has_empty_job_map",
     "o_orderkey", "o_custkey", "o_orderdate",
 ]
 _STATE_COLS_SQL = ",\n    ".join(_STATE_COLS)
 
 STATE_BASE_SQL = f"""
     SELECT {_STATE_COLS_SQL} FROM (
-      SELECT CAST(o_orderkey AS STRING) AS document_id, {_status_sql()} AS status, *
-      FROM orders)"""
+      SELECT CAST(o_orderkey AS STRING) AS document_id, {_status_sql()} AS status, o.*, e.user_id
+      FROM orders o LEFT JOIN (SELECT event_id, user_id FROM events) e ON e.event_id = o.o_orderkey)"""
 
 JOB_STATUS_SQL = """CASE WHEN l_partkey % 97 = 0 THEN 'FAILED' WHEN l_linestatus = 'F' THEN 'SYNC_COMPLETE'
         WHEN l_returnflag = 'A' THEN 'ASYNC_COMPLETE'
@@ -201,16 +201,18 @@ JOBS_SQL = f"""
     SELECT document_id, page_key, min(page_ordinal) AS page_ordinal, max(job_status) AS job_status FROM (
       SELECT CAST(l_orderkey AS STRING) AS document_id, {_KEY_SQL} AS page_key,
              CAST(l_linenumber AS BIGINT) AS page_ordinal, {JOB_STATUS_SQL} AS job_status
-      FROM lineitem WHERE l_orderkey % 5 <> 0)
+      FROM lineitem)
     GROUP BY document_id, page_key"""
 
 
 def state_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document state table (one row per order) with timestamps and counts."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-              "o_orderpriority", spread_rows=False)
-    base = spread(o.selectExpr("CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status", "*")
-                  .selectExpr(*_STATE_COLS))
+              "o_orderpriority")
+    runs = table(spark, sf_dir, "events", "event_id", "user_id")
+    base = (o.join(runs, F.col("event_id") == F.col("o_orderkey"), "left")
+            .selectExpr("CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status", "*")
+            .selectExpr(*_STATE_COLS))
     moved = (table(spark, sf_dir, "lineitem", "l_orderkey").groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).cast("int").alias("n_lines")))
     upd = F.timestamp_add("SECOND", F.col("o_custkey"), F.col("o_orderdate"))
@@ -235,8 +237,8 @@ STATE_DOCS_SQL = f"""
 
 def state_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
-               "l_linestatus", spread_rows=False)
-    rows = li.where(F.col("l_orderkey") % 5 != 0).select(
+               "l_linestatus")
+    rows = li.select(
         F.col("l_orderkey").cast("string").alias("document_id"), object_key_col().alias("page_key"),
         F.col("l_linenumber").cast("bigint").alias("page_ordinal"),
         F.expr(JOB_STATUS_SQL).alias("job_status"))
@@ -263,16 +265,16 @@ def _state_sql() -> str:
 
 HISTORY_SQL = f"""
     SELECT 'exec-' || CAST(user_id AS STRING) AS execution_id, event_id, ts,
-           {_history_type_sql()} AS type, {_state_sql()} AS state
+           {_history_type_sql()} AS type, CASE WHEN event_type = 'view' THEN {_state_sql()} END AS state
     FROM events WHERE event_type IN ({", ".join(f"'{k}'" for k in HISTORY_TYPE)})"""
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Execution history rows of the kept event types (A10)."""
+    """Execution history rows of the kept event types (A10); only entries name a state."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     return ev.where(F.col("event_type").isin(*HISTORY_TYPE)).selectExpr(
         "'exec-' || CAST(user_id AS STRING) AS execution_id", "event_id", "ts",
-        f"{_history_type_sql()} AS type", f"{_state_sql()} AS state")
+        f"{_history_type_sql()} AS type", f"CASE WHEN event_type = 'view' THEN {_state_sql()} END AS state")
 
 
 CHANGE_ATTR = {"view": "status", "click": "document_type", "purchase": "result_key",

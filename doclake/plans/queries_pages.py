@@ -131,13 +131,23 @@ def pii_boxes_sql() -> str:
     FROM m"""
 
 
+def pii_boxes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The box mapping from separate tables of lines, page texts and detections (C5, E7, H12, join form)."""
+    resp = B.ocr_responses(spark, sf_dir)
+    lines = PG.lines_from_blocks(resp, ["doc_id"])
+    text = PG.page_text_from_blocks(resp, ["doc_id"]).select("doc_id", "text")
+    det = pii.explode_detections(pii.with_detections(text), ["doc_id"])
+    boxed = pii.map_to_boxes(det, lines, text, ["doc_id"])
+    r = pii.redaction_rect(F.col("bbox"), F.lit(B.IMG_W), F.lit(B.IMG_H))
+    return boxed.select("doc_id", "det_idx", "pii_type", "pii_text", r["left"].alias("left"), r["top"].alias("top"),
+                        r["right"].alias("right"), r["bottom"].alias("bottom"))
+
+
 def masked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with every detected span replaced by a mask."""
-    docs = B.table(spark, sf_dir, "documents", "doc_id", "text").withColumn(
-        "text", F.coalesce(F.col("text"), F.lit("")))
-    det = pii.explode_detections(pii.with_detections(docs), ["doc_id"])
-    m = pii.mask_spans(docs, det, ["doc_id"], mask=MASK)
-    return m.select("doc_id", F.col("n_spans").cast("bigint").alias("n_spans"),
+    docs = pii.with_detections(B.table(spark, sf_dir, "documents", "doc_id", "text"))
+    m = pii.with_masked_text(docs, mask=MASK)
+    return m.select("doc_id", F.size("detections").cast("bigint").alias("n_spans"),
                     F.length("masked_text").cast("bigint").alias("n_chars"), F.md5("masked_text").alias("text_md5"))
 
 

@@ -60,12 +60,13 @@ DOCS_SQL = f"""
     SELECT d.*, coalesce(r.ocr_has_failures, false) AS ocr_has_failures,
            coalesce(r.ocr_all_complete, true) AS ocr_all_complete,
            coalesce(r.ocr_n_sync, 0) AS ocr_n_sync, coalesce(r.ocr_n_async, 0) AS ocr_n_async,
-           r.ocr_first_status
+           r.ocr_first_status, r.document_id IS NOT NULL OR d.has_empty_job_map AS has_textract_jobs
     FROM d LEFT JOIN r USING (document_id)"""
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TL.with_ocr_rollup(B.state_documents(spark, sf_dir), B.state_jobs(spark, sf_dir))
+    d = TL.with_ocr_rollup(B.state_documents(spark, sf_dir), B.state_jobs(spark, sf_dir))
+    return d.withColumn("has_textract_jobs", F.col("ocr_first_status").isNotNull() | F.col("has_empty_job_map"))
 
 
 # ----------------------------------------------------------------- queries

@@ -47,6 +47,7 @@ QUERIES = {
     "page_text_sink": (PG.page_text_sink, PG.page_text_sink_sql),
     "combined_text": (PG.combined_text, PG.combined_text_sql),
     "pii_boxes": (PG.pii_boxes, PG.pii_boxes_sql),
+    "pii_boxes_join": (PG.pii_boxes_join, PG.pii_boxes_sql),
     "masked_text": (PG.masked_text, PG.masked_text_sql),
     "state_fold": (C.state_fold, C.state_fold_sql),
     "change_detect": (C.change_detect, C.change_detect_sql),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,7 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # AQE merges small shuffle partitions towards the advisory size and splits
-    # skewed ones, so shuffle.partitions can be set high for the largest stage
+    # skewed ones, so the count is set for the largest stage (it does not split
+    # an aggregation): raise it with the data, ``shuffle_partitions``
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -31,18 +32,16 @@ def get_session(master: str | None = None, app: str = "doclake",
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or 8]`` for local runs; on a
-    cluster pass ``None`` through spark-submit and the master comes from there.
+    Without ``master`` the deployment decides (spark-submit, spark-defaults);
+    local runs name theirs, e.g. ``local[8]``. Driver memory is the
+    deployment's as well, unless given in ``extra``.
     """
     builder = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        master = f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -56,10 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the deployment and we only read
-    it. When it is unset (local tests) a fresh scratch folder is made.
+    it; there it must be set, since no other machine sees a local folder. On a
+    local master a fresh scratch folder is made.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="doclake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -5,21 +5,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doclake.plans.parallel import spread
-
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread_rows: bool = True) -> DataFrame:
-    """Read one table; selecting ``columns`` here keeps the scan's ReadSchema narrow.
+# A session setting of the caller, unset by default: deal the rows of every table
+# read here over this many partitions. For tables written as one row group,
+# which a scan cannot split.
+SCAN_PARTITIONS = "spark.doclake.scanPartitions"
+
 
-    With ``spread_rows`` a scan that yields fewer splits than the cluster has
-    cores (a file written as one row group) is dealt round-robin over all
-    cores before the row work; filters still reach the scan. On large inputs
-    the scan's own splits are kept and nothing is added.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Read one table; selecting ``columns`` here keeps the scan's ReadSchema narrow."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df) if spread_rows else df
+    parts = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df

@@ -282,7 +282,7 @@ def write_batches(outputs: dict[str, Callable[[DataFrame], DataFrame]], base: st
                     if name == "main":
                         raise
                     batch.sparkSession.createDataFrame(
-                        [(name, batch_id, str(e)[:1000])], "output string, batch_id long, error string"
+                        [(name, batch_id, str(e))], "output string, batch_id long, error string"
                     ).write.mode("append").format(fmt).save(f"{base}/_errors")
         finally:
             batch.unpersist()

@@ -4,7 +4,6 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from doclake.functions.pii import detect_pii
 from doclake.operators import pii
 import pii_twin
 
@@ -41,13 +40,6 @@ def test_fixture_cases(spark):
         assert pii_twin.detect(t) == FIXTURE_CASES[t], t
 
 
-def test_single_expression_form_matches_staged(spark):
-    texts = list(FIXTURE_CASES)
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
-    one = {r.id: [tuple(d) for d in r.d] for r in df.select("id", detect_pii(F.col("text")).alias("d")).collect()}
-    assert [one[i] for i in range(len(texts))] == _spark_detect(spark, texts)
-
-
 def test_driver_documents_match_python_twin(spark):
     texts = [t or "" for t in pq.read_table(f"{SF_SMALL}/documents.parquet", columns=["text"])
              .column("text").to_pylist()]
@@ -75,12 +67,11 @@ def test_summary_and_masking(spark):
     assert rows["d1"].total_pages == 2 and rows["d1"].pages_with_pii == 1
     assert rows["d1"].total_pii_instances == 2 and rows["d1"].pii_types_detected == ["ssn", "zip_code"]
     assert rows["d2"].detected_pii is False
-    texts = spark.createDataFrame([("a", "abcdefghij")], "k string, text string")
-    spans = spark.createDataFrame([("a", 1, 3), ("a", 2, 5), ("a", 5, 6), ("a", 8, 9)],
-                                  "k string, start_pos int, end_pos int")
-    out = pii.mask_spans(texts, spans, ["k"], mask="#").collect()[0]
+    row = spark.createDataFrame([("abcdefghij", [(1, 3), (2, 5), (5, 6), (8, 9)]), (None, None)],
+                                "text string, detections array<struct<start_pos:int,end_pos:int>>")
+    out = [r.masked_text for r in pii.with_masked_text(row, mask="#").collect()]
     # overlapping spans merge, an adjacent span starts a new mask
-    assert out.masked_text == "a##gh#j"
+    assert out == ["a##gh#j", ""]
 
 
 def test_boxes_exact_then_first_containing_line(spark):
@@ -114,3 +105,21 @@ def test_boxes_in_page_matches_join_form(spark):
     assert got["555.123.4567"] == (0.2, 0.7, 0.5, 0.1)
     assert got["123-45-6789"] == (0.1, 0.3, 0.5, 0.1)
     assert got["Ann Lee"] == (0.1, 0.9, 0.5, 0.1)
+
+
+def test_work_is_linear_in_matches_and_lines():
+    """Twice the matches and lines take about twice the time."""
+    import time
+
+    import pyarrow as pa
+    from doclake.functions import pii as rules
+
+    def seconds(n):
+        text = " ".join(f"Name: Ann Lee{chr(97 + i % 26)} {10000 + i} 555-123-{i % 10000:04d}" for i in range(n))
+        t0 = time.process_time()
+        found = rules._detections(pa.array([text]))
+        assert len(found[0]) > 2 * n
+        return time.process_time() - t0
+    seconds(500)
+    small, large = min(seconds(10000) for _ in range(3)), min(seconds(20000) for _ in range(3))
+    assert large < 3 * small
