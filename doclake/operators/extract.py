@@ -11,13 +11,15 @@ collected (bounded by the number of schema files) and used as literals.
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Callable, Iterator
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from doclake.functions import keys as K
+
 # ---------------------------------------------------------------------------
 # These must equal the reference's texts for equal requests.
 MODEL = "gpt-3.5-turbo"
@@ -54,12 +56,14 @@ DEFAULT_CATALOG = {"default": {"classification": {
     "description": "Classify the document type and extract key information",
     "fields": ["document_type", "confidence", "key_entities"]}}}
 UNKNOWN_TYPE = "unknown"
-NO_CLASSIFICATION = "OpenAI API call failed: Unknown error"
+CALL_FAILED = "OpenAI API call failed: "
+NO_CLASSIFICATION = CALL_FAILED + "Unknown error"
+HTTP_ERROR, API_ERROR = "HTTP error: %d - %s", "OpenAI API error: %d - %s"
+NO_CONTENT = "Request error: no message content in the response"
+NOT_A_DICT = "'%s' object has no attribute 'get'"
+PENDING, COMPLETE, FAILED = "LLM_RUNNING", "COMPLETE", "FAILED"
 # ---------------------------------------------------------------------------
 
-BUNDLED_SCHEMAS = os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources", "schemas")
-
-
 # --------------------------------------------------------------- catalog
 
 def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,12 +83,10 @@ def catalog_dict(catalog: DataFrame) -> dict:
 
 
 def bundled_catalog() -> dict:
-    out = {}
-    for name in sorted(os.listdir(BUNDLED_SCHEMAS)):
-        if name.endswith(".json"):
-            with open(os.path.join(BUNDLED_SCHEMAS, name)) as fh:
-                out[name.replace(".json", "")] = json.load(fh)
-    return out
+    """The schemas that come with the package (also when it is shipped as a zip file)."""
+    folder = resources.files("doclake").joinpath("resources", "schemas")
+    files = sorted((f for f in folder.iterdir() if f.name.endswith(".json")), key=lambda f: f.name)
+    return {f.name.replace(".json", ""): json.loads(f.read_text()) for f in files}
 
 
 _TYPES = {"string": T.StringType(), "number": T.DoubleType(), "integer": T.LongType(), "boolean": T.BooleanType()}
@@ -139,21 +141,51 @@ def request_id(pass_name: Column, prompt_col: Column) -> Column:
     return F.sha2(F.concat(pass_name, F.lit("|"), prompt_col), 256)
 
 
+def with_request(docs: DataFrame, pass_name: str, schema: dict, text_col: str = "text") -> DataFrame:
+    """Add ``pass_name``, ``prompt``, ``request_id`` and ``payload`` of one pass to each row (narrow)."""
+    return (docs.withColumn("pass_name", F.lit(pass_name)).withColumn("prompt", prompt(F.col(text_col), pass_name, schema))
+            .withColumn("request_id", request_id(F.col("pass_name"), F.col("prompt")))
+            .withColumn("payload", payload(F.col("prompt"))))
+
+
 def build_requests(docs: DataFrame, pass_name: str, schema: dict, doc_col: str = "document_id",
                    text_col: str = "text") -> DataFrame:
     """One request per document for one pass (narrow)."""
-    p = prompt(F.col(text_col), pass_name, schema)
-    return docs.select(doc_col, F.lit(pass_name).alias("pass_name"), p.alias("prompt")) \
-               .withColumn("request_id", request_id(F.col("pass_name"), F.col("prompt"))) \
-               .withColumn("payload", payload(F.col("prompt")))
+    return with_request(docs, pass_name, schema, text_col).select(doc_col, "pass_name", "prompt", "request_id", "payload")
+
+
+def second_pass_requests(docs: DataFrame, outcomes: DataFrame, catalog: dict, doc_col: str = "document_id",
+                         text_col: str = "text") -> DataFrame:
+    """One request per document whose outcome names a schema of the catalog (C7), for that schema's own pass.
+
+    The prompt parts of the few schemas are literals; only documents that need the pass are joined.
+    """
+    todo = outcomes.where(F.col("schema_name").isNotNull()).select("document_id", "schema_name")
+    joined = docs.withColumnRenamed(doc_col, "document_id").join(todo, "document_id")
+    p = F.lit(None).cast("string")
+    for name in sorted(catalog):
+        p = F.when(F.col("schema_name") == name, prompt(F.col(text_col), SPECIFIC_PREFIX + name, catalog[name])).otherwise(p)
+    return (joined.select("document_id", "schema_name", F.concat(F.lit(SPECIFIC_PREFIX), "schema_name").alias("pass_name"),
+                          p.alias("prompt"))
+            .withColumn("request_id", request_id(F.col("pass_name"), F.col("prompt")))
+            .withColumn("payload", payload(F.col("prompt"))))
 
 
 def pending_requests(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """Distinct requests that have no response yet (anti join on the request id)."""
-    return (requests.select("request_id", "payload").dropDuplicates(["request_id"])
+    """Distinct request ids that have no response yet, with the number of documents that wait for each.
+
+    Only ids travel: the payloads are looked up for what is left (``payloads_for``).
+    """
+    return (requests.groupBy("request_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_documents"))
             .join(responses.select("request_id"), "request_id", "left_anti"))
 
 
+def payloads_for(pending: DataFrame, requests: DataFrame, doc_col: str = "document_id") -> DataFrame:
+    """(request_id, payload) of the pending ids, from the one request of each that has the smallest document id."""
+    first = requests.groupBy("request_id").agg(F.min(doc_col).alias(doc_col)).join(pending, "request_id", "left_semi")
+    return requests.join(first, ["request_id", doc_col]).select("request_id", "payload")
+
+
 RESPONSE_SCHEMA = "request_id string, http_status int, body string"
 
 
@@ -166,7 +198,7 @@ def call_provider(pending: DataFrame, provider: Callable[[Iterator], Iterator])
 
 def replay_provider(recorded: DataFrame, pending: DataFrame) -> DataFrame:
     """Default provider: recorded responses, matched by request id (a join)."""
-    return pending.join(recorded, "request_id", "inner").select("request_id", "http_status", "body")
+    return pending.select("request_id").join(recorded, "request_id").select("request_id", "http_status", "body")
 
 
 # --------------------------------------------------------------- responses
@@ -204,7 +236,8 @@ def decode_responses(responses: DataFrame) -> DataFrame:
     Status 200: the first choice's content; a strict JSON object is the data, a
     text that is not JSON becomes ``{raw_text}`` (success, type 'unknown'), and
     other JSON values cannot be read as an object (``read_error``). Any other
-    status: success false with the error text.
+    status: success false with the error text, which tells a refused call
+    (300 and above) from another success code.
     """
     env = F.from_json(F.col("body"), _ENVELOPE)
     content = F.try_element_at(env["choices"], F.lit(1))["message"]["content"]
@@ -218,14 +251,15 @@ def decode_responses(responses: DataFrame) -> DataFrame:
               .when(ok & F.col("content").isNotNull() & ~F.coalesce(is_json, F.lit(False)), F.lit(UNKNOWN_TYPE)))
     # a 200 whose body has no first choice is a failed call, like any request error
     no_choice = ok & F.col("content").isNull()
+    body = F.coalesce(F.col("body"), F.lit(""))
     return (out.withColumn("success", ok & ~no_choice)
                .withColumn("json_kind", kind)
                .withColumn("document_type", dtype)
                .withColumn("read_error", F.when(ok & is_json & (kind != "OBJECT"), F.format_string(
-                   "'%s' object has no attribute 'get'", _py_type_name(kind))))
-               .withColumn("error", F.when(~ok, F.format_string("HTTP error: %d - %s", F.col("http_status"),
-                                                                 F.coalesce(F.col("body"), F.lit(""))))
-                                     .when(no_choice, F.lit("Request error: no message content in the response"))))
+                   NOT_A_DICT, _py_type_name(kind))))
+               .withColumn("error", F.when(no_choice, F.lit(NO_CONTENT)).when(
+                   ~ok & F.col("http_status").between(200, 299), F.format_string(API_ERROR, "http_status", body)).when(
+                   ~ok, F.format_string(HTTP_ERROR, "http_status", body))))
 
 
 def classification_outcome(decoded: DataFrame, catalog_names: list[str]) -> DataFrame:
@@ -234,43 +268,96 @@ def classification_outcome(decoded: DataFrame, catalog_names: list[str]) -> Data
     A failed call fails the document; a readable object gives its type (a
     JSON null type stays null); the type picks the second-pass schema through
     the fixed map (or its own name) and that pass runs only if the catalog has
-    the schema. Without a classification schema no document can complete.
+    the schema. A document without a response is still running. Without a
+    classification schema no document can complete. The columns are the same
+    in every case.
     """
     if CLASSIFICATION not in catalog_names:
-        return decoded.select("document_id", F.lit("FAILED").alias("status"),
-                              F.lit(NO_CLASSIFICATION).alias("last_error"))
+        none = F.lit(None).cast("string")
+        return decoded.select("document_id", F.lit(False).alias("success"), none.alias("document_type"),
+                              none.alias("schema_name"), F.array().cast("array<string>").alias("schema_passes"),
+                              F.lit(FAILED).alias("status"), F.lit(NO_CLASSIFICATION).alias("last_error"))
     m = F.create_map(*[x for k, v in TYPE_TO_SCHEMA.items() for x in (F.lit(k), F.lit(v))])
     t = F.col("document_type")
     schema_name = F.coalesce(m[t], t)
-    second = F.coalesce(schema_name.isin(*catalog_names), F.lit(False)) & F.col("success") \
-        & F.col("read_error").isNull()
-    failed_msg = F.coalesce(F.concat(F.lit("OpenAI API call failed: "), F.col("error")), F.col("read_error"))
-    passes = F.array_compact(F.array(F.lit(CLASSIFICATION),
+    waiting = F.col("success").isNull()
+    read = F.coalesce(F.col("success"), F.lit(False)) & F.col("read_error").isNull()
+    second = F.coalesce(schema_name.isin(*catalog_names), F.lit(False)) & read
+    passes = F.array_compact(F.array(F.when(~waiting, F.lit(CLASSIFICATION)),
                                      F.when(second, F.concat(F.lit(SPECIFIC_PREFIX), schema_name))))
     return decoded.select(
         "document_id", "success", t.alias("document_type"),
         F.when(second, schema_name).alias("schema_name"), passes.alias("schema_passes"),
-        F.when(F.col("success") & F.col("read_error").isNull(), F.lit("COMPLETE")).otherwise(F.lit("FAILED"))
-        .alias("status"),
-        F.when(~F.col("success") | F.col("read_error").isNotNull(), failed_msg).alias("last_error"))
+        F.when(waiting, F.lit(PENDING)).when(read, F.lit(COMPLETE)).otherwise(F.lit(FAILED)).alias("status"),
+        F.when(~waiting & ~read, F.coalesce(F.concat(F.lit(CALL_FAILED), F.col("error")), F.col("read_error")))
+        .alias("last_error"))
+
+
+def decoded_for(requests: DataFrame, responses: DataFrame) -> DataFrame:
+    """Every request with its decoded response; all response columns are null while it is pending."""
+    return requests.select("document_id", "request_id").join(decode_responses(responses), "request_id", "left")
+
+
+# --------------------------------------------------------------- result document
+
+def call_result(success: Column, content: Column, json_kind_col: Column, error: Column) -> Column:
+    """One call's part of the result document, as JSON text: its data (the object, or the raw text) or its error."""
+    data = F.when(json_kind_col.isNotNull(), content).otherwise(F.to_json(F.struct(content.alias("raw_text"))))
+    raw = F.to_json(F.struct(content.alias("raw_response")))
+    good = F.concat(F.lit('{"success":true,"data":'), data, F.lit(","), F.substr(raw, F.lit(2)))
+    bad = F.concat(F.lit('{"success":false,'), F.substr(F.to_json(F.struct(error.alias("error"))), F.lit(2)))
+    return F.when(success, good).when(~success, bad)
+
+
+def result_documents(outcomes: DataFrame, first: DataFrame, second: DataFrame, timestamp: str) -> DataFrame:
+    """``document_id, result_key, result_json`` of every finished document: both passes' answers, the list of passes
+    and the time of processing. ``first`` and ``second`` hold the decoded responses per document."""
+    def part(d: DataFrame, name: str) -> DataFrame:
+        return d.select("document_id", call_result(F.col("success"), F.col("content"), F.col("json_kind"),
+                                                   F.col("error")).alias(name))
+    j = (outcomes.where(F.col("status") == COMPLETE).select("document_id", "schema_passes")
+         .join(part(first, "_a"), "document_id").join(part(second, "_b"), "document_id", "left"))
+    analysis = F.concat(F.lit('{"classification":'), F.col("_a"), F.coalesce(
+        F.concat(F.lit(',"specific_extraction":'), F.col("_b")), F.lit("")), F.lit("}"))
+    passes = F.concat(F.lit('["'), F.array_join("schema_passes", '","'), F.lit('"]'))
+    return j.select("document_id", K.result_key(F.col("document_id")).alias("result_key"), F.concat(
+        F.lit('{"document_analysis":'), analysis, F.lit(f',"processing_timestamp":"{timestamp}","schema_passes":'),
+        passes, F.lit("}")).alias("result_json"))
+
+
+def typed_answers(decoded: DataFrame, schema: dict) -> DataFrame:
+    """Decoded answers with ``answer``: the content read with the schema's compiled type (null fields where absent)."""
+    return decoded.withColumn("answer", F.from_json("content", compile_schema(schema)))
 
 
 def extraction_violations(content: Column, schema: dict) -> Column:
-    """Declared-but-unchecked rules of a schema as a violations array: missing
-    required fields, values outside an enum, confidence outside [0, 1]."""
-    keys = F.json_object_keys(content)
+    """Declared-but-unchecked rules of a schema as a violations array: missing required fields, values of another
+    JSON type, values outside an enum, confidence outside [0, 1]; the fields of nested objects too, by their path."""
+    return F.array_compact(F.array(*_checks(content, schema.get("fields", {}), "$", ""), F.lit(None).cast("string")))
+
+
+def _checks(content: Column, fields: dict, at: str, shown: str) -> list[Column]:
+    holder = content if at == "$" else F.get_json_object(content, at)
+    keys = F.json_object_keys(holder)
     checks = []
-    for name, spec in schema.get("fields", {}).items():
-        if not isinstance(spec, dict):
-            continue
-        val = F.get_json_object(content, f"$.{name}")
+    for name, spec in fields.items():
+        if isinstance(spec, str):
+            spec = {"type": spec}
+        path, label = f"{at}.{name}", f"{shown}{name}"
+        val = F.get_json_object(content, path)
+        there = F.coalesce(F.array_contains(keys, name), F.lit(False))
         if spec.get("required"):
-            checks.append(F.when(~F.coalesce(F.array_contains(keys, name), F.lit(False)),
-                                 F.lit(f"missing:{name}")))
+            checks.append(F.when(~there, F.lit(f"missing:{label}")))
+        kind = F.schema_of_variant(F.variant_get(F.try_parse_json(content), path, "variant"))
+        wanted = {"array": kind.startswith("ARRAY"), "object": kind.startswith("OBJECT"),
+                  "string": kind == "STRING", "boolean": kind == "BOOLEAN"}.get(
+            spec.get("type", "string"), kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"))
+        checks.append(F.when(val.isNotNull() & ~wanted, F.lit(f"type:{label}")))
         if spec.get("enum"):
-            checks.append(F.when(val.isNotNull() & ~val.isin(*spec["enum"]), F.lit(f"enum:{name}")))
+            checks.append(F.when(val.isNotNull() & ~val.isin(*spec["enum"]), F.lit(f"enum:{label}")))
         if name == "confidence":
             num = val.try_cast("double")
-            checks.append(F.when(val.isNotNull() & (num.isNull() | (num < 0) | (num > 1)),
-                                 F.lit(f"range:{name}")))
-    return F.array_compact(F.array(*checks))
+            checks.append(F.when(val.isNotNull() & (num.isNull() | (num < 0) | (num > 1)), F.lit(f"range:{label}")))
+        if spec.get("type") == "object" and spec.get("properties"):
+            checks += _checks(content, spec["properties"], path, f"{label}.")
+    return checks

@@ -48,6 +48,18 @@ def page_text_from_blocks(responses: DataFrame, keys: list[str], blocks_col: str
                             F.size(lines).cast("bigint").alias("n_lines"))
 
 
+def page_text_from_parts(responses: DataFrame, keys: list[str], part_col: str = "part_no",
+                         blocks_col: str = "Blocks") -> DataFrame:
+    """Page text of paginated OCR results: the parts of a page (rows with equal ``keys``) in the order of
+    ``part_col``, lines in block order. Each part becomes its text first, so one short row per part is grouped."""
+    parts = page_text_from_blocks(responses, [*keys, part_col], blocks_col)
+    return (parts.groupBy(*keys)
+            .agg(F.sort_array(F.collect_list(F.struct(F.col(part_col).alias("o"), F.col("n_lines").alias("n"),
+                                                      F.col("text").alias("t")))).alias("_p"))
+            .select(*keys, F.array_join(F.transform(F.filter("_p", lambda x: x["n"] > 0), lambda x: x["t"]), "\n")
+                    .alias("text"), F.aggregate("_p", F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("n_lines")))
+
+
 def page_text(lines: DataFrame, keys: list[str], ord_col: str = "line_ord") -> DataFrame:
     """Page text from a line table (lines of one page can come from several rows)."""
     return (lines.groupBy(*keys)

@@ -364,24 +364,44 @@ def llm_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("doc_id").cast("string").alias("document_id"), "doc_id", "text", "lang", "source")
 
 
-def llm_recorded(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
-    """Recorded responses for the classification requests of documents with
-    doc_id % 4 <> 0 (the rest are pending)."""
-    d = llm_documents(spark, sf_dir).selectExpr("document_id", "doc_id", f"{LLM_CONTENT_SQL} AS content",
-                                                f"{LLM_STATUS_SQL} AS http_status")
-    env = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("content").alias("content")).alias("message")))
+# what a second pass would answer, by doc_id
+LLM_SECOND_SQL = """CASE WHEN doc_id % 9 = 0 THEN 'no answer'
+        WHEN doc_id % 4 = 1 THEN '{"vendor_name":"V' || CAST(doc_id AS STRING)
+             || '","invoice_number":17,"total_amount":"12.50","line_items":[{"description":"x","quantity":"1"}]}'
+        WHEN doc_id % 4 = 2 THEN '{"offer_type":"card","bank_name":"B","fees":{"annual_fee":95,"late_payment_fee":"10"}}'
+        ELSE '{"insurance_type":"life","insurance_company":null,"special_offers":"none"}' END"""
+LLM_SECOND_STATUS_SQL = "CASE WHEN doc_id % 31 = 0 THEN 503 WHEN doc_id % 29 = 0 THEN 202 ELSE 200 END"
+
+
+def _response(content: str, status: str) -> list:
+    """(http_status, body) of a recorded answer."""
+    env = F.to_json(F.struct(F.array(F.struct(F.struct(F.expr(content).alias("content")).alias("message")))
                              .alias("choices")))
-    body = F.when(F.col("http_status") == 200, env).otherwise(F.lit("rate limited"))
-    r = requests.select("document_id", "request_id").join(d, "document_id")
-    # documents with identical text share a request: the recorded response is
-    # the one of the smallest doc_id (explicit, not whichever row comes first)
-    rec = (r.where(F.col("doc_id") % 4 != 0)
-           .select("request_id", "doc_id", F.col("http_status").cast("int").alias("http_status"), body.alias("body")))
-    return (rec.groupBy("request_id")
-            .agg(F.min_by(F.struct("http_status", "body"), F.col("doc_id")).alias("r"))
+    st = F.expr(status).cast("int")
+    return [st.alias("http_status"), F.when(st == 200, env).otherwise(F.lit("rate limited")).alias("body")]
+
+
+def _by_request(rows: DataFrame) -> DataFrame:
+    """Documents with identical text share a request: the recorded response is
+    the one of the smallest doc_id (explicit, not whichever row comes first)."""
+    return (rows.groupBy("request_id").agg(F.min_by(F.struct("http_status", "body"), F.col("doc_id")).alias("r"))
             .select("request_id", "r.http_status", "r.body"))
 
 
+def llm_recorded(spark: SparkSession, sf_dir: str, schema: dict) -> DataFrame:
+    """Recorded responses of the classification pass, for the requests of documents with doc_id % 4 <> 0
+    (the rest are pending)."""
+    from doclake.operators import extract as X
+    d = X.with_request(llm_documents(spark, sf_dir).where(F.col("doc_id") % 4 != 0), X.CLASSIFICATION, schema)
+    return _by_request(d.select("request_id", "doc_id", *_response(LLM_CONTENT_SQL, LLM_STATUS_SQL)))
+
+
+def llm_recorded_second(requests: DataFrame) -> DataFrame:
+    """Recorded responses of the given second-pass requests (all of them)."""
+    r = requests.select("request_id", F.col("document_id").cast("bigint").alias("doc_id"))
+    return _by_request(r.select("request_id", "doc_id", *_response(LLM_SECOND_SQL, LLM_SECOND_STATUS_SQL)))
+
+
 # ------------------------------------------------------------------ CFG
 PII_FLAG = {"config_key": "pii_processing", "config_type": "feature_flag", "enabled": True,
             "s3_buckets": ["src1", "src3", "src5"]}

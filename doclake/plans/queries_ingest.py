@@ -122,9 +122,9 @@ def envelope_decode_sql() -> str:
              FROM (SELECT message_id, json_extract(body, '$.Records[*]') AS recs FROM r WHERE reason IS NULL))
     SELECT message_id, CAST(i AS INTEGER) AS record_idx, json_extract_string(recs[i + 1], '$.s3.bucket.name') AS bucket,
            url_decode(replace(json_extract_string(recs[i + 1], '$.s3.object.key'), '+', ' ')) AS object_key,
-           CAST(NULL AS VARCHAR) AS error_reason
+           CASE WHEN url_decode(replace(json_extract_string(recs[i + 1], '$.s3.object.key'), '+', ' ')) NOT LIKE 'incoming/%'
+                THEN 'outside_prefix' END AS error_reason
     FROM good
-    WHERE url_decode(replace(json_extract_string(recs[i + 1], '$.s3.object.key'), '+', ' ')) LIKE 'incoming/%'
     UNION ALL
     SELECT message_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), reason
     FROM r WHERE reason IS NOT NULL"""

@@ -56,6 +56,9 @@ QUERIES = {
     "llm_requests": (X.llm_requests, X.llm_requests_sql),
     "llm_pending": (X.llm_pending, X.llm_pending_sql),
     "llm_outcomes": (X.llm_outcomes, X.llm_outcomes_sql),
+    "llm_second_pass": (X.llm_second_pass, X.llm_second_pass_sql),
+    "llm_results": (X.llm_results, X.llm_results_sql),
+    "extraction_typed": (X.extraction_typed, X.extraction_typed_sql),
     "extraction_check": (X.extraction_check, X.extraction_check_sql),
     "pii_gate": (X.pii_gate, X.pii_gate_sql),
 }

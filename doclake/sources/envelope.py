@@ -4,7 +4,7 @@ shapes of the PII branch. Rows that cannot be processed are kept with an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,13 @@ PII_MESSAGE = T.StructType([
 ])
 
 
+def _one_json(body: Column) -> Column:
+    """Exactly one JSON value, no trailing text (the one-element array and the
+    object wrapper each reject a different kind of trailing text)."""
+    return (F.coalesce(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, F.lit(False))
+            & F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull())
+
+
 def explode_queue_batch(batches: DataFrame, col: str = "payload", id_col: str = "batch_id") -> DataFrame:
     """A delivered batch ``{"Records": [{eventSource, body}, ...]}`` -> one row per
     queue record (all of them)."""
@@ -56,17 +63,15 @@ def decode_storage_events(messages: DataFrame, id_cols: list[str], body_col: str
     """Queue records -> one row per storage record with the decoded object key.
 
     Output columns: ``id_cols``, record_idx, bucket, object_key, event_time,
-    error_reason. ``error_reason`` is null on good rows; bad messages (body not
-    JSON, test events, no records) give one row with the reason. With
-    ``require_sources`` the queue and storage sources must be the expected
-    ones (the archive and PII readers check, the ingest reader does not), and
-    ``prefix`` keeps only keys under it.
+    error_reason. ``error_reason`` is null on good rows. Nothing is dropped: a
+    bad message (body not JSON, a test event, no records, not from the queue)
+    gives one row with the reason, and a record that is not from the store
+    (with ``require_sources``, which the archive and PII readers check and the
+    ingest reader does not) or whose key is outside ``prefix`` keeps its row
+    with the reason.
     """
     body = F.col(body_col)
-    # strict: exactly one JSON value, no trailing text (the one-element array
-    # and the object wrapper each reject a different kind of trailing text)
-    valid = (F.coalesce(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, F.lit(False))
-             & F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}"))).isNotNull())
+    valid = _one_json(body)
     ev = F.when(valid, F.from_json(body, STORAGE_EVENT))
     base = messages.select(*id_cols, valid.alias("_valid"), ev.alias("_ev"),
                            *([F.col(source_col).alias("_src")] if source_col else []))
@@ -83,13 +88,18 @@ def decode_storage_events(messages: DataFrame, id_cols: list[str], body_col: str
         i.alias("record_idx"), r["s3"]["bucket"]["name"].alias("bucket"),
         K.decode_key(r["s3"]["object"]["key"]).alias("object_key"), r["eventTime"].alias("event_time"),
         F.lit(None).cast("string").alias("error_reason"), r["eventSource"].alias("src")))
-    keep = (lambda x: F.coalesce(x["src"] == STORAGE_SOURCE, F.lit(False))) if require_sources else None
-    if keep is not None:
-        recs = F.filter(recs, keep)
-    if prefix:
-        recs = F.filter(recs, lambda x: F.coalesce(x["object_key"].startswith(prefix), F.lit(False)))
-    good = F.transform(recs, lambda x: F.struct(x["record_idx"], x["bucket"], x["object_key"], x["event_time"],
-                                                 x["error_reason"]).cast(row_ddl))
+    wrong = F.lit(None).cast("string")
+
+    def judged(x):
+        why = wrong
+        if prefix:
+            why = F.when(~F.coalesce(x["object_key"].startswith(prefix), F.lit(False)), F.lit("outside_prefix"))
+        if require_sources:
+            why = F.when(~F.coalesce(x["src"] == STORAGE_SOURCE, F.lit(False)),
+                         F.lit("not_a_storage_record")).otherwise(why)
+        return F.struct(x["record_idx"], x["bucket"], x["object_key"], x["event_time"],
+                        why.alias("error_reason")).cast(row_ddl)
+    good = F.transform(recs, judged)
     # one pass: each message becomes its output rows, exploded once
     out = base.select(*id_cols, F.explode(F.when(reason.isNotNull(), bad).otherwise(good)).alias("o"))
     return out.select(*id_cols, "o.*")
@@ -109,24 +119,26 @@ def decode_pii_messages(messages: DataFrame, id_col: str, col: str = "payload",
     A queue shape ``{"Records": [{eventSource, body}]}`` gives one message per
     record (every record, not only the last); a direct shape carries the
     fields at top level. A missing bucket falls back to ``default_bucket``.
-    Messages without text keys are quarantined with the reader's message.
+    Nothing is dropped: a body that is not one JSON value, a record that is
+    not from the queue and a message without text keys each keep a row with
+    the reason.
     """
     raw = F.col(col)
-    queue = F.from_json(raw, QUEUE_BATCH)
-    direct = F.from_json(raw, PII_MESSAGE)
-    is_queue = F.coalesce(F.size(queue["Records"]), F.lit(0)) > 0
-    q = (messages.where(is_queue)
-         .select(id_col, F.posexplode(queue["Records"]).alias("msg_idx", "r"))
-         .where(F.col("r.eventSource") == QUEUE_SOURCE)
-         .select(id_col, "msg_idx", F.col("r.body").alias("_b")))
-    q = q.select(id_col, "msg_idx", F.try_parse_json("_b").isNotNull().alias("_ok"),
-                 F.from_json("_b", PII_MESSAGE).alias("m"))
-    q = q.where("_ok").drop("_ok")
-    d = messages.where(~is_queue).select(id_col, F.lit(0).alias("msg_idx"), direct.alias("m"))
-    both = q.unionByName(d)
-    out = both.select(id_col, "msg_idx", F.col("m.document_id").alias("document_id"),
-                      F.coalesce("m.pages", F.array().cast("array<string>")).alias("pages"),
-                      F.coalesce("m.ocr_text_keys", F.array().cast("array<string>")).alias("ocr_text_keys"),
-                      F.coalesce("m.bucket_name", F.lit(default_bucket)).alias("bucket_name"))
-    return out.withColumn("error_reason", F.when(
-        F.size("ocr_text_keys") == 0, F.lit("No OCR text keys provided for PII processing")))
+    valid = _one_json(raw)
+    queue = F.when(valid, F.from_json(raw, QUEUE_BATCH))
+    in_queue = F.coalesce(F.size(queue["Records"]), F.lit(0)) > 0
+    # a direct message is one body that needs no source
+    bodies = F.when(in_queue, F.transform(queue["Records"], lambda r: F.struct(
+        r["body"].alias("body"), F.coalesce(r["eventSource"] == QUEUE_SOURCE, F.lit(False)).alias("trusted")))).otherwise(
+        F.array(F.struct(raw.alias("body"), F.lit(True).alias("trusted"))))
+    one = messages.select(id_col, F.posexplode(bodies).alias("msg_idx", "r")).select(
+        id_col, "msg_idx", F.col("r.trusted").alias("_trusted"), _one_json(F.col("r.body")).alias("_valid"),
+        F.from_json("r.body", PII_MESSAGE).alias("m"))
+    keys = F.coalesce("m.ocr_text_keys", F.array().cast("array<string>"))
+    return one.select(
+        id_col, "msg_idx", F.col("m.document_id").alias("document_id"),
+        F.coalesce("m.pages", F.array().cast("array<string>")).alias("pages"), keys.alias("ocr_text_keys"),
+        F.coalesce("m.bucket_name", F.lit(default_bucket)).alias("bucket_name"),
+        F.when(~F.col("_trusted"), F.lit("not_a_queue_record"))
+         .when(~F.col("_valid"), F.lit("malformed_json"))
+         .when(F.size(keys) == 0, F.lit("No OCR text keys provided for PII processing")).alias("error_reason"))

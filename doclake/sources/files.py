@@ -3,18 +3,24 @@ execution history, object listings and config tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.functions import keys as K
 from doclake.operators.pages import OCR_RESPONSE
 
 
-def read_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFrame:
-    """Whole text objects as (text_key, text): one row per file."""
+def stored_key(root: str) -> Column:
+    """A read file's key in its bucket: its path below ``root``, as the sinks and records write it."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.substring_index(path, root.rstrip("/") + "/", -1)
+
+
+def read_texts(spark: SparkSession, root: str, prefix: str = "staging/", glob: str = "*.txt") -> DataFrame:
+    """Whole text objects of the bucket folder ``root`` as (text_key, text): one row per file."""
     df = (spark.read.option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob).text(folder, wholetext=True))
-    return df.select(F.col("_metadata.file_path").alias("text_key"), F.col("value").alias("text"))
+          .option("pathGlobFilter", glob).text(f"{root.rstrip('/')}/{prefix}", wholetext=True))
+    return df.select(stored_key(root).alias("text_key"), F.col("value").alias("text"))
 
 
 def texts_for_keys(keys: DataFrame, texts: DataFrame, key_col: str = "text_key",
@@ -25,20 +31,28 @@ def texts_for_keys(keys: DataFrame, texts: DataFrame, key_col: str = "text_key",
     return j.withColumn("text", F.coalesce(F.col("text"), F.lit(""))) if missing_as_empty else j
 
 
-def read_ocr_responses(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored OCR responses (JSON with ``Blocks``), schema given, no inference;
-    every page of a paginated result is a file, so all blocks are read."""
-    df = spark.read.schema(OCR_RESPONSE).option("recursiveFileLookup", "true").json(folder)
-    return df.select(F.col("_metadata.file_path").alias("response_key"), "Blocks")
+def read_ocr_responses(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """Stored OCR responses (JSON with ``Blocks``), schema given, no inference.
+    Every part of a paginated result is a file; ``part_no`` is the number at
+    the end of its name (0 without one), which orders the parts."""
+    df = spark.read.schema(OCR_RESPONSE).option("recursiveFileLookup", "true").json(f"{root.rstrip('/')}/{prefix}")
+    key = stored_key(root)
+    part = F.regexp_extract(key, r"(\d+)\.[^./]*$", 1)
+    return df.select(key.alias("response_key"), F.coalesce(part.try_cast("int"), F.lit(0)).alias("part_no"), "Blocks")
 
 
-def read_results(spark: SparkSession, folder: str, schema: str | None = None) -> DataFrame:
+def read_results(spark: SparkSession, root: str, prefix: str = "results/", schema: str | None = None) -> DataFrame:
     """Result objects with their key, joinable on a record's ``result_key``."""
     r = spark.read.option("recursiveFileLookup", "true")
     if schema:
         r = r.schema(schema)
-    df = r.option("multiLine", True).json(folder)
-    return df.withColumn("result_key", F.col("_metadata.file_path"))
+    df = r.option("multiLine", True).json(f"{root.rstrip('/')}/{prefix}")
+    return df.withColumn("result_key", stored_key(root))
+
+
+def results_for_documents(docs: DataFrame, results: DataFrame) -> DataFrame:
+    """Documents with the stored result of their ``result_key`` (null columns without one)."""
+    return docs.join(results, "result_key", "left")
 
 
 HISTORY_TYPES = ("TaskStateEntered", "TaskSucceeded", "TaskFailed")

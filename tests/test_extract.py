@@ -42,7 +42,11 @@ def test_decode_three_way_and_routing(spark):
     e = X.classification_outcome(empty, ["classification"]).first()
     assert e.status == "FAILED" and e.last_error.startswith("OpenAI API call failed: Request error")
     none = {r.document_id: r for r in X.classification_outcome(dec, ["invoice"]).collect()}
-    assert none["0"].status == "FAILED"
+    assert none["0"].status == "FAILED" and none["0"].last_error == "OpenAI API call failed: Unknown error"
+    assert none["0"].schema_passes == [] and none["0"].asDict().keys() == out["0"].asDict().keys()
+    accepted = X.decode_responses(spark.createDataFrame([("x", "rx", 202, "later")],
+                                                        "document_id string, request_id string, http_status int, body string"))
+    assert accepted.first().error == "OpenAI API error: 202 - later"
 
 
 def test_schema_compile_shorthand_and_nesting():
@@ -51,11 +55,11 @@ def test_schema_compile_shorthand_and_nesting():
     assert st["confidence"].dataType == T.DoubleType()
     assert st["key_entities"].dataType == T.ArrayType(T.StringType())
     cc = X.compile_schema(cat["credit_cards"])
-    rewards = cc["rewards"].dataType
+    rewards = cc["rewards_program"].dataType
     assert isinstance(rewards, T.StructType)
     assert rewards["bonus_categories"].dataType.elementType["category"].dataType == T.StringType()
     inv = X.compile_schema(cat["invoice"])
-    assert inv["line_items"].dataType.elementType["amount"].dataType == T.StringType()
+    assert inv["line_items"].dataType.elementType["unit_price"].dataType == T.StringType()
     assert X.compile_schema(X.DEFAULT_CATALOG["default"]["classification"])["document_type"].dataType == T.StringType()
 
 
@@ -80,7 +84,8 @@ def test_prompts_requests_and_provider(spark):
         for pdf in batches:
             yield pd.DataFrame({"request_id": pdf["request_id"], "http_status": 200,
                                 "body": '{"choices":[{"message":{"content":"{\\"document_type\\":\\"letter\\"}"}}]}'})
-    got = X.call_provider(pend, provider).collect()
+    assert [r.n_documents for r in pend.collect()] == [2]
+    got = X.call_provider(X.payloads_for(pend, req), provider).collect()
     assert len(got) == 1 and got[0].http_status == 200
 
 
@@ -93,6 +98,35 @@ def test_violations(spark):
     assert v[0] == ["enum:document_type", "range:confidence"]
     assert v[1] == []
     assert v[2] == ["missing:document_type", "missing:confidence", "enum:industry"]
+    nested = {"fields": {"a": {"type": "object", "properties": {"b": {"type": "string", "required": True}, "c": "array"}}}}
+    df = spark.createDataFrame([('{"a": {"c": "x"}}',), ('{"a": {"b": 1, "c": []}}',), ('{"a": []}',), ("{}",)], "c string")
+    v = [r.v for r in df.select(X.extraction_violations(F.col("c"), nested).alias("v")).collect()]
+    assert v == [["missing:a.b", "type:a.c"], ["type:a.b"], ["type:a", "missing:a.b"], ["missing:a.b"]]
+
+
+def test_second_pass_and_result_document(spark):
+    cat = X.bundled_catalog()
+    docs = spark.createDataFrame([("0", "bill"), ("1", "note"), ("2", "x")], "document_id string, text string")
+    first = X.decode_responses(_resp(spark, [(200, '{"document_type": "receipt"}'), (200, "plain"), (500, None)]))
+    out = X.classification_outcome(first, sorted(cat))
+    req = X.second_pass_requests(docs, out, cat)
+    rows = req.collect()
+    assert [(r.document_id, r.schema_name, r.pass_name) for r in rows] == [("0", "invoice", "specific_extraction_invoice")]
+    assert '"vendor_name"' in rows[0].prompt and "Document Text:\nbill\n" in rows[0].prompt
+    got = req.select("document_id", "request_id").join(spark.createDataFrame(
+        [(rows[0].request_id, 200, json.dumps({"choices": [{"message": {"content": '{"vendor_name": "V"}'}}]}))],
+        X.RESPONSE_SCHEMA), "request_id")
+    results = {r.document_id: json.loads(r.result_json)
+               for r in X.result_documents(out, first, X.decode_responses(got), "2026-01-01").collect()}
+    assert sorted(results) == ["0", "1"]
+    a = results["0"]["document_analysis"]
+    assert a["classification"]["data"] == {"document_type": "receipt"} and a["classification"]["success"]
+    assert a["specific_extraction"]["data"] == {"vendor_name": "V"}
+    assert results["0"]["schema_passes"] == ["classification", "specific_extraction_invoice"]
+    assert results["1"]["document_analysis"]["classification"] == {
+        "success": True, "data": {"raw_text": "plain"}, "raw_response": "plain"}
+    typed = X.typed_answers(X.decode_responses(got), cat["invoice"]).first().answer
+    assert typed.vendor_name == "V" and typed.line_items is None
 
 
 def test_catalog_reader(spark, tmp_path):

@@ -79,7 +79,7 @@ def test_envelope_cases(spark):
     assert by[3][0].error_reason == "test_event"
     assert by[4][0].error_reason == "malformed_json" and by[5][0].error_reason == "malformed_json"
     assert by[6][0].object_key == "incoming/my file 2.jpg"
-    assert 7 not in by
+    assert (by[7][0].object_key, by[7][0].error_reason) == ("elsewhere/x.jpg", "outside_prefix")
     assert by[8][0].error_reason == "not_a_queue_record"
 
 
@@ -92,3 +92,12 @@ def test_pii_message_shapes(spark):
     assert out["d1"].bucket_name == "main" and out["d1"].error_reason is None
     assert out["d2"].error_reason.startswith("No OCR text keys")
     assert out["d3"].bucket_name == "other"
+
+
+def test_bad_pii_messages_keep_a_row(spark):
+    msgs = [(1, '{"Records":[{"eventSource":"aws:sqs","body":"{bad"},{"eventSource":"other","body":"{}"}]}'),
+            (2, "{bad"), (3, None), (4, '{"document_id":"d"} trailing'), (5, '{"document_id":"d"}')]
+    out = V.decode_pii_messages(spark.createDataFrame(msgs, "id int, payload string"), "id").collect()
+    assert sorted((r.id, r.msg_idx, r.error_reason) for r in out) == [
+        (1, 0, "malformed_json"), (1, 1, "not_a_queue_record"), (2, 0, "malformed_json"), (3, 0, "malformed_json"),
+        (4, 0, "malformed_json"), (5, 0, "No OCR text keys provided for PII processing")]

@@ -4,6 +4,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from doclake.operators import ingest as I
+from doclake.operators import pages as PG
 from doclake.operators import pii
 from doclake.operators import state as ST
 from doclake.sources import files as FS
@@ -19,20 +20,22 @@ def test_listing_and_text_reads(spark, tmp_path):
     (root / "staging" / "d" / "text_page_1.txt").write_text("hello\nworld")
     keys = {r.object_key for r in FS.list_objects(spark, str(root)).collect()}
     assert keys == {"incoming/a-1.jpg"}  # one folder level, like a delimiter listing
-    texts = FS.read_texts(spark, str(root / "staging"))
-    row = texts.collect()[0]
-    assert row.text == "hello\nworld" and row.text_key.endswith("text_page_1.txt")
-    wanted = spark.createDataFrame([(row.text_key,), ("missing",)], "text_key string")
-    got = {r.text_key: r.text for r in FS.texts_for_keys(wanted, texts).collect()}
-    assert got["missing"] == ""
+    (root / "staging" / "my doc+1").mkdir()
+    (root / "staging" / "my doc+1" / "text_page_2.txt").write_text("x")
+    # the keys that the page-text sink writes find their objects
+    pages = spark.createDataFrame([("d", 1, ""), ("my doc+1", 2, ""), ("gone", 1, "")], "document_id string, page_ordinal long, text string")
+    wanted = PG.page_text_sink(pages).select("text_key")
+    got = {r.text_key: r.text for r in FS.texts_for_keys(wanted, FS.read_texts(spark, str(root))).collect()}
+    assert got == {"staging/d/text_page_1.txt": "hello\nworld", "staging/my doc+1/text_page_2.txt": "x",
+                   "staging/gone/text_page_1.txt": ""}
 
 
 def test_results_join_and_result_json(spark, tmp_path):
-    (tmp_path / "r1_response.json").write_text(json.dumps({"schema_passes": ["classification"]}))
-    res = FS.read_results(spark, str(tmp_path))
-    docs = spark.createDataFrame([("d1", res.select("result_key").first()[0]), ("d2", None)],
-                                 "document_id string, result_key string")
-    j = {r.document_id: r.schema_passes for r in docs.join(res, "result_key", "left").collect()}
+    (tmp_path / "results").mkdir()
+    (tmp_path / "results" / "d1_response.json").write_text(json.dumps({"schema_passes": ["classification"]}))
+    docs = spark.createDataFrame([("d1", "results/d1_response.json"), ("d2", None)], "document_id string, result_key string")
+    j = {r.document_id: r.schema_passes
+         for r in FS.results_for_documents(docs, FS.read_results(spark, str(tmp_path))).collect()}
     assert j["d1"] == ["classification"] and j["d2"] is None
     pages = spark.createDataFrame([("d", 2, "call 555.123.4567"), ("d", 1, "SSN 123-45-6789")],
                                   "document_id string, page_no int, text string")
@@ -77,3 +80,28 @@ def test_stream_dedupe_late_split_and_pii_branch(spark, tmp_path):
     texts = spark.createDataFrame([("d", 1, "mail a@b.co")], "document_id string, page_no int, text string")
     det = J.pii_branch(texts, ["document_id", "page_no"]).collect()
     assert [(d.pii_type, d.start_pos) for d in det] == [("email", 5)]
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+    from doclake.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_paginated_ocr_responses_are_numbered(spark, tmp_path):
+    (tmp_path / "ocr" / "p").mkdir(parents=True)
+    for n in (2, 10):
+        (tmp_path / "ocr" / "p" / f"part-{n}.json").write_text(
+            json.dumps({"Blocks": [{"BlockType": "LINE", "Text": f"line {n}"}]}))
+    r = FS.read_ocr_responses(spark, str(tmp_path), "ocr/").withColumn("page", F.lit("p"))
+    assert sorted((x.response_key, x.part_no) for x in r.collect()) == [("ocr/p/part-10.json", 10), ("ocr/p/part-2.json", 2)]
+    assert PG.page_text_from_parts(r, ["page"]).first().text == "line 2\nline 10"
