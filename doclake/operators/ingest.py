@@ -11,12 +11,11 @@ in one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from doclake.functions import keys as K
-from doclake.plans.ordered import bucketed_row_number
+from doclake.plans.ordered import bucketed_row_number, prefix_row_number
 
 INITIAL_STATUS = "OCR_RUNNING"
 
@@ -60,29 +59,39 @@ def siblings(listing: DataFrame, triggers: DataFrame, base_col: str = "base_name
     return listing.join(triggers.select(base_col).distinct(), base_col, "left_semi")
 
 
+def _pages(pages: DataFrame, bucket_col: str) -> DataFrame:
+    return pages.select(bucket_col, "base_name", "object_key", "page_no",
+                        K.document_id_for(F.col(bucket_col), F.col("base_name")).alias("document_id"))
+
+
 def distinct_pages(pages: DataFrame, bucket_col: str = "bucket") -> DataFrame:
     """One row per distinct page object with its document id (no ordering)."""
-    return (pages.select(bucket_col, "base_name", "object_key", "page_no").distinct()
-            .withColumn("document_id", K.document_id_for(F.col(bucket_col), F.col("base_name"))))
+    return _pages(pages, bucket_col).distinct()
+
+
+# characters after the base name that tell the pages of a very large document apart
+SPLIT_CHARS = 5
 
 
-def with_lexical_ordinal(page_tbl: DataFrame, out: str = "lexical_ordinal") -> DataFrame:
-    w = Window.partitionBy("document_id").orderBy("object_key")
-    return page_tbl.withColumn(out, F.row_number().over(w).cast("bigint"))
+def _key_prefix() -> Column:
+    """A page key up to its base name and a few characters on."""
+    key = F.col("object_key")
+    name = F.length(F.substring_index(key, "/", -1))
+    return F.substring(key, F.lit(1), F.length(key) - name + F.length("base_name") + SPLIT_CHARS)
 
 
 def page_table(pages: DataFrame, bucket_col: str = "bucket", order: str = "numeric") -> DataFrame:
     """One row per distinct page object with its document id and ordinal.
 
     ``order='numeric'`` sorts by the page number in the name (then the key);
-    ``'lexical'`` sorts by key text, as a plain string sort does.
+    ``'lexical'`` sorts by key text, as a plain string sort does. Either way a
+    document's pages spread over tasks by number range or key prefix.
     """
-    base = distinct_pages(pages, bucket_col)
+    rows = _pages(pages, bucket_col)
     if order == "numeric":
-        return bucketed_row_number(base, ["document_id"], F.col("page_no"), [F.col("object_key")],
-                                   "page_ordinal")
-    w = Window.partitionBy("document_id").orderBy("object_key")
-    return base.withColumn("page_ordinal", F.row_number().over(w).cast("bigint"))
+        return bucketed_row_number(rows, ["document_id"], F.col("page_no"), [F.col("object_key")], "page_ordinal",
+                                   null_bucket=_key_prefix(), distinct=True)
+    return prefix_row_number(rows, ["document_id"], "object_key", _key_prefix(), "page_ordinal", distinct=True)
 
 
 def document_records(pages: DataFrame, bucket_col: str = "bucket",

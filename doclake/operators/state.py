@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from doclake.functions import keys as K
 from doclake.functions import status as S
 from doclake.plans.ordered import bucketed_lag
 
@@ -68,12 +69,20 @@ def newest_per_status(docs: DataFrame, k: int = 3, time_col: str = "created_at")
 
 
 def files_view(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Files view: list sizes with empty-list defaults and the single keys."""
-    n = pages.groupBy("document_id").agg(F.count(F.lit(1)).alias("n_original_files"))
-    return (docs.join(n, "document_id", "left")
-            .select("document_id", F.coalesce("n_original_files", F.lit(0)).cast("bigint").alias("n_original_files"),
-                    F.coalesce("n_moved_files", F.lit(0)).cast("bigint").alias("n_moved_files"),
-                    F.col("combined_key").alias("combined_text_file"), F.col("result_key").alias("result_file")))
+    """Files view: original, moved and text files of each document as lists in page order, joined by ','
+    ('' where there are none), and the single keys. One row per document by the view's definition."""
+    key, doc = F.col("page_key"), F.col("document_id")
+    row = F.struct("page_ordinal", "page_key", K.complete_key(key, doc).alias("moved"), F.when(
+        F.col("job_status").isin(*S.OCR_DONE), K.text_page_key(doc, F.col("page_ordinal"))).alias("text"))
+    lists = pages.groupBy("document_id").agg(F.array_sort(F.collect_list(row)).alias("_p"))
+
+    def joined(field):  # array_join leaves nulls out
+        return F.coalesce(F.array_join(F.transform("_p", lambda x: x[field]), ","), F.lit(""))
+    return docs.join(lists, "document_id", "left").select(
+        "document_id", joined("page_key").alias("original_files"),
+        F.when(F.col("status") == "COMPLETE", joined("moved")).otherwise(F.lit("")).alias("moved_files"),
+        joined("text").alias("ocr_text_files"), F.col("combined_key").alias("combined_text_file"),
+        F.col("result_key").alias("result_file"))
 
 
 def status_counts(docs: DataFrame) -> DataFrame:

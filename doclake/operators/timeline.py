@@ -21,6 +21,7 @@ STEP_DDL = "struct<step:string,status:string,ts:timestamp_ntz,details:string>"
 STEP_UPLOAD, STEP_ZIP, STEP_TRIGGER = "File Upload", "ZIP Extraction", "Workflow Triggered"
 STEP_OCR, STEP_AGG, STEP_LLM, STEP_MOVE = "OCR Processing", "Text Aggregation", "LLM Processing", "File Movement"
 STEP_PII = "PII Processing"
+STEPS = [STEP_UPLOAD, STEP_ZIP, STEP_TRIGGER, STEP_OCR, STEP_AGG, STEP_LLM, STEP_MOVE]
 TRIGGER_DETAILS = "Step Functions execution started"
 AGG_DETAILS = "Text from all pages combined"
 # history state name -> timeline step
@@ -131,14 +132,14 @@ def explode_timeline(docs: DataFrame, doc_col: str = "document_id") -> DataFrame
             .select(doc_col, F.col("step_idx").cast("bigint").alias("step_idx"), "s.*"))
 
 
-def timeline_summary(docs: DataFrame) -> DataFrame:
-    """Totals, completed / failed counts and rounded progress of the timeline."""
+def timeline_summary(docs: DataFrame, *keep: str) -> DataFrame:
+    """Totals, completed / failed counts and rounded progress of the timeline (and the columns ``keep``)."""
     tl = F.col("timeline")
     total = F.size(tl)
     done = F.size(F.filter(tl, lambda s: s["status"] == "completed"))
     failed = F.size(F.filter(tl, lambda s: s["status"] == "failed"))
     return docs.select(
-        "document_id", total.cast("bigint").alias("total_steps"),
+        "document_id", *keep, total.cast("bigint").alias("total_steps"),
         done.cast("bigint").alias("completed_steps"), failed.cast("bigint").alias("failed_steps"),
         F.when(total > 0, S.js_round(done * F.lit(100.0) / total)).otherwise(F.lit(0)).cast("bigint")
         .alias("progress"),
@@ -184,7 +185,7 @@ def timeline_text(docs: DataFrame) -> DataFrame:
 # ----------------------------------------------------------- execution history
 
 def workflow_steps(history: DataFrame, exec_col: str = "execution_id",
-                   bucket_seconds: int = 3600) -> DataFrame:
+                   bucket_seconds: int = 60) -> DataFrame:
     """Each state entry with the first later terminal event of the same
     execution (any state, strictly later time, ties by event id): status
     completed / failed / in_progress and the step duration.
@@ -221,17 +222,44 @@ def workflow_steps(history: DataFrame, exec_col: str = "execution_id",
         ((F.col("_next.t") - F.col("_t")) / F.lit(1e6)).alias("duration_s"))
 
 
+def _with_execution_key(rows: DataFrame, exec_col: str, own: str) -> DataFrame:
+    """Add ``_run``, the key to join executions by; rows without an execution get keys of their own that match
+    nothing, so that they do not meet in one task."""
+    return rows.withColumn("_run", F.when(S.truthy(F.col(exec_col)), F.concat(F.lit("="), F.col(exec_col)))
+                           .otherwise(F.concat(F.lit("none "), F.col(own))))
+
+
+def execution_steps(steps: DataFrame, exec_col: str = "execution_id") -> DataFrame:
+    """Per execution, what its documents share: the steps' counts per (state, status) and the ordered list
+    ``state:status`` joined by ','. Computed before any document is joined."""
+    return steps.groupBy(exec_col).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "state", "status"))),
+                                 lambda x: F.concat(x["state"], F.lit(":"), x["status"])), ",").alias("workflow_steps"))
+
+
 def document_workflow(docs: DataFrame, steps: DataFrame, exec_col: str = "execution_id") -> DataFrame:
-    """Documents joined to their workflow steps; no execution -> one
-    'No workflow' / 'not_started' step."""
-    d = docs.select("document_id", F.col("step_function_execution_arn").alias(exec_col))
-    matched = d.join(steps, exec_col, "left")
-    return matched.select(
-        "document_id",
-        F.coalesce(F.col("state"), F.lit("No workflow")).alias("step"),
-        F.when(F.col("event_id").isNull() & ~S.truthy(F.col(exec_col)), F.lit("not_started"))
-         .otherwise(F.col("status")).alias("status"),
-        "event_id", "ts")
+    """Workflow steps per document as (document_id, step, status, n_steps): no execution -> one 'No workflow' /
+    'not_started' row; an execution without any entry -> no row. Steps are counted per execution first."""
+    counted = (steps.groupBy(exec_col, F.col("state").alias("step"), "status").agg(F.count(F.lit(1)).alias("n_steps"))
+               .select(F.concat(F.lit("="), F.col(exec_col)).alias("_run"), "step", "status", "n_steps"))
+    d = _with_execution_key(docs.select("document_id", "step_function_execution_arn"), "step_function_execution_arn",
+                            "document_id")
+    found = d.join(counted, "_run", "left")
+    without = ~S.truthy(F.col("step_function_execution_arn"))
+    return found.where(without | F.col("step").isNotNull()).select(
+        "document_id", F.when(without, F.lit("No workflow")).otherwise(F.col("step")).alias("step"),
+        F.when(without, F.lit("not_started")).otherwise(F.col("status")).alias("status"),
+        F.when(without, F.lit(1)).otherwise(F.col("n_steps")).cast("bigint").alias("n_steps"))
+
+
+def documents_with_workflow(docs: DataFrame, steps: DataFrame, exec_col: str = "execution_id") -> DataFrame:
+    """Documents with ``workflow_steps``, the ordered list of their execution's steps (B24): 'No workflow:not_started'
+    without an execution, '' for one without entries."""
+    listed = execution_steps(steps, exec_col).select(F.concat(F.lit("="), F.col(exec_col)).alias("_run"), "workflow_steps")
+    d = _with_execution_key(docs, "step_function_execution_arn", "document_id")
+    return d.join(listed, "_run", "left").drop("_run").withColumn("workflow_steps", F.when(
+        ~S.truthy(F.col("step_function_execution_arn")), F.lit("No workflow:not_started")).otherwise(
+        F.coalesce("workflow_steps", F.lit(""))))
 
 
 def history_for_steps(timeline_rows: DataFrame, docs: DataFrame | None, history: DataFrame,
@@ -240,30 +268,25 @@ def history_for_steps(timeline_rows: DataFrame, docs: DataFrame | None, history:
     of the document's execution that maps to it.
 
     ``mode='map'`` uses the fixed state -> step map; ``'contains'`` matches when
-    the lower-case step name contains the lower-case state name.
+    the lower-case step name contains the lower-case state name. The first
+    event per (execution, state) is found once; the step names are constants,
+    so its steps follow without a join.
     """
-    h = history.where(F.col("type").isin(ENTERED, SUCCEEDED, FAILED)).select(
-        exec_col, F.col("state").alias("sf_state"), F.col("ts").alias("sf_ts"), F.col("event_id").alias("sf_id"))
-    if docs is None:  # the rows already carry their execution id
-        rows = timeline_rows
-    else:
-        d = docs.select("document_id", F.col("step_function_execution_arn").alias(exec_col))
-        rows = timeline_rows.join(d, "document_id", "left")
+    firsts = (history.where(F.col("type").isin(ENTERED, SUCCEEDED, FAILED) & F.col("state").isNotNull())
+              .groupBy(exec_col, "state").agg(F.min(F.struct(F.col("ts").alias("sf_ts"), F.col("event_id").alias("sf_id"),
+                                                             F.col("state").alias("sf_state"))).alias("m")))
     if mode == "map":
         m = F.create_map(*[x for k, v in STATE_TO_STEP.items() for x in (F.lit(k), F.lit(v))])
-        h = h.withColumn("step", m[F.col("sf_state")]).where(F.col("step").isNotNull())
-        first = (h.groupBy(exec_col, "step")
-                 .agg(F.min(F.struct("sf_ts", "sf_id", "sf_state")).alias("m")))
-        out = rows.join(first, [exec_col, "step"], "left")
+        steps = F.array_compact(F.array(m[F.col("state")]))
     else:
-        # the step and state name sets are tiny; this joins (execution, step)
-        # rows with the distinct state names of that execution only
-        states = h.select(exec_col, "sf_state").distinct()
-        pairs = (rows.select(exec_col, "step").distinct()
-                 .join(states, exec_col)
-                 .where(F.instr(F.lower(F.col("step")), F.lower(F.col("sf_state"))) > 0))
-        firsts = (h.join(pairs, [exec_col, "sf_state"])
-                  .groupBy(exec_col, "step").agg(F.min(F.struct("sf_ts", "sf_id", "sf_state")).alias("m")))
-        out = rows.join(firsts, [exec_col, "step"], "left")
+        steps = F.array_compact(F.array(*[F.when(F.instr(F.lit(s.lower()), F.lower("state")) > 0, F.lit(s))
+                                          for s in STEPS]))
+    first = (firsts.select(F.concat(F.lit("="), F.col(exec_col)).alias("_run"), "m", F.explode(steps).alias("step"))
+             .groupBy("_run", "step").agg(F.min("m").alias("m")))
+    rows = timeline_rows
+    if docs is not None:  # else the rows already carry their execution id
+        d = docs.select("document_id", F.col("step_function_execution_arn").alias(exec_col))
+        rows = timeline_rows.join(d, "document_id", "left")
+    out = _with_execution_key(rows, exec_col, "document_id").join(first, ["_run", "step"], "left")
     return out.select(*[c for c in timeline_rows.columns if c != exec_col],
                       F.col("m.sf_state").alias("sf_state"), F.col("m.sf_ts").alias("sf_ts"))

@@ -15,33 +15,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
-def bucketed_row_number(df: DataFrame, keys: list[str], order_num: Column,
-                        tiebreak: list[Column], out: str, bucket_width: int = 4096) -> DataFrame:
-    """Add ``out`` = 1-based position of each row within ``keys`` ordered by
-    (order_num nulls last, *tiebreak).
+def _numbered(df: DataFrame, keys: list[str], bucket: Column, order: list, out: str, distinct: bool) -> DataFrame:
+    """Add ``out`` = 1-based position within ``keys`` by (bucket, *order); buckets must be in that order.
 
-    One exchange of the rows on (keys, bucket) serves both the local numbering
-    and the bucket sizes; only one (keys, bucket, size) row per bucket takes
-    part in the per-key running sum, which is joined back on (keys, bucket).
+    The rows travel once, to (keys, bucket): numbering, bucket sizes and (with ``distinct``) the removal of equal
+    rows all use that partitioning. Only one (keys, bucket, size) row per bucket takes part in the per-key sum.
     """
-    nulls_last = F.coalesce(order_num, F.lit((1 << 62)))
-    b = F.floor(nulls_last / F.lit(bucket_width)).cast("bigint")
-    tagged = df.withColumn("_bucket", b).withColumn("_onum", nulls_last)
-    wb = Window.partitionBy(*keys, "_bucket")
-    local = (tagged.withColumn("_local", F.row_number().over(wb.orderBy("_onum", *tiebreak)))
-                   .withColumn("_n", F.count(F.lit(1)).over(wb)))
-    sizes = local.where(F.col("_local") == 1).select(*keys, "_bucket", "_n")
-    offsets = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_n").over(
-            Window.partitionBy(*keys).orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return (local.drop("_n").join(offsets, [*keys, "_bucket"], "inner")
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_bucket", "_onum", "_local", "_off"))
+    dealt = df.withColumn("_bucket", bucket).repartition(*keys, "_bucket")
+    if distinct:
+        dealt = dealt.dropDuplicates()
+    local = dealt.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order)))
+    sizes = dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    return (local.join(offsets, [*keys, "_bucket"])
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_bucket", "_local", "_off"))
+
+
+def bucketed_row_number(df: DataFrame, keys: list[str], order_num: Column, tiebreak: list[Column], out: str,
+                        bucket_width: int = 4096, null_bucket: Column | None = None, distinct: bool = False) -> DataFrame:
+    """Add ``out`` = 1-based position of each row within ``keys`` ordered by (order_num nulls last, *tiebreak).
+
+    ``null_bucket``: a value in the order of ``tiebreak`` that splits the rows without a number (such as a prefix of
+    a text that they are ordered by).
+    """
+    number = F.coalesce(order_num, F.lit(1 << 62))
+    rest = F.coalesce(null_bucket, F.lit("")) if null_bucket is not None else F.lit("")
+    bucket = F.struct(F.floor(number / F.lit(bucket_width)).cast("bigint").alias("b"),
+                      F.when(order_num.isNull(), rest).otherwise(F.lit("")).alias("r"))
+    return _numbered(df.withColumn("_onum", number), keys, bucket, ["_onum", *tiebreak], out, distinct).drop("_onum")
+
+
+def prefix_row_number(df: DataFrame, keys: list[str], text: str, prefix: Column, out: str,
+                      distinct: bool = False) -> DataFrame:
+    """Add ``out`` = 1-based position of each row within ``keys`` ordered by the column ``text``.
+
+    ``prefix`` is a prefix of ``text``, long enough to differ between many rows of a large group: rows are numbered
+    per prefix, and prefixes sort as their texts do.
+    """
+    return _numbered(df, keys, prefix, [F.col(text)], out, distinct)
 
 
 def bucketed_lag(df: DataFrame, keys: list[str], time_col: Column, seq_col: Column, value_col: str,
-                 out: str, bucket_seconds: int = 86400) -> DataFrame:
+                 out: str, bucket_seconds: int = 600) -> DataFrame:
     """Add ``out`` = ``value_col`` of the previous row within ``keys`` ordered by
     (time, seq), and ``_first`` = no previous row.
 

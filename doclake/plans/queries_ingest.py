@@ -77,20 +77,32 @@ def ingest_documents_sql() -> str:
 
 
 def ingest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page table with numeric page order (E1, F1) and the lexical order for comparison."""
-    num = I.page_table(_accepted(spark, sf_dir), order="numeric")
-    return I.with_lexical_ordinal(num).select("document_id", "object_key", "page_no", "page_ordinal",
-                                              "lexical_ordinal")
+    """Page table with numeric page order."""
+    return I.page_table(_accepted(spark, sf_dir), order="numeric").select(
+        "document_id", "object_key", "page_no", "page_ordinal")
 
 
-def ingest_pages_sql() -> str:
+def _pages_sql(order: str) -> str:
     return f"""
     SELECT sha256(bucket || '|' || base_name) AS document_id, object_key, page_no,
-           CAST(row_number() OVER (PARTITION BY bucket, base_name ORDER BY page_no NULLS LAST, object_key) AS BIGINT) AS page_ordinal,
-           CAST(row_number() OVER (PARTITION BY bucket, base_name ORDER BY object_key) AS BIGINT) AS lexical_ordinal
+           CAST(row_number() OVER (PARTITION BY bucket, base_name ORDER BY {order}) AS BIGINT) AS page_ordinal
     FROM (SELECT DISTINCT bucket, base_name, object_key, page_no FROM ({ACCEPTED_SQL}))"""
 
 
+def ingest_pages_sql() -> str:
+    return _pages_sql("page_no NULLS LAST, object_key")
+
+
+def ingest_pages_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page table in plain text order of the keys (F1, T4)."""
+    return I.page_table(_accepted(spark, sf_dir), order="lexical").select(
+        "document_id", "object_key", "page_no", "page_ordinal")
+
+
+def ingest_pages_lexical_sql() -> str:
+    return _pages_sql("object_key")
+
+
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed objects refused by the MIME check, kept with the reason."""
     return I.rejected_objects(_parsed(spark, sf_dir)).select("object_key", "route", "error_reason")

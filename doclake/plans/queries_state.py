@@ -81,33 +81,37 @@ def doc_status_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "last_error", "progress", "processing_time", "created_display")
 
 
+_PROGRESS = (f"CAST(floor((1 + CAST({_truthy('step_function_execution_arn')} AS INT)"
+             f" + CAST(has_textract_jobs AND ocr_all_complete AS INT)"
+             f" + CAST({_truthy('combined_key')} AS INT)"
+             f" + CAST({_truthy('result_key')} OR coalesce(status = 'COMPLETE', false) AS INT)"
+             f" + CAST(n_moved_files > 0 AS INT)) * 100.0 / 6 + 0.5) AS BIGINT)")
+
+
 def doc_status_view_sql() -> str:
-    prog = (f"CAST(floor((1 + CAST({_truthy('step_function_execution_arn')} AS INT)"
-            f" + CAST(has_textract_jobs AND ocr_all_complete AS INT)"
-            f" + CAST({_truthy('combined_key')} AS INT)"
-            f" + CAST({_truthy('result_key')} OR coalesce(status = 'COMPLETE', false) AS INT)"
-            f" + CAST(n_moved_files > 0 AS INT)) * 100.0 / 6 + 0.5) AS BIGINT)")
     return f"""
     SELECT document_id, status, original_filename, document_type,
            strftime(created_at, {DTS}) AS created_at, strftime(updated_at, {DTS}) AS updated_at,
-           last_error, {prog} AS progress,
+           last_error, {_PROGRESS} AS progress,
            CAST(floor(date_diff('millisecond', created_at, updated_at) / 1000.0 + 0.5) AS BIGINT) AS processing_time,
            {_fmt('created_at')} AS created_display
     FROM ({DOCS_SQL})"""
 
 
 def doc_list_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First page of the list: status filter, then sort, then limit 50, globally."""
-    d = B.state_documents(spark, sf_dir)
-    page = ST.list_page(d, status="COMPLETE", sort_by="created_at", descending=True, limit=50)
+    """First page of the list: status filter, then sort, then limit 50, globally, with progress."""
+    page = ST.list_page(ST.status_view(_docs(spark, sf_dir)), status="COMPLETE", sort_by="created_at",
+                        descending=True, limit=50)
     return page.select("document_id", "status", "original_filename", "document_type",
-                       F.date_format("created_at", TS_FMT).alias("created_at"))
+                       F.date_format("created_at", TS_FMT).alias("created_at"),
+                       F.date_format("updated_at", TS_FMT).alias("updated_at"), "last_error", "progress")
 
 
 def doc_list_page_sql() -> str:
     return f"""
-    SELECT document_id, status, original_filename, document_type, strftime(created_at, {DTS}) AS created_at
-    FROM ({B.STATE_DOCS_SQL}) WHERE status = 'COMPLETE'
+    SELECT document_id, status, original_filename, document_type, strftime(created_at, {DTS}) AS created_at,
+           strftime(updated_at, {DTS}) AS updated_at, last_error, {_PROGRESS} AS progress
+    FROM ({DOCS_SQL}) WHERE status = 'COMPLETE'
     ORDER BY coalesce(strftime(created_at, '%Y-%m-%dT%H:%M:%S'), '') DESC, document_id ASC LIMIT 50"""
 
 
@@ -143,20 +147,48 @@ def newest_per_status_sql() -> str:
 
 
 def doc_files_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files view with empty-list defaults (B18): counts of page, moved and text keys."""
-    d = B.state_documents(spark, sf_dir)
-    j = B.state_jobs(spark, sf_dir)
-    return ST.files_view(d, j).select("document_id", "n_original_files", "n_moved_files",
-                                      "combined_text_file", "result_file")
+    """Files view (B18): original, moved and text files as lists in page order, joined by ','; '' where none."""
+    return ST.files_view(B.state_documents(spark, sf_dir), B.state_jobs(spark, sf_dir))
 
 
 def doc_files_view_sql() -> str:
+    moved = "replace(page_key, 'incoming/', 'complete/' || document_id || '/')"
+    text = "'staging/' || document_id || '/text_page_' || CAST(page_ordinal AS VARCHAR) || '.txt'"
     return f"""
-    SELECT d.document_id, CAST(coalesce(j.n, 0) AS BIGINT) AS n_original_files,
-           CAST(d.n_moved_files AS BIGINT) AS n_moved_files,
+    WITH j AS (
+      SELECT document_id, string_agg(page_key, ',' ORDER BY page_ordinal, page_key) AS original_files,
+             string_agg({moved}, ',' ORDER BY page_ordinal, page_key) AS moved_files,
+             string_agg({text}, ',' ORDER BY page_ordinal, page_key)
+               FILTER (WHERE job_status IN ('SYNC_COMPLETE', 'ASYNC_COMPLETE')) AS ocr_text_files
+      FROM ({B.JOBS_SQL}) GROUP BY 1)
+    SELECT d.document_id, coalesce(j.original_files, '') AS original_files,
+           CASE WHEN d.status = 'COMPLETE' THEN coalesce(j.moved_files, '') ELSE '' END AS moved_files,
+           coalesce(j.ocr_text_files, '') AS ocr_text_files,
            d.combined_key AS combined_text_file, d.result_key AS result_file
-    FROM ({B.STATE_DOCS_SQL}) d
-    LEFT JOIN (SELECT document_id, count(*) AS n FROM ({B.JOBS_SQL}) GROUP BY 1) j USING (document_id)"""
+    FROM ({B.STATE_DOCS_SQL}) d LEFT JOIN j USING (document_id)"""
+
+
+def doc_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record, timeline and summary of every document in one row (B25): the timeline as 'step:status' joined by ','."""
+    d = TL.with_timeline(_docs(spark, sf_dir))
+    steps = F.array_join(F.transform("timeline", lambda s: F.concat(s["step"], F.lit(":"), s["status"])), ",")
+    full = TL.timeline_summary(d.withColumn("steps", steps), "original_filename", "last_error", "steps")
+    return full
+
+
+def doc_full_sql() -> str:
+    return f"""
+    WITH docs AS ({DOCS_SQL}), s AS ({_timeline_steps_sql()}),
+    c AS (SELECT document_id, count(*) AS total, count(*) FILTER (WHERE sstatus = 'completed') AS done,
+                 count(*) FILTER (WHERE sstatus = 'failed') AS failed,
+                 string_agg(step || ':' || sstatus, ',' ORDER BY k) AS steps FROM s GROUP BY 1)
+    SELECT d.document_id, d.original_filename, d.last_error, c.steps,
+           CAST(c.total AS BIGINT) AS total_steps, CAST(c.done AS BIGINT) AS completed_steps,
+           CAST(c.failed AS BIGINT) AS failed_steps,
+           CAST(CASE WHEN c.total > 0 THEN floor(c.done * 100.0 / c.total + 0.5) ELSE 0 END AS BIGINT) AS progress,
+           d.status AS overall_status, d.document_type,
+           CAST(floor(date_diff('millisecond', d.created_at, d.updated_at) / 1000.0 + 0.5) AS BIGINT) AS processing_time
+    FROM docs d JOIN c USING (document_id)"""
 
 
 def _timeline_steps_sql(variant: str = "api") -> str:
@@ -403,23 +435,39 @@ def workflow_steps_sql() -> str:
 
 
 def document_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their workflow step status; none -> not_started."""
-    d = B.state_documents(spark, sf_dir)
-    steps = TL.workflow_steps(B.history(spark, sf_dir))
-    w = TL.document_workflow(d, steps)
-    return w.groupBy("document_id", "step", "status").agg(F.count(F.lit(1)).cast("bigint").alias("n_steps"))
+    """Workflow steps of every document, counted per step and status; none -> not_started."""
+    return TL.document_workflow(B.state_documents(spark, sf_dir), TL.workflow_steps(B.history(spark, sf_dir)))
+
+
+_STEP_STATUS = ("CASE WHEN tid IS NULL THEN 'in_progress' WHEN ttype = 'TaskSucceeded' THEN 'completed' "
+                "ELSE 'failed' END")
 
 
 def document_workflow_sql() -> str:
     return f"""{_STEPS_SQL},
-    s AS (SELECT execution_id, event_id, state,
-                 CASE WHEN tid IS NULL THEN 'in_progress' WHEN ttype = 'TaskSucceeded' THEN 'completed' ELSE 'failed' END AS status
-          FROM m),
-    d AS (SELECT document_id, step_function_execution_arn AS execution_id FROM ({B.STATE_DOCS_SQL})),
-    j AS (SELECT d.document_id, coalesce(s.state, 'No workflow') AS step,
-                 CASE WHEN s.event_id IS NULL AND NOT {_truthy('d.execution_id')} THEN 'not_started' ELSE s.status END AS status
-          FROM d LEFT JOIN s ON s.execution_id = d.execution_id)
-    SELECT document_id, step, status, CAST(count(*) AS BIGINT) AS n_steps FROM j GROUP BY 1, 2, 3"""
+    d AS (SELECT document_id, step_function_execution_arn AS execution_id FROM ({B.STATE_DOCS_SQL}))
+    SELECT document_id, state AS step, {_STEP_STATUS} AS status, CAST(count(*) AS BIGINT) AS n_steps
+    FROM d JOIN m USING (execution_id) GROUP BY 1, 2, 3
+    UNION ALL SELECT document_id, 'No workflow', 'not_started', 1 FROM d WHERE NOT {_truthy('execution_id')}"""
+
+
+def doc_status_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of every document with its ordered workflow steps."""
+    d = TL.documents_with_workflow(B.state_documents(spark, sf_dir), TL.workflow_steps(B.history(spark, sf_dir)))
+    return d.select("document_id", "status", "original_filename", "document_type",
+                    F.date_format("created_at", TS_FMT).alias("created_at"),
+                    F.date_format("updated_at", TS_FMT).alias("updated_at"), "last_error", "workflow_steps")
+
+
+def doc_status_steps_sql() -> str:
+    return f"""{_STEPS_SQL},
+    l AS (SELECT execution_id, string_agg(state || ':' || {_STEP_STATUS}, ',' ORDER BY ts, event_id) AS steps
+          FROM m GROUP BY execution_id)
+    SELECT document_id, status, original_filename, document_type, strftime(created_at, {DTS}) AS created_at,
+           strftime(updated_at, {DTS}) AS updated_at, last_error,
+           CASE WHEN {_truthy('step_function_execution_arn')} THEN coalesce(steps, '') ELSE 'No workflow:not_started' END
+           AS workflow_steps
+    FROM ({B.STATE_DOCS_SQL}) d LEFT JOIN l ON l.execution_id = d.step_function_execution_arn"""
 
 
 def _history_steps(spark, sf_dir, mode):

@@ -18,6 +18,7 @@ QUERIES = {
     "keys_parse": (G.keys_parse, G.keys_parse_sql),
     "ingest_documents": (G.ingest_documents, G.ingest_documents_sql),
     "ingest_pages": (G.ingest_pages, G.ingest_pages_sql),
+    "ingest_pages_lexical": (G.ingest_pages_lexical, G.ingest_pages_lexical_sql),
     "ingest_rejects": (G.ingest_rejects, G.ingest_rejects_sql),
     "envelope_decode": (G.envelope_decode, G.envelope_decode_sql),
     "file_moves": (G.file_moves, G.file_moves_sql),
@@ -40,6 +41,8 @@ QUERIES = {
     "input_guards": (Q.input_guards, Q.input_guards_sql),
     "workflow_steps": (Q.workflow_steps, Q.workflow_steps_sql),
     "document_workflow": (Q.document_workflow, Q.document_workflow_sql),
+    "doc_status_steps": (Q.doc_status_steps, Q.doc_status_steps_sql),
+    "doc_full": (Q.doc_full, Q.doc_full_sql),
     "timeline_history": (Q.timeline_history, Q.timeline_history_sql),
     "timeline_history_contains": (Q.timeline_history_contains, Q.timeline_history_contains_sql),
     "page_text_lines": (PG.page_text_lines, PG.page_text_lines_sql),
