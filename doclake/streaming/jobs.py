@@ -6,6 +6,8 @@
                             (``applyInPandasWithState``, event-time timeout)
 * ``dedupe_bases``          one document per base name within the horizon
 * ``split_late_pages``      pages of bases that already have a document
+* ``late_arrivals``         logged pages that no emitted batch covers (those the
+                            watermark made the stream skip)
 * ``completion_gate``       emit a document once every page has text
 * ``fold_state``            current document state from the change stream
 * ``change_feed``           polls whose value changed since the last poll
@@ -18,6 +20,7 @@ watermark; everything else is plain DataFrame code shared with batch jobs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -40,6 +43,20 @@ def _ms(t) -> int:
     return int(pd.Timestamp(t).value // 1_000_000)
 
 
+def _until(state: GroupState, ms: int) -> None:
+    """Set an event-time timeout, which must lie behind the watermark: after a quiet time the watermark may already
+    have passed ``ms``, and the group then times out with the next batch."""
+    state.setTimeoutTimestamp(max(ms, state.getCurrentWatermarkMs() + 1))
+
+
+def _in_page_order(keys) -> list[str]:
+    """Distinct keys by the page number at the end of their names (none: last), then by name."""
+    def order(key: str):
+        number = re.search(r"[_-](\d+)\.[^./]*$", key)
+        return (number is None, int(number[1]) if number else 0, key)
+    return sorted(set(keys), key=order)
+
+
 MANIFEST_DDL = "object_key string, content_type string, event_time timestamp, bucket string"
 
 
@@ -59,13 +76,14 @@ def object_arrivals(spark: SparkSession, folder: str, fmt: str = "json", schema:
     return r.load(folder)
 
 
-def binary_to_manifest(files: DataFrame) -> DataFrame:
-    """``binaryFile`` rows -> manifest rows (content type from the extension)."""
+def binary_to_manifest(files: DataFrame, bucket: str) -> DataFrame:
+    """``binaryFile`` rows of one bucket -> manifest rows (content type from the extension). The bucket is part of a
+    document's id, so both ways of reading the same file give the same document."""
     from doclake.functions import keys as K
     key = F.regexp_extract(F.col("path"), r"(incoming/.*)$", 1)
     return files.select(key.alias("object_key"),
                         K.content_type_for(K.extension(K.basename(key))).alias("content_type"),
-                        F.col("modificationTime").alias("event_time"), F.lit(None).cast("string").alias("bucket"))
+                        F.col("modificationTime").alias("event_time"), F.lit(bucket).alias("bucket"))
 
 
 def batch_pages(arrivals: DataFrame, gap: str = DEFAULT_GAP, watermark: str = "10 seconds") -> DataFrame:
@@ -91,6 +109,19 @@ def split_late_pages(batch: DataFrame, documents: DataFrame) -> tuple[DataFrame,
             batch.join(existing, "base_name", "left_semi"))
 
 
+def late_arrivals(log: DataFrame, batches: DataFrame, gap: str = DEFAULT_GAP) -> DataFrame:
+    """Accepted pages of the arrival log that lie in no emitted batch of their base name.
+
+    A stream skips rows behind its watermark without a trace. The log (every arrival, written by ``write_batches``
+    before any watermark) still has them: once the batches up to a time are out, these are the pages to hand in again.
+    """
+    pages = I.accepted_pages(I.parse_keys(log)).withColumn("_t", F.col("event_time").cast("timestamp"))
+    spans = batches.select(F.col("base_name").alias("_base"), F.col("batch_start").cast("timestamp").alias("_from"),
+                           F.col("batch_end").cast("timestamp").alias("_to"))
+    covered = (F.col("base_name") == F.col("_base")) & (F.col("_t") >= F.col("_from")) & (F.col("_t") < F.col("_to"))
+    return pages.join(spans, covered, "left_anti").drop("_t")
+
+
 # ------------------------------------------------------------ eager batching
 
 EAGER_OUT = "base_name string, pages array<string>, n_pages long, kind string, batch_end timestamp"
@@ -105,14 +136,14 @@ def _eager(gap_ms: int, horizon_ms: int):
             if emitted or not pages:
                 state.remove()
                 return
-            yield pd.DataFrame({"base_name": [base], "pages": [sorted(pages)], "n_pages": [len(pages)],
+            yield pd.DataFrame({"base_name": [base], "pages": [_in_page_order(pages)], "n_pages": [len(pages)],
                                 "kind": ["batch"], "batch_end": [tmax]})
             # keep only a marker, so later pages are reported as late pages
             state.update(([], True, tmax))
-            state.setTimeoutTimestamp(_ms(tmax) + horizon_ms)
+            _until(state, _ms(tmax) + horizon_ms)
             return
         rows = _rows(batches)
-        keys = sorted(set(rows["object_key"]))
+        keys = _in_page_order(rows["object_key"])
         tmax = rows["event_time"].max()
         if state.exists:
             pages, emitted, old_max = state.get
@@ -120,9 +151,9 @@ def _eager(gap_ms: int, horizon_ms: int):
                 yield pd.DataFrame({"base_name": [base], "pages": [keys], "n_pages": [len(keys)],
                                     "kind": ["late"], "batch_end": [tmax]})
                 state.update(([], True, max(old_max, tmax)))
-                state.setTimeoutTimestamp(_ms(max(old_max, tmax)) + horizon_ms)
+                _until(state, _ms(max(old_max, tmax)) + horizon_ms)
                 return
-            merged = sorted(set(pages) | set(keys))
+            merged = _in_page_order([*pages, *keys])
             tmax = max(old_max, tmax)
         else:
             merged = keys
@@ -130,10 +161,10 @@ def _eager(gap_ms: int, horizon_ms: int):
                 yield pd.DataFrame({"base_name": [base], "pages": [keys], "n_pages": [1],
                                     "kind": ["single"], "batch_end": [tmax]})
                 state.update(([], True, tmax))
-                state.setTimeoutTimestamp(_ms(tmax) + horizon_ms)
+                _until(state, _ms(tmax) + horizon_ms)
                 return
         state.update((merged, False, tmax))
-        state.setTimeoutTimestamp(_ms(tmax) + gap_ms)
+        _until(state, _ms(tmax) + gap_ms)
     return fn
 
 
@@ -173,7 +204,7 @@ def _gate(timeout_ms: int):
             yield pd.DataFrame({"document_id": [key[0]], "n_pages": [expected], "completed_at": [tmax]})
         # once emitted only the marker is kept (a repeated page must not re-emit)
         state.update(([] if emitted else done, expected, emitted))
-        state.setTimeoutTimestamp(_ms(tmax) + timeout_ms)
+        _until(state, _ms(tmax) + timeout_ms)
     return fn
 
 
@@ -193,36 +224,46 @@ def completion_gate(page_texts: DataFrame, timeout_ms: int = 3_600_000, watermar
 
 # ------------------------------------------------------------ state fold
 
-def _fold(attrs: list[str]):
+# a document's record lives this long after its last change
+TTL_MS = 90 * 86_400_000
+
+
+def _fold(attrs: list[str], ttl_ms: int):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        cur = dict(zip(["ts", "seq"] + attrs + [f"{a}__at" for a in attrs], state.get)) if state.exists else {}
+        if state.hasTimedOut:
+            state.remove()
+            return
+        names = ["ts", "seq"] + attrs + [f"{a}__at" for a in attrs]
+        cur = dict(zip(names, state.get)) if state.exists else dict.fromkeys(names)
         rows = _rows(batches).sort_values(["ts", "seq"])
-        for r in rows.itertuples(index=False):
-            if r.value is None and not r.set_null:
-                continue
-            at = (r.ts, r.seq)
-            prev = cur.get(f"{r.attr}__at")
-            if prev is None or tuple(prev) <= at:
-                cur[r.attr] = r.value
-                cur[f"{r.attr}__at"] = list(at)
-            if cur.get("ts") is None or (cur["ts"], cur["seq"]) <= at:
-                cur["ts"], cur["seq"] = at
-        state.update(tuple([cur.get("ts"), cur.get("seq")] + [cur.get(a) for a in attrs]
-                           + [cur.get(f"{a}__at") for a in attrs]))
-        yield pd.DataFrame([{"document_id": key[0], **{a: cur.get(a) for a in attrs}, "updated_at": cur.get("ts")}])
+        rows_end = rows["ts"].iloc[-1]
+        rows = rows[rows["value"].notna() | rows["set_null"]]
+        # the last write of each attribute in this batch, against the stored one
+        for attr, last in rows.groupby("attr", sort=False).tail(1).set_index("attr").iterrows():
+            at = (last["ts"], last["seq"])
+            if attr in attrs and (cur[f"{attr}__at"] is None or tuple(cur[f"{attr}__at"]) <= at):
+                cur[attr], cur[f"{attr}__at"] = last["value"], list(at)
+        if len(rows):
+            newest = (rows["ts"].iloc[-1], rows["seq"].iloc[-1])
+            if cur["ts"] is None or (cur["ts"], cur["seq"]) <= newest:
+                cur["ts"], cur["seq"] = newest
+        state.update(tuple(cur[n] for n in names))
+        _until(state, _ms(rows_end) + ttl_ms)
+        yield pd.DataFrame([{"document_id": key[0], **{a: cur[a] for a in attrs}, "updated_at": cur["ts"]}])
     return fn
 
 
-def fold_state(changes: DataFrame, attrs: list[str]) -> DataFrame:
+def fold_state(changes: DataFrame, attrs: list[str], ttl_ms: int = TTL_MS) -> DataFrame:
     """Current row of every document touched in a micro-batch (update mode).
-    Per-attribute latest write by (ts, seq); explicit-null writes win."""
+    Per-attribute latest write by (ts, seq); explicit-null writes win. The watermark stays ``ttl_ms`` behind, and a
+    document's state is dropped when it has passed the last change by ``ttl_ms``."""
     out = "document_id string, " + ", ".join(f"{a} string" for a in attrs) + ", updated_at timestamp"
     st = ("ts timestamp, seq long, " + ", ".join(f"{a} string" for a in attrs) + ", "
           + ", ".join(f"{a}__at struct<ts:timestamp,seq:long>" for a in attrs))
     src = changes.select("document_id", F.col("ts").cast("timestamp").alias("ts"), "seq", "attr", "value",
                          F.coalesce("set_null", F.lit(False)).alias("set_null"))
-    return src.groupBy("document_id").applyInPandasWithState(_fold(attrs), out, st, "update",
-                                                            GroupStateTimeout.NoTimeout)
+    return src.withWatermark("ts", f"{ttl_ms} milliseconds").groupBy("document_id").applyInPandasWithState(
+        _fold(attrs, ttl_ms), out, st, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------ change feed
@@ -230,26 +271,33 @@ def fold_state(changes: DataFrame, attrs: list[str]) -> DataFrame:
 FEED_OUT = "document_id string, seq long, polled string, changed boolean"
 
 
-def _feed(key, batches, state: GroupState):
-    last = state.get[0] if state.exists else None
-    seen = state.exists
-    rows = _rows(batches).sort_values(["ts", "seq"])
-    out = []
-    for r in rows.itertuples(index=False):
-        changed = (not seen) or (r.polled != last)
-        out.append({"document_id": key[0], "seq": r.seq, "polled": r.polled, "changed": changed})
-        last, seen = r.polled, True
-    state.update((last,))
-    yield pd.DataFrame(out)
+def _feed(ttl_ms: int):
+    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = _rows(batches).sort_values(["ts", "seq"])
+        now = rows["polled"].astype(object)
+        before = now.shift(1)
+        if state.exists:
+            before.iloc[0] = state.get[0]
+        changed = ~((now == before) | (now.isna() & before.isna()))
+        if not state.exists:
+            changed.iloc[0] = True
+        state.update((now.iloc[-1],))
+        _until(state, _ms(rows["ts"].iloc[-1]) + ttl_ms)
+        yield pd.DataFrame({"document_id": key[0], "seq": rows["seq"], "polled": now, "changed": changed})
+    return fn
 
 
-def change_feed(polls: DataFrame, value_col: str = "polled") -> DataFrame:
+def change_feed(polls: DataFrame, value_col: str = "polled", ttl_ms: int = TTL_MS) -> DataFrame:
     """Flag each poll whose value differs from the previous poll of the document
-    (state: the last value per document)."""
+    (state: the last value per document, dropped when the watermark, ``ttl_ms`` behind,
+    has passed its last poll by ``ttl_ms``)."""
     src = polls.select("document_id", F.col("ts").cast("timestamp").alias("ts"), "seq",
                        F.col(value_col).cast("string").alias("polled"))
-    return src.groupBy("document_id").applyInPandasWithState(
-        _feed, FEED_OUT, "last string", "append", GroupStateTimeout.NoTimeout)
+    return src.withWatermark("ts", f"{ttl_ms} milliseconds").groupBy("document_id").applyInPandasWithState(
+        _feed(ttl_ms), FEED_OUT, "last string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------ PII branch

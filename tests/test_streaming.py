@@ -156,3 +156,105 @@ def test_write_batches_idempotent_and_quarantine(spark, tmp_path):
     bad(batch, 3)
     assert spark.read.parquet(f"{base}2/main").count() == 2
     assert spark.read.parquet(f"{base}2/_errors").count() == 1
+
+
+class _State:
+    """A group's state that checks timeouts as the engine does."""
+
+    def __init__(self, watermark_ms):
+        self.watermark, self.value, self.timeout, self.hasTimedOut = watermark_ms, None, None, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def setTimeoutTimestamp(self, ms):
+        if ms <= self.watermark:
+            raise ValueError("the timeout lies behind the watermark")
+        self.timeout = ms
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+
+def test_quiet_time_and_page_order():
+    import pandas as pd
+
+    t = pd.Timestamp(T0)
+    state = _State(J._ms(t) + 10 * 3_600_000)  # the watermark has moved on by ten hours
+    step = J._eager(3000, 3_600_000)
+    pages = pd.DataFrame({"object_key": [f"incoming/a-{n}.png" for n in (10, 2, 1)] + ["incoming/a.png"], "event_time": t})
+    assert list(step(("a",), iter([pages]), state)) == []
+    assert state.timeout == state.watermark + 1
+    state.hasTimedOut = True
+    out, = step(("a",), iter([]), state)
+    assert out["pages"][0] == ["incoming/a-1.png", "incoming/a-2.png", "incoming/a-10.png", "incoming/a.png"]
+    gate = _State(J._ms(t) + 10 * 3_600_000)
+    list(J._gate(1000)(("d",), iter([pd.DataFrame({"page_ordinal": [1], "n_pages": [2], "ts": [t]})]), gate))
+    assert gate.timeout == gate.watermark + 1
+
+
+def test_gate_goes_on_after_a_restart(spark, tmp_path):
+    folder = tmp_path / "texts"
+    folder.mkdir()
+    place = checkpoint_path(spark, f"test-restart-{uuid.uuid4().hex}")
+
+    def run(page, n):
+        (folder / f"t{n}.json").write_text(json.dumps({"document_id": "d", "page_ordinal": page, "n_pages": 2,
+                                                       "ts": (T0 + dt.timedelta(seconds=n)).isoformat()}))
+        s = spark.readStream.schema("document_id string, page_ordinal long, n_pages long, ts timestamp").json(str(folder))
+        q = (J.completion_gate(s).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", place).trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        return spark.read.schema(J.GATE_OUT).parquet(str(tmp_path / "out")).count()
+    assert [run(1, 0), run(2, 1), run(2, 2)] == [0, 1, 1]  # each run is a query of its own
+
+
+def test_late_pages_stay_visible(spark):
+    log = spark.createDataFrame([(f"incoming/a-{i}.png", "image/png", T0 + dt.timedelta(seconds=s), "b")
+                                 for i, s in enumerate((0, 1, 100))] + [("incoming/z-1.png", "image/png", T0, "b")],
+                                J.MANIFEST_DDL)
+    batches = spark.createDataFrame([("a", T0, T0 + dt.timedelta(seconds=4), 2)],
+                                    "base_name string, batch_start timestamp, batch_end timestamp, n_pages long")
+    assert sorted(r.object_key for r in J.late_arrivals(log, batches).collect()) == ["incoming/a-2.png", "incoming/z-1.png"]
+
+
+def test_both_readers_give_the_same_document(spark, tmp_path):
+    from doclake.operators import ingest as I
+    (tmp_path / "incoming").mkdir()
+    (tmp_path / "incoming" / "INV-1.jpg").write_bytes(b"x")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    manifest = spark.createDataFrame([("incoming/INV-1.jpg", "image/jpeg", T0, "b")], J.MANIFEST_DDL)
+    ids = {r.document_id for m in (J.binary_to_manifest(files, "b"), manifest)
+           for r in I.document_records(I.accepted_pages(I.parse_keys(m))).collect()}
+    assert len(ids) == 1
+
+
+def test_static_batches_with_a_hot_base(spark):
+    """One base holds most arrivals, in a chain over many buckets and many batches; against a plain scan."""
+    import random
+    rng = random.Random(2)
+    at, rows = 0.0, []
+    for i in range(3000):
+        at += rng.choice([1, 2.999999, 3, 5, 700, 2000])
+        rows.append(("hot", i, at))
+    rows += [(f"b{i % 7}", 5000 + i, rng.uniform(0, 5000)) for i in range(200)]
+    df = spark.createDataFrame([(b, i, T0 + dt.timedelta(microseconds=round(s * 1e6))) for b, i, s in rows],
+                               "base_name string, object_id long, event_time timestamp")
+    want = []
+    for base in {r[0] for r in rows}:
+        times = sorted(T0 + dt.timedelta(microseconds=round(s * 1e6)) for b, _, s in rows if b == base)
+        start, last, n = times[0], times[0], 0
+        for t in times:
+            if t - last >= dt.timedelta(seconds=3):
+                want.append((base, start, last + dt.timedelta(seconds=3), n))
+                start, n = t, 0
+            last, n = t, n + 1
+        want.append((base, start, last + dt.timedelta(seconds=3), n))
+    got = [tuple(r) for r in page_batches(df).collect()]
+    assert sorted(got) == sorted(want)
