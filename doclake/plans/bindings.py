@@ -125,6 +125,23 @@ QUEUE_BODY_SQL = f"""CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 = 0 THEN '{
 QUEUE_MESSAGES_SQL = f"SELECT l_orderkey * 10 + l_linenumber AS message_id, {QUEUE_BODY_SQL} AS body FROM lineitem"
 
 
+# conversation -> one message of the PII branch, in either shape, some of them bad
+_PII_BODY = """'{"document_id":"' || CAST(conv_id AS STRING) || '","pages":["incoming/' || CAST(conv_id AS STRING)
+        || '-1.png"],"ocr_text_keys":[' || CASE WHEN conv_id % 7 = 0 THEN '' ELSE
+           '"staging/' || CAST(conv_id AS STRING) || '/text_page_1.txt"' END || ']'
+        || CASE WHEN conv_id % 3 = 0 THEN ',"bucket_name":"other"' ELSE '' END || '}'"""
+
+
+def _queue_record(source: str, body: str) -> str:
+    return f"'{{\"eventSource\":\"{source}\",\"body\":\"' || replace({body}, '\"', '\\\\\"') || '\"}}'"
+
+
+PII_PAYLOAD_SQL = f"""CASE conv_id % 5 WHEN 0 THEN {_PII_BODY}
+        WHEN 1 THEN '{{"Records":[' || {_queue_record('aws:sqs', _PII_BODY)} || ']}}'
+        WHEN 2 THEN '{{"Records":[' || {_queue_record('aws:sqs', _PII_BODY)} || ',' || {_queue_record('aws:sns', _PII_BODY)} || ']}}'
+        WHEN 3 THEN '{{"Records":[' || {_queue_record('aws:sqs', "'{bad'")} || ']}}'
+        ELSE {_PII_BODY} || ' trailing' END"""
+
 # ------------------------------------------------------------------ STATE
 # orders row -> one document record; lineitem rows -> its page -> job-status map
 # ---------------------------------------------------------------------------
@@ -336,6 +353,56 @@ LINES_SQL = """
       FROM documents)"""
 
 
+# ------------------------------------------------------------------ PIIX
+# orders row -> a filled form (page) of its customer (document), with every
+# kind of personal data in some of them; the same SQL text in both engines
+PIIX_FIRST, PIIX_LAST = ["Mary", "Vincent", "Anna", "Omar"], ["Poole", "Lopez", "Smith", "Hale"]
+
+
+def _pick(names: list[str], of: str) -> str:
+    return f"CASE {of} % {len(names)} " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names)) + " END"
+
+
+_PIIX_NAME = f"{_pick(PIIX_FIRST, 'o_orderkey')} || ' ' || {_pick(PIIX_LAST, 'o_custkey')}"
+
+
+def _digits(of: str, n: int) -> str:
+    return f"lpad(CAST(({of}) % {10 ** n} AS STRING), {n}, '0')"
+
+
+PIIX_SQL = f"""
+    SELECT CAST(o_custkey AS STRING) AS document_id, o_orderkey AS page_no,
+           CASE o_orderkey % 8
+             WHEN 0 THEN 'Applicant: ' || {_PIIX_NAME} || chr(10) || 'SSN ' || {_digits('o_custkey * 7', 3)} || '-' ||
+                         {_digits('o_orderkey', 2)} || '-' || {_digits('o_orderkey * 3', 4)}
+             WHEN 1 THEN 'Signed: ' || {_PIIX_NAME} || ', Ford dealership'
+             WHEN 2 THEN 'By: ' || {_PIIX_NAME} || chr(10) || {_digits('o_orderkey', 5)} || '-' || {_digits('o_custkey', 4)}
+             WHEN 3 THEN 'Dear ' || {_PIIX_NAME} || ', zip ' || {_digits('o_orderkey * 11', 5)}
+             WHEN 4 THEN 'Name: ' || {_PIIX_NAME} || chr(10) || {_digits('o_orderkey', 3)} || '.555.' || {_digits('o_custkey', 4)}
+             WHEN 5 THEN 'card ' || {_digits('o_orderkey', 4)} || ' 5678 ' || {_digits('o_custkey', 4)} || ' 9012'
+             WHEN 6 THEN CAST(o_orderkey % 90 + 1 AS STRING) || ' Oak Street, mail c' || CAST(o_custkey AS STRING) || '@shop.org'
+             ELSE '' END AS text
+    FROM orders"""
+
+
+def forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages (document_id, page_no, text) of filled forms."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    return o.selectExpr(*_select_list(PIIX_SQL))
+
+
+def _select_list(sql: str) -> list[str]:
+    """The expressions between SELECT and FROM (commas outside brackets separate them)."""
+    body = sql[sql.index("SELECT") + 6:sql.rindex("FROM")]
+    parts, depth, at = [], 0, 0
+    for i, ch in enumerate(body):
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 0 and body.count("'", 0, i) % 2 == 0:
+            parts.append(body[at:i].strip())
+            at = i + 1
+    return [*parts, body[at:].strip()]
+
+
 # ------------------------------------------------------------------ LLM
 # documents -> recorded model responses of the classification pass, by doc_id
 LLM_TYPE_BY_LANG = {"en": "invoice", "fr": "promotion", "de": "credit_card", "es": "insurance"}

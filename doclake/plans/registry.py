@@ -6,6 +6,7 @@ import functools
 
 from doclake.plans import queries_changes as C
 from doclake.plans import queries_extract as X
+from doclake.plans import queries_forms as FM
 from doclake.plans import queries_ingest as G
 from doclake.plans import queries_pages as PG
 from doclake.plans import queries_pii as P
@@ -63,6 +64,15 @@ QUERIES = {
     "llm_results": (X.llm_results, X.llm_results_sql),
     "extraction_typed": (X.extraction_typed, X.extraction_typed_sql),
     "extraction_check": (X.extraction_check, X.extraction_check_sql),
+    "form_detections": (FM.form_detections, FM.form_detections_sql),
+    "form_detections_sure": (FM.form_detections_sure, FM.form_detections_sure_sql),
+    "pii_result_documents": (FM.pii_result_documents, FM.pii_result_documents_sql),
+    "pii_messages": (FM.pii_messages, FM.pii_messages_sql),
+    "envelope_sources": (FM.envelope_sources, FM.envelope_sources_sql),
+    "doc_prefix": (FM.doc_prefix, FM.doc_prefix_sql),
+    "page_siblings": (FM.page_siblings, FM.page_siblings_sql),
+    "page_text_pairs": (FM.page_text_pairs, FM.page_text_pairs_sql),
+    "text_key_lists": (FM.text_key_lists, FM.text_key_lists_sql),
     "pii_gate": (X.pii_gate, X.pii_gate_sql),
 }
 
