@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from doclake.llm import chat
 
-from helpers import clash
+from llm_helpers import clash
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 BITS = st.lists(st.sampled_from([*chat.CONTROL, "\\", "<", "[", "s>", "/s>", "INST]", "\n", "a", "é", "n"])).map("".join)

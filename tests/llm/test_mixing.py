@@ -2,7 +2,7 @@ from collections import Counter
 
 from doclake.llm import mixing
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 
 def mixing_key(s):

@@ -6,7 +6,7 @@ import pytest
 
 from doclake.llm import packing
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 PATTERN = r" ?[a-z]+|\s+|[^a-z\s]+"
 END = 300

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from doclake.llm import quality
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 LABELS = "doc_id long, quality int, toxic int"
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from doclake.llm import repetition
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 
 def slow(text, least=repetition.MIN_REPEAT):

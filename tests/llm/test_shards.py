@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from doclake.llm import shards
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 
 def rows_of(df):

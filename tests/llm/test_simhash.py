@@ -6,7 +6,7 @@ import xxhash
 from doclake.llm import simhash
 from doclake.llm.components import components
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 
 def slow_print(text):

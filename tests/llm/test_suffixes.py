@@ -2,7 +2,7 @@ import random
 
 from doclake.llm import suffixes
 
-from helpers import clash
+from llm_helpers import clash, docs  # noqa: F401
 
 
 def slow(rows, k):

@@ -2,7 +2,7 @@ import hashlib
 
 from doclake.llm import warc
 
-from helpers import clash
+from llm_helpers import clash
 
 SCHEMA = "page_id long, url string, html string"
 
