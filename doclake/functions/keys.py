@@ -77,11 +77,6 @@ def route(key: Column) -> Column:
     return F.when(key.startswith(INCOMING_PREFIX) & (F.instr(key, ".") > 0), m[last])
 
 
-def is_archive_name(name: Column) -> Column:
-    """The archive reader's own check ignores case."""
-    return F.lower(name).endswith(ARCHIVE_SUFFIX)
-
-
 def mime_supported(content_type: Column) -> Column:
     """MIME allow-list; a missing type is rejected."""
     return F.coalesce(content_type.isin(SUPPORTED_MIME_TYPES), F.lit(False))

@@ -150,9 +150,3 @@ def folder_counts_after_run(parsed: DataFrame, accepted_flag: str = "accepted")
     return c.select(F.expr("stack(5, 'complete', complete, 'staging', complete, 'results', results, "
                            "'archive', archive, 'incoming', incoming) AS (folder, n_objects)")) \
             .where(F.col("n_objects") > 0)
-
-
-def folder_counts(keys: DataFrame, key_col: str = "object_key") -> DataFrame:
-    """Objects per top-level folder."""
-    return (keys.groupBy(K.top_folder(F.col(key_col)).alias("folder"))
-            .agg(F.count(F.lit(1)).alias("n_objects")))

@@ -13,7 +13,9 @@ from doclake.operators.pages import OCR_RESPONSE
 def stored_key(root: str) -> Column:
     """A read file's key in its bucket: its path below ``root``, as the sinks and records write it."""
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.substring_index(path, root.rstrip("/") + "/", -1)
+    # the same folder may be written with or without its scheme
+    folder = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
+    return F.substring_index(path, folder, -1)
 
 
 def read_texts(spark: SparkSession, root: str, prefix: str = "staging/", glob: str = "*.txt") -> DataFrame:

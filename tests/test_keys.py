@@ -101,3 +101,20 @@ def test_bad_pii_messages_keep_a_row(spark):
     assert sorted((r.id, r.msg_idx, r.error_reason) for r in out) == [
         (1, 0, "malformed_json"), (1, 1, "not_a_queue_record"), (2, 0, "malformed_json"), (3, 0, "malformed_json"),
         (4, 0, "malformed_json"), (5, 0, "No OCR text keys provided for PII processing")]
+
+
+def test_queue_batches_and_config_and_history(spark, tmp_path):
+    from doclake.operators import flags as FL
+    from doclake.operators import pii
+    from doclake.sources import files as FS
+    batch = '{"Records":[{"eventSource":"aws:sqs","body":"{\\"Event\\":\\"s3:TestEvent\\"}"},{"eventSource":"x","body":"b"}]}'
+    rows = V.explode_queue_batch(spark.createDataFrame([(1, batch)], "batch_id int, payload string")).collect()
+    assert [(r.msg_idx, r.event_source) for r in rows] == [(0, "aws:sqs"), (1, "x")] and "TestEvent" in rows[0].body
+    (tmp_path / "c.json").write_text('{"config_key":"pii_processing","config_type":"feature_flag","enabled":true}')
+    flags = FS.read_config(spark, str(tmp_path / "c.json"), "pii_processing", "feature_flag")
+    assert FL.read_flag(flags, "pii_processing", "feature_flag")["enabled"] is True
+    spark.createDataFrame([("e", "TaskSucceeded"), ("e", "Other")], "execution_id string, type string").write.parquet(
+        str(tmp_path / "h"))
+    assert [r.type for r in FS.read_history(spark, str(tmp_path / "h")).collect()] == ["TaskSucceeded"]
+    key = spark.range(1).select(pii.redacted_image_key(F.lit("d"), F.lit(3)).alias("k")).first().k
+    assert key == "results/d_page_3_redacted.jpg"

@@ -18,6 +18,22 @@ def test_bucketed_row_number_equals_window(spark):
     assert got == want
 
 
+def test_hot_document_spreads_and_keeps_its_order(spark):
+    """One document holds most pages, half of them without a number; against plain windows."""
+    from doclake.operators import ingest as I
+    rows = [("b", "hot", f"incoming/hot-{i}.png", i) for i in range(1, 900)]
+    rows += [("b", "hot", f"incoming/hot{i}.png", None) for i in range(800)] + [("b", f"d{i % 9}", f"incoming/d{i % 9}-{i}.png", i)
+                                                                               for i in range(200)]
+    df = spark.createDataFrame(rows + rows[:50], "bucket string, base_name string, object_key string, page_no long")
+    for order, by in (("numeric", [F.col("page_no").asc_nulls_last(), "object_key"]), ("lexical", ["object_key"])):
+        got = {r.object_key: r.page_ordinal for r in I.page_table(df, order=order).collect()}
+        w = Window.partitionBy("base_name").orderBy(*by)
+        want = {r.object_key: r.o for r in df.distinct().withColumn("o", F.row_number().over(w)).collect()}
+        assert got == want
+    prefixes = df.select(I._key_prefix().alias("p")).groupBy("p").count().agg(F.max("count")).first()[0]
+    assert prefixes < 200  # no bucket holds the document
+
+
 def test_bucketed_lag_equals_window(spark):
     rnd = random.Random(5)
     t0 = dt.datetime(2026, 1, 1)
