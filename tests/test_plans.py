@@ -26,3 +26,37 @@ def test_scans_are_pruned_and_filtered(spark):
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in docs
     det = _plan(E.queries()["pii_detections"](spark, SF_SMALL))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in det
+
+
+# shuffles per query: the rows of a table travel once per key they are brought together by
+SHUFFLES = {"ingest_pages": 5, "ingest_pages_lexical": 5, "timeline_history": 5, "timeline_history_contains": 5,
+            "llm_pending": 2, "llm_outcomes": 1, "extraction_check": 1, "workflow_steps": 4, "page_batches": 4,
+            "masked_text": 0, "pii_boxes": 0, "pii_detections": 0}
+
+
+def test_number_of_shuffles(spark):
+    found = {n: _plan(E.queries()[n](spark, SF_SMALL)).count("Exchange hashpartitioning") for n in SHUFFLES}
+    assert all(found[n] <= most for n, most in SHUFFLES.items()), found
+
+
+def test_building_a_detection_runs_no_job(spark):
+    from doclake.operators import pii
+
+    grouped = spark.range(100).selectExpr("id % 7 AS k", "cast(id as string) AS text").groupBy("k").agg({"text": "max"})
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    pii.with_detections(grouped.withColumnRenamed("max(text)", "text"))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_whole_tables_are_read(spark):
+    """Every execution that has history meets documents, and every line item is a page of its document."""
+    from doclake.plans import bindings as B
+
+    jobs = B.state_jobs(spark, SF_SMALL).select("document_id").distinct().count()
+    assert jobs == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_orderkey").distinct().count()
+    used = B.state_documents(spark, SF_SMALL).selectExpr("step_function_execution_arn AS e").distinct()
+    runs = B.history(spark, SF_SMALL).selectExpr("execution_id AS e").distinct()
+    assert runs.join(used, "e", "left_anti").count() == 0
+    outcomes = E.queries()["llm_outcomes"](spark, SF_SMALL)
+    assert outcomes.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
