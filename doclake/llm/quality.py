@@ -105,26 +105,62 @@ def labelled_features(docs: DataFrame, labels: DataFrame, bound: int) -> DataFra
     return src.mapInArrow(run, "quality int, toxic int, feats array<long>")
 
 
-def fit(feats: list[np.ndarray], label: np.ndarray, default: float) -> tuple[np.ndarray, float]:
+def class_counts(sample: DataFrame) -> dict[str, np.ndarray]:
+    """Per class value, the labelled documents that have each feature; the last entry counts all documents."""
+    values = [("quality", 1), ("quality", 0), ("toxic", 1), ("toxic", 0)]
+    sums = [F.sum((F.col(c) == v).cast("int")).alias(f"{c}{v}") for c, v in values]
+    # every document has the extra feature ALL; at most one row per feature number comes back
+    rows = sample.select("quality", "toxic", F.explode(F.array_append("feats", F.lit(BUCKETS + SHAPES))).alias("f"))
+    found = rows.groupBy("f").agg(*sums).toPandas()
+    out = {}
+    for c, v in values:
+        out[f"{c}{v}"] = np.zeros(BUCKETS + SHAPES + 1)
+        out[f"{c}{v}"][found["f"]] = found[f"{c}{v}"].fillna(0)
+    return out
+
+
+def scales(pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
+    """How much more often a feature occurs in one class, in log odds, less what chance explains (0: nothing)."""
+    (pos, n_pos), (neg, n_neg) = (pos[:-1], pos[-1]), (neg[:-1], neg[-1])
+    ratio = np.log((pos + .5) / (n_pos - pos + .5)) - np.log((neg + .5) / (n_neg - neg + .5))
+    error = np.sqrt(1 / (pos + .5) + 1 / (n_pos - pos + .5) + 1 / (neg + .5) + 1 / (n_neg - neg + .5))
+    return np.where(pos + neg > 0, np.sign(ratio) * np.maximum(0, np.abs(ratio) - CHANCE * error), 0)
+
+
+def telling_features(sample: DataFrame, used: np.ndarray) -> DataFrame:
+    """The sample with only the features marked in ``used``."""
+    def run(batches):
+        for b in batches:
+            feats = b.column("feats")
+            flat = feats.values.to_numpy()[feats.offsets[0].as_py():feats.offsets[-1].as_py()]
+            keep = used[flat]
+            ends = np.r_[0, np.cumsum(keep)][feats.offsets.to_numpy() - feats.offsets[0].as_py()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("quality"), b.column("toxic"),
+                 pa.ListArray.from_arrays(pa.array(ends.astype("int32")), pa.array(flat[keep]))],
+                names=["quality", "toxic", "feats"])
+
+    return sample.mapInArrow(run, sample.schema)
+
+
+def fit(feats: list[np.ndarray], label: np.ndarray, scale: np.ndarray, default: float) -> tuple[np.ndarray, float]:
     """(weights, bias) of a ridge logistic regression on present features, each scaled by its
     log odds ratio between the classes, by adaptive gradient steps."""
     weights = np.zeros(BUCKETS + SHAPES)
     if not len(label) or label.min() == label.max():
         share = label.mean() if len(label) else default
         return weights, float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    used, col = np.unique(np.concatenate(feats), return_inverse=True)
+    used = np.flatnonzero(scale)
+    number = np.full(len(scale), -1)
+    number[used] = np.arange(len(used))
+    flat = np.concatenate(feats).astype("int64")
     row = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    # how much more often a feature occurs in one class, in log odds, less what chance explains
-    pos, n_pos = np.bincount(col[label[row] > 0], minlength=len(used)), (label > 0).sum()
-    neg, n_neg = np.bincount(col[label[row] <= 0], minlength=len(used)), (label <= 0).sum()
-    ratio = np.log((pos + .5) / (n_pos - pos + .5)) - np.log((neg + .5) / (n_neg - neg + .5))
-    error = np.sqrt(1 / (pos + .5) + 1 / (n_pos - pos + .5) + 1 / (neg + .5) + 1 / (n_neg - neg + .5))
-    scale = np.sign(ratio) * np.maximum(0, np.abs(ratio) - CHANCE * error)
-    told = scale[col] != 0
-    col, row = col[told], row[told]
-    w, bias, n = np.zeros(len(used)), float(np.log(n_pos / n_neg)), len(label)
+    told = number[flat] >= 0
+    col, row = number[flat][told], row[told]
+    n = len(label)
+    w, bias = np.zeros(len(used)), float(np.log((label > 0).sum() / (label <= 0).sum()))
     second, second_b = np.full(len(used), 1e-8), 1e-8
-    x = scale[col]
+    x = scale[used][col]
     for _ in range(ROUNDS):
         z = np.bincount(row, w[col] * x, n) + bias
         err = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - label
@@ -133,8 +169,7 @@ def fit(feats: list[np.ndarray], label: np.ndarray, default: float) -> tuple[np.
         second_b += err.sum() ** 2
         w -= 0.3 * g / np.sqrt(second)
         bias -= 0.3 * err.sum() / np.sqrt(second_b)
-    w *= scale
-    weights[used] = w
+    weights[used] = w * scale[used]
     return weights, bias
 
 
@@ -142,11 +177,15 @@ def document_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colu
                     bound: int = MAX_LABELLED) -> DataFrame:
     """``doc_id, host, path, quality, toxic``: the classifiers' log odds of every document."""
     bounded_batches(docs.sparkSession)
-    sample = labelled_features(docs, labels, bound).toPandas()  # at most ``bound`` rows
+    sample = staged(labelled_features(docs, labels, bound), "labelled")
+    counts = class_counts(sample)
+    scale = {c: scales(counts[f"{c}1"], counts[f"{c}0"]) for c in ("quality", "toxic")}
+    # at most ``bound`` rows, with the features that tell the classes apart
+    told = telling_features(sample, (scale["quality"] != 0) | (scale["toxic"] != 0)).toPandas()
     models = []
     for name, default in (("quality", 1.0), ("toxic", 0.0)):
-        has = sample[name].notna().to_numpy(bool)
-        models.append(fit([np.asarray(x) for x in sample["feats"][has]], sample[name][has].to_numpy("float64"), default))
+        has = told[name].notna().to_numpy(bool)
+        models.append(fit(list(told["feats"][has]), told[name][has].to_numpy("float64"), scale[name], default))
     (wq, bq), (wt, bt) = ((w.astype("float32"), b) for w, b in models)
     src = docs.select("doc_id", host.cast("string").alias("host"), path.cast("string").alias("path"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("t"))
