@@ -3,6 +3,7 @@ Python, and filters / column pruning reach the parquet scans."""
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from doclake.plans import registry
 
 
 def _plan(df) -> str:
@@ -11,7 +12,7 @@ def _plan(df) -> str:
 
 def test_no_pairwise_joins_or_row_udfs(spark):
     bad = {}
-    for name, fn in E.queries().items():
+    for name, (fn, _) in registry.QUERIES.items():
         plan = _plan(fn(spark, SF_SMALL))
         for op in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
             if op in plan:
