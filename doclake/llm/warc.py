@@ -6,8 +6,8 @@ by payload digest; of the records with equal payloads of at least
 ``min_bytes`` bytes that with the largest page_id is the original response,
 and the others are joined to it and written as revisit records without a
 payload, with fresh headers that name the original. The payloads themselves
-only move if the table of shared digests is too large to be sent to the tasks
-(Spark measures it at run time).
+only move if the written table of shared digests is larger than Spark sends to
+tasks (its broadcast threshold).
 
 The archives are written with Spark's text sink (one record per row, the blank
 lines between records as separator), so they land in any store Spark can write
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, scratch
+from .common import bounded_batches, scratch, staged
 
 MIN_REVISIT_BYTES = 1000
 RECORDS_PER_FILE = 5000
@@ -65,7 +65,9 @@ def resolve(headers: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame
     """Adds ``original`` (page_id of the response) to the headers that are revisits, null to the rest."""
     originals = (headers.select("page_id", "digest", "n_bytes").where(F.col("n_bytes") >= min_bytes)
                  .groupBy("digest").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")))
-    originals = originals.where("n > 1").select(F.col("digest").alias("shared"), "first")
+    # written first, so that its size is known when the join is planned: Spark sends it to the tasks if it is small
+    # and shuffles both sides if it isn't
+    originals = staged(originals.where("n > 1").select(F.col("digest").alias("shared"), "first"), "originals")
     # short payloads get keys of their own, so that they never meet in one task
     key = F.when(F.col("n_bytes") >= min_bytes, F.col("digest")).otherwise(
         F.concat(F.lit("short "), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
