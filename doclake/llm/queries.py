@@ -108,7 +108,44 @@ JOIN cyc ON cyc.src = d.src AND turn = block % p2, ends
 
 
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.verdicts(repetition.repetition_stats(table(spark, sf_dir, "documents")))
+    return repetition.verdicts(repetition.repetition_stats(table(spark, sf_dir, "documents"))).drop("longest_repeat")
+
+
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+
+def _covered_sql(k: int) -> str:
+    """Per document, the words in windows of k words that occur twice or more in it."""
+    return f"""
+    SELECT doc_id, count(DISTINCT i + j) AS n FROM (
+      SELECT doc_id, i, unnest(range({k})) AS j FROM (
+        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(words[i:i + {k - 1}], ' '))) AS c
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k} + 2)) AS i FROM w)) WHERE c > 1)
+    GROUP BY doc_id"""
+
+
+# no repeat is longer than the limit: no window of one word more occurs twice
+OP5_SQL = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+c3 AS ({_covered_sql(repetition.WINDOW)}),
+cm AS ({_covered_sql(repetition.MIN_REPEAT)}),
+cl AS ({_covered_sql(repetition.MAX_LONGEST + 1)}),
+b AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORD})) AS lines
+  FROM w),
+r AS (
+  SELECT b.doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c3.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(cm.n, 0) AS BIGINT) AS n_covered_words,
+         cl.n IS NOT NULL AS too_long
+  FROM b LEFT JOIN c3 USING (doc_id) LEFT JOIN cm USING (doc_id) LEFT JOIN cl USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND n_covered_words <= {repetition.MAX_COVERED}::DOUBLE * n_words AND NOT too_long AS kept
+FROM r
+"""
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +160,28 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(table(spark, sf_dir, "documents"))
 
 
+# CRC32 byte by byte, from the table of its polynomial
+OP8_SQL = """
+WITH t AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+b AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size, list_prepend(4294967295::BIGINT,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)) AS bytes
+  FROM documents),
+p AS (
+  SELECT doc_id, size, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32,
+         sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total,
+         row_number() OVER (ORDER BY doc_id) AS rn
+  FROM b, t),
+s AS (SELECT *, CAST(least(39, (2 * before + size) * 40 // (2 * total)) AS INT) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, CAST(rn - min(rn) OVER (PARTITION BY shard) AS BIGINT) AS slot,
+       CAST(NULL AS INT) AS grown_shard
+FROM s
+"""
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' source is the host, and their language in it the path."""
     return quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
@@ -130,7 +189,27 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start_word", "end_word", "later_copy")
+
+
+OP10_SQL = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+g AS (
+  SELECT doc_id, i, md5(array_to_string(words[i + 1:i + {suffixes.MIN_WORDS}], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(0, len(words) - {suffixes.MIN_WORDS} + 1)) AS i FROM w)),
+r AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c,
+         row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS later FROM g),
+m AS (
+  SELECT doc_id, later, i, coalesce(i <= lag(i) OVER p + {suffixes.MIN_WORDS}, false) AS joins FROM r WHERE c > 1
+  WINDOW p AS (PARTITION BY doc_id, later ORDER BY i)),
+n AS (
+  SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, later ORDER BY i ROWS UNBOUNDED PRECEDING) AS k
+  FROM m)
+SELECT doc_id, CAST(min(i) AS INT) AS start_word, CAST(max(i) + {suffixes.MIN_WORDS} AS INT) AS end_word, later AS later_copy
+FROM n GROUP BY doc_id, later, k
+"""
 
 
 QUERIES = {
@@ -138,10 +217,10 @@ QUERIES = {
     "op2_warc": (op2_warc, OP2_SQL),
     "op3_chat": (op3_chat, OP3_SQL),
     "op4_mixing": (op4_mixing, OP4_SQL),
-    "op5_repetition": (op5_repetition, None),
+    "op5_repetition": (op5_repetition, OP5_SQL),
     "op6_simhash": (op6_simhash, None),
     "op7_decontamination": (op7_decontamination, None),
-    "op8_shards": (op8_shards, None),
+    "op8_shards": (op8_shards, OP8_SQL),
     "op9_quality": (op9_quality, None),
-    "op10_suffixes": (op10_suffixes, None),
+    "op10_suffixes": (op10_suffixes, OP10_SQL),
 }
