@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,14 +109,14 @@ def labelled_features(docs: DataFrame, labels: DataFrame, bound: int) -> DataFra
 def class_counts(sample: DataFrame) -> dict[str, np.ndarray]:
     """Per class value, the labelled documents that have each feature; the last entry counts all documents."""
     values = [("quality", 1), ("quality", 0), ("toxic", 1), ("toxic", 0)]
-    sums = [F.sum((F.col(c) == v).cast("int")).alias(f"{c}{v}") for c, v in values]
+    sums = [(F.sum((F.col(c) == v).cast("int")), f"{c}{v}") for c, v in values]
     # every document has the extra feature ALL; at most one row per feature number comes back
     rows = sample.select("quality", "toxic", F.explode(F.array_append("feats", F.lit(BUCKETS + SHAPES))).alias("f"))
-    found = rows.groupBy("f").agg(*sums).toPandas()
+    found = rows.groupBy("f").agg(*[F.coalesce(x, F.lit(0)).cast("int").alias(n) for x, n in sums]).toArrow()
     out = {}
-    for c, v in values:
-        out[f"{c}{v}"] = np.zeros(BUCKETS + SHAPES + 1)
-        out[f"{c}{v}"][found["f"]] = found[f"{c}{v}"].fillna(0)
+    for _, n in sums:
+        out[n] = np.zeros(BUCKETS + SHAPES + 1)
+        out[n][found["f"].to_numpy()] = found[n].to_numpy()
     return out
 
 
@@ -143,9 +144,10 @@ def telling_features(sample: DataFrame, used: np.ndarray) -> DataFrame:
     return sample.mapInArrow(run, sample.schema)
 
 
-def fit(feats: list[np.ndarray], label: np.ndarray, scale: np.ndarray, default: float) -> tuple[np.ndarray, float]:
-    """(weights, bias) of a ridge logistic regression on present features, each scaled by its
-    log odds ratio between the classes, by adaptive gradient steps."""
+def fit(flat: np.ndarray, row: np.ndarray, label: np.ndarray, scale: np.ndarray,
+        default: float) -> tuple[np.ndarray, float]:
+    """(weights, bias) of a ridge logistic regression on present features (``flat``, of document ``row``), each scaled
+    by its log odds ratio between the classes, by adaptive gradient steps."""
     weights = np.zeros(BUCKETS + SHAPES)
     if not len(label) or label.min() == label.max():
         share = label.mean() if len(label) else default
@@ -153,8 +155,6 @@ def fit(feats: list[np.ndarray], label: np.ndarray, scale: np.ndarray, default:
     used = np.flatnonzero(scale)
     number = np.full(len(scale), -1)
     number[used] = np.arange(len(used))
-    flat = np.concatenate(feats).astype("int64")
-    row = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     told = number[flat] >= 0
     col, row = number[flat][told], row[told]
     n = len(label)
@@ -181,11 +181,13 @@ def document_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colu
     counts = class_counts(sample)
     scale = {c: scales(counts[f"{c}1"], counts[f"{c}0"]) for c in ("quality", "toxic")}
     # at most ``bound`` rows, with the features that tell the classes apart
-    told = telling_features(sample, (scale["quality"] != 0) | (scale["toxic"] != 0)).toPandas()
+    told = telling_features(sample, (scale["quality"] != 0) | (scale["toxic"] != 0)).toArrow().combine_chunks()
     models = []
     for name, default in (("quality", 1.0), ("toxic", 0.0)):
-        has = told[name].notna().to_numpy(bool)
-        models.append(fit(list(told["feats"][has]), told[name][has].to_numpy("float64"), scale[name], default))
+        part = told.filter(pc.is_valid(told[name])).combine_chunks()
+        size = pc.list_value_length(part["feats"]).to_numpy()
+        models.append(fit(pc.list_flatten(part["feats"]).to_numpy(), np.repeat(np.arange(len(size)), size),
+                          part[name].to_numpy().astype("float64"), scale[name], default))
     (wq, bq), (wt, bt) = ((w.astype("float32"), b) for w, b in models)
     src = docs.select("doc_id", host.cast("string").alias("host"), path.cast("string").alias("path"),
                       F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("t"))
