@@ -54,12 +54,13 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     start = end - size
     n = max(1, len(words) - shingle + 1)
     last = end[shingle - 1:] if len(words) >= shingle else end[-1:]
-    spans = list(zip(start[:n].tolist(), last.tolist()))
+    del words
     ones = np.zeros(64, "int64")
     h = xxhash.xxh64_intdigest
     for k in range(0, n, CHUNK_SHINGLES):
-        part = spans[k:k + CHUNK_SHINGLES]
-        hashes = np.fromiter((h(line[s:e], SEED) for s, e in part), "uint64", len(part))
+        part = slice(k, min(n, k + CHUNK_SHINGLES))
+        hashes = np.fromiter((h(line[s:e], SEED) for s, e in zip(start[part].tolist(), last[part].tolist())),
+                             "uint64", part.stop - part.start)
         bits = np.unpackbits(hashes.view("uint8").reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype="int64")
     set_bits = np.packbits(2 * ones > n, bitorder="little")
