@@ -179,5 +179,5 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 def formatted_conversations(conversations: DataFrame) -> DataFrame:
     """Format every conversation's best branch, write the texts and return what reading them back gives."""
-    nodes = linear_nodes(conversations)
+    nodes = staged(linear_nodes(conversations), "nodes")  # the rounds below read its narrow columns alone
     return digests(staged(format_paths(nodes, best_paths(nodes)), "chat"))
