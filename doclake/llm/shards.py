@@ -1,7 +1,7 @@
 """Contiguous shards of equal byte size from global prefix sums.
 
-Rows are range-partitioned by the order column and sorted inside their
-partition. Each partition adds up its own sizes; the per-partition totals (one
+Rows are range-partitioned by the order column (or columns) and sorted inside
+their partition. Each partition adds up its own sizes; the per-partition totals (one
 row per partition) turn into offsets, so a row's global position in bytes is
 the partition's offset plus its own running sum. A row belongs to the shard
 in which the middle of its bytes lies: shards are contiguous, and each is
@@ -33,16 +33,17 @@ def text_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD).cast("long")
 
 
-def assign_shards(df: DataFrame, size: Column, key: str = "doc_id", n_shards: int = 40) -> DataFrame:
+def assign_shards(df: DataFrame, size: Column, key: str | list[str] = "doc_id", n_shards: int = 40) -> DataFrame:
     """``df`` with ``shard`` (0 to n_shards - 1), ``slot`` (gapless in the shard) and ``shard_bytes_before``."""
     spark = df.sparkSession
+    keys = [key] if isinstance(key, str) else key
     bounded_batches(spark)
     shard, slot, before, rid, sz, part, run, row = fresh(
         df, "shard", "slot", "shard_bytes_before", "rid", "sz", "part", "run", "row")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = (df.withColumn(sz, size.cast("long")).withColumn(rid, F.monotonically_increasing_id())
-              .repartitionByRange(parts, F.col(key), F.col(rid))
-              .sortWithinPartitions(F.col(key), F.col(rid)))
+              .repartitionByRange(parts, *keys, rid)
+              .sortWithinPartitions(*keys, rid))
     schema = T.StructType([f for f in ranged.schema if f.name != rid]
                           + [T.StructField(n, T.LongType()) for n in (part, run, row)])
     kept = [f.name for f in ranged.schema if f.name != rid]
