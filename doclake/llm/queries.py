@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, packing, quality, repetition, shards, simhash, suffixes, warc
+from . import chat, decontaminate, mixing, packing, quality, repetition, shards, simhash, suffixes, toxicity, warc
 from .common import table
 
 
@@ -212,6 +212,10 @@ FROM n GROUP BY doc_id, later, k
 """
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_warc": (op2_warc, OP2_SQL),
@@ -223,4 +227,5 @@ QUERIES = {
     "op8_shards": (op8_shards, OP8_SQL),
     "op9_quality": (op9_quality, None),
     "op10_suffixes": (op10_suffixes, OP10_SQL),
+    "op11_toxicity": (op11_toxicity, None),
 }
