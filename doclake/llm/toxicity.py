@@ -127,8 +127,8 @@ def labelled(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
         for use in ("fold = 1", "fold > 1"):
             part = known.where((F.col("toxic") == toxic) & F.expr(use)).orderBy("h", "doc_id").limit(bound)
             few = part if few is None else few.unionByName(part)
-    return docs.select("doc_id", _text().alias("t")).join(few.select("doc_id", "toxic", "fold"), "doc_id").select(
-        "toxic", "fold", "t")
+    few = few.select("doc_id", "toxic", "fold")  # at most 4 * bound rows: broadcast, so that no text moves
+    return docs.select("doc_id", _text().alias("t")).join(F.broadcast(few), "doc_id").select("toxic", "fold", "t")
 
 
 def _text() -> Column:
