@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, packing, quality, repetition, shards, simhash, suffixes, toxicity, warc
+from . import alignment, chat, decontaminate, mixing, packing, quality, repetition, shards, simhash, suffixes, toxicity, warc
 from .common import table
 
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 # fixed values: the vocabulary's split pattern and its free id
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_ID = 50256
@@ -216,6 +218,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_warc": (op2_warc, OP2_SQL),
@@ -228,4 +234,5 @@ QUERIES = {
     "op9_quality": (op9_quality, None),
     "op10_suffixes": (op10_suffixes, OP10_SQL),
     "op11_toxicity": (op11_toxicity, None),
+    "op13_alignment": (op13_alignment, None),
 }
