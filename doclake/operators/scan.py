@@ -29,7 +29,7 @@ PART, SEQ = "_part", "_seq"
 
 
 class Scan(NamedTuple):
-    """A running value: ``op`` is 'sum' or 'last' (the last non-null one; wrap a nullable value in a struct).
+    """A running value: ``op`` is 'sum', 'min' or 'last' (the last non-null one; wrap a nullable value in a struct).
 
     ``before``: of the rows before this one only.
     """
@@ -60,9 +60,9 @@ def ranged(df: DataFrame, keys: list[str], order: list[Column | str], keep: list
 
 
 def _added(op: str, a, b):
-    if op == "sum":
-        return a if b is None else b if a is None else a + b
-    return a if b is None else b
+    if a is None or b is None:
+        return a if b is None else b
+    return {"sum": lambda: a + b, "min": lambda: min(a, b), "last": lambda: b}[op]()
 
 
 def _carries(rows: DataFrame, keys: list[str], scans: list[Scan]) -> DataFrame:
@@ -71,7 +71,7 @@ def _carries(rows: DataFrame, keys: list[str], scans: list[Scan]) -> DataFrame:
     key = F.struct(*keys)
     ends = rows.groupBy(PART).agg(F.min_by(key, SEQ).alias("_head"), F.max_by(key, SEQ).alias("_tail"))
     ends = written(ends, "ends")
-    whole = {"sum": lambda s: F.sum(s.value),
+    whole = {"sum": lambda s: F.sum(s.value), "min": lambda s: F.min(s.value),
              "last": lambda s: F.max_by(s.value, F.when(s.value.isNotNull(), F.col(SEQ)))}
     last = rows.withColumn("_key", key).join(
         F.broadcast(ends.select(PART, "_tail")), PART).where(F.col("_key").eqNullSafe(F.col("_tail")))
@@ -98,13 +98,14 @@ def scanned(rows: DataFrame, keys: list[str], scans: list[Scan]) -> DataFrame:
     out = rows
     for i, s in enumerate(scans):
         frame = here.rowsBetween(Window.unboundedPreceding, -1 if s.before else 0)
-        run = F.sum(s.value) if s.op == "sum" else F.last(s.value, ignorenulls=True)
+        run = {"sum": F.sum, "min": F.min, "last": lambda v: F.last(v, ignorenulls=True)}[s.op](s.value)
         out = out.withColumn(f"_l{i}", run.over(frame))
     out = out.join(carries, PART, "left")
     first = F.struct(*keys).eqNullSafe(F.col("_head"))
     for i, s in enumerate(scans):
         local, carry = F.col(f"_l{i}"), F.when(first, F.col(f"_c{i}"))
-        both = F.coalesce(local + carry, local, carry) if s.op == "sum" else F.coalesce(local, carry)
+        both = {"sum": lambda: F.coalesce(local + carry, local, carry), "min": lambda: F.least(local, carry),
+                "last": lambda: F.coalesce(local, carry)}[s.op]()
         out = out.withColumn(s.name, both)
     return out.drop("_head", *[f"_{x}{i}" for i in range(len(scans)) for x in "lc"])
 

@@ -36,13 +36,13 @@ def test_scans_equal_windows(split, keys):
     rows = scan.ranged(df, ["k"], ["ts", "id"])
     got = scan.scanned(rows, ["k"], [
         Scan("n", "sum", F.lit(1).cast("long")), Scan("s", "sum", F.col("page")), Scan("sb", "sum", F.col("page"), True),
-        Scan("last", "last", F.col("v")), Scan("prev", "last", F.struct("v"), True)])
+        Scan("m", "min", F.col("page")), Scan("last", "last", F.col("v")), Scan("prev", "last", F.struct("v"), True)])
     w = Window.partitionBy("k").orderBy("ts", "id")
     upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("id", F.row_number().over(w).alias("n"), F.sum("page").over(upto).alias("s"),
-                     F.sum("page").over(before).alias("sb"), F.last("v", True).over(upto).alias("last"),
+                     F.sum("page").over(before).alias("sb"), F.min("page").over(upto).alias("m"), F.last("v", True).over(upto).alias("last"),
                      F.lag("v").over(w).alias("p"), (F.row_number().over(w) == 1).alias("first"))
-    found = {(r.id, r.n, r.s, r.sb, r.last, r.prev.v if r.prev else None, r.prev is None) for r in got.collect()}
+    found = {(r.id, r.n, r.s, r.sb, r.m, r.last, r.prev.v if r.prev else None, r.prev is None) for r in got.collect()}
     assert found == set(map(tuple, want.collect()))
 
 
