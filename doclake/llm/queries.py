@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, mixing, packing, quality, repetition, shards, simhash, suffixes, toxicity, warc
-from .common import table
+from . import alignment, chat, decontaminate, mixing, packing, prefix_trie, quality, repetition, shards, simhash, suffixes, toxicity, warc
+from .common import staged, table
 
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -218,6 +218,25 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def shared_beginnings(turns: DataFrame, ids: DataFrame) -> DataFrame:
+    """Every conversation begins with up to three turns of the one whose id is a multiple of 20 below its own."""
+    own = ids.select("conv_id", F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(4)).alias("h"),
+                     (F.col("conv_id") - F.col("conv_id") % 20).alias("base"))
+    first = turns.where("pos <= 3").select(F.col("conv_id").alias("base"), "pos", "hash", "words")
+    taken = own.join(first, "base").where("pos <= h").select("conv_id", "pos", "hash", "words")
+    size = first.groupBy("base").agg(F.max("pos").alias("size"))
+    rest = turns.join(own.join(size, "base", "left"), "conv_id").where("pos > h").select(
+        "conv_id", (F.col("pos") - F.col("h") + F.least("h", F.coalesce("size", F.lit(0)))).alias("pos"), "hash", "words")
+    return taken.unionByName(rest)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    turns = staged(prefix_trie.turns_in_order(rows), "turns")
+    ids = rows.select(F.col("conv_id").cast("long").alias("conv_id")).where("conv_id is not null").distinct()
+    return prefix_trie.trie_nodes(shared_beginnings(turns, ids), ids)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
@@ -234,5 +253,6 @@ QUERIES = {
     "op9_quality": (op9_quality, None),
     "op10_suffixes": (op10_suffixes, OP10_SQL),
     "op11_toxicity": (op11_toxicity, None),
+    "op12_prefix_trie": (op12_prefix_trie, None),
     "op13_alignment": (op13_alignment, None),
 }
