@@ -237,6 +237,49 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(shared_beginnings(turns, ids), ids)
 
 
+# a node's ancestors are the prefixes, down to its depth, of its smallest member
+OP12_SQL = f"""
+WITH t AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+i AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+           lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), t),
+size AS (SELECT conv_id AS base, count(*) AS n FROM o GROUP BY 1),
+r AS (
+  SELECT i.conv_id, o.pos, role, text FROM i JOIN o ON o.conv_id = base WHERE pos <= h
+  UNION ALL
+  SELECT i.conv_id, pos - h + least(h, coalesce(n, 0)), role, text
+  FROM i JOIN o ON o.conv_id = i.conv_id LEFT JOIN size USING (base) WHERE pos > h),
+p AS (
+  SELECT conv_id, pos AS depth, CAST(len(regexp_extract_all(text, {_WORD})) AS BIGINT) AS words,
+         md5(string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY pos)) AS key
+  FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM i),
+q AS (
+  SELECT *, lag(key) OVER c AS up, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p
+  WINDOW c AS (PARTITION BY conv_id ORDER BY depth)),
+v AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, any_value(up) AS up,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM q GROUP BY depth, key),
+k AS (SELECT depth - 1 AS depth, up AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY ALL),
+n AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k USING (depth, key)),
+s AS (
+  SELECT p.depth, p.key, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * n.words) AS BIGINT) AS saved_tokens
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN s USING (depth, key) LEFT JOIN n AS a ON a.depth = n.depth - 1 AND a.key = n.up
+"""
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
 
@@ -253,6 +296,6 @@ QUERIES = {
     "op9_quality": (op9_quality, None),
     "op10_suffixes": (op10_suffixes, OP10_SQL),
     "op11_toxicity": (op11_toxicity, None),
-    "op12_prefix_trie": (op12_prefix_trie, None),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
     "op13_alignment": (op13_alignment, None),
 }
