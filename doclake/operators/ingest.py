@@ -11,11 +11,11 @@ in one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from doclake.functions import keys as K
-from doclake.plans.ordered import bucketed_row_number, prefix_row_number
+from doclake.operators.scan import positions
 
 INITIAL_STATUS = "OCR_RUNNING"
 
@@ -69,29 +69,15 @@ def distinct_pages(pages: DataFrame, bucket_col: str = "bucket") -> DataFrame:
     return _pages(pages, bucket_col).distinct()
 
 
-# characters after the base name that tell the pages of a very large document apart
-SPLIT_CHARS = 5
-
-
-def _key_prefix() -> Column:
-    """A page key up to its base name and a few characters on."""
-    key = F.col("object_key")
-    name = F.length(F.substring_index(key, "/", -1))
-    return F.substring(key, F.lit(1), F.length(key) - name + F.length("base_name") + SPLIT_CHARS)
-
-
 def page_table(pages: DataFrame, bucket_col: str = "bucket", order: str = "numeric") -> DataFrame:
     """One row per distinct page object with its document id and ordinal.
 
     ``order='numeric'`` sorts by the page number in the name (then the key);
     ``'lexical'`` sorts by key text, as a plain string sort does. Either way a
-    document's pages spread over tasks by number range or key prefix.
+    document's pages spread over range partitions of that order.
     """
-    rows = _pages(pages, bucket_col)
-    if order == "numeric":
-        return bucketed_row_number(rows, ["document_id"], F.col("page_no"), [F.col("object_key")], "page_ordinal",
-                                   null_bucket=_key_prefix(), distinct=True)
-    return prefix_row_number(rows, ["document_id"], "object_key", _key_prefix(), "page_ordinal", distinct=True)
+    by = [F.col("page_no").asc_nulls_last(), "object_key"] if order == "numeric" else ["object_key"]
+    return positions(distinct_pages(pages, bucket_col), ["document_id"], by, "page_ordinal")
 
 
 def document_records(pages: DataFrame, bucket_col: str = "bucket",

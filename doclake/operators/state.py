@@ -15,7 +15,7 @@ from pyspark.sql import Window
 
 from doclake.functions import keys as K
 from doclake.functions import status as S
-from doclake.plans.ordered import bucketed_lag
+from doclake.operators.scan import Scan, plain, ranged, scanned
 
 
 def status_view(docs: DataFrame) -> DataFrame:
@@ -138,9 +138,10 @@ def change_flags(polls: DataFrame, value_col: str, key: str = "document_id",
                  time_col: str = "ts", seq_col: str = "seq") -> DataFrame:
     """``changed`` = the polled value differs (null-safe) from the previous poll
     of the same document; the first poll counts as a change."""
-    lagged = bucketed_lag(polls, [key], F.col(time_col), F.col(seq_col), value_col, "_prev")
-    return lagged.withColumn("changed", ~F.col(value_col).eqNullSafe(F.col("_prev"))
-                             | F.col("_first")).drop("_prev", "_first")
+    previous = Scan("_prev", "last", F.struct(F.col(value_col).alias("v")), before=True)
+    lagged = scanned(ranged(polls, [key], [time_col, seq_col]), [key], [previous])
+    return plain(lagged).withColumn("changed", F.col("_prev").isNull() | ~F.col(value_col).eqNullSafe(F.col("_prev.v"))).drop(
+        "_prev")
 
 
 def by_filename_prefix(docs: DataFrame, prefix: str, col: str = "original_filename") -> DataFrame:

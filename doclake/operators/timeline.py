@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from doclake.functions import status as S
+from doclake.operators.scan import Scan, ranged, scanned
 
 STEP_DDL = "struct<step:string,status:string,ts:timestamp_ntz,details:string>"
 
@@ -184,36 +184,25 @@ def timeline_text(docs: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------- execution history
 
-def workflow_steps(history: DataFrame, exec_col: str = "execution_id",
-                   bucket_seconds: int = 60) -> DataFrame:
+def workflow_steps(history: DataFrame, exec_col: str = "execution_id") -> DataFrame:
     """Each state entry with the first later terminal event of the same
     execution (any state, strictly later time, ties by event id): status
     completed / failed / in_progress and the step duration.
 
-    Balanced for a hot execution: the running minimum over later events runs
-    per (execution, time bucket) in reversed time order (a growing frame,
-    linear); an entry with no terminal later in its own bucket takes the
-    earliest terminal of the execution's later buckets, found over one
-    summary row per bucket.
+    One segmented scan from the latest event to the earliest, which remembers
+    the last terminal event it passed. Entries come before the terminal events
+    of their own moment, so only strictly later ones count. An execution with
+    any share of the events spreads over range partitions of its time.
     """
-    term = F.col("type").isin(SUCCEEDED, FAILED)
-    t_us = F.unix_micros(F.col("ts").cast("timestamp"))
-    ev = (history.select(exec_col, "event_id", "ts", "type", "state")
-          .withColumn("_t", t_us)
-          .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_seconds * 1_000_000)).cast("bigint")))
-    tstruct = F.struct(F.col("_t").alias("t"), F.col("event_id").alias("id"), F.col("type").alias("type"))
-    w = (Window.partitionBy(exec_col, "_b").orderBy(F.col("_t").desc())
-         .rangeBetween(Window.unboundedPreceding, -1))
-    local = (ev.withColumn("_in", F.min(F.when(term, tstruct)).over(w))
-               .where(F.col("type") == ENTERED))
-    per_bucket = ev.where(term).groupBy(exec_col, "_b").agg(F.min(tstruct).alias("_m"))
-    entry_buckets = local.select(exec_col, "_b").distinct()
-    buckets = entry_buckets.join(per_bucket, [exec_col, "_b"], "full")
-    wb = (Window.partitionBy(exec_col).orderBy(F.col("_b").desc())
-          .rowsBetween(Window.unboundedPreceding, -1))
-    later = buckets.withColumn("_later", F.min("_m").over(wb)).select(exec_col, "_b", "_later")
-    marked = (local.join(later, [exec_col, "_b"], "left")
-              .withColumn("_next", F.coalesce(F.col("_in"), F.col("_later"))))
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = history.select(exec_col, "event_id", "ts", "type", "state", t.alias("_t"))
+    ends = F.col("type").isin(SUCCEEDED, FAILED) & F.col("_t").isNotNull()
+    rows = ranged(events.withColumn("_ends", F.coalesce(ends, F.lit(False))).where(
+        F.col("_ends") | (F.col("type") == ENTERED)), [exec_col], [F.col("_t").desc(), "_ends", F.col("event_id").desc()])
+    later = Scan("_next", "last", F.when(F.col("_ends"), F.struct(
+        F.col("_t").alias("t"), F.col("event_id").alias("id"), F.col("type").alias("type"))))
+    marked = scanned(rows, [exec_col], [later]).where(F.col("type") == ENTERED).withColumn(
+        "_next", F.when(F.col("_t").isNotNull(), F.col("_next")))
     return marked.select(
         exec_col, "event_id", F.col("state").alias("state"), "ts",
         F.when(F.col("_next").isNull(), F.lit("in_progress"))

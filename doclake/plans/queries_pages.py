@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 
 from doclake.operators import pages as PG
 from doclake.operators import pii
+from doclake.operators.scan import positions
 from doclake.plans import bindings as B
 from doclake.plans.oracle_pii import detections_sql
-from doclake.plans.ordered import bucketed_row_number
 
 MASK = "[REDACTED]"
 
 
 def _conv_pages(spark, sf_dir):
     p = B.conversation_pages(spark, sf_dir)
-    return bucketed_row_number(p, ["document_id"], F.col("page_no"), [F.col("page_key")], "page_ordinal")
+    return positions(p, ["document_id"], [F.col("page_no").asc_nulls_last(), "page_key"], "page_ordinal")
 
 
 _CONV_ORD_SQL = f"""

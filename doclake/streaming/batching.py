@@ -2,19 +2,20 @@
 
 A batch closes when no page of that base name arrives for ``gap`` (each new
 page resets the wait). A stream uses the engine's session window (with a
-watermark bounding the state). A static table uses time buckets per base name:
-arrivals are compared inside their bucket, and buckets are chained by one
-summary row each, so a base name with very many arrivals spreads over tasks.
+watermark bounding the state). A static table is scanned in range partitions
+of (base name, time), so a base name with any share of the arrivals spreads
+over tasks, also where they fall into one moment.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from doclake.operators.scan import Scan, ranged, scanned
+
 DEFAULT_GAP = "3 seconds"
-BUCKET_SECONDS = 600
 
 
 def page_batches(arrivals: DataFrame, gap: str = DEFAULT_GAP, base_col: str = "base_name",
@@ -26,31 +27,21 @@ def page_batches(arrivals: DataFrame, gap: str = DEFAULT_GAP, base_col: str = "b
     is_ts = isinstance(arrivals.schema[time_col].dataType, T.TimestampType)
     t = F.col(time_col) if is_ts else F.col(time_col).cast("timestamp")
     if not arrivals.isStreaming:
-        return _bucketed(arrivals.select(F.col(base_col), F.unix_micros(t).alias("_t"), F.col(id_col).alias("_id")),
-                         base_col, gap)
+        return _chained(arrivals.select(F.col(base_col), F.unix_micros(t).alias("_t"), F.col(id_col).alias("_id")),
+                        base_col, gap)
     g = arrivals.groupBy(F.col(base_col), F.session_window(t, gap).alias("w")).agg(
         F.count(F.col(id_col)).cast("bigint").alias("n_pages"))
     return g.select(base_col, F.col("w.start").cast("timestamp_ntz").alias("batch_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("batch_end"), "n_pages")
 
 
-def _bucketed(rows: DataFrame, base: str, gap: str) -> DataFrame:
+def _chained(rows: DataFrame, base: str, gap: str) -> DataFrame:
+    """Two segmented scans: the arrival before tells where a batch opens, the last opening which batch a page is in."""
     wait = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {gap})")
-    dealt = rows.where(F.col("_t").isNotNull()).withColumn("_b", F.floor(F.col("_t") / (BUCKET_SECONDS * 1_000_000)))
-    w = Window.partitionBy(base, "_b").orderBy("_t")
-    # the batch that an arrival opens or joins, as far as its bucket shows; null: what the bucket began with
-    opens = F.when(F.col("_t") - F.lag("_t").over(w) >= wait, F.col("_t"))
-    parts = (dealt.withColumn("_o", opens)
-             .withColumn("_s", F.max("_o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-             .groupBy(base, "_b", "_s").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"), F.count("_id").alias("_n")))
-    buckets = parts.groupBy(base, "_b").agg(F.min("_first").alias("_f"), F.max("_last").alias("_l"), F.max("_s").alias("_m"))
-    chain = Window.partitionBy(base).orderBy("_b")
-    fresh = F.lag("_l").over(chain).isNull() | (F.col("_f") - F.lag("_l").over(chain) >= wait)
-    begun = buckets.withColumn("_begin", F.when(fresh, F.col("_f")))
-    carried = F.last(F.coalesce("_m", "_begin"), ignorenulls=True).over(chain.rowsBetween(Window.unboundedPreceding, -1))
-    starts = begun.select(base, "_b", F.coalesce("_begin", carried).alias("_begin"))
-    joined = parts.join(starts, [base, "_b"])
-    return joined.groupBy(base, F.coalesce("_s", "_begin").alias("_start")).agg(
-        F.max("_last").alias("_last"), F.sum("_n").cast("bigint").alias("n_pages")).select(
+    placed = ranged(rows.where(F.col("_t").isNotNull()), [base], ["_t", "_id"])
+    before = scanned(placed, [base], [Scan("_before", "last", F.col("_t"), before=True)])
+    opens = F.when(F.col("_before").isNull() | (F.col("_t") - F.col("_before") >= wait), F.col("_t"))
+    batch = scanned(before.withColumn("_opens", opens), [base], [Scan("_start", "last", F.col("_opens"))])
+    return batch.groupBy(base, "_start").agg(F.max("_t").alias("_last"), F.count("_id").cast("bigint").alias("n_pages")).select(
         base, F.timestamp_micros("_start").cast("timestamp_ntz").alias("batch_start"),
         F.timestamp_micros(F.col("_last") + wait).cast("timestamp_ntz").alias("batch_end"), "n_pages")

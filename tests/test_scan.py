@@ -67,3 +67,63 @@ def test_positions_keep_columns(split):
     df = split.createDataFrame(rows_of(1, 50, ["x", "y"]), SCHEMA)
     out = scan.positions(df, ["k"], ["ts", "id"], "n", keep=["k", "id"])
     assert out.columns == ["k", "id", "n"] and out.count() == 50
+
+
+def test_hot_document_keeps_its_page_order(split):
+    """One document holds most pages, half of them without a number; against plain windows."""
+    from doclake.operators import ingest as I
+    rows = [("b", "hot", f"incoming/hot-{i}.png", i) for i in range(1, 900)]
+    rows += [("b", "hot", f"incoming/hot{i}.png", None) for i in range(800)] + [("b", f"d{i % 9}", f"incoming/d{i % 9}-{i}.png", i)
+                                                                               for i in range(200)]
+    df = split.createDataFrame(rows + rows[:50], "bucket string, base_name string, object_key string, page_no long")
+    for order, by in (("numeric", [F.col("page_no").asc_nulls_last(), "object_key"]), ("lexical", ["object_key"])):
+        got = {r.object_key: r.page_ordinal for r in I.page_table(df, order=order).collect()}
+        w = Window.partitionBy("base_name").orderBy(*by)
+        want = {r.object_key: r.o for r in df.distinct().withColumn("o", F.row_number().over(w)).collect()}
+        assert got == want
+
+
+def test_changes_of_a_hot_document(split):
+    from doclake.operators import state as ST
+    df = split.createDataFrame(rows_of(5, 600, ["x", "x", "x", "y"]), SCHEMA).withColumnsRenamed(
+        {"k": "document_id", "id": "seq", "v": "polled"})
+    got = {(r.seq, r.changed) for r in ST.change_flags(df, "polled").collect()}
+    w = Window.partitionBy("document_id").orderBy("ts", "seq")
+    want = df.select("seq", (F.lag("seq").over(w).isNull() | ~F.lag("polled").over(w).eqNullSafe(F.col("polled"))).alias("c"))
+    assert got == set(map(tuple, want.collect()))
+
+
+def test_batches_of_a_hot_base_name(split):
+    from doclake.streaming import batching
+    df = split.createDataFrame([(r[0], r[2], r[3]) for r in rows_of(7, 500, ["x", "x", "y"])], "base_name string, object_id long, event_time timestamp_ntz")
+    got = sorted((r.base_name, r.batch_start, r.batch_end, r.n_pages) for r in batching.page_batches(df, "4 milliseconds").collect())
+    gap, want = dt.timedelta(milliseconds=4), []
+    for base in ("x", "y"):
+        at = sorted(r.event_time for r in df.where(F.col("base_name") == base).collect())
+        run = [at[0]]
+        for t in at[1:]:
+            if t - run[-1] >= gap:
+                want.append((base, run[0], run[-1] + gap, len(run)))
+                run = []
+            run.append(t)
+        want.append((base, run[0], run[-1] + gap, len(run)))
+    assert got == sorted(want) and len(got) > 10
+
+
+def test_steps_of_a_hot_execution(split):
+    """Entries and the first strictly later terminal event, many in one moment."""
+    from doclake.operators import timeline as TL
+    rnd = random.Random(11)
+    t0 = dt.datetime(2026, 1, 1)
+    rows = [(rnd.choice(["x", "x", "x", "y"]), i, t0 + dt.timedelta(milliseconds=rnd.randint(0, 40)),
+             rnd.choice([TL.ENTERED, TL.ENTERED, TL.SUCCEEDED, TL.FAILED, "Other"]), "OCR") for i in range(500)]
+    rows.append(("x", 900, None, TL.ENTERED, "OCR"))
+    df = split.createDataFrame(rows, "execution_id string, event_id long, ts timestamp_ntz, type string, state string")
+    got = {(r.event_id, r.status, r.terminal_event_id) for r in TL.workflow_steps(df).collect()}
+    want = set()
+    for x, i, ts, kind, _ in rows:
+        if kind == TL.ENTERED:
+            later = [(t, j, k) for y, j, t, k, _ in rows if y == x and k in (TL.SUCCEEDED, TL.FAILED) and ts and t > ts]
+            end = min(later) if later else None
+            want.add((i, "in_progress" if not end else "completed" if end[2] == TL.SUCCEEDED else "failed", end and end[1]))
+    assert got == want
