@@ -1,5 +1,7 @@
+import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import corpus_pipeline
 from doclake.llm import mixing
@@ -59,27 +61,48 @@ def slow(rows, items, block=mixing.BLOCK_ROWS):
     parts = {s: 1 + int(e) for s, e in exact.items()}
     for s in sorted(n, key=lambda s: (int(exact[s]) - exact[s], key(s)))[:cycle - sum(parts.values())]:
         parts[s] += 1
-    left, kept = dict(n), {s: 0 for s in n}
     by_key = {key(s): s for s in n}
-    for k in test_mixing.slow_cycle({key(s): p for s, p in parts.items()}, cycle) * 3:
-        s = by_key[k]
-        if left[s] <= 0:
-            break
-        left[s] -= block
-        kept[s] += block
-    mixed = []
+    blocks = {k: -(-n[by_key[k]] // block) for k in by_key}
+    slots = slow_slots(blocks, {key(s): p for s, p in parts.items()})
+    place = {}
     for s in n:
         own = sorted((i % mixing.BUCKETS, i) for i, _, x in out if x == s)
-        mixed += [i for _, i in own[:kept[s]]]
+        for k, (_, i) in enumerate(own):
+            place[i] = slots[key(s), k // block]
     texts = {i: t for i, t, _ in out}
-    size = {i: len(texts[i].encode()) + 16 for i in mixed}
-    total, before, want, slots = sum(size.values()), 0, [], Counter()
-    for i in sorted(mixed):
+    size = {i: len(texts[i].encode()) + 16 for i in place}
+    total, before, want, filled = sum(size.values()), 0, [], Counter()
+    for i in sorted(place, key=lambda i: (place[i], i)):
         s = min(39, (2 * before + size[i]) * 40 // (2 * total))
-        want.append((i, texts[i], s, slots[s]))
-        slots[s] += 1
+        want.append((i, texts[i], s, filled[s]))
+        filled[s] += 1
         before += size[i]
-    return want
+    return sorted(want)
+
+
+def slow_slots(blocks, parts):
+    """The slot of every (source, block): phases between the sources' ends, each its whole cycles and one of the rest."""
+    slots, done, at = {}, dict.fromkeys(blocks, 0), 0
+
+    def run(share):
+        nonlocal at
+        for s in test_mixing.slow_cycle(share, sum(share.values())):
+            slots[s, done[s]] = at
+            done[s] += 1
+            at += 1
+
+    for e in sorted(blocks, key=lambda s: (blocks[s] / parts[s], s)):
+        cycles = Fraction(blocks[e], parts[e])
+        goal = {s: blocks[s] if blocks[s] <= parts[s] * cycles else min(blocks[s], math.floor(parts[s] * cycles + Fraction(1, 2)))
+                for s in blocks}
+        active = {s: goal[s] - done[s] for s in blocks if done[s] < blocks[s]}
+        times = min(m // parts[s] for s, m in active.items()) if active else 0
+        for _ in range(times):
+            run({s: parts[s] for s in active})
+        rest = {s: m - times * parts[s] for s, m in active.items() if m > times * parts[s]}
+        if rest:
+            run(rest)
+    return slots
 
 
 def test_run_against_brute_force(spark, tmp_path):
