@@ -110,7 +110,8 @@ JOIN cyc ON cyc.src = d.src AND turn = block % p2, ends
 
 
 def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.verdicts(repetition.repetition_stats(table(spark, sf_dir, "documents"))).drop("longest_repeat")
+    return repetition.verdicts(repetition.repetition_stats(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered_words")
 
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -142,10 +143,10 @@ r AS (
          CAST(coalesce(c3.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(cm.n, 0) AS BIGINT) AS n_covered_words,
          cl.n IS NOT NULL AS too_long
   FROM b LEFT JOIN c3 USING (doc_id) LEFT JOIN cm USING (doc_id) LEFT JOIN cl USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered_words,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-       AND n_covered_words <= {repetition.MAX_COVERED}::DOUBLE * n_words AND NOT too_long AS kept
+       AND n_covered_words <= {repetition.MAX_COVERED}::DOUBLE * n_words AND NOT too_long AS kept, n_covered_words
 FROM r
 """
 

@@ -96,3 +96,9 @@ def test_empty_repeated_and_clashing(docs):
     assert out.columns == df.columns
     assert sorted(map(str, (r.doc_id for r in out.collect()))) == ["1", "1", "None"]
     assert out.where(F.col("kept") == "extra").count() == 3
+
+
+def test_registered_columns_stand_in_contract_order(spark):
+    from doclake.llm.queries import op5_repetition
+    assert op5_repetition(spark, "/root/testdata/sf0.001").columns == [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered_words"]
