@@ -35,12 +35,12 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import itertools
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -59,6 +59,7 @@ FAN_IN = 64
 RUNS_A_TASK = 1024
 FRAME = 1 << 13
 SLICE = 1 << 20
+SLICE_BYTES = 2 << 20
 CHUNK = 1 << 20
 _CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 _LOW = (1 << ID_BITS) - 1
@@ -99,9 +100,19 @@ class Sides:
                                  for i in range(len(x))], pa.large_string())
         self.place = [0, len(a), 2 * len(a), 2 * len(a) + len(b), 2 * len(a) + 2 * len(b)]
 
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return ([e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)],
-                self.b.encode(parts, num_threads=1))
+    def encode(self, parts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Both sides' ids of every part; few parts at a time, since a library's own result is far larger."""
+        a, b, at = [], [], 0
+        while at < len(parts):
+            end, size = at, 0
+            while end < len(parts) and (end == at or size + len(parts[end]) <= CHUNK):
+                size += len(parts[end])
+                end += 1
+            some = parts[at:end]
+            a += [np.array(e.ids, "int64") for e in self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)]
+            b += [np.array(x, "int64") for x in self.b.encode(some, num_threads=1)]
+            at = end
+        return a, b
 
 
 def parts_of(text: str) -> list[str]:
@@ -116,9 +127,9 @@ def parts_of(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def _flat(ids: list[list[int]], owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _flat(ids: list[np.ndarray], owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     size = np.fromiter(map(len, ids), "int64", len(ids))
-    flat = np.fromiter(itertools.chain.from_iterable(ids), "int64", int(size.sum()))
+    flat = np.concatenate(ids) if ids else np.zeros(0, "int64")
     return flat, np.bincount(owner, size, n).astype("int64") if n else np.zeros(0, "int64")
 
 
@@ -309,7 +320,7 @@ def aligned_blocks(docs: DataFrame, json: str, model: bytes) -> DataFrame:
             yield from _runs(held, base + block, arrow)
             block, placed, held, size = block + 1, 0, [], 0
 
-        for b in (x.slice(i, BLOCK_DOCS) for x in batches for i in range(0, x.num_rows, BLOCK_DOCS)):
+        for b in (small for x in batches for small in _slices(x)):
             if placed + b.num_rows > BLOCK_DOCS:
                 yield from flush()
             done = Aligned(sides, b.column("t").to_pylist())
@@ -329,6 +340,16 @@ def aligned_blocks(docs: DataFrame, json: str, model: bytes) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
+def _slices(batch: pa.RecordBatch):
+    """The batch in slices of at most ``SLICE_BYTES`` of text (or one text) and ``BLOCK_DOCS`` rows."""
+    size = pc.fill_null(pc.binary_length(batch.column("t")), 0).to_numpy()
+    at = 0
+    while at < batch.num_rows:
+        n = int(np.searchsorted(np.cumsum(size[at:at + BLOCK_DOCS]), SLICE_BYTES, "right"))
+        yield batch.slice(at, max(1, n))
+        at += max(1, n)
+
+
 def _filled(schema: pa.Schema, n: int, **columns) -> list[pa.Array]:
     return [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema]
 
