@@ -325,30 +325,50 @@ def result_documents(outcomes: DataFrame, first: DataFrame, second: DataFrame, t
         passes, F.lit("}")).alias("result_json"))
 
 
+def parsed(answers: DataFrame, content_col: str = "content", out: str = "parsed") -> DataFrame:
+    """Answers with their content as a variant: parsed once, read by every rule and field below."""
+    return answers.withColumn(out, F.try_parse_json(content_col))
+
+
+def _ddl(t: T.DataType) -> str:
+    """A type as text, names quoted (schemas name fields like 24_7_claims)."""
+    if isinstance(t, T.StructType):
+        return "struct<" + ",".join(f"`{f.name}`:{_ddl(f.dataType)}" for f in t) + ">"
+    return f"array<{_ddl(t.elementType)}>" if isinstance(t, T.ArrayType) else t.simpleString()
+
+
+def typed(variant: Column, schema: dict) -> Column:
+    """A parsed answer read with the schema's compiled type (null where absent or of another type)."""
+    return F.try_variant_get(variant, "$", _ddl(compile_schema(schema)))
+
+
 def typed_answers(decoded: DataFrame, schema: dict) -> DataFrame:
     """Decoded answers with ``answer``: the content read with the schema's compiled type (null fields where absent)."""
     return decoded.withColumn("answer", F.from_json("content", compile_schema(schema)))
 
 
-def extraction_violations(content: Column, schema: dict) -> Column:
+def violations(variant: Column, schema: dict) -> Column:
     """Declared-but-unchecked rules of a schema as a violations array: missing required fields, values of another
     JSON type, values outside an enum, confidence outside [0, 1]; the fields of nested objects too, by their path."""
-    return F.array_compact(F.array(*_checks(content, schema.get("fields", {}), "$", ""), F.lit(None).cast("string")))
+    return F.array_compact(F.array(*_rules(variant, schema.get("fields", {}), "$", ""), F.lit(None).cast("string")))
+
+
+def extraction_violations(content: Column, schema: dict) -> Column:
+    """``violations`` of a JSON text."""
+    return violations(F.try_parse_json(content), schema)
 
 
-def _checks(content: Column, fields: dict, at: str, shown: str) -> list[Column]:
-    holder = content if at == "$" else F.get_json_object(content, at)
-    keys = F.json_object_keys(holder)
+def _rules(variant: Column, fields: dict, at: str, shown: str) -> list[Column]:
     checks = []
     for name, spec in fields.items():
         if isinstance(spec, str):
             spec = {"type": spec}
         path, label = f"{at}.{name}", f"{shown}{name}"
-        val = F.get_json_object(content, path)
-        there = F.coalesce(F.array_contains(keys, name), F.lit(False))
+        node = F.try_variant_get(variant, path, "variant")
+        val = F.try_variant_get(variant, path, "string")  # null for a JSON null as well
         if spec.get("required"):
-            checks.append(F.when(~there, F.lit(f"missing:{label}")))
-        kind = F.schema_of_variant(F.variant_get(F.try_parse_json(content), path, "variant"))
+            checks.append(F.when(node.isNull(), F.lit(f"missing:{label}")))
+        kind = F.schema_of_variant(node)
         wanted = {"array": kind.startswith("ARRAY"), "object": kind.startswith("OBJECT"),
                   "string": kind == "STRING", "boolean": kind == "BOOLEAN"}.get(
             spec.get("type", "string"), kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"))
@@ -359,5 +379,5 @@ def _checks(content: Column, fields: dict, at: str, shown: str) -> list[Column]:
             num = val.try_cast("double")
             checks.append(F.when(val.isNotNull() & (num.isNull() | (num < 0) | (num > 1)), F.lit(f"range:{label}")))
         if spec.get("type") == "object" and spec.get("properties"):
-            checks += _checks(content, spec["properties"], path, f"{label}.")
+            checks += _rules(variant, spec["properties"], path, f"{label}.")
     return checks

@@ -222,15 +222,29 @@ JOBS_SQL = f"""
     GROUP BY document_id, page_key"""
 
 
-def state_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def state_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a list is filtered and sorted by, of every document: no join."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_orderdate")
+    return o.selectExpr("o_orderkey", "CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status",
+                        "o_orderdate AS created_at")
+
+
+def _of(df: DataFrame, column: str, only: DataFrame | None) -> DataFrame:
+    """The rows of the documents ``only`` (``o_orderkey``; one list page, so it is small enough to send along)."""
+    if only is None:
+        return df
+    return df.join(F.broadcast(only.select(F.col("o_orderkey").alias(column))), column, "left_semi")
+
+
+def state_documents(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
     """The document state table (one row per order) with timestamps and counts."""
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-              "o_orderpriority")
-    runs = table(spark, sf_dir, "events", "event_id", "user_id")
+    o = _of(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                  "o_orderpriority"), "o_orderkey", only)
+    runs = _of(table(spark, sf_dir, "events", "event_id", "user_id"), "event_id", only)
     base = (o.join(runs, F.col("event_id") == F.col("o_orderkey"), "left")
             .selectExpr("CAST(o_orderkey AS STRING) AS document_id", f"{_status_sql()} AS status", "*")
             .selectExpr(*_STATE_COLS))
-    moved = (table(spark, sf_dir, "lineitem", "l_orderkey").groupBy("l_orderkey")
+    moved = (_of(table(spark, sf_dir, "lineitem", "l_orderkey"), "l_orderkey", only).groupBy("l_orderkey")
              .agg(F.count(F.lit(1)).cast("int").alias("n_lines")))
     upd = F.timestamp_add("SECOND", F.col("o_custkey"), F.col("o_orderdate"))
     return (base.join(moved, base.o_orderkey == moved.l_orderkey, "left")
@@ -252,9 +266,9 @@ STATE_DOCS_SQL = f"""
     LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1) m ON s.o_orderkey = m.l_orderkey"""
 
 
-def state_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
-               "l_linestatus")
+def state_jobs(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    li = _of(table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
+                   "l_linestatus"), "l_orderkey", only)
     rows = li.select(
         F.col("l_orderkey").cast("string").alias("document_id"), object_key_col().alias("page_key"),
         F.col("l_linenumber").cast("bigint").alias("page_ordinal"),

@@ -187,8 +187,8 @@ def llm_results_sql() -> str:
 def extraction_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared schema rules checked on every document's classification answer (H25, H26); documents whose answer is
     no object, or still pending, say so."""
-    d = _decoded(spark, sf_dir)
-    v = X.extraction_violations(F.col("content"), _catalog()[X.CLASSIFICATION])
+    d = X.parsed(_decoded(spark, sf_dir))
+    v = X.violations(F.col("parsed"), _catalog()[X.CLASSIFICATION])
     is_object = F.coalesce(F.col("json_kind") == "OBJECT", F.lit(False))
     return d.select(F.col("document_id").alias("doc_id"),
                     F.when(F.col("success").isNull(), "pending").when(is_object, "checked").otherwise("no object").alias("state"),
@@ -199,7 +199,7 @@ def _checks_sql(fields: dict, at: str = "$", shown: str = "") -> list[str]:
     checks = []
     for name, spec in fields.items():
         spec = {"type": spec} if isinstance(spec, str) else spec
-        path, label = f"{at}.{name}", f"{shown}{name}"
+        path, label = f'{at}."{name}"', f"{shown}{name}"
         val, there = f"json_extract_string(content, '{path}')", f"json_exists(content, '{path}')"
         if spec.get("required"):
             checks.append(f"CASE WHEN NOT {there} THEN 'missing:{label}' END")
@@ -261,6 +261,61 @@ def extraction_typed_sql() -> str:
     UNION ALL {part("banking", "$.bank_name", "$.offer_type", "$.fees.annual_fee")}"""
 
 
+# schema -> the fields shown as party, number and detail
+SHOWN = {"invoice": ("vendor_name", "invoice_number", "line_items[0].quantity"),
+         "banking": ("bank_name", "offer_type", "fees.annual_fee"),
+         "credit_cards": ("issuer", "card_name", "rewards_program.base_earning_rate"),
+         "insurance": ("insurance_company", "insurance_type", "claims_process.24_7_claims")}
+
+
+def _shown(answer, path: str):
+    """A field of a typed answer by its path."""
+    for part in path.split("."):
+        name, _, at = part.partition("[")
+        answer = answer.getField(name)
+        if at:
+            answer = F.get(answer, F.lit(int(at[:-1])))
+    return answer.cast("string")
+
+
+def extraction_typed_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every answer of the second pass, whichever schema of the catalog it was asked with, read with that schema's
+    type and checked by its rules (H25, H26); each answer is parsed once."""
+    _, req = _second_requests(spark, sf_dir)
+    d = X.decoded_for(req, B.llm_recorded_second(req)).join(req.select("document_id", "schema_name"), "document_id")
+    d = X.parsed(d.where(F.col("json_kind") == "OBJECT"))
+    cat = _catalog()
+    typed = d.select("document_id", "schema_name", "parsed", *[
+        F.when(F.col("schema_name") == n, X.typed(F.col("parsed"), cat[n])).alias(f"as_{n}") for n in SHOWN])
+
+    def pick(make):
+        return F.coalesce(*[F.when(F.col("schema_name") == n, make(n)) for n in SHOWN])
+    return typed.select(
+        F.col("document_id").alias("doc_id"), "schema_name",
+        *[pick(lambda n, k=k: _shown(F.col(f"as_{n}"), SHOWN[n][k])).alias(c) for k, c in enumerate(("party", "number", "detail"))],
+        pick(lambda n: F.array_join(X.violations(F.col("parsed"), cat[n]), ",")).alias("violations"))
+
+
+def extraction_typed_all_sql() -> str:
+    def quoted(path: str) -> str:
+        return "$." + ".".join('"' + p.partition("[")[0] + '"' + "".join(p.partition("[")[1:]) for p in path.split("."))
+
+    def part(name):
+        shown = ", ".join(f"json_extract_string(content, '{quoted(f)}') AS {c}"
+                          for f, c in zip(SHOWN[name], ("party", "number", "detail")))
+        return f"""SELECT CAST(doc_id AS VARCHAR) AS doc_id, sname AS schema_name, {shown},
+           concat_ws(',', {", ".join(_checks_sql(_catalog()[name]["fields"]))}) AS violations
+           FROM j WHERE sname = '{name}'"""
+    return f"""{_outcome_ctes()}, {_second_sql()},
+    a2 AS (SELECT doc_id, sname, sha256(pass_name || '|' || p) AS request_id, {B.LLM_SECOND_SQL} AS content,
+                  {B.LLM_SECOND_STATUS_SQL} AS http_status FROM q),
+    r2 AS (SELECT request_id, arg_min(content, doc_id) AS content, arg_min(http_status, doc_id) AS http_status
+           FROM a2 GROUP BY request_id),
+    j AS (SELECT a2.doc_id, a2.sname, r2.content FROM a2 JOIN r2 USING (request_id)
+          WHERE r2.http_status = 200 AND json_valid(r2.content))
+    {" UNION ALL ".join(part(n) for n in SHOWN)}"""
+
+
 def pii_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PII feature-flag gate per document, the source acting as bucket."""
     flags = FL.flag_table(spark, [B.PII_FLAG])

@@ -127,6 +127,17 @@ def page_siblings_sql() -> str:
       SELECT base_name FROM ({G.PARSED_SQL}) WHERE l_linenumber = 1 AND extension = '.png')"""
 
 
+def page_siblings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stored objects that share a base name with an arriving page, every accepted object arriving."""
+    listing = G._parsed(spark, sf_dir)
+    return I.siblings(listing, I.accepted_pages(listing)).select("base_name", "object_key")
+
+
+def page_siblings_all_sql() -> str:
+    return f"""SELECT base_name, object_key FROM ({G.PARSED_SQL}) WHERE base_name IN (
+      SELECT base_name FROM ({G.PARSED_SQL}) WHERE route = 'document' AND mime_ok)"""
+
+
 def page_text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages paired with text keys by position, up to the shorter list (C4): a failed page has no text key."""
     j = B.state_jobs(spark, sf_dir)

@@ -64,8 +64,8 @@ DOCS_SQL = f"""
     FROM d LEFT JOIN r USING (document_id)"""
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = TL.with_ocr_rollup(B.state_documents(spark, sf_dir), B.state_jobs(spark, sf_dir))
+def _docs(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    d = TL.with_ocr_rollup(B.state_documents(spark, sf_dir, only), B.state_jobs(spark, sf_dir, only))
     return d.withColumn("has_textract_jobs", F.col("ocr_first_status").isNotNull() | F.col("has_empty_job_map"))
 
 
@@ -99,10 +99,12 @@ def doc_status_view_sql() -> str:
 
 
 def doc_list_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First page of the list: status filter, then sort, then limit 50, globally, with progress."""
-    page = ST.list_page(ST.status_view(_docs(spark, sf_dir)), status="COMPLETE", sort_by="created_at",
-                        descending=True, limit=50)
-    return page.select("document_id", "status", "original_filename", "document_type",
+    """First page of the list: status filter, then sort, then limit 50, globally, with progress.
+
+    The page is chosen from the columns it is filtered and sorted by; only its 50 documents meet their events, pages
+    and jobs."""
+    page = ST.list_page(B.state_keys(spark, sf_dir), status="COMPLETE", sort_by="created_at", descending=True, limit=50)
+    return ST.status_view(_docs(spark, sf_dir, page.select("o_orderkey"))).select("document_id", "status", "original_filename", "document_type",
                        F.date_format("created_at", TS_FMT).alias("created_at"),
                        F.date_format("updated_at", TS_FMT).alias("updated_at"), "last_error", "progress")
 

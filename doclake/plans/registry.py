@@ -63,6 +63,7 @@ QUERIES = {
     "llm_second_pass": (X.llm_second_pass, X.llm_second_pass_sql),
     "llm_results": (X.llm_results, X.llm_results_sql),
     "extraction_typed": (X.extraction_typed, X.extraction_typed_sql),
+    "extraction_typed_all": (X.extraction_typed_all, X.extraction_typed_all_sql),
     "extraction_check": (X.extraction_check, X.extraction_check_sql),
     "form_detections": (FM.form_detections, FM.form_detections_sql),
     "form_detections_sure": (FM.form_detections_sure, FM.form_detections_sure_sql),
@@ -71,6 +72,7 @@ QUERIES = {
     "envelope_sources": (FM.envelope_sources, FM.envelope_sources_sql),
     "doc_prefix": (FM.doc_prefix, FM.doc_prefix_sql),
     "page_siblings": (FM.page_siblings, FM.page_siblings_sql),
+    "page_siblings_all": (FM.page_siblings_all, FM.page_siblings_all_sql),
     "page_text_pairs": (FM.page_text_pairs, FM.page_text_pairs_sql),
     "text_key_lists": (FM.text_key_lists, FM.text_key_lists_sql),
     "pii_gate": (X.pii_gate, X.pii_gate_sql),
