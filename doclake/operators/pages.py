@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclake.functions import keys as K
+from doclake.operators.scan import Scan, plain, ranged, scanned
 
 # ---------------------------------------------------------------------------
 # Fixed values of the text formats.
@@ -91,3 +92,42 @@ def combined_text(pages: DataFrame, doc_col: str = "document_id", ordinal_col: s
             .select(doc_col, F.array_join(F.transform("_p", lambda x: x["p"]), "").alias("combined_text"),
                     F.size("_p").cast("bigint").alias("n_pages"),
                     K.combined_key(F.col(doc_col)).alias("combined_key")))
+
+
+def combined_layout(pages: DataFrame, doc_col: str = "document_id", ordinal_col: str = "page_ordinal") -> DataFrame:
+    """Where each page's part stands in its document's combined text: ``combined_key, byte_from, byte_to``.
+
+    Byte offsets are prefix sums over the parts' lengths (a segmented scan on narrow rows), so a document of any size
+    is laid out without being in one row; pages with an equal ordinal are in order of their texts' digests.
+    """
+    part = combined_parts(pages, ordinal_col)
+    sizes = part.select(doc_col, ordinal_col, F.md5("part").alias("part_md5"),
+                        F.octet_length("part").cast("long").alias("n_bytes"))
+    ends = scanned(ranged(sizes, [doc_col], [ordinal_col, "part_md5"]), [doc_col], [Scan("byte_to", "sum", F.col("n_bytes"))])
+    return plain(ends).select(doc_col, ordinal_col, K.combined_key(F.col(doc_col)).alias("combined_key"), "part_md5",
+                              (F.col("byte_to") - F.col("n_bytes")).alias("byte_from"), "byte_to")
+
+
+def write_combined(pages: DataFrame, path: str, doc_col: str = "document_id", ordinal_col: str = "page_ordinal") -> DataFrame:
+    """Write every document's combined text as parts in order with their byte range, and return the written table.
+
+    The files are range-partitioned and sorted by (document, page), so their statistics are the offset index: a page,
+    a byte range or a document is read from the few files that can hold it. Joining a document's parts in byte order
+    gives ``combined_text``.
+    """
+    part = combined_parts(pages, ordinal_col).select(doc_col, ordinal_col, "part", F.octet_length("part").cast("long").alias("n_bytes"))
+    rows = ranged(part, [doc_col], [ordinal_col, F.md5("part")])
+    laid = plain(scanned(rows, [doc_col], [Scan("byte_to", "sum", F.col("n_bytes"))])).select(
+        doc_col, ordinal_col, (F.col("byte_to") - F.col("n_bytes")).alias("byte_from"), "byte_to", "part")
+    by = [doc_col, "byte_from"]
+    laid.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+    return pages.sparkSession.read.schema(laid.schema).parquet(path)
+
+
+def read_combined(parts: DataFrame, document_id: str, byte_from: int = 0, byte_to: int | None = None,
+                  doc_col: str = "document_id") -> DataFrame:
+    """The parts of one document that a byte range touches, in order (the filters reach the files' statistics)."""
+    wanted = parts.where((F.col(doc_col) == document_id) & (F.col("byte_to") > byte_from))
+    if byte_to is not None:
+        wanted = wanted.where(F.col("byte_from") < byte_to)
+    return wanted.orderBy("byte_from")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doclake.operators import lifecycle as LC
 from doclake.operators import state as ST
 from doclake.plans import bindings as B
 from doclake.streaming import batching as BT
@@ -31,6 +32,35 @@ def state_fold_sql() -> str:
     FROM ({B.CHANGES_SQL}) GROUP BY document_id"""
 
 
+# the status that an event asks for: mostly the next one of a run, sometimes any
+_ASKED = "CASE WHEN event_id % 23 = 0 THEN NULL ELSE CASE (event_id * 7 + user_id) % 9 " + " ".join(
+    f"WHEN {i} THEN '{s}'" for i, s in enumerate([*LC.STATUSES[1:], "OCR_RUNNING"])) + " ELSE 'UNKNOWN' END END"
+
+
+def state_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every status change with the status before it, whether the lifecycle allows it, and the status after."""
+    ev = B.table(spark, sf_dir, "events", "event_id", "ts", "user_id").selectExpr(
+        "CAST(user_id % 40 AS STRING) AS document_id", "event_id AS seq", "ts", f"{_ASKED} AS status")
+    return LC.transitions(ev).select("document_id", "seq", "status", "from_status", "legal", "to_status")
+
+
+def state_transitions_sql() -> str:
+    # the lifecycle applied change by change: its state is folded over the document's list of changes
+    allowed = " OR ".join(f"(st = '{a}' AND x IN ({', '.join(repr(t) for t in to)}))" for a, to in LC.STEPS.items())
+    return f"""
+    WITH RECURSIVE c AS (SELECT CAST(user_id % 40 AS VARCHAR) AS document_id, event_id AS seq, ts, {_ASKED} AS status FROM events),
+    l AS (SELECT document_id, list(coalesce(status, '') ORDER BY ts, seq) AS xs, list(seq ORDER BY ts, seq) AS seqs
+          FROM c GROUP BY document_id),
+    r AS (
+      SELECT document_id, xs, seqs, 1 AS i, '{LC.NEW}' AS st FROM l
+      UNION ALL
+      SELECT document_id, xs, seqs, i + 1, CASE WHEN {allowed} THEN x ELSE st END
+      FROM (SELECT *, xs[i] AS x FROM r) WHERE i <= len(xs)),
+    s AS (SELECT document_id, seqs[i] AS seq, nullif(xs[i], '') AS x, st FROM r WHERE i <= len(xs))
+    SELECT document_id, seq, x AS status, st AS from_status, x IS NULL OR ({allowed}) IS NOT DISTINCT FROM true AS legal,
+           CASE WHEN {allowed} THEN x ELSE st END AS to_status FROM s"""
+
+
 def _polls(spark, sf_dir):
     ev = B.table(spark, sf_dir, "events", "event_id", "ts", "user_id", "value")
     return ev.select(F.col("user_id").cast("string").alias("document_id"), F.col("event_id").alias("seq"),

@@ -84,6 +84,21 @@ def combined_text_sql() -> str:
           FROM ({_CONV_ORD_SQL}) GROUP BY document_id)"""
 
 
+def combined_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte range of every page in its document's combined text, whatever the document's size."""
+    return PG.combined_layout(_conv_pages(spark, sf_dir)).select(
+        "document_id", "page_ordinal", "combined_key", "part_md5", "byte_from", "byte_to")
+
+
+def combined_offsets_sql() -> str:
+    return f"""
+    SELECT document_id, page_ordinal, 'staging/' || document_id || '/combined.txt' AS combined_key, md5(part) AS part_md5,
+           CAST(sum(strlen(part)) OVER w - strlen(part) AS BIGINT) AS byte_from, CAST(sum(strlen(part)) OVER w AS BIGINT) AS byte_to
+    FROM (SELECT document_id, page_ordinal, '--- Page ' || CAST(page_ordinal AS VARCHAR) || ' ---' || chr(10) || coalesce(text, '')
+                 || chr(10) || chr(10) AS part FROM ({_CONV_ORD_SQL}))
+    WINDOW w AS (PARTITION BY document_id ORDER BY page_ordinal ROWS UNBOUNDED PRECEDING)"""
+
+
 def pii_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detections mapped to line boxes and padded pixel rectangles.
 

@@ -50,10 +50,12 @@ QUERIES = {
     "page_text_grouped": (PG.page_text_grouped, PG.page_text_grouped_sql),
     "page_text_sink": (PG.page_text_sink, PG.page_text_sink_sql),
     "combined_text": (PG.combined_text, PG.combined_text_sql),
+    "combined_offsets": (PG.combined_offsets, PG.combined_offsets_sql),
     "pii_boxes": (PG.pii_boxes, PG.pii_boxes_sql),
     "pii_boxes_join": (PG.pii_boxes_join, PG.pii_boxes_sql),
     "masked_text": (PG.masked_text, PG.masked_text_sql),
     "state_fold": (C.state_fold, C.state_fold_sql),
+    "state_transitions": (C.state_transitions, C.state_transitions_sql),
     "change_detect": (C.change_detect, C.change_detect_sql),
     "page_batches": (C.page_batches, C.page_batches_sql),
     "page_batches_6h": (C.page_batches_6h, C.page_batches_6h_sql),
