@@ -9,13 +9,14 @@ with very many updates is combined map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from doclake.functions import keys as K
 from doclake.functions import status as S
-from doclake.operators.scan import Scan, plain, ranged, scanned
+from doclake.operators.scan import Scan, plain, ranged, scanned, written
 
 
 def status_view(docs: DataFrame) -> DataFrame:
@@ -134,6 +135,50 @@ def fold_changes(changes: DataFrame, attrs: list[str], key: str = "document_id")
     return changes.groupBy(key).agg(*aggs, F.max("ts").alias("updated_at"))
 
 
+def _folded(changes: DataFrame, attrs: list[str], key: str) -> DataFrame:
+    """Per key and attribute the latest write with its place: ``attr`` is struct<ts, seq, value> (null: never written)."""
+    valid = F.col("value").isNotNull() | F.coalesce(F.col("set_null"), F.lit(False))
+    write = F.struct("ts", "seq", "value")
+    return changes.groupBy(key).agg(*[F.max(F.when((F.col("attr") == a) & valid, write)).alias(a) for a in attrs],
+                                    F.max("ts").alias("updated_at"))
+
+
+def upsert_state(delta: DataFrame, path: str, attrs: list[str], batch_id: int, key: str = "document_id",
+                 buckets: int = 256) -> bool:
+    """Fold a batch of change rows into the state table at ``path``; False if the batch was applied before.
+
+    The table is partitioned into hash buckets of the key. Only the buckets that the batch touches are read, merged
+    and replaced (dynamic partition overwrite), so a run costs its delta and those buckets, not the whole log. A
+    finished batch leaves its id behind as a fence; one that was lost half-way is simply applied again, since the
+    latest write of an attribute stays the latest.
+    """
+    spark = delta.sparkSession
+    try:
+        if spark.read.parquet(f"{path}_applied").where(F.col("batch_id") == batch_id).limit(1).count():
+            return False
+    except AnalysisException:  # nothing was applied yet
+        pass
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    new = written(_folded(delta, attrs, key).select("*", bucket), "delta")
+    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    both = new
+    try:
+        both = new.unionByName(spark.read.schema(new.schema).parquet(path).where(F.col("bucket").isin(touched)))
+    except AnalysisException:  # the table does not exist yet
+        pass
+    merged = both.groupBy("bucket", key).agg(*[F.max(a).alias(a) for a in attrs], F.max("updated_at").alias("updated_at"))
+    ready = written(merged.repartition("bucket"), "merged")  # a table can't be replaced while it is read
+    ready.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "bucket").parquet(path)
+    spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(f"{path}_applied")
+    return True
+
+
+def read_state(spark: SparkSession, path: str, attrs: list[str], key: str = "document_id") -> DataFrame:
+    """The state table of ``upsert_state``: one row per key with its current values."""
+    return spark.read.parquet(path).select(key, *[F.col(a)["value"].alias(a) for a in attrs], "updated_at")
+
+
 def change_flags(polls: DataFrame, value_col: str, key: str = "document_id",
                  time_col: str = "ts", seq_col: str = "seq") -> DataFrame:
     """``changed`` = the polled value differs (null-safe) from the previous poll

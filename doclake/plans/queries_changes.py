@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.operators import lifecycle as LC
 from doclake.operators import state as ST
 from doclake.plans import bindings as B
+from doclake.session import checkpoint_path
 from doclake.streaming import batching as BT
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -32,6 +35,16 @@ def state_fold_sql() -> str:
     FROM ({B.CHANGES_SQL}) GROUP BY document_id"""
 
 
+def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state from batches of the change log, each folded into the buckets it touches (A23, E4): three batches
+    in no order of time, the last one handed in twice."""
+    log = B.changes(spark, sf_dir)
+    path = checkpoint_path(spark, f"state-{uuid.uuid4().hex}")
+    for batch in (1, 2, 0, 0):
+        ST.upsert_state(log.where(F.col("seq") % 3 == batch), path, ATTRS, batch, buckets=16)
+    return ST.read_state(spark, path, ATTRS).select("document_id", *ATTRS, F.date_format("updated_at", US_FMT).alias("updated_at"))
+
+
 # the status that an event asks for: mostly the next one of a run, sometimes any
 _ASKED = "CASE WHEN event_id % 23 = 0 THEN NULL ELSE CASE (event_id * 7 + user_id) % 9 " + " ".join(
     f"WHEN {i} THEN '{s}'" for i, s in enumerate([*LC.STATUSES[1:], "OCR_RUNNING"])) + " ELSE 'UNKNOWN' END END"

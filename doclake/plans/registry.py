@@ -56,6 +56,7 @@ QUERIES = {
     "masked_text": (PG.masked_text, PG.masked_text_sql),
     "state_fold": (C.state_fold, C.state_fold_sql),
     "state_transitions": (C.state_transitions, C.state_transitions_sql),
+    "state_upsert": (C.state_upsert, C.state_fold_sql),
     "change_detect": (C.change_detect, C.change_detect_sql),
     "page_batches": (C.page_batches, C.page_batches_sql),
     "page_batches_6h": (C.page_batches_6h, C.page_batches_6h_sql),
