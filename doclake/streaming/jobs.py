@@ -3,7 +3,7 @@
 * ``object_arrivals``       file source of arriving objects (micro-batch size)
 * ``batch_pages``           gap-window page batching with a watermark
 * ``eager_batches``         single page at once, otherwise wait for the gap
-                            (``applyInPandasWithState``, event-time timeout)
+                            (map state per page, event-time timer)
 * ``dedupe_bases``          one document per base name within the horizon
 * ``split_late_pages``      pages of bases that already have a document
 * ``late_arrivals``         logged pages that no emitted batch covers (those the
@@ -20,17 +20,20 @@ watermark; everything else is plain DataFrame code shared with batch jobs.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from doclake.operators import ingest as I
 from doclake.operators import pii
 from doclake.streaming.batching import DEFAULT_GAP, page_batches
+from doclake.streaming.stateful import EAGER_OUT, GATE_OUT, CompletionGate, EagerBatches, transformed
+
 
 def _rows(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """All rows of a group's batches (empty frames skipped)."""
@@ -49,23 +52,17 @@ def _until(state: GroupState, ms: int) -> None:
     state.setTimeoutTimestamp(max(ms, state.getCurrentWatermarkMs() + 1))
 
 
-def _in_page_order(keys) -> list[str]:
-    """Distinct keys by the page number at the end of their names (none: last), then by name."""
-    def order(key: str):
-        number = re.search(r"[_-](\d+)\.[^./]*$", key)
-        return (number is None, int(number[1]) if number else 0, key)
-    return sorted(set(keys), key=order)
-
-
 MANIFEST_DDL = "object_key string, content_type string, event_time timestamp, bucket string"
 
 
 def object_arrivals(spark: SparkSession, folder: str, fmt: str = "json", schema: str = MANIFEST_DDL,
-                    max_files_per_trigger: int | None = 10, glob: str | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = 10, glob: str | None = None,
+                    archive: str | None = None) -> DataFrame:
     """Arriving objects as a stream. ``fmt='json'``/``'parquet'`` reads manifest
     records; ``'binaryFile'`` lists stored files (path, modificationTime, length,
     content). ``max_files_per_trigger`` is the micro-batch size (10 for
-    documents, 5 for archives and PII messages)."""
+    documents, 5 for archives and PII messages). With ``archive`` the source
+    moves the files of finished batches there (``moved_files`` lists them)."""
     r = spark.readStream.format(fmt)
     if fmt != "binaryFile":
         r = r.schema(schema)
@@ -73,9 +70,19 @@ def object_arrivals(spark: SparkSession, folder: str, fmt: str = "json", schema:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         r = r.option("pathGlobFilter", glob)
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return r.load(folder)
 
 
+def moved_files(spark: SparkSession, folder: str, archive: str) -> DataFrame:
+    """The ledger of a source's clean-up: (old_path, new_path) of every file moved below ``archive``, which keeps the
+    path the file had."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(archive).select("path")
+    new = F.regexp_replace("path", "^file:/*", "/")
+    return files.select(F.replace(new, F.lit(archive.rstrip("/")), F.lit("")).alias("old_path"), new.alias("new_path"))
+
+
 def binary_to_manifest(files: DataFrame, bucket: str) -> DataFrame:
     """``binaryFile`` rows of one bucket -> manifest rows (content type from the extension). The bucket is part of a
     document's id, so both ways of reading the same file give the same document."""
@@ -124,50 +131,6 @@ def late_arrivals(log: DataFrame, batches: DataFrame, gap: str = DEFAULT_GAP) ->
 
 # ------------------------------------------------------------ eager batching
 
-EAGER_OUT = "base_name string, pages array<string>, n_pages long, kind string, batch_end timestamp"
-EAGER_STATE = "pages array<string>, emitted boolean, max_time timestamp"
-
-
-def _eager(gap_ms: int, horizon_ms: int):
-    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        base = key[0]
-        if state.hasTimedOut:
-            pages, emitted, tmax = state.get
-            if emitted or not pages:
-                state.remove()
-                return
-            yield pd.DataFrame({"base_name": [base], "pages": [_in_page_order(pages)], "n_pages": [len(pages)],
-                                "kind": ["batch"], "batch_end": [tmax]})
-            # keep only a marker, so later pages are reported as late pages
-            state.update(([], True, tmax))
-            _until(state, _ms(tmax) + horizon_ms)
-            return
-        rows = _rows(batches)
-        keys = _in_page_order(rows["object_key"])
-        tmax = rows["event_time"].max()
-        if state.exists:
-            pages, emitted, old_max = state.get
-            if emitted:  # the document exists: later pages are late pages
-                yield pd.DataFrame({"base_name": [base], "pages": [keys], "n_pages": [len(keys)],
-                                    "kind": ["late"], "batch_end": [tmax]})
-                state.update(([], True, max(old_max, tmax)))
-                _until(state, _ms(max(old_max, tmax)) + horizon_ms)
-                return
-            merged = _in_page_order([*pages, *keys])
-            tmax = max(old_max, tmax)
-        else:
-            merged = keys
-            if len(keys) == 1:  # a single page passes at once
-                yield pd.DataFrame({"base_name": [base], "pages": [keys], "n_pages": [1],
-                                    "kind": ["single"], "batch_end": [tmax]})
-                state.update(([], True, tmax))
-                _until(state, _ms(tmax) + horizon_ms)
-                return
-        state.update((merged, False, tmax))
-        _until(state, _ms(tmax) + gap_ms)
-    return fn
-
-
 def eager_batches(arrivals: DataFrame, gap_ms: int = 3000, watermark: str = "10 seconds",
                   horizon_ms: int = 3_600_000) -> DataFrame:
     """Reference-style batching: a base name seen alone is processed at once;
@@ -178,36 +141,12 @@ def eager_batches(arrivals: DataFrame, gap_ms: int = 3000, watermark: str = "10
     document table."""
     parsed = I.accepted_pages(I.parse_keys(arrivals)).select(
         "base_name", "object_key", F.col("event_time").cast("timestamp").alias("event_time"))
-    return (parsed.withWatermark("event_time", watermark).groupBy("base_name")
-            .applyInPandasWithState(_eager(gap_ms, horizon_ms), EAGER_OUT, EAGER_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    return transformed(parsed.withWatermark("event_time", watermark).groupBy("base_name"),
+                       EagerBatches(gap_ms, horizon_ms), EAGER_OUT)
 
 
 # ------------------------------------------------------------ completion gate
 
-GATE_OUT = "document_id string, n_pages long, completed_at timestamp"
-GATE_STATE = "done array<long>, expected long, emitted boolean"
-
-
-def _gate(timeout_ms: int):
-    def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = _rows(batches)
-        done, expected, emitted = state.get if state.exists else ([], 0, False)
-        done = sorted(set(done) | set(int(x) for x in rows["page_ordinal"]))
-        expected = int(max(expected, rows["n_pages"].max()))
-        tmax = rows["ts"].max()
-        if not emitted and len(done) >= expected:
-            emitted = True
-            yield pd.DataFrame({"document_id": [key[0]], "n_pages": [expected], "completed_at": [tmax]})
-        # once emitted only the marker is kept (a repeated page must not re-emit)
-        state.update(([] if emitted else done, expected, emitted))
-        _until(state, _ms(tmax) + timeout_ms)
-    return fn
-
-
 def completion_gate(page_texts: DataFrame, timeout_ms: int = 3_600_000, watermark: str = "10 minutes") -> DataFrame:
     """Emit each document once when text rows exist for all its pages.
 
@@ -217,9 +156,7 @@ def completion_gate(page_texts: DataFrame, timeout_ms: int = 3_600_000, watermar
     dropped ``timeout_ms`` of event time after the document's last page text.
     """
     src = page_texts.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    return (src.groupBy("document_id")
-            .applyInPandasWithState(_gate(timeout_ms), GATE_OUT, GATE_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    return transformed(src.groupBy("document_id"), CompletionGate(timeout_ms), GATE_OUT)
 
 
 # ------------------------------------------------------------ state fold
@@ -308,6 +245,78 @@ def pii_branch(page_texts: DataFrame, keys: list[str], min_confidence: str | Non
     return pii.explode_detections(pii.with_detections(page_texts, min_confidence=min_confidence), keys)
 
 
+def as_of(rows: DataFrame, versions: DataFrame, key: str, time_col: str, value: str) -> DataFrame:
+    """``rows`` with ``value`` of the version of their key that was valid at their time (null before the first).
+
+    ``versions`` (key, valid_from, value) is a history of settings: each row meets at most one version, by an equi-join
+    on the key and the version's span."""
+    at = F.col("valid_from").cast("timestamp")
+    spans = versions.select(F.col(key).alias("_key"), at.alias("_from"), F.lead(at).over(
+        Window.partitionBy(key).orderBy(at)).alias("_to"), F.col(value))
+    t = F.col(time_col).cast("timestamp")
+    held = (F.col(key) == F.col("_key")) & (t >= F.col("_from")) & (F.col("_to").isNull() | (t < F.col("_to")))
+    return rows.join(spans, held, "left").drop("_key", "_from", "_to")
+
+
+def pii_batches(flags: Callable[[SparkSession], DataFrame], out: str, keys: list[str], bucket_col: str = "bucket",
+                time_col: str = "ts", min_confidence: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function of the PII branch, a query of its own beside the main one (so that its failures stay
+    its own): detections of the pages whose bucket had the flag on at the page's time.
+
+    ``flags`` reads the flag's versions (bucket, valid_from, enabled) anew for every batch, so a change between
+    batches counts from its ``valid_from`` on. Rows of a replayed batch replace themselves.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        on = as_of(batch, flags(batch.sparkSession), bucket_col, time_col, "enabled").where(F.coalesce("enabled", F.lit(False)))
+        pii_branch(on, keys, min_confidence).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    return run
+
+
+# ------------------------------------------------------------ late pages
+
+CELL_SECONDS = 3600
+
+
+def covering_batches(pages: DataFrame, batches: DataFrame, cell_seconds: int = CELL_SECONDS) -> DataFrame:
+    """``pages`` with ``batch_start`` of the emitted batch of their base name that covers their time (null: none).
+
+    An interval index: every batch's span is listed under the time cells it touches, and a page looks under its base
+    name and cell. A base name with most of the pages spreads over its cells.
+    """
+    def cell(t):
+        return F.floor(F.unix_micros(t.cast("timestamp")) / (cell_seconds * 1_000_000))
+    spans = batches.select(F.col("base_name"), F.col("batch_start").cast("timestamp").alias("batch_start"),
+                           F.col("batch_end").cast("timestamp").alias("_to")).withColumn(
+        "_cell", F.explode(F.sequence(cell(F.col("batch_start")), cell(F.col("_to")))))
+    t = F.col("event_time").cast("timestamp")
+    found = pages.withColumn("_cell", cell(F.col("event_time"))).join(spans, ["base_name", "_cell"], "left")
+    covers = (t >= F.col("batch_start")) & (t < F.col("_to"))
+    return found.groupBy(*pages.columns).agg(F.min(F.when(covers, F.col("batch_start"))).alias("batch_start"))
+
+
+def late_router(batches: Callable[[SparkSession], DataFrame], out: str, gap: str = DEFAULT_GAP,
+                watermark: str = "10 seconds") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that emits the pages which ``batch_pages`` skips because they are behind its
+    watermark: once, with the emitted batch they belong to, if any.
+
+    The watermark is the latest event time of earlier micro-batches less ``watermark``, kept as one row per batch, so
+    a replayed batch sees the same one and replaces its rows.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        pages = I.accepted_pages(I.parse_keys(batch)).select("base_name", "object_key", F.col("event_time").cast("timestamp").alias("event_time"))
+        try:
+            seen = spark.read.parquet(f"{out}/seen").where(F.col("batch_id") < batch_id).agg(F.max("latest")).first()[0]
+        except AnalysisException:  # the first batch
+            seen = None
+        if seen is not None:
+            behind = F.col("event_time") + F.expr(f"INTERVAL {gap}") < F.lit(seen) - F.expr(f"INTERVAL {watermark}")
+            covering_batches(pages.where(behind).distinct(), batches(spark)).write.mode("overwrite").parquet(
+                f"{out}/late/batch_id={batch_id}")
+        pages.agg(F.max("event_time").alias("latest")).write.mode("overwrite").parquet(f"{out}/seen/batch_id={batch_id}")
+    return run
+
+
 # ------------------------------------------------------------ sinks
 
 def write_batches(outputs: dict[str, Callable[[DataFrame], DataFrame]], base: str,
@@ -317,27 +326,38 @@ def write_batches(outputs: dict[str, Callable[[DataFrame], DataFrame]], base: st
     Each output goes to ``{base}/{name}/batch_id={id}`` with overwrite, so a
     replayed batch (after a failure) rewrites the same files instead of
     duplicating rows; the batch is persisted once and shared by all outputs.
-    A failing side output is recorded and does not fail the main output.
+    A failing side output is recorded and does not fail the main output. The
+    batch's counts (rows, quarantined) are observed while it is written and
+    stored below ``{base}/counts`` (``batch_counts``).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = with_batch_metrics(batch, f"batch_{batch_id}")
+        spark = batch.sparkSession
         batch.persist()
+        counts = Observation(f"batch {batch_id}")
+        counted = with_batch_metrics(batch, counts)
         try:
-            for name, make in outputs.items():
+            for k, (name, make) in enumerate(outputs.items()):
                 try:
-                    make(batch).write.mode("overwrite").format(fmt).save(f"{base}/{name}/batch_id={batch_id}")
+                    make(batch if k else counted).write.mode("overwrite").format(fmt).save(f"{base}/{name}/batch_id={batch_id}")
                 except Exception as e:  # side outputs must not fail the main branch
                     if name == "main":
                         raise
-                    batch.sparkSession.createDataFrame(
-                        [(name, batch_id, str(e))], "output string, batch_id long, error string"
-                    ).write.mode("append").format(fmt).save(f"{base}/_errors")
+                    spark.createDataFrame([(name, batch_id, str(e))], "output string, batch_id long, error string"
+                                          ).write.mode("append").format(fmt).save(f"{base}/_errors")
+            got = counts.get
+            spark.createDataFrame([(got["rows"], got.get("quarantined", 0))], "n_rows long, n_quarantined long").write.mode(
+                "overwrite").format(fmt).save(f"{base}/counts/batch_id={batch_id}")
         finally:
             batch.unpersist()
     return run
 
 
-def with_batch_metrics(df: DataFrame, name: str) -> DataFrame:
+def batch_counts(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """``batch_id, n_rows, n_quarantined`` of every micro-batch that ``write_batches`` wrote."""
+    return spark.read.format(fmt).load(f"{base}/counts").select(F.col("batch_id").cast("long").alias("batch_id"), "n_rows", "n_quarantined")
+
+
+def with_batch_metrics(df: DataFrame, name: str | Observation) -> DataFrame:
     """Row and quarantine counts of a (micro-)batch as observed metrics: they
     are computed by the job that consumes ``df``, not by an extra pass."""
     cols = [F.count(F.lit(1)).alias("rows")]
@@ -346,6 +366,31 @@ def with_batch_metrics(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, *cols)
 
 
+class BatchMetrics(StreamingQueryListener):
+    """Keeps the observed counts of every micro-batch of the session's streams (``with_batch_metrics`` on a stream)."""
+
+    def __init__(self):
+        self.rows: list[tuple[str, int, str, int, int]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        for metric, row in p.observedMetrics.items():
+            found = row.asDict()
+            self.rows.append((str(p.id), p.batchId, metric, found["rows"], found.get("quarantined", 0)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows, "query_id string, batch_id long, metric string, n_rows long, n_quarantined long")
+
+
 def quarantine_outputs(good: Callable[[DataFrame], DataFrame]) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """Outputs for rows with an ``error_reason``: good rows to main, the rest to quarantine."""
     return {"main": lambda b: good(b.where(F.col("error_reason").isNull())),

@@ -158,47 +158,6 @@ def test_write_batches_idempotent_and_quarantine(spark, tmp_path):
     assert spark.read.parquet(f"{base}2/_errors").count() == 1
 
 
-class _State:
-    """A group's state that checks timeouts as the engine does."""
-
-    def __init__(self, watermark_ms):
-        self.watermark, self.value, self.timeout, self.hasTimedOut = watermark_ms, None, None, False
-
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
-
-    def getCurrentWatermarkMs(self):
-        return self.watermark
-
-    def setTimeoutTimestamp(self, ms):
-        if ms <= self.watermark:
-            raise ValueError("the timeout lies behind the watermark")
-        self.timeout = ms
-
-    def update(self, value):
-        self.value = value
-
-    def remove(self):
-        self.value = None
-
-
-def test_quiet_time_and_page_order():
-    import pandas as pd
-
-    t = pd.Timestamp(T0)
-    state = _State(J._ms(t) + 10 * 3_600_000)  # the watermark has moved on by ten hours
-    step = J._eager(3000, 3_600_000)
-    pages = pd.DataFrame({"object_key": [f"incoming/a-{n}.png" for n in (10, 2, 1)] + ["incoming/a.png"], "event_time": t})
-    assert list(step(("a",), iter([pages]), state)) == []
-    assert state.timeout == state.watermark + 1
-    state.hasTimedOut = True
-    out, = step(("a",), iter([]), state)
-    assert out["pages"][0] == ["incoming/a-1.png", "incoming/a-2.png", "incoming/a-10.png", "incoming/a.png"]
-    gate = _State(J._ms(t) + 10 * 3_600_000)
-    list(J._gate(1000)(("d",), iter([pd.DataFrame({"page_ordinal": [1], "n_pages": [2], "ts": [t]})]), gate))
-    assert gate.timeout == gate.watermark + 1
-
-
 def test_gate_goes_on_after_a_restart(spark, tmp_path):
     folder = tmp_path / "texts"
     folder.mkdir()
