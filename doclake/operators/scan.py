@@ -69,8 +69,8 @@ def _carries(rows: DataFrame, keys: list[str], scans: list[Scan]) -> DataFrame:
     """Per partition its first key (``_head``) and what that key's earlier partitions come to (one row each)."""
     spark = rows.sparkSession
     key = F.struct(*keys)
-    ends = rows.groupBy(PART).agg(F.min_by(key, SEQ).alias("_head"), F.max_by(key, SEQ).alias("_tail"))
-    ends = written(ends, "ends")
+    found = rows.groupBy(PART).agg(F.min_by(key, SEQ).alias("_head"), F.max_by(key, SEQ).alias("_tail"))
+    ends = spark.createDataFrame(found.collect(), found.schema)  # one row per partition
     whole = {"sum": lambda s: F.sum(s.value), "min": lambda s: F.min(s.value),
              "last": lambda s: F.max_by(s.value, F.when(s.value.isNotNull(), F.col(SEQ)))}
     last = rows.withColumn("_key", key).join(
