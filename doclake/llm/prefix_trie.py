@@ -50,7 +50,7 @@ BASES = (1_000_003_000_017, 2_718_281_828_459)
 WORDS = r"[^\x20\x09-\x0D]+"
 CHUNK_IDS = 1 << 16
 # search steps between written tables
-STEPS = 4
+STEPS = 6
 
 
 def turns_in_order(conversations: DataFrame) -> DataFrame:
@@ -115,13 +115,17 @@ class Trie:
         return rows.join(there, [owner, depth], "left")
 
     def nodes(self) -> DataFrame:
-        """Compacted nodes ``x, lo, hi``: the turns lo + 1 to hi of path x."""
+        """Compacted nodes ``x, lo, hi``: the turns lo + 1 to hi of path x; with the depth and signature of the handle
+        (``probe, p1, p2``) and of the first turn (``child, c1, c2``)."""
         rows = ranged(self.cuts.distinct().join(self.paths.select("x", "start"), "x"), ["x"], ["d"])
         cut = scanned(rows, ["x"], [Scan("before", "last", F.col("d"), before=True)])
-        return staged(cut.select("x", F.coalesce("before", "start").alias("lo"), F.col("d").alias("hi")), "nodes")
+        node = cut.select("x", F.coalesce("before", "start").alias("lo"), F.col("d").alias("hi")).select(
+            "*", two_fattest(F.col("lo"), F.col("hi")).alias("probe"), (F.col("lo") + 1).alias("child"))
+        return staged(self.signature(self.signature(node, "x", "probe", "p1", "p2"), "x", "child", "c1", "c2"), "nodes")
 
-    def insert(self, located: DataFrame) -> DataFrame:
-        """Insert a batch (``x, n, parent, start``) and return the conversations that must come again (``x, n``).
+    def insert(self, located: DataFrame) -> tuple[DataFrame, int, int]:
+        """Insert a batch (``x, n, parent, start``) and return the conversations that must come again (``x, n``), how
+        many they are and the most turns of one that left.
 
         Those that end where they leave the trie are in it. Of all others that leave at one place by one turn, the
         one with the smallest hash is inserted; the place and turn are known by the signature one turn further on.
@@ -141,18 +145,17 @@ class Trie:
         else:
             self.paths = self.paths.unionByName(new)
             self.ends, self.cuts = self.ends.unionByName(ends), self.cuts.unionByName(cuts)
-        return located.where("start < n").join(new.select("x"), "x", "left_anti").select("x", "n")
+        left, longest = located.where("start < n").agg(F.count(F.lit(1)), F.max("n")).first()
+        again = located.where("start < n").join(new.select("x"), "x", "left_anti").select("x", "n")
+        return again, left - new.count(), longest or 0
 
-    def locate(self, pending: DataFrame) -> DataFrame:
-        """Where each pending conversation leaves the trie: ``x, n, parent, start``."""
+    def locate(self, pending: DataFrame, longest: int) -> DataFrame:
+        """Where each pending conversation (of at most ``longest`` turns) leaves the trie: ``x, n, parent, start``."""
         nodes = self.nodes()
-        keyed = nodes.withColumn("probe", two_fattest(F.col("lo"), F.col("hi"))).withColumn("child", F.col("lo") + 1)
-        handles = staged(self.signature(keyed, "x", "probe", "p1", "p2").select(
-            "probe", "p1", "p2", F.col("x").alias("hit"), F.col("hi").alias("hit_hi")), "handles")
+        handles = nodes.select("probe", "p1", "p2", F.col("x").alias("hit"), F.col("hi").alias("hit_hi"))
         at = pending.select("x", "n", F.lit(0).cast("long").alias("lower"), F.col("n").alias("upper"),
                             F.lit(None).cast("long").alias("node"), F.lit(0).cast("long").alias("node_hi"),
                             F.lit(0).cast("long").alias("good"))
-        longest = pending.agg(F.max("n")).first()[0]
         for step in range(longest.bit_length()):  # fat binary search
             probe = at.withColumn("probe", F.when(F.col("lower") < F.col("upper"), two_fattest(F.col("lower"), F.col("upper"))))
             seen = self.signature(probe, "x", "probe", "p1", "p2").join(handles, ["probe", "p1", "p2"], "left")
@@ -169,9 +172,8 @@ class Trie:
         both = self.signature(self.signature(at, "x", "node_hi", "a", "b"), "node", "node_hi", "c", "d")
         passed = F.col("node").isNull() | F.coalesce((F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), F.lit(False))
         at = both.select("x", "n", "node", "node_hi", "good", passed.alias("passed"), F.when(passed, F.col("node_hi") + 1).alias("child"))
-        children = self.signature(keyed, "x", "child", "p1", "p2").select(
-            "child", "p1", "p2", F.col("x").alias("into"), F.col("hi").alias("into_hi"))
-        at = self.signature(at, "x", "child", "p1", "p2").join(children, ["child", "p1", "p2"], "left")
+        children = nodes.select("child", "c1", "c2", F.col("x").alias("into"), F.col("hi").alias("into_hi"))
+        at = self.signature(at, "x", "child", "c1", "c2").join(children, ["child", "c1", "c2"], "left")
         enters = F.col("into").isNotNull()
         at = staged(at.select(
             "x", "n", F.when(enters, F.col("into")).otherwise(F.col("node")).alias("parent"),
@@ -194,12 +196,11 @@ class Trie:
 def build(prefixes: DataFrame, contents: DataFrame) -> Trie:
     """The trie of the distinct conversations ``contents`` (``x, n``, at least one turn each)."""
     trie = Trie(prefixes)
-    pending = trie.insert(contents.select("x", "n", F.lit(None).cast("long").alias("parent"), F.lit(0).cast("long").alias("start")))
-    while True:
-        pending = staged(pending, "pending")
-        if not pending.limit(1).count():
-            return trie
-        pending = trie.insert(trie.locate(pending))
+    pending, n, longest = trie.insert(contents.select(
+        "x", "n", F.lit(None).cast("long").alias("parent"), F.lit(0).cast("long").alias("start")))
+    while n:
+        pending, n, longest = trie.insert(trie.locate(pending, longest))
+    return trie
 
 
 SUMS = ("members", "said", "leaves", "distinct")
