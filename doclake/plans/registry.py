@@ -11,6 +11,7 @@ from doclake.plans import queries_ingest as G
 from doclake.plans import queries_pages as PG
 from doclake.plans import queries_pii as P
 from doclake.plans import queries_state as Q
+from doclake.plans import queries_streams as ST
 
 QUERIES = {
     "pii_summary": (P.pii_summary, P.pii_summary_sql),
@@ -79,6 +80,17 @@ QUERIES = {
     "page_text_pairs": (FM.page_text_pairs, FM.page_text_pairs_sql),
     "text_key_lists": (FM.text_key_lists, FM.text_key_lists_sql),
     "pii_gate": (X.pii_gate, X.pii_gate_sql),
+    "pii_gate_config": (ST.pii_gate_config, X.pii_gate_sql),
+    "page_text_parts": (ST.page_text_parts, PG.page_text_lines_sql),
+    "stored_texts": (ST.stored_texts, ST.stored_texts_sql),
+    "stream_page_batches": (ST.stream_page_batches, ST.stream_page_batches_sql),
+    "stream_first_bases": (ST.stream_first_bases, ST.stream_first_bases_sql),
+    "stream_gate": (ST.stream_gate, ST.stream_gate_sql),
+    "stream_state_fold": (ST.stream_state_fold, ST.stream_state_fold_sql),
+    "stream_change_feed": (ST.stream_change_feed, C.change_detect_sql),
+    "stream_pii_branch": (ST.stream_pii_branch, ST.stream_pii_branch_sql),
+    "stream_late_pages": (ST.stream_late_pages, ST.stream_late_pages_sql),
+    "stream_counts": (ST.stream_counts, ST.stream_counts_sql),
 }
 
 

@@ -66,8 +66,9 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = K.INCOMING_PREFIX) -> DataFrame:
-    """Object listing of one folder level under ``prefix`` (no file contents read)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """Object listing of one folder level under ``prefix``; nothing outside the prefix is listed and no contents are
+    read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/{prefix}")
              .select("path", "modificationTime", "length"))
     key = F.regexp_extract(F.col("path"), "(" + prefix + ".*)$", 1)
     return (files.select(key.alias("object_key"), F.col("modificationTime").alias("event_time"),
