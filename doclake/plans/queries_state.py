@@ -3,13 +3,17 @@ HIST bindings): views, listing, timelines, summaries, rollups and history."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.functions import status as S
+from doclake.operators import clustered as CL
 from doclake.operators import state as ST
 from doclake.operators import timeline as TL
 from doclake.plans import bindings as B
+from doclake.session import checkpoint_path
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 DTS = "'%Y-%m-%d %H:%M:%S'"
@@ -134,6 +138,28 @@ def doc_list_next_sql() -> str:
     SELECT document_id, status, original_filename FROM o WHERE rn BETWEEN 26 AND 50"""
 
 
+def doc_list_third(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Third page of the completed documents from the state table in list order: two continuation keys, and only the
+    files that the pages' rows are in (F3, A8)."""
+    path = checkpoint_path(spark, f"state-list-{uuid.uuid4().hex}")
+    keys = B.state_keys(spark, sf_dir).select("document_id", "status", F.date_format("created_at", TS_FMT).alias("created_at"))
+    CL.write_clustered(keys, path, ["created_at", "document_id"], "status", descending=True, files=16, bloom=("document_id",))
+    after = None
+    for _ in range(2):
+        last = CL.page(spark, path, ["created_at", "document_id"], "status", "COMPLETE", True, 40, after)
+        end = last.orderBy("created_at", F.desc("document_id")).first()
+        after = (end["created_at"], end["document_id"]) if end else after
+    return CL.page(spark, path, ["created_at", "document_id"], "status", "COMPLETE", True, 40, after)
+
+
+def doc_list_third_sql() -> str:
+    return f"""
+    SELECT document_id, status, created_at FROM (
+      SELECT document_id, status, strftime(created_at, {DTS}) AS created_at,
+             row_number() OVER (ORDER BY strftime(created_at, {DTS}) DESC, document_id) AS rn
+      FROM ({B.STATE_DOCS_SQL}) WHERE status = 'COMPLETE') WHERE rn BETWEEN 81 AND 120"""
+
+
 def newest_per_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three newest documents of every status (F4, a top-k report)."""
     return ST.newest_per_status(B.state_documents(spark, sf_dir), k=3).select(

@@ -28,6 +28,7 @@ QUERIES = {
     "doc_status_view": (Q.doc_status_view, Q.doc_status_view_sql),
     "doc_list_page": (Q.doc_list_page, Q.doc_list_page_sql),
     "doc_list_next": (Q.doc_list_next, Q.doc_list_next_sql),
+    "doc_list_third": (Q.doc_list_third, Q.doc_list_third_sql),
     "newest_per_status": (Q.newest_per_status, Q.newest_per_status_sql),
     "doc_files_view": (Q.doc_files_view, Q.doc_files_view_sql),
     "doc_timeline": (Q.doc_timeline, Q.doc_timeline_sql),
