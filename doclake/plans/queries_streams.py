@@ -8,6 +8,7 @@ part after the first goes through a restart. The result is what its sink holds.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -15,15 +16,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doclake.operators import extract as X
 from doclake.operators import flags as FL
 from doclake.operators import pages as PG
 from doclake.plans import bindings as B
 from doclake.plans import queries_changes as QC
 from doclake.plans.oracle_pii import detections_sql
+from doclake.plans.queries_extract import llm_requests_sql
 from doclake.plans.queries_ingest import envelope_decode_sql
 from doclake.session import checkpoint_path
 from doclake.sources import envelope as V
 from doclake.sources import files as FS
+from doclake.streaming import calls as C
 from doclake.streaming import jobs as J
 from doclake.streaming.stateful import PROVIDER, PROVIDER_KEY
 
@@ -232,12 +236,12 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         decoded = V.decode_storage_events(stream, ["message_id"], prefix="incoming/")
         drain(decoded, place.checkpoint, J.write_batches(J.quarantine_outputs(lambda b: b.select("message_id", "object_key")), place.out))
     replayed((messages.where(F.col("message_id") % 2 == k) for k in range(2)), place, run)
-    held = [spark.read.parquet(f"{place.out}/{name}").agg(F.count(F.lit(1)).alias(f"{name}_rows")) for name in ("main", "quarantine")]
-    counted = J.batch_counts(spark, place.out).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_quarantined").alias("n_quarantined"))
-    rows = counted
-    for h in held:  # one row each
-        rows = rows.withColumn("_one", F.lit(1)).join(h.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return rows
+    names = ["n_rows", "n_quarantined", "main_rows", "quarantine_rows"]
+    rows = J.batch_counts(spark, place.out).select("n_rows", "n_quarantined")
+    for name in ("main", "quarantine"):
+        rows = rows.unionByName(spark.read.parquet(f"{place.out}/{name}").select(F.lit(1).cast("long").alias(f"{name}_rows")),
+                                allowMissingColumns=True)
+    return rows.agg(*[F.sum(n).alias(n) for n in names])
 
 
 def stream_counts_sql() -> str:
@@ -247,6 +251,30 @@ def stream_counts_sql() -> str:
     FROM ({envelope_decode_sql()})"""
 
 
+def _stand_in(request: str, payload: str) -> tuple[int, str]:
+    """A provider for the check: answers with the payload's digest and never answers some payloads."""
+    digest = hashlib.md5(payload.encode()).hexdigest()
+    if digest.startswith("f"):
+        raise TimeoutError("no answer")
+    return 200, f"answer {digest}"
+
+
+def llm_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every classification request answered or a dead letter: called from a stream, attempt by attempt."""
+    requests = X.build_requests(B.llm_documents(spark, sf_dir), X.CLASSIFICATION, X.bundled_catalog()[X.CLASSIFICATION])
+    place = Place(spark)
+    parts = (requests.where(F.col("document_id").cast("long") % 2 == k).select("request_id", "payload") for k in range(2))
+    replayed(parts, place, lambda s: drain(s, place.checkpoint, C.answer_batches(_stand_in, place.out, 2)))
+    good = C.answers(spark, place.out).select("request_id", F.col("body").alias("outcome"), F.lit(False).alias("dead"))
+    return good.unionByName(C.dead_letters(spark, place.out, 2).select("request_id", F.col("error").alias("outcome"), F.lit(True).alias("dead")))
+
+
+def llm_answers_sql() -> str:
+    return f"""
+    SELECT DISTINCT request_id, CASE WHEN payload_md5 LIKE 'f%' THEN 'TimeoutError: no answer' ELSE 'answer ' || payload_md5 END AS outcome,
+           payload_md5 LIKE 'f%' AS dead FROM ({llm_requests_sql()})"""
+
+
 # ------------------------------------------------------------ stored objects
 
 def page_text_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

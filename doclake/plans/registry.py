@@ -84,6 +84,7 @@ QUERIES = {
     "pii_gate_config": (ST.pii_gate_config, X.pii_gate_sql),
     "page_text_parts": (ST.page_text_parts, PG.page_text_lines_sql),
     "stored_texts": (ST.stored_texts, ST.stored_texts_sql),
+    "llm_answers": (ST.llm_answers, ST.llm_answers_sql),
     "stream_page_batches": (ST.stream_page_batches, ST.stream_page_batches_sql),
     "stream_first_bases": (ST.stream_first_bases, ST.stream_first_bases_sql),
     "stream_gate": (ST.stream_gate, ST.stream_gate_sql),

@@ -61,3 +61,18 @@ def test_whole_tables_are_read(spark):
     assert runs.join(used, "e", "left_anti").count() == 0
     outcomes = E.queries()["llm_outcomes"](spark, SF_SMALL)
     assert outcomes.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+def test_a_list_page_is_chosen_before_its_joins(spark):
+    """Only the page's documents meet events, line items and jobs."""
+    plan = E.queries()["doc_list_page"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 4 and "GlobalLimit 50" in plan
+    physical = _plan(E.queries()["doc_list_page"](spark, SF_SMALL))
+    assert "TakeOrderedAndProject(limit=50" in physical
+
+
+def test_an_answer_is_parsed_once(spark):
+    for name in ("extraction_check", "extraction_typed_all"):
+        plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        rules = next(line for line in plan.splitlines() if "violations" in line)
+        assert "parse_json" not in rules.lower() and "parseJson" not in rules, name
