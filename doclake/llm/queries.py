@@ -197,21 +197,22 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = f"""
-WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+WITH w AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS nr, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
 g AS (
-  SELECT doc_id, i, md5(array_to_string(words[i + 1:i + {suffixes.MIN_WORDS}], ' ')) AS h
-  FROM (SELECT doc_id, words, unnest(range(0, len(words) - {suffixes.MIN_WORDS} + 1)) AS i FROM w)),
+  SELECT doc_id, nr, i, md5(array_to_string(words[i + 1:i + {suffixes.MIN_WORDS}], ' ')) AS h
+  FROM (SELECT doc_id, nr, words, unnest(range(0, len(words) - {suffixes.MIN_WORDS} + 1)) AS i FROM w)),
 r AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c,
-         row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS later FROM g),
+  SELECT doc_id, nr, i, count(*) OVER (PARTITION BY h) AS c,
+         row_number() OVER (PARTITION BY h ORDER BY nr, i) > 1 AS later FROM g),
 m AS (
-  SELECT doc_id, later, i, coalesce(i <= lag(i) OVER p + {suffixes.MIN_WORDS}, false) AS joins FROM r WHERE c > 1
-  WINDOW p AS (PARTITION BY doc_id, later ORDER BY i)),
+  SELECT doc_id, nr, later, i, coalesce(i <= lag(i) OVER p + {suffixes.MIN_WORDS}, false) AS joins FROM r WHERE c > 1
+  WINDOW p AS (PARTITION BY nr, later ORDER BY i)),
 n AS (
-  SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, later ORDER BY i ROWS UNBOUNDED PRECEDING) AS k
+  SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY nr, later ORDER BY i ROWS UNBOUNDED PRECEDING) AS k
   FROM m)
-SELECT doc_id, CAST(min(i) AS INT) AS start_word, CAST(max(i) + {suffixes.MIN_WORDS} AS INT) AS end_word, later AS later_copy
-FROM n GROUP BY doc_id, later, k
+SELECT any_value(doc_id) AS doc_id, CAST(min(i) AS INT) AS start_word, CAST(max(i) + {suffixes.MIN_WORDS} AS INT) AS end_word, later AS later_copy
+FROM n GROUP BY nr, later, k
 """
 
 

@@ -20,11 +20,15 @@ words of all passages of at least ``min_words`` words that occur twice or more
 A span is ``later_copy`` if its passages also occur at a smaller doc_id or
 earlier in the text; those are what ``drop_repeats`` removes.
 
+A row is known by its doc_id and its text's hash (``row``) all the way, so rows
+that share an id, or have none, are places of their own and spread over tasks.
+
 Defined cases: a null or short text has no span; a null doc_id sorts first and
-comes back null; rows under one doc_id are places of their own, and passages
-that only they share are not ``across_documents``; repeats inside one text
-count and are likewise not ``across_documents``; an empty table gives no rows;
-extra columns are ignored.
+comes back null; of rows under one doc_id the one with the smaller hash is the
+earlier place, and passages that only they share are not ``across_documents``;
+rows equal in id and text are one place (each other's copies, none the later);
+repeats inside one text count and are likewise not ``across_documents``; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -94,18 +98,24 @@ def _window_minima(x: np.ndarray, width: int) -> np.ndarray:
     return merge(best, width - span) if width > span else best
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """``doc, row, t``: id, hash and bytes of every text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("row"),
+                       text.cast("binary").alias("t")).where("t is not null")
+
+
 def kept_suffixes(docs: DataFrame, min_words: int = MIN_WORDS, anchor: int = ANCHOR) -> DataFrame:
-    """``doc, pos, left, right, head, phrase``: a kept suffix starts at word ``pos``; its phrase are the words
+    """``doc, row, pos, left, right, head, phrase``: a kept suffix starts at word ``pos``; its phrase are the words
     from ``pos - left`` to ``pos + right + min_words`` and ``head`` the hash of its first ``anchor`` words."""
     bounded_batches(docs.sparkSession)
-    src = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                      F.col("text").cast("string").cast("binary").alias("t")).where("t is not null")
+    src = _texts(docs)
 
     def run(batches):
         hasher = _Hasher()
         for b in batches:
             parts = []
-            for doc, t in zip(b.column("doc").to_pylist(), b.column("t")):
+            for doc, row, t in zip(b.column("doc").to_pylist(), b.column("row").to_pylist(), b.column("t")):
                 h = hasher.words(t.as_py())
                 n = len(h)
                 if n < min_words:
@@ -118,30 +128,30 @@ def kept_suffixes(docs: DataFrame, min_words: int = MIN_WORDS, anchor: int = ANC
                 pos = chosen[first]
                 phrase = hasher.stretch(sums, first, last - first + min_words)
                 phrase ^= ((pos - first).astype("uint64") << np.uint64(32)) * np.uint64(_B)
-                parts.append((np.full(len(pos), doc), pos, pos - first, last - pos, heads[pos], phrase))
+                parts.append((np.full(len(pos), doc), np.full(len(pos), row), pos, pos - first, last - pos, heads[pos], phrase))
             if parts:
-                doc, pos, left, right, head, phrase = (np.concatenate(c) for c in zip(*parts))
+                doc, row, pos, left, right, head, phrase = (np.concatenate(c) for c in zip(*parts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc.astype("int64")), pa.array(pos.astype("int32")), pa.array(left.astype("int16")),
+                    [pa.array(doc.astype("int64")), pa.array(row.astype("int64")), pa.array(pos.astype("int32")), pa.array(left.astype("int16")),
                      pa.array(right.astype("int16")), pa.array(head.view("int64")), pa.array(phrase.view("int64"))],
-                    names=["doc", "pos", "left", "right", "head", "phrase"])
+                    names=["doc", "row", "pos", "left", "right", "head", "phrase"])
 
-    return src.mapInArrow(run, "doc long, pos int, left short, right short, head long, phrase long")
+    return src.mapInArrow(run, "doc long, row long, pos int, left short, right short, head long, phrase long")
 
 
 def neighbours(suffixes: DataFrame) -> DataFrame:
     """Suffixes with a neighbour of equal head: ``whole`` (its phrase occurs again) and ``extend`` (first of its
     phrase in a run whose phrases differ or that touches a partition's border), with the phrase's
-    first and last places (``d0, p0, d1``)."""
+    first and last places (``d0, r0, p0, d1``)."""
     parts = max(1, int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = suffixes.repartitionByRange(parts, "head", "phrase", "doc", "pos").sortWithinPartitions(
-        "head", "phrase", "doc", "pos")
-    names = ["doc", "pos", "left", "right", "head", "phrase"]
+    ranged = suffixes.repartitionByRange(parts, "head", "phrase", "doc", "row", "pos").sortWithinPartitions(
+        "head", "phrase", "doc", "row", "pos")
+    names = ["doc", "row", "pos", "left", "right", "head", "phrase"]
 
     def judge(t: pa.Table, opens: bool, closes: bool):
         """Verdicts on complete runs; ``opens``/``closes``: the first/last run touches the border."""
         head, phrase = t["head"].to_numpy(), t["phrase"].to_numpy()
-        doc, pos = t["doc"].to_numpy(), t["pos"].to_numpy()
+        doc, row, pos = (t[c].to_numpy() for c in ("doc", "row", "pos"))
         n = len(head)
         new_run = np.r_[True, head[1:] != head[:-1]]
         new_phrase = new_run | np.r_[True, phrase[1:] != phrase[:-1]]
@@ -159,8 +169,8 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
         keep = whole | extend
         g = group[keep]
         cols = [t[c].to_numpy()[keep] for c in names] + [
-            whole[keep], extend[keep], doc[at][g], pos[at][g], doc[end][g]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[*names, "whole", "extend", "d0", "p0", "d1"])
+            whole[keep], extend[keep], doc[at][g], row[at][g], pos[at][g], doc[end][g]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=[*names, "whole", "extend", "d0", "r0", "p0", "d1"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -181,18 +191,17 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
         if held:
             yield judge(pa.Table.from_batches(held), first, True)
 
-    return ranged.mapInArrow(run, "doc long, pos int, left short, right short, head long, phrase long, "
-                                  "whole boolean, extend boolean, d0 long, p0 int, d1 long")
+    return ranged.mapInArrow(run, "doc long, row long, pos int, left short, right short, head long, phrase long, "
+                                  "whole boolean, extend boolean, d0 long, r0 long, p0 int, d1 long")
 
 
 def windows(docs: DataFrame, suffixes: DataFrame, min_words: int = MIN_WORDS, anchor: int = ANCHOR) -> DataFrame:
-    """``doc, start, hash, d1, times``: every window that chose one of the given suffixes, and how often it is known
+    """``doc, row, start, hash, d1, times``: every window that chose one of the given suffixes, and how often it is known
     to occur from this suffix alone (2: its phrase occurs again)."""
-    wanted = suffixes.groupBy("doc").agg(
+    # rows equal in id and text name the same suffixes
+    wanted = suffixes.select("doc", "row", "pos", "left", "right", "head", "d1", "whole").distinct().groupBy("doc", "row").agg(
         F.collect_list(F.struct("pos", "left", "right", "head", "d1", "whole")).alias("at"))
-    text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.col("text").cast("string").cast("binary").alias("t")).where("t is not null")
-    both = text.join(wanted, "doc").select("doc", "t", *[
+    both = _texts(docs).join(wanted, ["doc", "row"]).select("doc", "row", "t", *[
         F.col(f"at.{c}").alias(c) for c in ("pos", "left", "right", "head", "d1", "whole")])
 
     def run(batches):
@@ -209,59 +218,61 @@ def windows(docs: DataFrame, suffixes: DataFrame, min_words: int = MIN_WORDS, an
                     continue
                 sums = hasher.sums(h)
                 pos, left, right, head, d1, whole = (x[ok] for x in (pos, left, right, head, d1, whole))
-                # another row's text under the same doc_id has other words there
+                # a text of an equal hash may have other words there
                 ok = hasher.stretch(sums, pos, anchor).view("int64") == head
                 pos, left, right, d1, whole = (x[ok] for x in (pos, left, right, d1, whole))
                 n = left + right + 1
                 start = np.repeat(pos - left - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                parts.append((np.full(len(start), b.column("doc")[k].as_py()), start,
+                parts.append((*(np.full(len(start), b.column(c)[k].as_py()) for c in ("doc", "row")), start,
                               hasher.stretch(sums, start, min_words), np.repeat(d1, n), np.repeat(1 + whole, n)))
             if parts:
-                doc, start, hashes, d1, times = (np.concatenate(c) for c in zip(*parts))
+                doc, row, start, hashes, d1, times = (np.concatenate(c) for c in zip(*parts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc.astype("int64")), pa.array(start.astype("int32")), pa.array(hashes.view("int64")),
+                    [pa.array(doc.astype("int64")), pa.array(row.astype("int64")), pa.array(start.astype("int32")), pa.array(hashes.view("int64")),
                      pa.array(d1.astype("int64")), pa.array(times.astype("int64"))],
-                    names=["doc", "start", "hash", "d1", "times"])
+                    names=["doc", "row", "start", "hash", "d1", "times"])
 
-    return both.mapInArrow(run, "doc long, start int, hash long, d1 long, times long")
+    return both.mapInArrow(run, "doc long, row long, start int, hash long, d1 long, times long")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id, start_word, end_word (exclusive), later_copy, first_doc, across_documents``."""
+    """``doc_id, start_word, end_word (exclusive), later_copy, first_doc, across_documents, row``."""
     if not 0 < anchor <= min_words:
         raise ValueError("the anchor must not be longer than the shortest repeat")
     found = staged(neighbours(staged(kept_suffixes(docs, min_words, anchor), "suffixes")), "neighbours")
     # a phrase's first suffix that is extended as well gets its places from its windows
     over = found.where("whole and not extend").select(
-        "doc", (F.col("pos") - F.col("left")).alias("s"), (F.col("pos") + F.col("right") + min_words).alias("e"),
-        (F.struct("doc", "pos") != F.struct(F.col("d0").alias("doc"), F.col("p0").alias("pos"))).alias("later"),
+        "doc", "row", (F.col("pos") - F.col("left")).alias("s"), (F.col("pos") + F.col("right") + min_words).alias("e"),
+        (F.struct("doc", "row", "pos") != F.struct(F.col("d0").alias("doc"), F.col("r0").alias("row"), F.col("p0").alias("pos"))).alias("later"),
         F.col("d0").alias("first"), (F.col("d0") != F.col("d1")).alias("across"))
     win = staged(windows(docs, found.where("extend"), min_words, anchor), "windows")
     shared = win.groupBy("hash").agg(
-        F.sum("times").alias("n"), F.min(F.struct("doc", "start")).alias("p"), F.max("d1").alias("last")).where("n > 1")
+        F.sum("times").alias("n"), F.min(F.struct("doc", "row", "start")).alias("p"), F.max("d1").alias("last")).where("n > 1")
     extended = win.join(shared, "hash").select(
-        "doc", F.col("start").alias("s"), (F.col("start") + min_words).alias("e"),
-        (F.struct("doc", "start") != F.col("p")).alias("later"), F.col("p.doc").alias("first"),
+        "doc", "row", F.col("start").alias("s"), (F.col("start") + min_words).alias("e"),
+        (F.struct("doc", "row", "start") != F.col("p")).alias("later"), F.col("p.doc").alias("first"),
         (F.col("p.doc") != F.col("last")).alias("across"))
     spans = over.unionByName(extended)
-    by_place = Window.partitionBy("doc", "later").orderBy("s", "e")
+    by_place = Window.partitionBy("doc", "row", "later").orderBy("s", "e")
     ended = F.max("e").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("s") <= F.col("reach"), 0).otherwise(1)).over(
         by_place.rowsBetween(Window.unboundedPreceding, 0))
-    merged = spans.withColumn("reach", ended).withColumn("island", island).groupBy("doc", "later", "island").agg(
+    merged = spans.withColumn("reach", ended).withColumn("island", island).groupBy("doc", "row", "later", "island").agg(
         F.min("s").alias("start_word"), F.max("e").alias("end_word"), F.min("first").alias("first"),
         F.max("across").alias("across_documents"))
     name = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return merged.select(name("doc").alias("doc_id"), "start_word", "end_word", F.col("later").alias("later_copy"),
-                         name("first").alias("first_doc"), "across_documents")
+                         name("first").alias("first_doc"), "across_documents", "row")
 
 
 def drop_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` whose texts lack the words of their later copies (blanks after a removed word go with it)."""
     bounded_batches(docs.sparkSession)
-    cuts, other = fresh(docs, "cuts", "other")
-    gone = spans.where("later_copy").groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias(cuts))
-    joined = docs.join(gone.withColumnRenamed("doc_id", other), F.col("doc_id").eqNullSafe(F.col(other)), "left").drop(other)
+    cuts, other, row = fresh(docs, "cuts", "other", "row")
+    gone = spans.where("later_copy").groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(other), F.col("row").alias(row)).agg(
+        F.collect_list(F.struct("start_word", "end_word")).alias(cuts))
+    joined = docs.withColumn(other, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(
+        row, F.xxhash64(F.col("text").cast("string"))).join(gone, [other, row], "left").select(*[F.col(f"`{c}`") for c in docs.columns], cuts)
     names = docs.columns
 
     def run(batches):

@@ -93,3 +93,24 @@ def test_repeated_rows_nulls_and_removal(docs):
     left = {r.doc_id: r.text for r in suffixes.drop_repeats(docs(rows), spans).collect()}
     assert left[None] == rows[2][1] and left[1] == "" and left[9] == "begin end of it" and left[5] is None
     assert suffixes.repeated_spans(docs([])).collect() == []
+
+
+def test_rows_under_one_id_keep_their_own_words(docs):
+    """Three rows, two under one id: only the row that holds the copy loses words."""
+    a, u, v = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 60), ("u", 20), ("v", 80)))
+    rows = [(5, f"{a} {u}"), (5, v), (1, a), (None, v + " x"), (None, f"{a} y")]
+    table = clash(docs(rows), "row", "cuts")
+    left = suffixes.drop_repeats(table, suffixes.repeated_spans(table))
+    assert left.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(5, u), (5, ""), (1, ""), (0, v + " x"), (0, f"{a} y")])
+
+
+def test_a_third_without_an_id_spreads_over_tasks(spark, docs):
+    rng = random.Random(9)
+    common = " ".join(f"c{i}" for i in range(60))
+    rows = [(None if i % 3 else i, f"{common} " + " ".join(f"w{rng.random()}" for _ in range(30))) for i in range(600)]
+    found = suffixes.neighbours(suffixes.kept_suffixes(docs(rows)))
+    keys = found.groupBy("doc", "row").count().agg({"count": "max"}).first()[0]
+    assert keys <= 40 and found.select("doc", "row").distinct().count() == 600
+    spans = suffixes.repeated_spans(docs(rows)).collect()
+    assert len(spans) == 600 and {(r.start_word, r.end_word) for r in spans} == {(0, 60)} and sum(not r.later_copy for r in spans) == 1
