@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import os
+import json
 import re
 
 import numpy as np
@@ -61,6 +61,8 @@ FRAME = 1 << 13
 SLICE = 1 << 20
 SLICE_BYTES = 2 << 20
 CHUNK = 1 << 20
+# Fixed value: where byte-level vocabularies of this kind split a text.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 _LOW = (1 << ID_BITS) - 1
 
@@ -74,21 +76,24 @@ def byte_level_alphabet() -> dict[str, int]:
 
 
 class Sides:
-    """Two tokenizers: a byte-level one (its JSON) and a sentence-piece one (its model)."""
+    """Two tokenizers: a byte-level one (its JSON) and a sentence-piece one (its model).
 
-    def __init__(self, json: str, model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    The byte-level vocabulary numbers its entries in the order of their merges,
+    so the ids are the ranks that tiktoken merges by (and does so faster).
+    """
+
+    def __init__(self, json_text: str, model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_str(json)
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         alphabet = byte_level_alphabet()
-        vocabulary = self.a.get_vocab()
-        a = [b""] * (max(vocabulary.values()) + 1)
-        for entry, i in vocabulary.items():
-            a[i] = bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
+        file = json.loads(json_text)
+        special = {t["id"]: t["content"] for t in file["added_tokens"]}
+        entries = {i: bytes(alphabet[c] for c in entry) for entry, i in file["model"]["vocab"].items() if i not in special}
+        self.a = tiktoken.Encoding("byte level", pat_str=PATTERN, special_tokens={},
+                                   mergeable_ranks={entry: i for i, entry in entries.items()})
+        a = [entries.get(i, special.get(i, "").encode()) for i in range(max([*entries, *special]) + 1)]
         b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
              else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
         if max(len(a), len(b)) > 1 << ID_BITS:
@@ -109,7 +114,7 @@ class Sides:
                 size += len(parts[end])
                 end += 1
             some = parts[at:end]
-            a += [np.array(e.ids, "int64") for e in self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)]
+            a += [np.array(self.a.encode_ordinary(" " + p), "int64") for p in some]
             b += [np.array(x, "int64") for x in self.b.encode(some, num_threads=1)]
             at = end
         return a, b
@@ -298,7 +303,7 @@ def cell_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a * 2654435761 >> 11) + b % SPREAD) % CELLS
 
 
-def aligned_blocks(docs: DataFrame, json: str, model: bytes) -> DataFrame:
+def aligned_blocks(docs: DataFrame, json_text: str, model: bytes) -> DataFrame:
     """Per document its numbers (``kind`` 0) and per block and cell a run (``kind`` 1), by one pass over the texts.
 
     ``block, slot`` is the document's place or the run's cell.
@@ -308,7 +313,7 @@ def aligned_blocks(docs: DataFrame, json: str, model: bytes) -> DataFrame:
     id_type = src.schema["doc_id"].dataType.simpleString()
     schema = (f"kind int, block long, slot int, doc_id {id_type}, n_a long, n_b long, n_groups long, n_links long, "
               "groups_sha256 string, directory array<binary>, records binary")
-    shared = docs.sparkSession.sparkContext.broadcast((json, model))  # two vocabulary files
+    shared = docs.sparkSession.sparkContext.broadcast((json_text, model))  # two vocabulary files
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
@@ -470,10 +475,10 @@ def earned(runs: DataFrame, counts: DataFrame, top: np.ndarray) -> DataFrame:
 def aligned_documents(docs: DataFrame, json_path: str, model_path: str) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every document."""
     with open(json_path, encoding="utf-8") as f:
-        json = f.read()
+        json_text = f.read()
     with open(model_path, "rb") as f:
         model = f.read()
-    blocks = staged(aligned_blocks(docs, json, model), "blocks")
+    blocks = staged(aligned_blocks(docs, json_text, model), "blocks")
     runs = blocks.where("kind = 1").select("slot", "block", "directory", "records")
     counts = pair_counts(runs)
     sums = earned(runs, counts, highest_counts(counts, 1 << ID_BITS))
