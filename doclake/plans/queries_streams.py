@@ -16,6 +16,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from doclake.functions import keys as K
 from doclake.operators import extract as X
 from doclake.operators import flags as FL
 from doclake.operators import pages as PG
@@ -298,17 +299,51 @@ def pii_gate_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "source", FL.pii_enabled(F.col("source"), flag).alias("pii_enabled"))
 
 
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result text per conversation; every fourth conversation has none."""
+    c = B.table(spark, sf_dir, "conversations", "conv_id", "text").where("conv_id is not null")
+    return c.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"), F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("n_chars"))
+
+
+def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result objects written under their keys and read back for the documents that name them."""
+    r = _results(spark, sf_dir)
+    place = Place(spark)
+    objects = r.where("conv_id % 4 <> 3").select(F.concat(F.col("conv_id").cast("string"), F.lit("_response.json")).alias("name"),
+                                                 F.to_json(F.struct("n_turns", "n_chars")).alias("body"))
+    FS.write_objects(objects, place.bucket, "results/", "name", "body")
+    docs = r.select(F.col("conv_id").cast("string").alias("document_id"), K.result_key(F.col("conv_id").cast("string")).alias("result_key"))
+    stored = FS.read_results(spark, place.bucket, schema="n_turns long, n_chars long").select("result_key", "n_turns", "n_chars")
+    return FS.results_for_documents(docs, stored).select("document_id", "result_key", "n_turns", "n_chars")
+
+
+def stored_results_sql() -> str:
+    return """
+    SELECT CAST(conv_id AS VARCHAR) AS document_id, 'results/' || CAST(conv_id AS VARCHAR) || '_response.json' AS result_key,
+           CASE WHEN conv_id % 4 <> 3 THEN CAST(count(*) AS BIGINT) END AS n_turns,
+           CASE WHEN conv_id % 4 <> 3 THEN CAST(sum(coalesce(length(text), 0)) AS BIGINT) END AS n_chars
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id"""
+
+
 def stored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combined texts written as one text object per document, listed below their prefix and read back whole (A4, A5)."""
+    """First turns written as one text object per document, listed below their prefix and read back for the keys that
+    are wanted; a key without an object reads as '' (A4, A5)."""
     c = B.table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
-    texts = c.where("conv_id is not null and turn = 0").groupBy("conv_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    texts = c.where("conv_id is not null and turn = 0").groupBy(F.col("conv_id").cast("string").alias("document_id")).agg(
+        F.min(F.coalesce("text", F.lit(""))).alias("text"))
     place = Place(spark)
-    texts.repartition("conv_id").write.partitionBy("conv_id").text(f"{place.bucket}/staging")
-    read = FS.read_texts(spark, place.bucket).select(
-        F.regexp_extract("text_key", r"^staging/conv_id=(-?\d+)/", 1).cast("bigint").alias("conv_id"), "text")
-    return read.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_objects"), F.md5(F.min("text")).alias("text_md5"))
+    FS.write_objects(texts.withColumn("name", F.concat("document_id", F.lit(".txt"))), place.bucket, "staging/", "name", "text")
+    wanted = c.where("conv_id is not null").select(F.col("conv_id").cast("string").alias("document_id")).distinct().select(
+        "document_id", F.explode(F.array(F.concat(F.lit("staging/"), "document_id", F.lit(".txt")),
+                                         F.concat(F.lit("staging/"), "document_id", F.lit("-none.txt")))).alias("text_key"))
+    read = FS.texts_for_keys(wanted, FS.read_texts(spark, place.bucket))
+    return read.select("document_id", "text_key", F.md5("text").alias("text_md5"))
 
 
 def stored_texts_sql() -> str:
-    return """SELECT conv_id, CAST(1 AS BIGINT) AS n_objects, md5(min(coalesce(text, '')) || chr(10)) AS text_md5
-    FROM conversations WHERE conv_id IS NOT NULL AND turn = 0 GROUP BY conv_id"""
+    return """
+    WITH t AS (SELECT conv_id, min(coalesce(text, '')) || chr(10) AS text FROM conversations WHERE turn = 0 GROUP BY 1),
+    d AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+    SELECT CAST(conv_id AS VARCHAR) AS document_id, 'staging/' || CAST(conv_id AS VARCHAR) || '.txt' AS text_key,
+           md5(coalesce(text, '')) AS text_md5 FROM d LEFT JOIN t USING (conv_id)
+    UNION ALL SELECT CAST(conv_id AS VARCHAR), 'staging/' || CAST(conv_id AS VARCHAR) || '-none.txt', md5('') FROM d"""

@@ -83,6 +83,7 @@ QUERIES = {
     "pii_gate": (X.pii_gate, X.pii_gate_sql),
     "pii_gate_config": (ST.pii_gate_config, X.pii_gate_sql),
     "page_text_parts": (ST.page_text_parts, PG.page_text_lines_sql),
+    "stored_results": (ST.stored_results, ST.stored_results_sql),
     "stored_texts": (ST.stored_texts, ST.stored_texts_sql),
     "llm_answers": (ST.llm_answers, ST.llm_answers_sql),
     "stream_page_batches": (ST.stream_page_batches, ST.stream_page_batches_sql),

@@ -15,7 +15,16 @@ def stored_key(root: str) -> Column:
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     # the same folder may be written with or without its scheme
     folder = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
-    return F.substring_index(path, folder, -1)
+    # an object that ``write_objects`` wrote is a folder of one file
+    return F.regexp_replace(F.substring_index(path, folder, -1), "object=([^/]+)/part-[^/]+$", "$1")
+
+
+def write_objects(rows: DataFrame, root: str, prefix: str, name_col: str, value_col: str) -> None:
+    """Write every row as an object of its own below ``prefix``: text ``value_col`` (a line end follows it) under the
+    name ``name_col``. Spark names the files it writes, so an object is a folder ``object=<name>`` with one file;
+    the readers of this module give it the key ``<prefix><name>``."""
+    rows.select(F.col(value_col).alias("value"), F.col(name_col).alias("object")).repartition("object").write.mode(
+        "overwrite").partitionBy("object").text(f"{root.rstrip('/')}/{prefix}")
 
 
 def read_texts(spark: SparkSession, root: str, prefix: str = "staging/", glob: str = "*.txt") -> DataFrame:
