@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from doclake.operators.scan import PART, SEQ, Scan, plain, positions, ranged, scanned
+from doclake.operators.scan import PART, SEQ, Scan, positions, ranged, scanned
 
 from .common import bounded_batches, staged
 
