@@ -8,10 +8,11 @@ every task multiplies its passages with a random matrix and the result with
 their transpose, the products are summed over all tasks, and the leading
 singular vectors of the sum, together with the span of the items' own vectors,
 are the latent space. The third pass takes overlapping windows of all texts,
-with the words around them that the checks read. An item is a candidate there
-if at least ``PARAPHRASE`` of its words occur in them: no leak can have fewer,
-and other or repeated words beside it cannot hide it. The cosine of window and
-item in the latent space is reported with each leak, and no leak is cut by it.
+with the words around them that the checks read, and searches the items by
+their cosine with these words in the latent space. An item is a candidate if
+the cosine is not below the least that a window of that norm can have with an
+item of which it holds ``PARAPHRASE``: the space holds the items' span, so other
+or repeated words beside a leak, which lower its cosine, cannot hide it.
 A candidate is a leak if the longest common subsequence of the item and the
 text around the window holds at least ``NEAR_VERBATIM`` of the
 item, or, for paraphrases, at least ``PARAPHRASE`` of it and the item's answer
@@ -30,6 +31,8 @@ columns are ignored, and kept by ``drop_leaks``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,6 +54,10 @@ CACHE_WORDS = 1 << 19
 CHUNK = 1 << 15
 # so many of the most frequent features are counted per row and multiplied as a matrix; the rest are added one by one
 FREQUENT = 128
+# distinct words of rows are found in a table of flags up to this size, by sorting beyond
+FLAGS = 1 << 23
+# how much a cosine in single precision may be off
+SLACK = 1e-4
 
 
 def normal(word: bytes) -> str:
@@ -182,6 +189,26 @@ def _flat(batch, kind: str):
     return word[ok].astype("int64"), passage[ok], int(first[-1])
 
 
+def _once(row: np.ndarray, word: np.ndarray, n_rows: int, n_features: int) -> np.ndarray:
+    """The distinct ``row * n_features + word`` in ascending order."""
+    pair = row.astype("int64") * n_features + word
+    if n_rows * n_features > FLAGS:
+        return np.unique(pair)
+    flags = np.zeros(n_rows * n_features, bool)
+    flags[pair] = True
+    return np.flatnonzero(flags)
+
+
+def _spans(word: np.ndarray, passage: np.ndarray):
+    """Whole passages, about ``CHUNK`` words: (words, their passage counted from the first)."""
+    at = 0
+    while at < len(word):
+        to = min(len(word), at + CHUNK)
+        to = int(np.searchsorted(passage, passage[to - 1], "right"))
+        yield word[at:to], passage[at:to] - passage[at]
+        at = to
+
+
 def passage_counts(coded: DataFrame, n_features: int, kind: str) -> tuple[np.ndarray, int]:
     """Per feature, the passages that hold it; the number of passages."""
     def run(batches):
@@ -189,8 +216,8 @@ def passage_counts(coded: DataFrame, n_features: int, kind: str) -> tuple[np.nda
         for b in batches:
             word, passage, n = _flat(b, kind)
             count[-1] += n
-            pairs = np.unique(passage * n_features + word)
-            count[:-1] += np.bincount(pairs % n_features, minlength=n_features)
+            for w, p in _spans(word, passage):
+                count[:-1] += np.bincount(_once(p, w, int(p[-1]) + 1, n_features) % n_features, minlength=n_features)
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], names=["f", "n"])
 
@@ -212,12 +239,7 @@ def sketch(coded: DataFrame, idf: np.ndarray, seen: np.ndarray, kind: str) -> np
         total = np.zeros(start.shape, "float64")
         for b in batches:
             word, passage, _ = _flat(b, kind)
-            at = 0
-            while at < len(word):  # whole passages, about ``CHUNK`` words
-                to = min(len(word), at + CHUNK)
-                to = int(np.searchsorted(passage, passage[to - 1], "right"))
-                w, p = word[at:to], passage[at:to] - passage[at]
-                at = to
+            for w, p in _spans(word, passage):
                 parts = rows.split(w, p, int(p[-1]) + 1)
                 y = rows.sums(parts, start)
                 counts, w, p = parts
@@ -244,56 +266,106 @@ def latent_space(z: np.ndarray, items: np.ndarray) -> np.ndarray:
     """Orthonormal columns: the leading singular vectors of the corpus sketch and the items' own span."""
     u, s, _ = np.linalg.svd(z, full_matrices=False)
     corpus = u[:, :RANK][:, s[:RANK] > 1e-9 * max(s[0], 1e-300)] if len(s) else u
-    q, r = np.linalg.qr(np.c_[corpus, items.T / np.maximum(np.linalg.norm(items, axis=1), 1e-300)])
-    return q[:, np.abs(np.diag(r)) > 1e-8]
-
-
-def candidates(seqs: list[np.ndarray], wanted: np.ndarray, rows: _Rows):
-    """(text, window start, item) wherever at least ``PARAPHRASE`` of an item's words may occur in the text around a
-    window; ``wanted``: how often an item has a feature. Frequent features count once in all the blocks around, the
-    others once a block, so nothing that has enough words is missed. Texts are laid end to end, each from a new block
-    of ``STRIDE`` words, and taken ``CHUNK`` at a time."""
-    at, n_features = 0, len(wanted)
-    length = wanted.sum(axis=0)
-    often = wanted[rows.top]
-    # so many blocks on each side of a window hold the words around it
-    sides = np.maximum(1, -(-length.astype("int64") // STRIDE))
-    while at < len(seqs):
-        to, words = at, 0
-        while to < len(seqs) and (to == at or words + len(seqs[to]) <= CHUNK):
-            words += len(seqs[to])
-            to += 1
-        size = np.array([len(x) for x in seqs[at:to]], "int64")
+    own = items.T / np.maximum(np.linalg.norm(items, axis=1), 1e-300)
+    for _ in range(2):  # twice: what rounding leaves of the corpus part goes as well
+        own = own - corpus @ (corpus.T @ own)
+    u, s, _ = np.linalg.svd(own, full_matrices=False)
+    return np.c_[corpus, u[:, s > 1e-7]]
+
+
+def least_products(seqs: list[list[int]], idf: np.ndarray) -> np.ndarray:
+    """Per item, the least product of its TF-IDF vector with a window that holds ``PARAPHRASE`` of its words: that of
+    its lightest words."""
+    return np.array([np.sort(idf[s] ** 2)[:math.ceil(PARAPHRASE * len(s) - 1e-9)].sum() for s in seqs])
+
+
+class _Search:
+    """The items in the latent space, and the least cosine that a leak can have there with each.
+
+    A window's vector has at least the IDF weight of each of its words, and the space holds the items' span, so the
+    projection leaves the product of window and item as it is: a window with a leak has at least ``least_products``,
+    divided by both norms, as its cosine."""
+
+    def __init__(self, space: np.ndarray, idf: np.ndarray, vectors: np.ndarray, seqs: list[list[int]], seen: np.ndarray):
+        self.rows = _Rows(seen)
+        self.table = (space * idf[:, None]).astype("float32")
+        goals = vectors @ space
+        norms = np.maximum(np.linalg.norm(goals, axis=1), 1e-300)
+        self.goals = (goals / norms[:, None]).astype("float32")
+        self.least = (least_products(seqs, idf) / norms).astype("float32")
+        # so many blocks on each side of a window hold the words around it
+        self.sides = np.array([max(1, -(-len(s) // STRIDE)) for s in seqs], "int64")
+
+    def cosine(self, window: np.ndarray, item: int) -> float:
+        x = self.table[window[window >= 0]].sum(axis=0)
+        return float(x @ self.goals[item] / max(np.linalg.norm(x), 1e-9))
+
+
+def _pieces(seqs: list[np.ndarray], margin: int):
+    """(text, first and last block whose windows are searched, first and last block read) in groups of about ``CHUNK``
+    words; a long text comes in several pieces."""
+    step, group, words = max(1, CHUNK // STRIDE), [], 0
+    for k, x in enumerate(seqs):
+        n = -(-len(x) // STRIDE)
+        for a in range(0, n, step):
+            b = min(n, a + step)
+            lo, hi = max(0, a - margin), min(n, b + margin)
+            size = min(len(x), hi * STRIDE) - lo * STRIDE
+            if group and words + size > CHUNK:
+                yield group
+                group, words = [], 0
+            group.append((k, a, b, lo, hi))
+            words += size
+    if group:
+        yield group
+
+
+def candidates(seqs: list[np.ndarray], search: _Search):
+    """(text, window start, item) wherever the cosine of the text around a window and an item in the latent space is
+    not below what a leak must have. Frequent features count once in all the blocks around, the others once a block.
+    Texts are laid end to end, each from a new block of ``STRIDE`` words, and taken about ``CHUNK`` words at a time."""
+    rows, table = search.rows, search.table
+    margin = int(search.sides.max()) + 1
+    for pieces in _pieces(seqs, margin):
+        flat = [seqs[k][lo * STRIDE:hi * STRIDE] for k, _, _, lo, hi in pieces]
+        size = np.array([len(x) for x in flat], "int64")
         n_blocks = -(-size // STRIDE)
-        first = np.r_[0, np.cumsum(n_blocks)]
-        flat = np.concatenate(seqs[at:to])
+        # ``margin`` empty blocks before each piece and after the last: what is around a window is a run of blocks
+        first = margin + np.r_[0, np.cumsum(n_blocks + margin)]
+        n = int(first[-1])
+        flat = np.concatenate(flat)
         start = np.cumsum(size) - size
         block = np.repeat(first[:-1], size) + (np.arange(len(flat)) - np.repeat(start, size)) // STRIDE
         used = flat >= 0
-        once = np.unique(block[used] * n_features + flat[used])
-        counts, word, block = rows.split(once % n_features, once // n_features, int(first[-1]) + 1)
-        rare = np.zeros((len(counts), wanted.shape[1]), "float32")
+        once = _once(block[used], flat[used], n, len(table))
+        counts, word, block = rows.split(once % len(table), once // len(table), n)
+        rare = np.zeros((n, table.shape[1]), "float32")
         if len(word):
             head = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            rare[block[head]] = np.add.reduceat(wanted[word], head, axis=0)
+            rare[block[head]] = np.add.reduceat(table[word], head, axis=0)
         # a window is a block and the next one; a text's last block is a window only if it is the only one
-        text = np.repeat(np.arange(to - at), n_blocks)
-        lone = n_blocks[text] == 1
-        last = np.arange(first[-1]) == first[text + 1] - 1
-        win = np.flatnonzero(lone | ~last)
-        for side in np.unique(sides).tolist():
-            group = np.flatnonzero(sides == side)
-            held, more = np.zeros((len(win), counts.shape[1]), "float32"), np.zeros((len(win), len(group)), "float32")
-            part = rare[:, group]
-            for k in range(-side, side + 2):
-                near = np.clip(win + k, 0, max(0, len(text) - 1))
-                same = np.flatnonzero((near == win + k) & (text[near] == text[win]))
-                held[same] = np.maximum(held[same], counts[near[same]])
-                more[same] += part[near[same]]
-            hit, item = np.nonzero(held @ often[:, group] + more >= PARAPHRASE * length[group] - 1e-3)
-            own = text[win[hit]]
-            yield from zip((at + own).tolist(), ((win[hit] - first[own]) * STRIDE).tolist(), group[item].tolist())
-        at = to
+        text, a, b, lo, _ = np.array(pieces).T
+        total = -(-np.array([len(seqs[k]) for k in text]) // STRIDE)
+        piece = np.repeat(np.arange(len(pieces)), n_blocks)
+        near = np.arange(len(piece)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+        own = near + lo[piece]
+        wanted = (own >= a[piece]) & (own < b[piece]) & ((total[piece] == 1) | (own < total[piece] - 1))
+        win, piece, own = (near + first[piece])[wanted], piece[wanted], own[wanted]
+        counts, rare = np.maximum(counts[:-1], counts[1:]), rare[:-1] + rare[1:]
+        for side in np.unique(search.sides).tolist():
+            group = np.flatnonzero(search.sides == side)
+            # blocks from ``side`` before a window's first to ``side`` after its second, as pairs
+            m = n - 2 * side - 1
+            held, more = counts[:m].copy(), rare[:m].copy()
+            for k in range(2, 2 * side + 1, 2):
+                np.maximum(held, counts[k:k + m], out=held)
+                more += rare[k:k + m]
+            held, more = held[win - side], more[win - side]
+            x = held @ table[rows.top] + more
+            norm = np.maximum(np.linalg.norm(x, axis=1), 1e-9)[:, None]
+            cosine = x @ search.goals[group].T / norm
+            hit, item = np.nonzero(cosine >= search.least[group] / norm - SLACK)
+            yield from zip(text[piece[hit]].tolist(), (own[hit] * STRIDE).tolist(), group[item].tolist())
 
 
 def _block_leaks(docs: DataFrame, items: _Items) -> DataFrame:
@@ -304,24 +376,16 @@ def _block_leaks(docs: DataFrame, items: _Items) -> DataFrame:
     idf = np.log((1 + passages) / (1 + seen)) + 1e-6
     vectors = items.vectors(idf)
     space = latent_space(sketch(coded, idf, seen, kind), vectors)
-    rows = _Rows(seen)
-    table = (space * idf[:, None]).astype("float32")
-    goals = vectors @ space
-    goals = (goals / np.maximum(np.linalg.norm(goals, axis=1), 1e-300)[:, None]).astype("float32")
-    wanted = items.vectors(np.ones(len(number))).T.astype("float32")
     ids, seqs, answers = items.ids, items.seqs, items.answers
+    search = _Search(space, idf, vectors, seqs, seen)
     schema = coded.select("doc_id", "mark").schema.add("item_id", "long").add("cosine", "double").add(
         "lcs_share", "double").add("has_answer", "boolean").add("word", "long")
 
-    def cosine(window: np.ndarray, goal: np.ndarray) -> float:
-        x = table[window[window >= 0]].sum(axis=0)
-        return float(x @ goal / max(np.linalg.norm(x), 1e-9))
-
     def run(batches):
         for b in batches:
             texts = [np.frombuffer(x.as_py(), kind) for x in b.column("seq")]
             best: dict[tuple[int, int], tuple] = {}
-            for k, at, i in candidates(texts, wanted, rows):
+            for k, at, i in candidates(texts, search):
                 item = seqs[i]
                 reach = max(STRIDE, len(item))
                 text = texts[k][max(0, at - reach):at + PASSAGE + reach].tolist()
@@ -331,7 +395,7 @@ def _block_leaks(docs: DataFrame, items: _Items) -> DataFrame:
                 share = common_subsequence(item, text) / len(item)
                 answer = share >= PARAPHRASE and _holds(answers[i], text)
                 if share >= NEAR_VERBATIM or answer:
-                    cos = cosine(texts[k][at:at + PASSAGE], goals[i])
+                    cos = search.cosine(texts[k][at:at + PASSAGE], i)
                     if (k, i) not in best or (share, cos) > best[k, i][:2]:
                         best[k, i] = (share, cos, answer, at)
             out = [(k, ids[i], cos, share, answer, at) for (k, i), (share, cos, answer, at) in best.items()]
