@@ -22,8 +22,10 @@ def stored_key(root: str) -> Column:
 def write_objects(rows: DataFrame, root: str, prefix: str, name_col: str, value_col: str) -> None:
     """Write every row as an object of its own below ``prefix``: text ``value_col`` (a line end follows it) under the
     name ``name_col``. Spark names the files it writes, so an object is a folder ``object=<name>`` with one file;
-    the readers of this module give it the key ``<prefix><name>``."""
-    rows.select(F.col(value_col).alias("value"), F.col(name_col).alias("object")).repartition("object").write.mode(
+    the readers of this module give it the key ``<prefix><name>``. The cost is one file per object, whatever its size,
+    so the tasks are given in number: AQE would merge small rows into one task that writes all files."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows.select(F.col(value_col).alias("value"), F.col(name_col).alias("object")).repartition(parts, "object").write.mode(
         "overwrite").partitionBy("object").text(f"{root.rstrip('/')}/{prefix}")
 
 
