@@ -230,7 +230,7 @@ def stream_late_pages_sql() -> str:
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and quarantined rows of the decoded queue messages, as counted while their batches were written, beside
     the rows that the sinks hold (D11, A26)."""
-    messages = B.queue_messages(spark, sf_dir).repartition(4)
+    messages = B.queue_messages(spark, sf_dir)
     place = Place(spark)
 
     def run(stream: DataFrame) -> None:
