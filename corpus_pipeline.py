@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.llm import decontaminate, mixing, repetition, shards, simhash
-from doclake.llm.common import staged, table
+from doclake.llm.common import fresh, staged, table
 
 N_SHARDS = 40
 
@@ -38,10 +38,19 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contiguous shards of equal bytes in the order of the mix, with the place of every document."""
-    placed = mixing.interleave(docs)  # all rows are there, so these are the slots of the stage before
-    slot = placed.columns[-1]
-    return shards.assign_shards(placed, shards.text_size(F.col("text")), [slot, "doc_id"], N_SHARDS).drop(slot)
+    """Contiguous shards of equal bytes in the order of the mix, with the place of every document.
+
+    The places are worked out on narrow rows; a row is its file and its number there, and each text moves once."""
+    file, row, size = fresh(docs, "file", "row", "size")
+    read = docs.metadataColumn("_metadata")
+    keyed = docs.withColumns({file: F.xxhash64(read["file_path"]), row: read["row_index"]})
+    narrow = keyed.select("doc_id", "source", file, row, shards.text_size(F.col("text")).alias(size))
+    placed = mixing.interleave(narrow)  # all rows are there, so these are the slots of the stage before
+    places = shards.assign_shards(placed, F.col(size), [placed.columns[-1], "doc_id"], N_SHARDS)
+    names = fresh(docs, "shard", "slot", "shard_bytes_before")
+    places = places.select(file, row, *[F.col(c).alias(n) for c, n in zip(places.columns[-3:], names)])
+    # never broadcast: there is a row per document
+    return keyed.join(places.hint("merge"), [file, row]).select(*[F.col(f"`{c}`") for c in docs.columns], *names)
 
 
 STAGES = [
