@@ -8,6 +8,7 @@ place in it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,12 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contiguous shards of equal bytes in the order of the mix, with the place of every document.
 
-    The places are worked out on narrow rows; a row is its file and its number there, and each text moves once."""
+    The places are worked out on narrow rows; a row is its file and its number there, and each text moves once.
+    Documents that are not read from Parquet files are written first."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        docs = staged(docs, "unplaced")
     file, row, size = fresh(docs, "file", "row", "size")
     read = docs.metadataColumn("_metadata")
     keyed = docs.withColumns({file: F.xxhash64(read["file_path"]), row: read["row_index"]})
