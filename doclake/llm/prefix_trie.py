@@ -15,7 +15,8 @@ A batch is located by fat binary search: each round looks up the signature at
 the two-fattest depth of what is left of (lower, upper]; found, the search goes
 on behind that node, else before the depth. That takes log2(length) lookups and
 ends at the node where a conversation leaves the trie, or at its parent; one
-lookup by first turn tells, and a binary search over signatures finds the depth.
+lookup by first turn tells, and the node's signatures, held against the
+conversation's in one join, give the depth.
 Of those that leave at one place by one turn a single one, chosen by hash, is
 inserted, the others come again with the next batch, so batches are about as
 many as the logarithm of the conversations. Copies are one conversation with
@@ -37,12 +38,12 @@ import hashlib
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doclake.operators.scan import PART, SEQ, Scan, positions, ranged, scanned
 
-from .common import bounded_batches, staged
+from .common import bounded_batches, scratch, staged
 
 # Two primes below 2**61 and a base for each: a signature is 122 bits.
 PRIMES = ((1 << 61) - 1, (1 << 61) - 31)
@@ -51,6 +52,8 @@ WORDS = r"[^\x20\x09-\x0D]+"
 CHUNK_IDS = 1 << 16
 # search steps between written tables
 STEPS = 6
+# a path is cut every 2**STRETCH turns, so that no task meets more cuts of a path
+STRETCH = 16
 
 
 def turns_in_order(conversations: DataFrame) -> DataFrame:
@@ -98,16 +101,31 @@ def two_fattest(lower: Column, upper: Column) -> Column:
 
 
 class Trie:
-    """Paths and cuts of what is inserted so far, over the prefixes of all distinct conversations.
+    """What is inserted so far, over the prefixes of all distinct conversations.
 
-    ``prefixes``: ``x, d, s1, s2, words, total``; ``paths``: ``x, n, parent, start, batch`` (no parent: the root);
-    ``cuts``: ``x, d``; ``ends``: ``x, path, depth``, the node where each distinct conversation ends.
+    ``prefixes``: ``x, d, s1, s2, words, total``; ``settled``: ``x, n, parent, start, batch``, the conversations that
+    are in the trie: those that go on from their parent path are paths (no parent: the root), the others end on it.
+    Its batches are written one by one and read as one table, so a plan has one scan of it, however many there are.
     """
 
     def __init__(self, prefixes: DataFrame):
         self.prefixes = prefixes
-        self.paths = self.cuts = self.ends = None
-        self.batches = 0
+        self.settled = None
+        self.folders: list[str] = []
+
+    @property
+    def batches(self) -> int:
+        return len(self.folders)
+
+    @property
+    def paths(self) -> DataFrame:
+        return self.settled.where("start < n")
+
+    @property
+    def ends(self) -> DataFrame:
+        """``x, path, depth``: the node where each distinct conversation ends."""
+        return self.settled.select("x", F.when(F.col("start") < F.col("n"), F.col("x")).otherwise(F.col("parent")).alias("path"),
+                                   F.col("n").alias("depth"))
 
     def signature(self, rows: DataFrame, owner: str, depth: str, a: str, b: str) -> DataFrame:
         """``rows`` with the signature (a, b) of the prefix of ``depth`` turns of ``owner`` (null where it has none)."""
@@ -116,10 +134,27 @@ class Trie:
 
     def nodes(self) -> DataFrame:
         """Compacted nodes ``x, lo, hi``: the turns lo + 1 to hi of path x; with the depth and signature of the handle
-        (``probe, p1, p2``) and of the first turn (``child, c1, c2``)."""
-        rows = ranged(self.cuts.distinct().join(self.paths.select("x", "start"), "x"), ["x"], ["d"])
-        cut = scanned(rows, ["x"], [Scan("before", "last", F.col("d"), before=True)])
-        node = cut.select("x", F.coalesce("before", "start").alias("lo"), F.col("d").alias("hi")).select(
+        (``probe, p1, p2``) and of the first turn (``child, c1, c2``).
+
+        A path is also cut at every multiple of ``2**STRETCH``, so a node begins where the last cut of its stretch is, and
+        the cuts of a long path spread over tasks. Such a cut is a node with one child.
+        """
+        def stretch(turn):
+            return F.call_function("shiftright", turn, F.lit(STRETCH))
+
+        def cut(x, d, begins=False):
+            return F.struct(x.alias("x"), d.alias("d"), stretch(d if begins else d - 1).alias("stretch"), F.lit(begins).alias("begins"))
+
+        x, n, parent, start = (F.col(c) for c in ("x", "n", "parent", "start"))
+        borders = F.when(stretch(start) < stretch(n - 1), F.transform(
+            F.sequence(stretch(start) + 1, stretch(n - 1)), lambda k: cut(x, F.call_function("shiftleft", k, F.lit(STRETCH))))).otherwise(
+            F.array())
+        cuts = F.when(start < n, F.concat(F.array(cut(x, start, begins=True), cut(x, n), cut(parent, start)), borders)).otherwise(
+            F.array(cut(parent, start)))
+        here = Window.partitionBy("x", "stretch").orderBy("d")
+        node = self.settled.select(F.explode(cuts).alias("c")).select("c.*").where("x is not null").distinct().withColumn(
+            "before", F.lag("d").over(here)).where("not begins").select(
+            "x", F.coalesce("before", F.call_function("shiftleft", F.col("stretch"), F.lit(STRETCH))).alias("lo"), F.col("d").alias("hi")).select(
             "*", two_fattest(F.col("lo"), F.col("hi")).alias("probe"), (F.col("lo") + 1).alias("child"))
         return staged(self.signature(self.signature(node, "x", "probe", "p1", "p2"), "x", "child", "c1", "c2"), "nodes")
 
@@ -130,21 +165,16 @@ class Trie:
         Those that end where they leave the trie are in it. Of all others that leave at one place by one turn, the
         one with the smallest hash is inserted; the place and turn are known by the signature one turn further on.
         """
-        self.batches += 1
-        located = staged(located, "located")
-        inside = located.where("start = n").select("x", F.col("parent").alias("path"), F.col("n").alias("depth"))
+        spark, located = located.sparkSession, staged(located, "located")
         off = self.signature(located.where("start < n").withColumn("next", F.col("start") + 1), "x", "next", "a", "b")
         first = off.groupBy("next", "a", "b").agg(F.min_by(F.struct("x", "n", "parent", "start"), F.struct(
             F.xxhash64("x"), F.col("x"))).alias("r")).select("r.*")
-        new = staged(first.withColumn("batch", F.lit(self.batches)), "paths")
-        ends = inside.unionByName(new.select("x", F.col("x").alias("path"), F.col("n").alias("depth")))
-        cuts = ends.select(F.col("path").alias("x"), F.col("depth").alias("d")).unionByName(
-            new.where("parent is not null").select(F.col("parent").alias("x"), F.col("start").alias("d")))
-        if self.paths is None:
-            self.paths, self.ends, self.cuts = new, ends, cuts
-        else:
-            self.paths = self.paths.unionByName(new)
-            self.ends, self.cuts = self.ends.unionByName(ends), self.cuts.unionByName(cuts)
+        settled = located.where("start = n").unionByName(first).withColumn("batch", F.lit(self.batches + 1))
+        folder = scratch(spark, "settled")
+        settled.write.parquet(folder)
+        self.folders.append(folder)
+        new = spark.read.schema(settled.schema).parquet(folder).where("start < n")
+        self.settled = spark.read.schema(settled.schema).parquet(*self.folders)
         left, longest = located.where("start < n").agg(F.count(F.lit(1)), F.max("n")).first()
         again = located.where("start < n").join(new.select("x"), "x", "left_anti").select("x", "n")
         return again, left - new.count(), longest or 0
@@ -168,29 +198,20 @@ class Trie:
                 F.when(hit, F.col("probe")).otherwise(F.col("good")).alias("good"))
             if step % STEPS == STEPS - 1:
                 at = staged(at, "search")
-        # the whole node matches: it is passed, and the next turn may lead into a child of it
-        both = self.signature(self.signature(at, "x", "node_hi", "a", "b"), "node", "node_hi", "c", "d")
-        passed = F.col("node").isNull() | F.coalesce((F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), F.lit(False))
-        at = both.select("x", "n", "node", "node_hi", "good", passed.alias("passed"), F.when(passed, F.col("node_hi") + 1).alias("child"))
+        # the next turn may lead into a child of the node, which is only found if the whole node matches
         children = nodes.select("child", "c1", "c2", F.col("x").alias("into"), F.col("hi").alias("into_hi"))
-        at = self.signature(at, "x", "child", "c1", "c2").join(children, ["child", "c1", "c2"], "left")
+        at = self.signature(at.withColumn("child", F.col("node_hi") + 1), "x", "child", "c1", "c2").join(
+            children, ["child", "c1", "c2"], "left")
         enters = F.col("into").isNotNull()
         at = staged(at.select(
             "x", "n", F.when(enters, F.col("into")).otherwise(F.col("node")).alias("parent"),
-            F.when(enters, F.col("child")).when(F.col("passed"), F.col("node_hi")).otherwise(F.col("good")).alias("good"),
-            F.when(enters, F.least("into_hi", "n")).when(F.col("passed"), F.col("node_hi")).otherwise(
-                F.least("node_hi", "n")).alias("limit")), "search")
-        widest = at.agg(F.max(F.col("limit") - F.col("good"))).first()[0]
-        for step in range(widest.bit_length()):  # where in that node it leaves
-            half = at.withColumn("mid", F.when(F.col("good") < F.col("limit"), F.call_function(
-                "shiftright", F.col("good") + F.col("limit") + 1, F.lit(1))))
-            same = self.signature(self.signature(half, "x", "mid", "a", "b"), "parent", "mid", "c", "d")
-            equal = F.coalesce((F.col("a") == F.col("c")) & (F.col("b") == F.col("d")), F.lit(False))
-            at = same.select("x", "n", "parent", F.when(equal, F.col("mid")).otherwise(F.col("good")).alias("good"),
-                             F.when(equal | F.col("mid").isNull(), F.col("limit")).otherwise(F.col("mid") - 1).alias("limit"))
-            if step % STEPS == STEPS - 1:
-                at = staged(at, "search")
-        return at.select("x", "n", "parent", F.col("good").alias("start"))
+            F.when(enters, F.col("child")).otherwise(F.col("good")).alias("start"),
+            F.least(F.when(enters, F.col("into_hi")).otherwise(F.col("node_hi")), "n").alias("limit")), "search")
+        # where in that node it leaves: the last of the node's turns up to which the signatures agree
+        own = at.where("start < limit").join(self.prefixes.select("x", "d", "s1", "s2"), "x").where("d > start and d <= limit")
+        same = own.join(self.prefixes.select(F.col("x").alias("parent"), "d", "s1", "s2"), ["parent", "d", "s1", "s2"])
+        return at.select("x", "n", "parent", "start").unionByName(same.select(
+            "x", "n", "parent", F.col("d").alias("start"))).groupBy("x", "n", "parent").agg(F.max("start").alias("start"))
 
 
 def build(prefixes: DataFrame, contents: DataFrame) -> Trie:

@@ -85,6 +85,29 @@ def test_nested_copies_and_many_branches(spark):
     assert trie_of(spark, convs) == slow(convs)
 
 
+def test_long_paths_are_cut_into_stretches(spark, monkeypatch):
+    """The same trie where every path spreads over stretches of four turns."""
+    monkeypatch.setattr(prefix_trie, "STRETCH", 2)
+    main = [("u", f"word {i}") for i in range(23)]
+    convs = {1: main, 2: main[:4], 3: main[:8] + [("u", "off")], 4: main[:9] + main[:9], 5: main[:9] + main[:7]}
+    assert trie_of(spark, convs) == slow(convs)
+
+
+def test_batches_cost_few_jobs(spark, monkeypatch):
+    """What a batch costs the driver: the trie is one scan whatever its batches, and a batch takes few jobs."""
+    tries, build = [], prefix_trie.build
+    monkeypatch.setattr(prefix_trie, "build", lambda *a: tries.append(build(*a)) or tries[0])
+    convs = {i: [("u", f"word {x}") for x in f"{i:05b}"] for i in range(32)}
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+    before = scheduler.nextJobId()
+    assert trie_of(spark, convs) == slow(convs)
+    jobs = scheduler.nextJobId() - before
+    assert tries[0].batches >= 3
+    for df in (tries[0].paths, tries[0].ends, tries[0].settled):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert jobs < 60 + 36 * tries[0].batches
+
+
 @pytest.mark.parametrize("convs", [{}, {5: []}, {5: [("a", "b c")], 6: [("a", "b c")]}])
 def test_small_cases(spark, convs):
     assert trie_of(spark, convs) == slow(convs)
